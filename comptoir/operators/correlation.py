@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from comptoir.functions.columns import numeric_columns, ref
-from comptoir.operators.order import SMALL_DISTINCT, distinct_estimates, value_ranks
+from comptoir.operators.order import distinct_estimates, fits_one_task, value_ranks
 
 _LONG = "column1 string, column2 string, correlation double"
 _PAIRS_PER_TASK = 1_000_000  # distinct (x, y) pairs that one task of the Kendall count should hold
@@ -53,7 +53,7 @@ def correlation_pairs(df: DataFrame, method: str, names: Sequence[str]) -> DataF
     if not names:
         return df.sparkSession.createDataFrame([], _LONG)
     one = _spearman if method == "spearman" else _kendall
-    small = {c for c, n in distinct_estimates(df, names).items() if n <= SMALL_DISTINCT}
+    small = {c for c, n in distinct_estimates(df, names).items() if fits_one_task(n)}
     parts = [_diagonal(df, names)]
     for a, b in combinations(names, 2):
         pair = df.select(ref(a).alias("x"), ref(b).alias("y")).dropna()
@@ -81,8 +81,8 @@ def _pearson(df: DataFrame, names: Sequence[str]) -> DataFrame:
         x = F.when(ref(b).isNotNull(), ref(a).cast("double"))
         y = F.when(ref(a).isNotNull(), ref(b).cast("double"))
         r = F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
-        # A column agrees with itself exactly; rounding must not carry any pair beyond one.
-        columns.append(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)).alias(f"r{i}"))
+        # Rounding must not carry a pair beyond one; greatest and least would also hide a NULL.
+        columns.append(F.when(r.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))).alias(f"r{i}"))
     rows = [F.struct(F.lit(a).alias("column1"), F.lit(b).alias("column2"),
                      F.when(F.col(f"r{i}").isNotNull(), F.lit(1.0) if a == b else F.col(f"r{i}")).alias("correlation"))
             for i, (a, b) in enumerate(pairs)]

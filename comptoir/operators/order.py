@@ -37,9 +37,13 @@ def distinct_estimates(df: DataFrame, columns: Sequence[str], keys: Sequence[str
     return {c: row[f"d{i}"] or 0 for i, c in enumerate(columns)}
 
 
+def fits_one_task(distinct: int) -> bool:
+    return distinct <= SMALL_DISTINCT
+
+
 def is_small(df: DataFrame, columns: str | Sequence[str], keys: Sequence[str] = ()) -> bool:
     estimates = distinct_estimates(df, as_list(columns), keys)
-    return max(estimates.values(), default=0) <= SMALL_DISTINCT
+    return fits_one_task(max(estimates.values(), default=0))
 
 
 def split_by_range(df: DataFrame, *order: str) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from comptoir.functions.columns import ref
-from comptoir.operators.order import SMALL_DISTINCT, distinct_estimates, is_small, value_ranks
+from comptoir.operators.order import distinct_estimates, fits_one_task, is_small, value_ranks
 
 _GATHER = 50_000  # values that one aggregate row may hold while finishing a selection
 _ACCURACY = 10_000  # a sketched quantile of n rows is off by at most n / accuracy ranks
@@ -27,7 +27,7 @@ def quantile_columns(df: DataFrame, wanted: dict[str, Sequence[float]]) -> dict[
     if not wanted:
         return {}
     distinct = distinct_estimates(df, list(wanted))
-    large = {c: list(p) for c, p in wanted.items() if distinct[c] > SMALL_DISTINCT}
+    large = {c: list(p) for c, p in wanted.items() if not fits_one_task(distinct[c])}
     found = _select_quantiles(df, large) if large else {}
     result = {}
     for name, probabilities in wanted.items():
