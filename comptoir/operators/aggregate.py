@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from comptoir.functions.columns import as_list, percent_of, ref, sort_by_desc, with_revenue
-from comptoir.operators.order import is_small
 from comptoir.operators.quantiles import group_quantiles
+from comptoir.session import ensure_checkpoint_dir
 
 Aggregate = str | Callable[[Column], Column]
 
@@ -67,23 +67,15 @@ def plan_aggregates(agg_dict: dict[str, Aggregate | list[Aggregate]]) -> list[tu
 def aggregate_by(
     df: DataFrame, keys: list[str], planned: list[tuple[str, Aggregate, str]], order_by: Sequence[str] = ()
 ) -> DataFrame:
-    """Group and aggregate; exact medians that do not fit one task are ranked separately and joined."""
-    medians = [(c, name) for c, how, name in planned if how == "median"]
-    apart = bool(medians) and not is_small(df, [c for c, _ in medians], keys)
-    expressions = []
-    for column, how, name in planned:
-        if how == "median" and not apart:
-            expressions.append(F.percentile(ref(column).cast("double"), 0.5).alias(name))
-        elif how != "median":
-            expressions.append(aggregate_column(column, how, order_by).alias(name))
+    """Group and aggregate. Exact medians come from value counts or ranks and are joined on the grouped rows."""
     by = [ref(k) for k in keys]
-    result = df.groupBy(*by).agg(*expressions) if expressions else df.select(*by).distinct()
-    if apart:
-        for column, name in medians:
-            middle = group_quantiles(df, keys, column, [0.5])
-            result = result.join(middle.select(*by, F.col("q")[0].alias(name)), keys, "left")
-        result = result.select(*by, *[ref(name) for _, _, name in planned])
-    return result
+    medians = [(c, name) for c, how, name in planned if how == "median"]
+    others = [aggregate_column(c, how, order_by).alias(name) for c, how, name in planned if how != "median"]
+    result = df.groupBy(*by).agg(*others) if others else df.select(*by).distinct()
+    for column, name in medians:
+        middle = group_quantiles(df, keys, column, [0.5])
+        result = result.join(middle.select(*by, F.col("q")[0].alias(name)), keys, "left")
+    return result.select(*by, *[ref(name) for _, _, name in planned])
 
 
 def group_by(
@@ -103,16 +95,22 @@ def group_by(
     return result
 
 
-def _pivot_values(df: DataFrame, column: str) -> list:
+def _pivot_values(cells: DataFrame, column: str) -> list:
     """Distinct values that become columns; the limit is Spark's own for pivots, and beyond it this fails."""
-    limit = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
-    rows = df.filter(ref(column).isNotNull()).select(ref(column)).distinct().orderBy(ref(column)).limit(limit + 1)
+    limit = int(cells.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+    rows = cells.select(ref(column)).distinct().orderBy(ref(column)).limit(limit + 1)
     values = [row[0] for row in rows.collect()]
     if len(values) > limit:
         raise ValueError(f"'{column}' has more than {limit} values (spark.sql.pivotMaxValues): too many columns")
     return values
 
 
+def _stored(grouped: DataFrame) -> DataFrame:
+    """Keep a grouped result that is used twice, so that its input is read once."""
+    ensure_checkpoint_dir(grouped.sparkSession)
+    return grouped.checkpoint()
+
+
 def pivot_table(
     df: DataFrame, index: str | Sequence[str], columns: str | Sequence[str], values: str,
     aggfunc: Aggregate = "sum", fill_value: float | None = None,
@@ -120,7 +118,8 @@ def pivot_table(
 ) -> DataFrame:
     """One row per index, one column per distinct value of ``columns`` (joined by ``_`` when several).
 
-    Give ``column_values`` when they are known: it saves the pass that finds them.
+    The columns are found from the aggregated cells, which are stored for that; with ``column_values``
+    given, the result is fully lazy.
     """
     rows, across = as_list(index), as_list(columns)
     kept = df.dropna(subset=[*rows, *across])
@@ -129,9 +128,10 @@ def pivot_table(
     if len(across) > 1:
         kept = kept.withColumn("_across", F.concat_ws("_", *[ref(c).cast("string") for c in across]))
         across = ["_across"]
-    if column_values is None:
-        column_values = _pivot_values(kept, across[0])
     cells = aggregate_by(kept, [*rows, *across], [(values, aggfunc, "_cell")], as_list(order_by))
+    if column_values is None:
+        cells = _stored(cells)
+        column_values = _pivot_values(cells, across[0])
     table = cells.groupBy(*[ref(r) for r in rows]).pivot(across[0], column_values).agg(F.first("_cell"))
     if fill_value is not None:
         filled = [c for c in table.columns if c not in rows]
@@ -149,9 +149,9 @@ def cross_tab(
     df: DataFrame, row_column: str, col_column: str, normalize: bool = False, column_values: list | None = None
 ) -> DataFrame:
     """Contingency table; with ``normalize`` each cell is a percentage of all rows."""
+    cells = _stored(cross_tab_counts(df, row_column, col_column))
     if column_values is None:
-        column_values = _pivot_values(df.dropna(subset=[row_column]), col_column)
-    cells = cross_tab_counts(df, row_column, col_column)
+        column_values = _pivot_values(cells, col_column)
     table = cells.groupBy(ref(row_column)).pivot(col_column, column_values).agg(F.sum("n"))
     names = [c for c in table.columns if c != row_column]
     if normalize:
@@ -182,14 +182,9 @@ def calculate_kpis(df: DataFrame) -> DataFrame:
 
 
 def with_share(grouped: DataFrame, value: str, share: str = "ca_percentage") -> DataFrame:
-    """Add each row's percentage of the column total.
-
-    The total is a scalar subquery that names every numeric column, so that its input is the very
-    exchange of the grouped result and is computed once.
-    """
-    numeric = [f.name for f in grouped.schema if isinstance(f.dataType, T.NumericType)]
-    totals = grouped.agg(F.struct(*[F.sum(ref(c)).alias(c) for c in numeric]).alias("t")).scalar()
-    return grouped.withColumn(share, percent_of(ref(value), totals.getField(value)))
+    """Add each row's percentage of the column total; the grouped rows are stored, as both need them."""
+    grouped = _stored(grouped)
+    return grouped.withColumn(share, percent_of(ref(value), grouped.agg(F.sum(ref(value))).scalar()))
 
 
 def _sales_by(df: DataFrame, key: str, products: Column, *, name: str, price: bool = False) -> DataFrame:

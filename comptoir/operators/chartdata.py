@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from comptoir.functions.columns import as_list, percent_of, ref
-from comptoir.operators.aggregate import bar_aggregate, top_rows
+from comptoir.functions.columns import as_list, ref
+from comptoir.operators.aggregate import bar_aggregate, top_rows, with_share
 from comptoir.operators.correlation import correlation_matrix
-from comptoir.operators.order import is_small
+from comptoir.operators.order import broadcastable
 from comptoir.operators.outliers import fences
 from comptoir.operators.quantiles import group_quantiles
 
@@ -44,8 +44,7 @@ def pie(df: DataFrame, names: str, values: str, top: int | None = None) -> DataF
     slices = df.groupBy(ref(names)).agg(F.coalesce(F.sum(ref(values)), F.lit(0)).alias(values))
     if top is not None:
         slices = top_rows(slices, values, names, top)
-    total = slices.agg(F.struct(F.sum(ref(values)).alias("total"), F.count(ref(names)))).scalar().getField("total")
-    return slices.withColumn("share", percent_of(ref(values), total))
+    return with_share(slices, values, "share")
 
 
 def scatter(df: DataFrame, x: str, y: str, color: str | None = None, size: str | None = None) -> DataFrame:
@@ -162,9 +161,9 @@ def box_outliers(df: DataFrame, y: str, x: str | None = None) -> DataFrame:
 
 
 def _with_fences(rows: DataFrame, key: str, y: str) -> tuple[DataFrame, Column, Column]:
-    """Attach each row's quartiles. One row per category: broadcast after a check of their number."""
+    """Attach each row's quartiles. One row per category, broadcast after a check of their size."""
     quartiles = group_quantiles(rows, [key], y, [0.25, 0.5, 0.75])
-    if is_small(rows, key):
+    if broadcastable(rows, key):
         quartiles = F.broadcast(quartiles)
     low, high = fences(F.col("q")[0], F.col("q")[2])
     return rows.join(quartiles, key), low, high

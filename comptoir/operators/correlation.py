@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from comptoir.functions.columns import numeric_columns, ref
-from comptoir.operators.order import distinct_estimates, fits_one_task, value_ranks
+from comptoir.operators.order import distinct_estimates, fits_one_sort, fits_one_task, value_ranks
+from comptoir.session import ensure_checkpoint_dir
 
 _LONG = "column1 string, column2 string, correlation double"
 _PAIRS_PER_TASK = 1_000_000  # distinct (x, y) pairs that one task of the Kendall count should hold
@@ -52,15 +53,32 @@ def correlation_pairs(df: DataFrame, method: str, names: Sequence[str]) -> DataF
         raise ValueError(f"unknown method: {method}")
     if not names:
         return df.sparkSession.createDataFrame([], _LONG)
-    one = _spearman if method == "spearman" else _kendall
-    small = {c for c, n in distinct_estimates(df, names).items() if fits_one_task(n)}
-    parts = [_diagonal(df, names)]
-    for a, b in combinations(names, 2):
-        pair = df.select(ref(a).alias("x"), ref(b).alias("y")).dropna()
-        counted = pair.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n"))
-        r = one(counted, a in small, b in small)
-        parts.append(r.select(F.lit(a).alias("column1"), F.lit(b).alias("column2"), "correlation"))
-    return reduce(DataFrame.unionByName, parts)
+    pairs = list(combinations(names, 2))
+    if not pairs:
+        return _diagonal(df, names)
+    counted = _counted_pairs(df, pairs)
+    if method == "kendall":
+        scores = _kendall(counted)
+    else:
+        distinct = distinct_estimates(df, names)
+        scores = _spearman(counted, max(distinct.values()), sum(distinct[c] for pair in pairs for c in pair))
+    labels = F.array(*[F.struct(F.lit(i).alias("pair"), F.lit(a).alias("column1"), F.lit(b).alias("column2"))
+                       for i, (a, b) in enumerate(pairs)])
+    named = df.sparkSession.range(1).select(F.inline(labels)).join(F.broadcast(scores), "pair", "left")
+    return _diagonal(df, names).unionByName(named.drop("pair"))
+
+
+def _counted_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """``pair, x, y, n``: the distinct complete value pairs of all column pairs, counted in one job.
+
+    The number of jobs does not grow with the number of columns. The table is used several times, so
+    its lineage is cut here.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    structs = [F.struct(F.lit(i).alias("pair"), ref(a).cast("double").alias("x"), ref(b).cast("double").alias("y"))
+               for i, (a, b) in enumerate(pairs)]
+    long = df.select(F.inline(F.array(*structs))).dropna()
+    return long.groupBy("pair", "x", "y").agg(F.count(F.lit(1)).alias("n")).checkpoint()
 
 
 def _diagonal(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -89,41 +107,40 @@ def _pearson(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.agg(*columns).select(F.inline(F.array(*rows)))
 
 
-def _spearman(counted: DataFrame, small_x: bool, small_y: bool) -> DataFrame:
-    """Pearson on average ranks, from distinct pairs with their counts.
+def _spearman(counted: DataFrame, most: int, together: int) -> DataFrame:
+    """Pearson on average ranks, per column pair.
 
     Ranks come from the distinct values of each side and are joined back to the distinct pairs; the
-    mean rank is known, so deviations are taken from it directly.
+    mean rank is known, so deviations are taken from it directly. ``most`` and ``together`` are the
+    distinct values of the widest column and of all sides of all pairs.
     """
+    small = fits_one_sort(most)
     ranked = counted
-    for side, small in (("x", small_x), ("y", small_y)):
-        ranks = value_ranks(counted, side, weight="n", small=small)
-        rank = (F.col("before") + (F.col("n") + 1) / 2).alias(f"r{side}")
-        ranks = ranks.select(F.col(side).alias(f"v{side}"), rank)
-        ranks = F.broadcast(ranks) if small else ranks
-        ranked = ranked.join(ranks, F.col(side) == F.col(f"v{side}"))
-    total = counted.agg(F.sum("n")).scalar()
-    dx, dy = F.col("rx") - (total + 1) / 2, F.col("ry") - (total + 1) / 2
-    spread = F.sqrt(F.sum(F.col("n") * dx * dx)) * F.sqrt(F.sum(F.col("n") * dy * dy))
-    return ranked.agg(F.try_divide(F.sum(F.col("n") * dx * dy), spread).alias("correlation"))
-
-
-def _kendall(counted: DataFrame, small_x: bool, small_y: bool) -> DataFrame:
-    """Tau-b from distinct pairs with their counts: agreeing minus disagreeing pairs over the tie-corrected total."""
-    total = F.sum("n").cast("double")
-    pairs_of = (F.col("n").cast("double") * (F.col("n") - 1) / 2)
-    tied = {}
     for side in ("x", "y"):
-        per_value = counted.groupBy(side).agg(F.sum("n").alias("n"))
-        tied[side] = per_value.agg(F.coalesce(F.sum(pairs_of), F.lit(0.0))).scalar()
-    all_pairs = total * (total - 1) / 2
-    balance = _agreement(counted, small_x, small_y).agg(F.sum("balance")).scalar()
-    spread = F.sqrt(F.greatest(F.lit(0.0), all_pairs - tied["x"])) * F.sqrt(F.greatest(F.lit(0.0), all_pairs - tied["y"]))
-    return counted.agg(F.try_divide(balance, spread).alias("correlation"))
+        ranks = value_ranks(counted, side, ["pair"], weight="n", small=small)
+        ranks = ranks.select("pair", side, (F.col("before") + (F.col("n") + 1) / 2).alias(f"r{side}"))
+        ranked = ranked.join(F.broadcast(ranks) if fits_one_task(together) else ranks, ["pair", side])
+    middle = counted.groupBy("pair").agg(((F.sum("n") + 1) / 2).alias("middle"))
+    ranked = ranked.join(F.broadcast(middle), "pair")  # one row per pair of columns
+    dx, dy, n = F.col("rx") - F.col("middle"), F.col("ry") - F.col("middle"), F.col("n")
+    spread = F.sqrt(F.sum(n * dx * dx)) * F.sqrt(F.sum(n * dy * dy))
+    return ranked.groupBy("pair").agg(F.try_divide(F.sum(n * dx * dy), spread).alias("correlation"))
+
+
+def _kendall(counted: DataFrame) -> DataFrame:
+    """Tau-b per column pair: agreeing minus disagreeing pairs of rows over the tie-corrected total."""
+    pairs_of = F.col("n").cast("double") * (F.col("n") - 1) / 2
+    sums = counted.groupBy("pair").agg(F.sum("n").alias("n")).select("pair", pairs_of.alias("all"))
+    for side in ("x", "y"):
+        per_value = counted.groupBy("pair", side).agg(F.sum("n").alias("n"))
+        sums = sums.join(per_value.groupBy("pair").agg(F.sum(pairs_of).alias(f"t{side}")), "pair")
+    balance = _agreement(counted, ["pair"]).groupBy("pair").agg(F.sum("balance").alias("balance"))
+    spread = F.sqrt(F.col("all") - F.col("tx")) * F.sqrt(F.col("all") - F.col("ty"))
+    return sums.join(balance, "pair").select("pair", F.try_divide("balance", spread).alias("correlation"))
 
 
-def _agreement(counted: DataFrame, small_x: bool, small_y: bool, keys: Sequence[str] = ()) -> DataFrame:
-    """Parts of (agreeing - disagreeing) over all pairs of rows with equal keys, to be summed.
+def _agreement(counted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Parts ``pair, balance`` of (agreeing - disagreeing) over all pairs of rows with equal keys.
 
     Both sides are cut into stripes of as many distinct pairs, a value with many pairs being a stripe of
     its own. Two rows in different stripes on both sides compare like their stripes: that part is the
@@ -140,12 +157,11 @@ def _agreement(counted: DataFrame, small_x: bool, small_y: bool, keys: Sequence[
         return _count_inside(counted, keys)
     stripes = min(_STRIPES, -(-most // _PAIRS_PER_TASK) + 1)
     cut = counted
-    for side, small in (("x", small_x), ("y", small_y)):
-        ranks = value_ranks(counted, side, keys, small=small)
-        sizes = per_key.select(*keys, (F.col("rows") / stripes).alias("width"))
-        ranks = ranks.join(sizes, keys) if keys else ranks.withColumn("width", F.lit(most / stripes))
-        lane = F.floor(F.col("before") / F.col("width")).cast("bigint") * 2
-        lane = lane + (F.col("n") > F.col("width")).cast("bigint")
+    for side in ("x", "y"):
+        # Here a rank counts distinct pairs, so that stripes get equally many of them.
+        ranks = value_ranks(counted, side, keys).join(per_key.select(*keys, "rows"), keys)
+        width = F.col("rows") / stripes
+        lane = F.floor(F.col("before") / width).cast("bigint") * 2 + (F.col("n") > width).cast("bigint")
         cut = cut.join(ranks.select(*keys, side, lane.alias(f"s{side}")), [*keys, side])
     cut = cut.checkpoint()  # used three times below
     cells = cut.groupBy(*keys, F.col("sx").alias("x"), F.col("sy").alias("y")).agg(F.sum("n").alias("n"))
@@ -154,18 +170,17 @@ def _agreement(counted: DataFrame, small_x: bool, small_y: bool, keys: Sequence[
     level = f"stripe{len(keys)}"
     across = light_y.groupBy(*keys, F.col("sy").alias(level), F.col("sx").alias("x"), "y").agg(F.sum("n").alias("n"))
     within = light_x.select(*keys, F.col("sx").alias(level), "x", "y", "n")
-    parts = [_count_inside(cells, keys), _agreement(across, False, False, [*keys, level]),
-             _agreement(within, False, False, [*keys, level])]
+    parts = [_count_inside(cells, keys), _agreement(across, [*keys, level]), _agreement(within, [*keys, level])]
     return reduce(DataFrame.unionByName, parts)
 
 
 def _count_inside(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One task per key; the caller has checked the sizes."""
-    schema = T.StructType([T.StructField("balance", T.DoubleType())])
+    schema = T.StructType([T.StructField("pair", T.IntegerType()), T.StructField("balance", T.DoubleType())])
 
     def count(group: pd.DataFrame) -> pd.DataFrame:
         x, y, n = (group[c].to_numpy() for c in ("x", "y", "n"))
-        return pd.DataFrame({"balance": [_balance(x, y, n.astype(float))]})
+        return pd.DataFrame({"pair": [int(group["pair"].iloc[0])], "balance": [_balance(x, y, n.astype(float))]})
 
     return df.groupBy(*keys).applyInPandas(count, schema)
 

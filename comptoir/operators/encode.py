@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from comptoir.functions.columns import as_list, categorical_columns, ref
-from comptoir.operators.order import distinct_estimates, fits_one_task, value_ranks
+from comptoir.operators.order import broadcastable, distinct_estimates, fits_one_sort, value_ranks
 
 MISSING_LABEL = "nan"  # a missing value is a category of its own, spelled like this
 
@@ -43,12 +43,11 @@ def fit_label_encoder(df: DataFrame, columns: str | Sequence[str] | None = None)
     """Codes count up from 0 in sorted (code point) order of the text."""
     names = categorical_columns(df) if columns is None else as_list(columns)
     estimates = distinct_estimates(df, names) if names else {}
-    small = frozenset(c for c in names if fits_one_task(estimates[c]))
     dictionaries = {}
     for column in names:
-        ranks = value_ranks(df.select(_label(column).alias("value")), "value", small=column in small)
+        ranks = value_ranks(df.select(_label(column).alias("value")), "value", small=fits_one_sort(estimates[column]))
         dictionaries[column] = ranks.select("value", F.col("code").cast("int").alias("code"))
-    return LabelEncoder(dictionaries, small)
+    return LabelEncoder(dictionaries, frozenset(c for c in names if broadcastable(df, c)))
 
 
 def one_hot(df: DataFrame, columns: str | Sequence[str], levels: dict[str, list] | None = None) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from comptoir.functions import pvalues
 from comptoir.functions.columns import ref
 from comptoir.operators.aggregate import cross_tab_counts
-from comptoir.operators.order import is_small, value_ranks
+from comptoir.operators.order import distinct_estimates, fits_one_sort, value_ranks
 
 ALPHA = 0.05
 _SCORES_PER_ROW = 50_000  # ranks whose normal scores one row of the Shapiro sum covers
@@ -79,7 +79,7 @@ def confidence_interval(df: DataFrame, column: str, confidence: float = 0.95) ->
 
 def _ranks(df: DataFrame, column: str) -> DataFrame:
     values = df.select(ref(column).cast("double").alias("x")).filter(F.col("x").isNotNull())
-    return value_ranks(values, "x", small=is_small(values, "x"))
+    return value_ranks(values, "x", small=fits_one_sort(distinct_estimates(values, ["x"])["x"]))
 
 
 def kolmogorov_smirnov(df: DataFrame, column: str) -> DataFrame:

@@ -19,8 +19,11 @@ from pyspark.sql import Window as W
 from comptoir.functions.columns import as_list, ref
 from comptoir.session import ensure_checkpoint_dir
 
-# Distinct values per group up to which one task may hold them all (a value-to-count map of tens of MB).
-SMALL_DISTINCT = 200_000
+# Sizes up to which a simpler plan is used. They are checked with sketches (5 % standard error).
+SMALL_DISTINCT = 100_000  # distinct values of a column that one task may hold as a value-to-count map
+SMALL_GROUP = 20_000  # the same within a group, as a task may hold the maps of many groups at once
+SMALL_SORT = 2_000_000  # distinct values that one task may sort (it spills, so this is about time only)
+BROADCAST_BYTES = 64 * 1024 * 1024  # estimated size of a table that is sent to all executors
 
 _RANGE = "_range"
 
@@ -28,7 +31,7 @@ _RANGE = "_range"
 def distinct_estimates(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> dict[str, int]:
     """Distinct values per column (the largest over the groups when keys are given), by sketches in one pass."""
     columns = as_list(columns)
-    sketches = [F.approx_count_distinct(ref(c), 0.02).alias(f"d{i}") for i, c in enumerate(columns)]
+    sketches = [F.approx_count_distinct(ref(c)).alias(f"d{i}") for i, c in enumerate(columns)]
     if keys:
         per_key = df.groupBy(*[ref(k) for k in keys]).agg(*sketches)
         row = per_key.agg(*[F.max(f"d{i}").alias(f"d{i}") for i in range(len(columns))]).first()
@@ -41,9 +44,20 @@ def fits_one_task(distinct: int) -> bool:
     return distinct <= SMALL_DISTINCT
 
 
-def is_small(df: DataFrame, columns: str | Sequence[str], keys: Sequence[str] = ()) -> bool:
-    estimates = distinct_estimates(df, as_list(columns), keys)
-    return fits_one_task(max(estimates.values(), default=0))
+def fits_one_sort(distinct: int) -> bool:
+    return distinct <= SMALL_SORT
+
+
+def groups_fit_tasks(df: DataFrame, column: str, keys: Sequence[str]) -> bool:
+    """Whether no group has too many distinct values for one map."""
+    return distinct_estimates(df, [column], keys)[column] <= SMALL_GROUP
+
+
+def broadcastable(df: DataFrame, key: str, other_bytes: int = 64) -> bool:
+    """Whether a table of one row per distinct key (its longest text and so many other bytes) may be broadcast."""
+    width = F.max(F.octet_length(ref(key).cast("string")))
+    distinct, longest = df.agg(F.approx_count_distinct(ref(key)), F.coalesce(width, F.lit(0))).first()
+    return distinct <= SMALL_SORT and distinct * (longest + other_bytes) <= BROADCAST_BYTES
 
 
 def split_by_range(df: DataFrame, *order: str) -> DataFrame:
@@ -61,7 +75,7 @@ def value_ranks(
     """One row per distinct non-NULL value (within its keys): ``n`` copies, ``before`` smaller rows, ``code`` smaller values.
 
     The average rank of a value is ``before + (n + 1) / 2`` and ``code`` is its zero-based dense rank.
-    ``small`` says the caller has checked that the distinct values of a group fit one task.
+    ``small`` says the caller has checked that the distinct values of a group fit one sort.
     """
     keys = list(keys)
     rows = F.sum(ref(weight)) if weight else F.count(F.lit(1))

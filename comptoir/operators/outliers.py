@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from comptoir.functions.columns import as_list, numeric_columns, ref
+from comptoir.operators.order import distinct_estimates
 from comptoir.operators.quantiles import exact_quantiles, quantile_columns
 
 IQR_FACTOR = 1.5
@@ -28,9 +29,11 @@ def remove_outliers(
     aggregate per column. The bounds are literals in the result, and its filters reach the scan.
     """
     names = numeric_columns(df) if columns is None else [c for c in as_list(columns) if c in df.columns]
+    # Filtering only lowers the number of distinct values, so one estimate serves all columns.
+    distinct = distinct_estimates(df, names) if names and method == "iqr" else {}
     for name in names:
         if method == "iqr":
-            q1, q3 = exact_quantiles(df, {name: [0.25, 0.75]})[name]
+            q1, q3 = exact_quantiles(df, {name: [0.25, 0.75]}, distinct)[name]
             if q1 is None:
                 return df.filter(F.lit(False))
             low, high = fences(q1, q3, factor)
@@ -65,7 +68,9 @@ def _stats(df: DataFrame, names: Sequence[str], method: str) -> dict[str, Column
 
 def flag_outliers(df: DataFrame, column: str, method: str = "iqr", flag: str = "is_outlier") -> DataFrame:
     """Keep all rows and add a boolean column."""
-    stats = df.agg(_stats(df, [column], method)[column]).scalar()
+    stats = _stats(df, [column], method)[column]
+    if method == "zscore":
+        stats = df.agg(stats).scalar()
     return df.withColumn(flag, _beyond(column, method, stats))
 
 
@@ -75,9 +80,9 @@ def outlier_counts(df: DataFrame, columns: Sequence[str] | None = None, method:
     if not names:
         return df.sparkSession.createDataFrame([], "column string, count bigint")
     per_column = _stats(df, names, method)
-    bounds = df.agg(F.struct(*[per_column[c].alias(f"s{i}") for i, c in enumerate(names)])).scalar()
-    counts = df.agg(*[
-        F.count_if(_beyond(c, method, bounds.getField(f"s{i}"))).alias(f"n{i}") for i, c in enumerate(names)
-    ])
+    if method == "zscore":
+        bounds = df.agg(F.struct(*[per_column[c].alias(f"s{i}") for i, c in enumerate(names)])).scalar()
+        per_column = {c: bounds.getField(f"s{i}") for i, c in enumerate(names)}
+    counts = df.agg(*[F.count_if(_beyond(c, method, per_column[c])).alias(f"n{i}") for i, c in enumerate(names)])
     rows = [F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("count")) for i, c in enumerate(names)]
     return counts.select(F.inline(F.array(*rows)))

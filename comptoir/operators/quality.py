@@ -68,12 +68,19 @@ def wrong_types(df: DataFrame, expected: dict[str, str]) -> dict[str, str]:
     return wrong
 
 
-def out_of_range(column: Column, low: float | None, high: float | None) -> Column:
+def _rows_where(condition: Column, copies: Column | None = None) -> Column:
+    """Number of rows that meet a condition, where each row stands for so many copies."""
+    if copies is None:
+        return F.count_if(condition)
+    return F.coalesce(F.sum(F.when(condition, copies)), F.lit(0).cast("bigint"))
+
+
+def out_of_range(column: Column, low: float | None, high: float | None, copies: Column | None = None) -> Column:
     """Number of non-NULL values below ``low`` plus those above ``high``; text that is no number does not count."""
     number = column.try_cast("double")
-    parts = [F.count_if(number < low)] if low is not None else []
+    parts = [_rows_where(number < low, copies)] if low is not None else []
     if high is not None:
-        parts.append(F.count_if(number > high))
+        parts.append(_rows_where(number > high, copies))
     return reduce(Column.__add__, parts, F.lit(0).cast("bigint"))
 
 
@@ -86,10 +93,14 @@ def range_violations(df: DataFrame, value_ranges: dict[str, Bounds]) -> DataFram
         [], "column string, invalid bigint")
 
 
+def _distinct_rows(df: DataFrame) -> DataFrame:
+    """Each distinct row (NULLs equal) with its number of ``_copies``, which combine before the shuffle."""
+    return df.groupBy(*[ref(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_copies"))
+
+
 def duplicate_count(df: DataFrame) -> DataFrame:
-    """Rows beyond the first of each set of equal rows (NULLs equal); copies collapse before the shuffle."""
-    distinct = df.groupBy(*[ref(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_copies"))
-    return distinct.agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_rows"))
+    """Rows beyond the first of each set of equal rows."""
+    return _distinct_rows(df).agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_rows"))
 
 
 def missing_counts(df: DataFrame) -> DataFrame:
@@ -109,17 +120,23 @@ def missing_report(df: DataFrame) -> DataFrame:
 
 
 def table_metrics(df: DataFrame) -> DataFrame:
-    """One row: rows, columns, cells, missing cells and percentage, duplicate rows, column types."""
-    width = len(df.columns)
-    missing = [F.count_if(ref(c).isNull()) for c in df.columns]
-    counts = df.agg(F.count(F.lit(1)).alias("n_rows"), reduce(Column.__add__, missing, F.lit(0)).alias("missing_cells"))
+    """One row: rows, columns, cells, missing cells and percentage, duplicate rows, column types.
+
+    All counts come from the distinct rows and their copies, so the table is read once.
+    """
+    width, copies = len(df.columns), F.col("_copies")
+    missing = reduce(Column.__add__, [ref(c).isNull().cast("bigint") for c in df.columns], F.lit(0).cast("bigint"))
+    counts = _distinct_rows(df).agg(
+        F.coalesce(F.sum(copies), F.lit(0)).alias("n_rows"),
+        F.coalesce(F.sum(missing * copies), F.lit(0)).alias("missing_cells"),
+        F.coalesce(F.sum(copies - 1), F.lit(0)).alias("duplicate_rows"),
+    )
     cells = F.col("n_rows") * width
     types = F.create_map(*[F.lit(x) for f in df.schema for x in (f.name, f.dataType.simpleString())])
     return counts.select(
         "n_rows", F.lit(width).alias("n_columns"), cells.alias("total_cells"), "missing_cells",
         F.coalesce(F.try_divide(F.col("missing_cells").cast("double"), cells) * 100, F.lit(0.0)).alias("missing_percentage"),
-        duplicate_count(df).scalar().alias("duplicate_rows"),
-        types.alias("column_types"),
+        "duplicate_rows", types.alias("column_types"),
     )
 
 
@@ -156,10 +173,14 @@ def validate(
 ) -> Validation:
     """Check a table. ``strict`` turns the missing-value and duplicate warnings into errors.
 
-    Everything that counts rows comes from one aggregate; duplicates add one grouped pass.
+    Everything that counts rows comes from one aggregate: over the distinct rows and their copies when
+    duplicates are checked, else over the rows themselves, without a shuffle of rows.
     """
     soft = "error" if strict else "warning"
-    totals = [F.count(F.lit(1)).alias("total")]
+    copies = F.col("_copies") if check_duplicates else None
+    source = _distinct_rows(df) if check_duplicates else df
+    rows = F.coalesce(F.sum(copies), F.lit(0)) if check_duplicates else F.count(F.lit(1))
+    totals = [rows.alias("total")]
     found: list[tuple[Column, Column]] = []  # (condition, finding)
 
     def finding(when, severity, check, column, observed, message):
@@ -180,25 +201,24 @@ def validate(
         finding(always, "error", "type", column, F.lit(None), F.lit(message))
     if check_missing:
         for i, column in enumerate(df.columns):
-            totals.append(F.count_if(ref(column).isNull()).alias(f"m{i}"))
+            totals.append(_rows_where(ref(column).isNull(), copies).alias(f"m{i}"))
             share = F.try_divide(F.col(f"m{i}").cast("double"), F.col("total"))
             message = text(f"column '{_escaped(column)}': %.1f%% of %d values missing", share * 100, F.col("total"))
             finding(share > max_missing, soft, "missing", column, F.col(f"m{i}"), message)
     if check_duplicates:
+        totals.append(F.coalesce(F.sum(copies - 1), F.lit(0)).alias("duplicates"))
         finding(F.col("duplicates") > 0, soft, "duplicates", None, F.col("duplicates"),
                 text("%d duplicate rows among %d", F.col("duplicates"), F.col("total")))
     for i, (column, (low, high)) in enumerate((value_ranges or {}).items()):
         if column in df.columns:
-            totals.append(out_of_range(ref(column), low, high).alias(f"r{i}"))
+            totals.append(out_of_range(ref(column), low, high, copies).alias(f"r{i}"))
             message = text(f"column '{_escaped(column)}': %d values outside [{low}, {high}]", F.col(f"r{i}"))
             finding(F.col(f"r{i}") > 0, "error", "range", column, F.col(f"r{i}"), message)
     if min_rows:
         finding(F.col("total") < min_rows, "error", "rows", None, F.col("total"),
                 text(f"%d rows, at least {min_rows} needed", F.col("total")))
 
-    counts = df.agg(*totals)
-    if check_duplicates:
-        counts = counts.withColumn("duplicates", duplicate_count(df).scalar())
+    counts = source.agg(*totals)
     listed = F.array(*[F.when(when, what) for when, what in found]).cast(_FINDING)
     findings = counts.select(F.inline(F.filter(listed, lambda x: x.isNotNull())))
     return Validation(findings, table_metrics(df))

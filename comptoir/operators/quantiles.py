@@ -1,9 +1,9 @@
 """Exact quantiles with linear interpolation.
 
-Where a column has few distinct values, Spark's ``percentile`` (a value-to-count map) is exact in one
-pass. That is checked with a sketch. Beyond it, whole-column quantiles are found by selection: sketched
+Where a column has few distinct values (checked with a sketch), its values are counted first and Spark's
+``percentile`` runs over the counts. Beyond that, whole-column quantiles are found by selection: sketched
 pivots narrow the interval that holds the wanted rank, exact counts confirm it, and only the few values
-left inside are gathered. No pass shuffles rows. Quantiles per group fall back on distributed ranks.
+left inside are gathered. No pass of it shuffles rows. Quantiles per group fall back on distributed ranks.
 """
 
 from __future__ import annotations
@@ -15,50 +15,75 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from comptoir.functions.columns import ref
-from comptoir.operators.order import distinct_estimates, fits_one_task, is_small, value_ranks
+from comptoir.operators.order import distinct_estimates, fits_one_task, groups_fit_tasks, value_ranks
 
 _GATHER = 50_000  # values that one aggregate row may hold while finishing a selection
 _ACCURACY = 10_000  # a sketched quantile of n rows is off by at most n / accuracy ranks
 _ROUNDS = 40
 
+Quantiles = dict[str, list[float | None]]
 
-def quantile_columns(df: DataFrame, wanted: dict[str, Sequence[float]]) -> dict[str, Column]:
-    """Array column of exact quantiles for each named column, for use inside ``df.agg(...)``."""
+
+def exact_quantiles(
+    df: DataFrame, wanted: dict[str, Sequence[float]], distinct: dict[str, int] | None = None
+) -> Quantiles:
+    """Quantiles of several columns as plain numbers; ``None`` where a column has no value.
+
+    ``distinct`` may give upper estimates of the distinct values, which saves the sketch pass.
+    """
     if not wanted:
         return {}
-    distinct = distinct_estimates(df, list(wanted))
-    large = {c: list(p) for c, p in wanted.items() if not fits_one_task(distinct[c])}
-    found = _select_quantiles(df, large) if large else {}
-    result = {}
-    for name, probabilities in wanted.items():
-        if name in found:
-            result[name] = F.array(*[F.lit(v).cast("double") for v in found[name]])
-        else:
-            result[name] = F.percentile(ref(name).cast("double"), F.array(*[F.lit(float(p)) for p in probabilities]))
-    return result
+    distinct = distinct or distinct_estimates(df, list(wanted))
+    small = {c: list(p) for c, p in wanted.items() if fits_one_task(distinct[c])}
+    large = {c: list(p) for c, p in wanted.items() if c not in small}
+    found = {**_counted_quantiles(df, small), **_select_quantiles(df, large)}
+    return {c: found[c] for c in wanted}
+
+
+def quantile_columns(
+    df: DataFrame, wanted: dict[str, Sequence[float]], distinct: dict[str, int] | None = None
+) -> dict[str, Column]:
+    """The same as constant array columns, for use in any expression."""
+    found = exact_quantiles(df, wanted, distinct)
+    return {c: F.array(*[F.lit(v).cast("double") for v in values]) for c, values in found.items()}
+
 
+def _percentile_of_counts(probabilities: Sequence[float]) -> Column:
+    """Quantiles over rows ``value, n``."""
+    return F.percentile("value", F.array(*[F.lit(float(p)) for p in probabilities]), F.col("n"))
 
-def exact_quantiles(df: DataFrame, wanted: dict[str, Sequence[float]]) -> dict[str, list[float | None]]:
-    """The same as plain numbers; NULL columns give ``None``."""
-    columns = quantile_columns(df, wanted)
-    if not columns:
+
+def _counted_quantiles(df: DataFrame, wanted: dict[str, list[float]]) -> Quantiles:
+    """One job for all columns: counts per (column, value) combine before the shuffle."""
+    if not wanted:
         return {}
-    row = df.agg(*[c.alias(f"q{i}") for i, c in enumerate(columns.values())]).first()
-    return {
-        name: list(row[i]) if row[i] is not None else [None] * len(wanted[name]) for i, name in enumerate(columns)
-    }
+    names = list(wanted)
+    every = sorted({p for probabilities in wanted.values() for p in probabilities})
+    pairs = [F.struct(F.lit(i).alias("column"), ref(c).cast("double").alias("value")) for i, c in enumerate(names)]
+    counts = (
+        df.select(F.inline(F.array(*pairs)))
+        .filter(F.col("value").isNotNull())
+        .groupBy("column", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    rows = counts.groupBy("column").agg(_percentile_of_counts(every).alias("q")).collect()  # one row per column
+    result: Quantiles = {c: [None] * len(p) for c, p in wanted.items()}
+    for row in rows:
+        at = dict(zip(every, row["q"]))
+        result[names[row["column"]]] = [at[p] for p in wanted[names[row["column"]]]]
+    return result
 
 
 def group_quantiles(df: DataFrame, keys: Sequence[str], column: str, probabilities: Sequence[float]) -> DataFrame:
     """Per group an array ``q`` of exact quantiles; groups with only NULLs are absent."""
-    keys = list(keys)
+    by = [ref(k) for k in keys]
     valued = df.filter(ref(column).isNotNull())
-    if is_small(valued, column, keys):
-        wanted = F.array(*[F.lit(float(p)) for p in probabilities])
-        return valued.groupBy(*[ref(k) for k in keys]).agg(F.percentile(ref(column).cast("double"), wanted).alias("q"))
+    if groups_fit_tasks(valued, column, list(keys)):
+        counts = valued.groupBy(*by, ref(column).cast("double").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+        return counts.groupBy(*by).agg(_percentile_of_counts(probabilities).alias("q"))
     ranks = value_ranks(valued, column, keys)
-    sizes = valued.groupBy(*[ref(k) for k in keys]).agg(F.count(F.lit(1)).alias("_size"))
-    placed = ranks.join(sizes, keys)
+    sizes = valued.groupBy(*by).agg(F.count(F.lit(1)).alias("_size"))
+    placed = ranks.join(sizes, list(keys))
     last = F.col("before") + F.col("n") - 1
 
     def at(rank: Column) -> Column:
@@ -70,7 +95,7 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], column: str, probabiliti
         low, high = F.floor(position), F.ceil(position)
         weight = F.max(position - low)
         steps.append(at(low) * (1 - weight) + at(high) * weight)
-    return placed.groupBy(*[ref(k) for k in keys]).agg(F.array(*steps).alias("q"))
+    return placed.groupBy(*by).agg(F.array(*steps).alias("q"))
 
 
 class _Rank:
@@ -102,16 +127,24 @@ class _Rank:
             self.high, self.below_high = pivot, below
 
 
-def _select_quantiles(df: DataFrame, wanted: dict[str, list[float]]) -> dict[str, list[float]]:
+def _select_quantiles(df: DataFrame, wanted: dict[str, list[float]]) -> Quantiles:
+    if not wanted:
+        return {}
     names = list(wanted)
-    row = df.agg(*[F.count(ref(c)).alias(f"n{i}") for i, c in enumerate(names)]).first()
-    totals = {c: row[i] for i, c in enumerate(names)}
+    # First pivots around the quantiles themselves, in the pass that counts the rows.
+    every = {c: sorted({f for p in wanted[c] for f in _around(p)}) for c in names}
+    first = df.agg(*[
+        F.struct(F.count(ref(c)), F.percentile_approx(ref(c).cast("double"), every[c], _ACCURACY)).alias(f"s{i}")
+        for i, c in enumerate(names)
+    ]).first()
+    totals = {c: first[i][0] for i, c in enumerate(names)}
     ranks: dict[tuple[str, int], _Rank] = {}
-    for name in names:
-        for p in wanted[name]:
-            position = p * (totals[name] - 1)
+    for c in names:
+        for p in wanted[c]:
+            position = p * (totals[c] - 1)
             for k in (math.floor(position), math.ceil(position)):
-                ranks.setdefault((name, k), _Rank(name, k, totals[name]))
+                ranks.setdefault((c, k), _Rank(c, k, totals[c]))
+    _place(df, list(ranks.values()), {(c, None, None): first[i][1] for i, c in enumerate(names)})
 
     for _ in range(_ROUNDS):
         open_ranks = [r for r in ranks.values() if r.value is None]
@@ -120,23 +153,29 @@ def _select_quantiles(df: DataFrame, wanted: dict[str, list[float]]) -> dict[str
         _gather(df, [r for r in open_ranks if r.inside <= _GATHER])
         open_ranks = [r for r in open_ranks if r.value is None]
         if open_ranks:
-            _narrow(df, open_ranks)
-    for (name, _), r in ranks.items():
-        if r.value is None:  # never seen: sketches that do not converge; ranks are exact without them
-            spot = value_ranks(df, name).filter((F.col("before") <= r.rank) & (r.rank < F.col("before") + F.col("n")))
-            r.value = float(spot.select(ref(name)).first()[0])
-
-    result = {}
-    for name in names:
-        result[name] = []
-        for p in wanted[name]:
-            position = p * (totals[name] - 1)
+            _place(df, open_ranks, _pivots(df, open_ranks))
+    for (c, _), r in ranks.items():
+        if r.value is None:  # sketches that do not converge, never seen; ranks are exact without them
+            spot = value_ranks(df, c).filter((F.col("before") <= r.rank) & (r.rank < F.col("before") + F.col("n")))
+            r.value = float(spot.select(ref(c)).first()[0])
+
+    result: Quantiles = {}
+    for c in names:
+        result[c] = []
+        for p in wanted[c]:
+            position = p * (totals[c] - 1)
             low, high = math.floor(position), math.ceil(position)
-            a, b = ranks[name, low].value, ranks[name, high].value
-            result[name].append(a + (b - a) * (position - low))
+            a, b = ranks[c, low].value, ranks[c, high].value
+            result[c].append(a if low == high else a + (b - a) * (position - low))
     return result
 
 
+def _around(fraction: float) -> tuple[float, float]:
+    """Two sketch positions around a fraction, on a grid, so that neighbouring ranks share them."""
+    low, high = math.floor(fraction * _ACCURACY) - 2, math.ceil(fraction * _ACCURACY) + 2
+    return max(0.0, low / _ACCURACY), min(1.0, high / _ACCURACY)
+
+
 def _inside(interval: tuple[str, float | None, float | None]) -> Column:
     name, low, high = interval
     value = ref(name).cast("double")
@@ -155,42 +194,42 @@ def _by_interval(ranks: list[_Rank]) -> dict[tuple, list[_Rank]]:
     return groups
 
 
+def _held(interval: tuple[str, float | None, float | None]) -> Column:
+    return F.sort_array(F.collect_list(_inside(interval)))
+
+
 def _gather(df: DataFrame, ranks: list[_Rank]) -> None:
     """Read off ranks whose interval holds few enough values to sort in one row."""
     groups = _by_interval(ranks)
     if not groups:
         return
-    picks = []
-    for interval, members in groups.items():
-        held = F.sort_array(F.collect_list(_inside(interval)))
-        picks.append(F.array(*[F.get(held, F.lit(r.rank - r.up_to_low)) for r in members]))
+    picks = [F.array(*[F.get(_held(interval), F.lit(r.rank - r.up_to_low)) for r in members])
+             for interval, members in groups.items()]
     row = df.agg(*[p.alias(f"v{i}") for i, p in enumerate(picks)]).first()
     for members, values in zip(groups.values(), row):
         for r, value in zip(members, values):
             r.value = float(value)
 
 
-def _narrow(df: DataFrame, ranks: list[_Rank]) -> None:
-    """One sketch pass for pivots around each rank, one counting pass to place the ranks between them."""
+def _pivots(df: DataFrame, ranks: list[_Rank]) -> dict[tuple, list[float]]:
+    """Sketched values around the ranks of each interval."""
     groups = _by_interval(ranks)
     sketches = []
     for interval, members in groups.items():
-        fractions = set()
-        for r in members:
-            middle = (r.rank - r.up_to_low + 0.5) / r.inside
-            fractions |= {max(0.0, middle - 2.0 / _ACCURACY), min(1.0, middle + 2.0 / _ACCURACY)}
+        fractions = {f for r in members for f in _around((r.rank - r.up_to_low + 0.5) / r.inside)}
         sketches.append(F.percentile_approx(_inside(interval), sorted(fractions), _ACCURACY))
     row = df.agg(*[s.alias(f"s{i}") for i, s in enumerate(sketches)]).first()
-    pivots: dict[str, set[float]] = {}
-    for interval, found in zip(groups, row):
-        pivots.setdefault(interval[0], set()).update(found)
-
-    points = [(name, pivot) for name in pivots for pivot in sorted(pivots[name])]
-    counts = df.agg(*[
-        F.struct(F.count_if(ref(n).cast("double") < p), F.count_if(ref(n).cast("double") <= p)).alias(f"c{i}")
-        for i, (n, p) in enumerate(points)
-    ]).first()
+    return dict(zip(groups, row))
+
+
+def _place(df: DataFrame, ranks: list[_Rank], pivots: dict[tuple, list[float]]) -> None:
+    """Count rows around all pivots and narrow the ranks."""
+    points = sorted({(interval[0], pivot) for interval, found in pivots.items() for pivot in found or ()})
+    counts = df.agg(F.lit(0), *[
+        F.struct(F.count_if(ref(c).cast("double") < p), F.count_if(ref(c).cast("double") <= p)).alias(f"c{i}")
+        for i, (c, p) in enumerate(points)
+    ]).first()[1:]
     for r in ranks:
-        for (name, pivot), (below, up_to) in zip(points, counts):
-            if name == r.column and r.value is None:
+        for (c, pivot), (below, up_to) in zip(points, counts):
+            if c == r.column and r.value is None:
                 r.narrow(pivot, below, up_to)

@@ -25,7 +25,8 @@ def scale(request, monkeypatch):
     if request.param == "distributed":
         from comptoir.operators import correlation, order, quantiles
 
-        monkeypatch.setattr(order, "SMALL_DISTINCT", 3)
+        for limit in ("SMALL_DISTINCT", "SMALL_GROUP", "SMALL_SORT", "BROADCAST_BYTES"):
+            monkeypatch.setattr(order, limit, 3)
         monkeypatch.setattr(quantiles, "_GATHER", 20)
         monkeypatch.setattr(quantiles, "_ACCURACY", 50)
         monkeypatch.setattr(correlation, "_PAIRS_PER_TASK", 60)

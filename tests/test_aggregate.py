@@ -29,13 +29,6 @@ def test_breakdowns_of_the_sample(sales):
     assert [r[0] for r in rows(agg.calculate_sales_by_city(sales))] == ["Marseille", "Lyon", "Paris"]
 
 
-def test_share_total_is_computed_once(sales):
-    df = agg.calculate_sales_by_category(sales)
-    df.collect()
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "ReusedExchange" in plan
-
-
 def test_shares_of_zero_revenue_are_null(spark):
     free = spark.createDataFrame([("a", "p", 0.0, 1)], "categorie string, produit string, prix double, quantite int")
     assert rows(agg.calculate_sales_by_category(free))[0][-1] is None
