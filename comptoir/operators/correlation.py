@@ -11,9 +11,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
 from comptoir.functions.columns import numeric_columns, ref
-from comptoir.operators.order import distinct_estimates, fits_one_sort, fits_one_task, value_ranks
+from comptoir.operators.order import fits_one_sort, value_ranks
 from comptoir.session import ensure_checkpoint_dir
 
 _LONG = "column1 string, column2 string, correlation double"
@@ -57,11 +58,7 @@ def correlation_pairs(df: DataFrame, method: str, names: Sequence[str]) -> DataF
     if not pairs:
         return _diagonal(df, names)
     counted = _counted_pairs(df, pairs)
-    if method == "kendall":
-        scores = _kendall(counted)
-    else:
-        distinct = distinct_estimates(df, names)
-        scores = _spearman(counted, max(distinct.values()), sum(distinct[c] for pair in pairs for c in pair))
+    scores = _kendall(counted) if method == "kendall" else _spearman(counted)
     labels = F.array(*[F.struct(F.lit(i).alias("pair"), F.lit(a).alias("column1"), F.lit(b).alias("column2"))
                        for i, (a, b) in enumerate(pairs)])
     named = df.sparkSession.range(1).select(F.inline(labels)).join(F.broadcast(scores), "pair", "left")
@@ -107,19 +104,10 @@ def _pearson(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.agg(*columns).select(F.inline(F.array(*rows)))
 
 
-def _spearman(counted: DataFrame, most: int, together: int) -> DataFrame:
-    """Pearson on average ranks, per column pair.
-
-    Ranks come from the distinct values of each side and are joined back to the distinct pairs; the
-    mean rank is known, so deviations are taken from it directly. ``most`` and ``together`` are the
-    distinct values of the widest column and of all sides of all pairs.
-    """
-    small = fits_one_sort(most)
-    ranked = counted
-    for side in ("x", "y"):
-        ranks = value_ranks(counted, side, ["pair"], weight="n", small=small)
-        ranks = ranks.select("pair", side, (F.col("before") + (F.col("n") + 1) / 2).alias(f"r{side}"))
-        ranked = ranked.join(F.broadcast(ranks) if fits_one_task(together) else ranks, ["pair", side])
+def _spearman(counted: DataFrame) -> DataFrame:
+    """Pearson on average ranks, per column pair; the mean rank is known, so deviations are taken from it."""
+    most = counted.groupBy("pair").agg(F.count(F.lit(1)).alias("rows")).agg(F.max("rows")).first()[0] or 0
+    ranked = _ranked_by_sort(counted) if fits_one_sort(most) else _ranked_by_join(counted)
     middle = counted.groupBy("pair").agg(((F.sum("n") + 1) / 2).alias("middle"))
     ranked = ranked.join(F.broadcast(middle), "pair")  # one row per pair of columns
     dx, dy, n = F.col("rx") - F.col("middle"), F.col("ry") - F.col("middle"), F.col("n")
@@ -127,6 +115,27 @@ def _spearman(counted: DataFrame, most: int, together: int) -> DataFrame:
     return ranked.groupBy("pair").agg(F.try_divide(F.sum(n * dx * dy), spread).alias("correlation"))
 
 
+def _ranked_by_sort(counted: DataFrame) -> DataFrame:
+    """Average ranks where one task can sort the value pairs of one column pair."""
+    ranks = {}
+    for side in ("x", "y"):
+        line = W.partitionBy("pair").orderBy(side)
+        up_to = F.sum("n").over(line.rangeBetween(W.unboundedPreceding, W.currentRow))
+        same = F.sum("n").over(line.rangeBetween(W.currentRow, W.currentRow))
+        ranks[f"r{side}"] = up_to - (same - 1) / 2
+    return counted.withColumns(ranks)
+
+
+def _ranked_by_join(counted: DataFrame) -> DataFrame:
+    """Average ranks of the distinct values of each side, joined back to the distinct pairs."""
+    ranked = counted
+    for side in ("x", "y"):
+        ranks = value_ranks(counted, side, ["pair"], weight="n")
+        ranks = ranks.select("pair", side, (F.col("before") + (F.col("n") + 1) / 2).alias(f"r{side}"))
+        ranked = ranked.join(ranks, ["pair", side])
+    return ranked
+
+
 def _kendall(counted: DataFrame) -> DataFrame:
     """Tau-b per column pair: agreeing minus disagreeing pairs of rows over the tie-corrected total."""
     pairs_of = F.col("n").cast("double") * (F.col("n") - 1) / 2
