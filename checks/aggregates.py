@@ -274,7 +274,7 @@ def _fill_sql(direction):
         "ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING", "first_value")
     return f"""
 WITH {_calendar("D", "orders", dated, columns)}
-SELECT strftime(p, '%Y-%m-%d') AS date, round({pick}(a IGNORE NULLS) OVER (ORDER BY p {order}), 4) AS o_totalprice,
+SELECT strftime(p, '%Y-%m-%d') AS date, round({pick}(a IGNORE NULLS) OVER (ORDER BY p {order}), 6) AS o_totalprice,
        coalesce(c, 0) AS o_orderkey, {pick}(s IGNORE NULLS) OVER (ORDER BY p {order}) AS o_custkey
 FROM spine LEFT JOIN g USING (p)
 """
@@ -285,7 +285,7 @@ def _fill(direction):
         big = F.when(F.col("o_totalprice") > 450000, F.col("o_orderdate"))
         orders = table(spark, folder, "orders").withColumn("date", big)
         wanted = {"o_totalprice": "mean", "o_orderkey": "count", "o_custkey": spread}
-        return tidy(ts.resample_timeseries(orders, "date", "D", wanted, fill_method=direction))
+        return tidy(ts.resample_timeseries(orders, "date", "D", wanted, fill_method=direction), 6)
     return run
 
 

@@ -116,23 +116,26 @@ def fill_along_order(
     names = df.columns
     ranged = split_by_range(df, *keys, *order)
     position = F.struct(*[ref(c) for c in order])
-    nearest, pick = (F.min_by, F.first) if backward else (F.max_by, F.last)
+    nearest = F.min_by if backward else F.max_by
     group = [_RANGE, *[ref(k) for k in keys]]
 
+    def along(column: Column) -> Column:
+        # Filling backward is filling forward in the opposite order; a frame that looks ahead would
+        # be evaluated anew for every row.
+        return column.desc() if backward else column.asc()
+
     edges = ranged.groupBy(*group).agg(*[
         nearest(ref(c), F.when(ref(c).isNotNull(), position)).alias(f"_edge{i}") for i, c in enumerate(columns)
     ])
-    beside = W.partitionBy(*[ref(k) for k in keys]).orderBy(_RANGE)
-    beside = beside.rowsBetween(1, W.unboundedFollowing) if backward else beside.rowsBetween(W.unboundedPreceding, -1)
     carried = [f"_edge{i}" for i in range(len(columns))]
+    beside = W.partitionBy(*[ref(k) for k in keys]).orderBy(along(F.col(_RANGE))).rowsBetween(W.unboundedPreceding, -1)
     # As above: a carried value exists only where a group continues across a range boundary.
-    edges = edges.withColumns({c: pick(c, ignorenulls=True).over(beside) for c in carried})
+    edges = edges.withColumns({c: F.last(c, ignorenulls=True).over(beside) for c in carried})
     edges = edges.filter(reduce(Column.__or__, [F.col(c).isNotNull() for c in carried]))
 
-    inside = W.partitionBy(*group).orderBy(*[ref(c) for c in order])
-    inside = inside.rowsBetween(0, W.unboundedFollowing) if backward else inside.rowsBetween(W.unboundedPreceding, 0)
+    inside = W.partitionBy(*group).orderBy(*[along(ref(c)) for c in order]).rowsBetween(W.unboundedPreceding, 0)
     filled = _join_offsets(ranged, edges, keys).withColumns({
-        c: F.coalesce(pick(ref(c), ignorenulls=True).over(inside), F.col(f"_edge{i}")) for i, c in enumerate(columns)
+        c: F.coalesce(F.last(ref(c), ignorenulls=True).over(inside), F.col(f"_edge{i}")) for i, c in enumerate(columns)
     })
     return filled.select(*[ref(c) for c in names])
 

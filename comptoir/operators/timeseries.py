@@ -81,12 +81,9 @@ def resample_timeseries(
         columns[name] = F.when(F.col("_gap") == 0, ref(name)).otherwise(empty)
     result = spread.select(F.col("_label").alias(date_column), *[c.alias(n) for n, c in columns.items()])
     if fill_method:
-        line = W.orderBy(ref(date_column))
-        frame, pick = {
-            "ffill": (line.rowsBetween(W.unboundedPreceding, 0), F.last),
-            "bfill": (line.rowsBetween(0, W.unboundedFollowing), F.first),
-        }[fill_method]
-        result = result.withColumns({n: pick(ref(n), ignorenulls=True).over(frame) for n in columns})
+        label = ref(date_column)
+        line = W.orderBy(label.asc() if fill_method == "ffill" else label.desc()).rowsBetween(W.unboundedPreceding, 0)
+        result = result.withColumns({n: F.last(ref(n), ignorenulls=True).over(line) for n in columns})
     return result.orderBy(ref(date_column))
 
 

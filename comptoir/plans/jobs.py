@@ -1,6 +1,6 @@
 """Whole jobs: from files to tables of results.
 
-``spark-submit -m comptoir.plans.jobs INPUT OUTPUT`` (or ``python -m``) runs the full sequence.
+``python -m comptoir.plans.jobs INPUT OUTPUT`` runs the full sequence.
 """
 
 from __future__ import annotations
