@@ -6,6 +6,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from checks import aggregates  # noqa: F401  (its SQL is used again below)
 from checks.cleaning import SALES_GAPS, sales_with_gaps
 from checks.registry import SALES, SQL, query, table, tidy
 from comptoir.operators import aggregate as agg

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from comptoir.functions.columns import numeric_columns, with_revenue
+from comptoir.functions.columns import with_revenue
 from comptoir.operators import aggregate as agg
 from comptoir.operators import quality, stats
 from comptoir.operators.clean import clean, convert_dates
@@ -84,27 +84,28 @@ def run(
 ) -> Outcome:
     """Load, validate, clean, aggregate, describe and write everything below ``output``.
 
-    Findings do not stop the run. The cleaned table is written once and read back: what follows reads
-    only the columns it needs, and lost executors do not bring the cleaning back. Small result tables
-    are read back too, so that charts and exports do not compute them again.
+    Findings do not stop the run. The loaded and the cleaned table are each written once and read back:
+    what follows reads only the columns it needs, text is not parsed again, and lost executors do not
+    bring the work back. Small result tables are read back too, so that charts and exports do not
+    compute them again.
     """
-    raw = load_data(spark, path, **load_options)
     paths, is_valid = [], None
+
+    def stored(tables: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
+        paths.extend(write_tables(tables, f"{output}/{folder}"))
+        return {name: spark.read.parquet(f"{output}/{folder}/{name}") for name in tables}
+
+    raw = stored({"loaded": load_data(spark, path, **load_options)}, "tables")["loaded"]
     if not skip_validation:
         checked = quality.validate_sales_data(raw)
-        is_valid = checked.is_valid
-        paths += write_tables({"validation": checked.findings, "metrics": checked.metrics}, f"{output}/quality")
+        found = stored({"validation": checked.findings, "metrics": checked.metrics}, "quality")
+        is_valid = found["validation"].filter("severity = 'error'").isEmpty()
 
     table = convert_dates(raw, "date") if "date" in raw.columns else raw
     if not skip_cleaning:
         table = clean(table, remove_outliers=False)
     table = with_revenue(table, overwrite=True)
-    paths += write_tables({"cleaned": table}, output)
-    cleaned = spark.read.parquet(f"{output}/cleaned")
-
-    def stored(tables: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
-        paths.extend(write_tables(tables, f"{output}/{folder}"))
-        return {name: spark.read.parquet(f"{output}/{folder}/{name}") for name in tables}
+    cleaned = stored({"cleaned": table}, "tables")["cleaned"]
 
     results = stored({"kpis": agg.calculate_kpis(cleaned), **aggregations(cleaned)}, "aggregations")
     statistics = stored(stats.statistics_report(cleaned), "statistics")
@@ -113,10 +114,8 @@ def run(
         sections["time"] = results["trend"]
     paths += write_tables(chart_series(sections, statistics.get("correlations")), f"{output}/charts")
     if generate_report:
-        fresh = report_sections(cleaned)
-        if numeric_columns(cleaned):
-            fresh["statistics"] = statistics["descriptive_stats"]
-        paths += write_tables({**fresh, **sections}, f"{output}/report")
+        ready = {**sections, "kpis": results["kpis"], "statistics": statistics.get("descriptive_stats")}
+        paths += write_tables(report_sections(cleaned, ready), f"{output}/report")
     if export:
         # The sheets of the export.
         sheets = {

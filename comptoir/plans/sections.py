@@ -30,22 +30,24 @@ def kpi_cards(kpis: DataFrame) -> DataFrame:
     return kpis.select(F.inline(F.array(*pairs)))
 
 
-def report_sections(df: DataFrame) -> dict[str, DataFrame]:
-    """One table per section of the sales report; sections whose columns are missing are left out."""
-    have = set(df.columns)
-    kpis = agg.calculate_kpis(df)
-    sections = {"kpi": kpi_cards(kpis), "overview": agg.overview(df), "period": agg.period_info(_dated(df))}
-    if "categorie" in have:
-        sections["category"] = agg.calculate_sales_by_category(df)
-    if "ville" in have:
-        sections["geography"] = agg.calculate_sales_by_city(df)
-    if "date" in have:
-        sections["time"] = calculate_trend_analysis(_dated(df), "date")
-    if "produit" in have:
-        sections["top_products"] = agg.calculate_top_products(df)
+def report_sections(df: DataFrame, ready: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """One table per section of the sales report; sections whose columns are missing are left out.
+
+    ``ready`` gives sections that are already computed, by name, and ``kpis`` for the cards.
+    """
+    ready, have = ready or {}, set(df.columns)
+    builders = {
+        "kpi": (set(), lambda: kpi_cards(ready["kpis"] if "kpis" in ready else agg.calculate_kpis(df))),
+        "overview": (set(), lambda: agg.overview(df)),
+        "period": (set(), lambda: agg.period_info(convert_dates(df, "date"))),
+        "category": ({"categorie"}, lambda: agg.calculate_sales_by_category(df)),
+        "geography": ({"ville"}, lambda: agg.calculate_sales_by_city(df)),
+        "time": ({"date"}, lambda: calculate_trend_analysis(convert_dates(df, "date"), "date")),
+        "top_products": ({"produit"}, lambda: agg.calculate_top_products(df)),
+    }
     if numeric_columns(df):
-        sections["statistics"] = stats.describe(df, rounded=True)
-    return sections
+        builders["statistics"] = (set(), lambda: stats.describe(df, rounded=True))
+    return {name: ready.get(name) or build() for name, (needed, build) in builders.items() if needed <= have}
 
 
 def chart_series(sections: dict[str, DataFrame], correlations: DataFrame | None = None) -> dict[str, DataFrame]:
@@ -62,7 +64,3 @@ def chart_series(sections: dict[str, DataFrame], correlations: DataFrame | None
     if correlations is not None:
         charts["correlation_matrix"] = correlations.toDF("row", "column", "value")
     return charts
-
-
-def _dated(df: DataFrame) -> DataFrame:
-    return convert_dates(df, "date")

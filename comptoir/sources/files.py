@@ -35,6 +35,8 @@ _ENCODINGS = {
     "utf-16": "UTF-16", "utf-16-le": "UTF-16LE", "utf-16-be": "UTF-16BE", "utf-32": "UTF-32",
 }
 _BOM = "﻿"
+_WHOLE = r"^[+-]?\d{1,18}$"
+_NUMBER = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))$"
 _EXTRA = "_extra"  # catches the fields of a row that has more than the header
 
 
@@ -51,9 +53,11 @@ def profile_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
         F.monotonically_increasing_id().alias("position"),
     )
     raw = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
+    valid = F.is_valid_utf8("value")
+    ascii_only = valid & (F.length("value") == F.octet_length("value"))
     files = lines.groupBy("path").agg(
-        F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
-        F.bool_or(raw.rlike("[\\x80-\\x9F]")).alias("high"),
+        F.bool_and(valid).alias("utf8"),
+        F.bool_or(F.when(~ascii_only, raw.rlike("[\\x80-\\x9F]")).otherwise(False)).alias("high"),
         F.count(F.lit(1)).alias("lines"),
     )
     encoding = F.when(F.col("utf8"), "UTF-8").when(F.col("high"), "cp1252").otherwise("ISO-8859-1")
@@ -123,11 +127,12 @@ def rejected_rows(
 
 
 def _type_facts(column: str) -> Column:
+    """How many values look like each type. Patterns, not casts: a failed cast of text is costly."""
     value = F.trim(ref(column))
     return F.struct(
         F.count(value).alias("values"),
-        F.count_if(value.try_cast("bigint").isNotNull() & value.rlike(r"^[+-]?\d+$")).alias("whole"),
-        F.count_if(value.try_cast("double").isNotNull() & ~value.rlike("[dDfF]$")).alias("number"),
+        F.count_if(value.rlike(_WHOLE)).alias("whole"),
+        F.count_if(value.rlike(_NUMBER)).alias("number"),
         F.count_if(value.isin("True", "False", "TRUE", "FALSE", "true", "false")).alias("logic"),
     )
 

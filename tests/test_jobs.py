@@ -14,7 +14,7 @@ def test_full_run(spark, tmp_path):
     def read(name):
         return spark.read.parquet(f"{out}/{name}")
 
-    cleaned = read("cleaned")
+    cleaned = read("tables/cleaned")
     assert {r.ville for r in cleaned.collect()} == {"Paris", "Lyon", "Marseille"}
     assert cleaned.filter("produit = 'Stylo'").first().prix == 9.0  # the median of the others
     assert read("aggregations/kpis").first().revenue_total == 135.0
