@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,7 +54,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20)
     """The same rows in pieces of about ``limit`` bytes of text, without copying; one row is never cut."""
     for batch in batches:
         start = size = 0
-        lengths = pa.compute.binary_length(batch.column(column)).to_pylist()
+        lengths = pc.binary_length(batch.column(column)).to_pylist()
         for i, n in enumerate(lengths):
             if size and size + (n or 0) > limit:
                 yield batch.slice(start, i - start)

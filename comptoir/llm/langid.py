@@ -7,6 +7,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +26,7 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         langs, texts = batch.column(0), batch.column(1)
         for lang in langs.unique().to_pylist():
-            own = texts.filter(pa.compute.equal(langs, lang)).to_pylist()
+            own = texts.filter(pc.equal(langs, lang)).to_pylist()
             data = np.frombuffer(b"".join(b"\n" * ORDER + t.encode().lower() for t in own), np.uint8).astype(np.uint64)
             for width in range(1, ORDER + 2):
                 # every gram ends at a byte of a text: the padding before each text only serves as context

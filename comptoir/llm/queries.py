@@ -1,4 +1,4 @@
 """All registered queries of this subpackage and the pipeline, for __spark_entry__.py."""
 
-from comptoir.llm import langid, mixing  # noqa: F401
+from comptoir.llm import langid, mixing, packing  # noqa: F401
 from comptoir.llm.common import QUERIES, SQL  # noqa: F401
