@@ -10,6 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from comptoir.llm.common import fold, query, stored, table
 
@@ -148,7 +149,7 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.array(terms, pa.string()), *(pa.array([counts[y][t] for t in terms], pa.int64()) for y in (1, 0))], names=["term", "toxic", "clean"])
 
 
-@F.arrow_udf("long")
+@F.arrow_udf(T.LongType())
 def _copy_key(column: pa.Array) -> pa.Array:
     """Least hash of a text's 4-word shingles, which copies and near copies mostly share."""
     keys = []
