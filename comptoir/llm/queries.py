@@ -1,4 +1,4 @@
 """All registered queries of this subpackage and the pipeline, for __spark_entry__.py."""
 
-from comptoir.llm import fingerprints, jaccard, langid, licenses, lm, mixing, packing, toxicity  # noqa: F401
+from comptoir.llm import covertree, fingerprints, jaccard, langid, licenses, lm, mixing, packing, toxicity  # noqa: F401
 from comptoir.llm.common import QUERIES, SQL  # noqa: F401
