@@ -77,7 +77,7 @@ class Coder:
 
     def __init__(self, model: list[tuple]):
         self.names = [name for name, _ in model]
-        used = np.unique(np.concatenate([m[1][0] for _, m in model]))
+        used = np.unique(np.concatenate([m[1][0] for _, m in model] + [[ord("\n")]])).astype(np.int64)
         self.size = a = len(used) + 1  # the last symbol stands for all bytes never seen
         self.symbol = np.full(256, a - 1, np.int32)
         self.symbol[used] = np.arange(len(used))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from comptoir.llm.common import query, stored, table
@@ -13,38 +13,43 @@ MIN_TOKENS = 5
 COUNTERS = 65536
 #: A word is of a higher class when its counter holds more than so many times the mean; the rarest are of class 0.
 CLASSES = (4, 32, 256)
+#: The lists of a frequent word are dealt to so many groups.
+SALTS = 16
 #: Tables of at most so many numbers are broadcast to thin out rows before an exact join.
 SIEVE = 1 << 20
 _GAPS = r"[\x20\x09-\x0D]+"
 
 
-def _words(text: Column) -> Column:
-    return F.array_remove(F.split(F.lower(text), _GAPS), "")
+def _split(text: Column) -> Column:
+    """Words in lower case, and perhaps empty strings: white space other than a space is rare, so most texts are split at spaces."""
+    low = F.lower(text)
+    return F.split(F.when(low.rlike(r"[\x09-\x0D]"), F.regexp_replace(low, _GAPS, " ")).otherwise(low), " ")
 
 
-def frequent(docs: DataFrame, text: str = "text") -> list[list[int]]:
-    """Counters of each class of CLASSES, from counts of all words of all texts."""
-    words = docs.select(F.explode(F.split(F.lower(F.col(text)), _GAPS)).alias("w"))
-    counts = words.groupBy(F.xxhash64("w").bitwiseAND(COUNTERS - 1).cast("int").alias("counter")).count().collect()
-    mean = sum(r["count"] for r in counts) / COUNTERS
-    bounds = [*CLASSES, float("inf")]
-    return [[r["counter"] for r in counts if low * mean < r["count"] <= high * mean] for low, high in zip(bounds, bounds[1:])]
+def rarity(docs: DataFrame, text: str = "text") -> list[int]:
+    """Class of each counter, 0 for the rarest words, from counts of all words of all texts."""
+    words = docs.select(F.explode(_split(F.col(text))).alias("w"))
+    counts = {r["counter"]: r["count"] for r in words.groupBy(F.xxhash64("w").bitwiseAND(COUNTERS - 1).cast("int").alias("counter")).count().collect()}
+    mean = sum(counts.values()) / COUNTERS
+    return [sum(counts.get(i, 0) > c * mean for c in CLASSES) for i in range(COUNTERS)]
 
 
-def _token(classes: list[list[int]]):
-    """Lambda from a word's hash to a number that sorts by rarity class, then by hash."""
-    def number(h: Column) -> Column:
-        counter = h.bitwiseAND(COUNTERS - 1).cast("int")
-        found = F.lit(0)
-        for k, counters in enumerate(classes):
-            if counters:
-                found = F.when(counter.isin(counters), F.lit(k + 1)).otherwise(found)
-        return found.cast("long") * (1 << 60) + F.shiftrightunsigned(h, 4)
-    return number
+def _tokens(line: Column, classes: list[int]) -> Column:
+    """The different words of a line as numbers that sort by rarity class, then by hash."""
+    table = F.split(F.lit(",".join(map(str, classes))), ",").cast("array<int>")  # a constant: folded once
 
+    def number(w: Column) -> Column:
+        h = F.xxhash64(w)
+        return F.coalesce(F.get(table, h.bitwiseAND(COUNTERS - 1).cast("int")), F.lit(0)).cast("long") * (1 << 60) + F.shiftrightunsigned(h, 4)
 
-def _tokens(line: Column, classes: list[list[int]]) -> Column:
-    return F.sort_array(F.array_distinct(F.transform(F.transform(_words(line), lambda w: F.xxhash64(w)), _token(classes))))
+    numbers = F.array_distinct(F.transform(_split(line), number))
+    return F.sort_array(F.array_remove(numbers, number(F.lit(""))))
+
+
+def _position() -> Column:
+    """One number that sorts by id, then by line; a NULL id comes first."""
+    id_ = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.lit("-9223372036854775809").cast("decimal(20,0)"))
+    return (id_ * (1 << 31) + F.col("line")).cast("decimal(38,0)")
 
 
 def _missing(n: Column, percent: int) -> Column:
@@ -70,42 +75,58 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", p
     matter, so the result depends on no order of work. Lines of fewer than ``min_tokens`` tokens neither match nor go.
 
     Tokens are ordered by rarity: words of rarely hit counters first. Lines with equal tokens become one class, placed
-    at its first line. A class lists as many of its rarest tokens as a match may lack, plus one; classes that share one become
-    candidates where their sizes allow a match and the places of that token leave room for enough overlap. Only the
-    candidates' lines are read again to count the overlap exactly. Everything is DataFrame functions.
+    at its first line. A class lists as many of its rarest tokens as a match may lack, plus one; matches share one of them. Each class
+    is first held against one class only, the earliest in the lists it shares most. One match is enough to go, so groups of copies cost one
+    test each. What is left is held against all earlier classes of its lists whose sizes allow a match and where the
+    places of the shared token leave room for enough overlap. Only candidates' lines are read again to count the overlap
+    exactly. Everything is DataFrame functions.
+
+    Ids are integers; a NULL id comes first.
     """
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    classes = frequent(source)
+    classes = rarity(source)
     lines = source.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "content"))
     tokens = lines.select("doc_id", "line", _tokens(F.col("content"), classes).alias("t"))
     n = F.size("t")
     placed = stored(tokens.where(n >= min_tokens).select(
         "doc_id", "line", F.xxhash64("t").alias("s"), n.alias("n"), F.slice("t", F.lit(1), _missing(n, percent) + 1).alias("rarest")))
+    placed = placed.withColumn("pos", _position())
+
+    sets = stored(placed.groupBy("s").agg(F.min("pos").alias("pos"), F.max("n").alias("n"), F.first("rarest").alias("rarest")))
+    listed = sets.select("s", "pos", "n", F.posexplode("rarest").alias("at", "t"))
+    salt = F.when(F.shiftright("t", 60) > 0, F.pmod("s", F.lit(SALTS))).otherwise(F.lit(0))
+    same = Window.partitionBy("t", "salt").orderBy("pos")
+    listed = stored(
+        listed.withColumn("salt", salt).withColumn("first", F.first("pos").over(same)).withColumn("next", F.lead("pos").over(same))
+        .where((F.col("first") < F.col("pos")) | F.col("next").isNotNull() | (F.shiftright("t", 60) > 0)).drop("next", "salt"))
+
+    fit = F.least("n_u", "n_v") * 100 >= F.greatest("n_u", "n_v") * percent
+    best = (
+        listed.where("first < pos").groupBy("s", "n", "first").count()
+        .groupBy(F.col("s").alias("u"), F.col("n").alias("n_u")).agg(F.max(F.struct("count", "first"))["first"].alias("first"))
+    )
+    ahead = best.join(sets.select(F.col("pos").alias("first"), F.col("s").alias("v"), F.col("n").alias("n_v")), "first").where(fit).select("u", "v", "n_u", "n_v")
+    later = stored(_verified(ahead, lines, sets, classes, percent))
 
-    sets = stored(placed.groupBy("s").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.max("n").alias("n"), F.first("rarest").alias("rarest")))
-    listed = sets.select("s", "n", F.posexplode("rarest").alias("at", "t"))
-    a, b = listed.alias("a"), listed.alias("b")
+    a, b = listed.join(later, F.col("s") == F.col("u"), "left_anti").alias("a"), listed.alias("b")
     most = F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))  # overlap, if this is the first shared token
-    pairs = stored(
-        a.join(b, F.col("a.t") == F.col("b.t"))
-        .where((F.col("a.s") < F.col("b.s")) & (F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * percent) & _near(most, F.col("a.n"), F.col("b.n"), percent))
-        .select(F.col("a.s").alias("u"), F.col("b.s").alias("v"), F.col("a.n").alias("n_u"), F.col("b.n").alias("n_v")).distinct()
+    rest = (
+        a.join(b, F.col("a.t") == F.col("b.t")).where((F.col("b.pos") < F.col("a.pos")) & _near(most, F.col("a.n"), F.col("b.n"), percent))
+        .select(F.col("a.s").alias("u"), F.col("b.s").alias("v"), F.col("a.n").alias("n_u"), F.col("b.n").alias("n_v")).where(fit).distinct()
     )
-    wanted = pairs.select(F.explode(F.array("u", "v")).alias("s")).distinct()
-    places = stored(sets.select("s", "first").join(wanted, "s").select("s", F.col("first.doc_id").alias("p_doc"), F.col("first.line").alias("p_line")))
-    again = _sieved(lines, F.xxhash64("doc_id", "line"), places, F.xxhash64("p_doc", "p_line"))
-    full = stored(
-        again.join(places, F.col("doc_id").eqNullSafe(F.col("p_doc")) & (F.col("line") == F.col("p_line")))
-        .select("s", "p_doc", "p_line", _tokens(F.col("content"), classes).alias("t")).dropDuplicates(["s"])
-    )
-    left = full.select(F.col("s").alias("u"), F.col("t").alias("g"), F.struct("p_doc", "p_line").alias("p"))
-    right = full.select(F.col("s").alias("v"), F.col("t").alias("k"), F.struct("p_doc", "p_line").alias("q"))
-    matched = pairs.join(left, "u").join(right, "v").where(_near(F.size(F.array_intersect("g", "k")), F.col("n_u"), F.col("n_v"), percent))
-    later = matched.select(F.when(F.col("p") > F.col("q"), F.col("u")).otherwise(F.col("v")).alias("s")).distinct()
-    firsts = sets.select("s", F.col("first.doc_id").alias("f_doc"), F.col("first.line").alias("f_line")).join(later.withColumn("later", F.lit(True)), "s", "left")
-    return placed.select("doc_id", "line", "s").join(firsts, "s").where(
-        F.col("later").isNotNull() | ~(F.col("doc_id").eqNullSafe(F.col("f_doc")) & (F.col("line") == F.col("f_line")))
-    ).select("doc_id", "line").distinct()
+    later = later.unionByName(_verified(rest, lines, sets, classes, percent)).withColumn("later", F.lit(True))
+    firsts = sets.select("s", F.col("pos").alias("first")).join(later.withColumnRenamed("u", "s"), "s", "left")
+    return placed.select("doc_id", "line", "s", "pos").join(firsts, "s").where(F.col("later").isNotNull() | (F.col("pos") != F.col("first"))).select("doc_id", "line").distinct()
+
+
+def _verified(pairs: DataFrame, lines: DataFrame, sets: DataFrame, classes: list[int], percent: int) -> DataFrame:
+    """(u): first members of those pairs (u, v, n_u, n_v) that match, from the whole lines, which are read again."""
+    pairs = stored(pairs)
+    wanted = stored(sets.select("s", "pos").join(pairs.select(F.explode(F.array("u", "v")).alias("s")).distinct(), "s"))
+    again = _sieved(lines.withColumn("pos", _position()), F.xxhash64("pos"), wanted, F.xxhash64("pos"))
+    full = stored(again.join(wanted, "pos").select("s", _tokens(F.col("content"), classes).alias("t")).dropDuplicates(["s"]))
+    left, right = full.select(F.col("s").alias("u"), F.col("t").alias("g")), full.select(F.col("s").alias("v"), F.col("t").alias("k"))
+    return pairs.join(left, "u").join(right, "v").where(_near(F.size(F.array_intersect("g", "k")), F.col("n_u"), F.col("n_v"), percent)).select("u").distinct()
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, min_tokens: int = MIN_TOKENS,
@@ -116,6 +137,7 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per
     place. Lines are separated by line feeds only.
     """
     gone = removed_lines(docs, doc_id, text, percent, min_tokens).groupBy("doc_id").agg(F.collect_set("line").alias("_gone")).withColumnRenamed("doc_id", "_id")
+    gone = stored(gone)
     joined = docs.join(gone, F.col(doc_id).eqNullSafe(F.col("_id")), "left")
     kept = F.array_join(F.filter(F.split(F.col(text), "\n"), lambda x, i: ~F.array_contains("_gone", i)), "\n")
     return joined.select(

@@ -137,6 +137,20 @@ def evidence(lexicon: Lexicon, text: str) -> dict[tuple[str, int], float]:
     return found
 
 
+def rating(lexicon: Lexicon, worth: dict[tuple[str, int], float], rest: float, text: str) -> float:
+    """One minus the product of (1 - worth * context weight) over the different words that match; a word counts by its best term."""
+    tokens, best = text.lower().split(), {}
+    for i, token in enumerate(tokens):
+        value = max((worth.get(hit, 0.0) for hit in lexicon.find(token)), default=0.0)
+        if value:
+            word = token.strip(_EDGES)
+            best[word] = max(best.get(word, 0.0), value * in_context(tokens, i))
+    clean = 1 - rest
+    for value in best.values():
+        clean *= 1 - value
+    return 1 - clean
+
+
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(term, toxic, clean): documents of a batch that hold each word or stem."""
     for batch in batches:
@@ -217,7 +231,7 @@ def _lexicon(broadcast) -> Lexicon:
 
 
 def toxicity(text: Column, model: dict, spark: SparkSession) -> Column:
-    """Probability that a text is toxic: one minus the product of (1 - worth * context) over what it matches.
+    """Probability that a text is toxic, by ``rating``.
 
     NULL and empty texts, and texts without a match, score the learned share of toxic texts among those.
     """
@@ -227,13 +241,7 @@ def toxicity(text: Column, model: dict, spark: SparkSession) -> Column:
     def score(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         lexicon, worth, rest = _lexicon(shared), shared.value["worth"], shared.value["rest"]
         for column in columns:
-            out = []
-            for x in column:
-                clean = 1 - rest
-                for hit, weight in evidence(lexicon, x.as_py() or "").items():
-                    clean *= 1 - weight * worth.get(hit, 0.0)
-                out.append(1 - clean)
-            yield pa.array(out, pa.float64())
+            yield pa.array([rating(lexicon, worth, rest, x.as_py() or "") for x in column], pa.float64())
 
     return score(text)
 
