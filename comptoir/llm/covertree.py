@@ -16,62 +16,65 @@ COSINE = 0.95
 PIVOTS = 512
 BLOCK = 4096
 _ROWS = 1024
-_SLACK = 1e-9
+#: Distances come from cosines; near 0 they are good to eight digits.
+_SLACK = 1e-7
 
 
 class CoverTree:
     """Nested nets over unit vectors: the centres of a level are centres of the next, whose radius is half as large.
 
     A node is a centre at a level; its descendants lie within ``reach`` of it, the covering radius, which is measured.
-    ``children[node]`` lists nodes of the next level that has more than one; leaves are single vectors, or equal ones.
+    ``children[node]`` lists its nodes of the next level that has more than one; leaves are single vectors. Below TINY the
+    members of a node are its children, so equal directions end there too.
     """
 
+    TINY = 1e-5
+
     def __init__(self, x: np.ndarray):
         self.x = x
         self.centre: list[int] = []
         self.reach: list[float] = []
         self.children: list[np.ndarray | None] = []
-        self.members: list[np.ndarray | None] = []
         todo = [(self._node(0), np.arange(len(x)), 2.0)] if len(x) else []
         while todo:
             node, members, radius = todo.pop()
-            far = self._far(members, self.centre[node])
-            self.reach[node] = float(far.max())
-            if self.reach[node] == 0:
-                self.members[node] = members
+            if len(members) == 1:
                 continue
-            while radius / 2 >= self.reach[node]:
+            apart = np.sqrt(np.maximum(2 - 2 * (x[members] @ x[self.centre[node]]), 0))
+            self.reach[node] = float(apart.max())
+            while radius / 2 >= self.reach[node] > self.TINY:
                 radius /= 2
+            if self.reach[node] <= self.TINY:
+                self.children[node] = np.array([self._node(int(m)) for m in members])
+                continue
             centres, owner = self._net(members, self.centre[node], radius / 2)
-            kids = []
-            for k, c in enumerate(centres):
-                kids.append(self._node(c))
-                todo.append((kids[-1], members[owner == k], radius / 2))
+            order = np.argsort(owner, kind="stable")
+            parts = np.split(members[order], np.cumsum(np.bincount(owner))[:-1])
+            kids = [self._node(c) for c in centres]
             self.children[node] = np.array(kids)
+            todo += [(kid, part, radius / 2) for kid, part in zip(kids, parts)]
 
     def _node(self, centre: int) -> int:
         self.centre.append(centre)
         self.reach.append(0.0)
         self.children.append(None)
-        self.members.append(None)
         return len(self.centre) - 1
 
-    def _far(self, members: np.ndarray, centre: int) -> np.ndarray:
-        """Distances to a centre. Differences are formed before squaring: equal vectors are at 0 exactly."""
-        return np.sqrt(((self.x[members] - self.x[centre]) ** 2).sum(1))
-
     def _net(self, members: np.ndarray, centre: int, radius: float) -> tuple[list[int], np.ndarray]:
-        """Centres further than ``radius`` apart that cover all members, the given one first, and each member's nearest."""
-        best = self._far(members, centre)
-        owner, centres = np.zeros(len(members), np.int64), [centre]
-        while True:
-            k = int(best.argmax())
-            if best[k] <= radius:
-                return centres, owner
-            centres.append(int(members[k]))
-            d = self._far(members, centres[-1])
-            closer = d < best
-            best[closer], owner[closer] = d[closer], len(centres) - 1
+        """Centres further than ``radius`` apart that cover all members, the given one first, and each member's centre."""
+        x, least = self.x[members], 1 - radius * radius / 2
+        owner, centres = np.full(len(members), -1), []
+        order = np.concatenate([np.flatnonzero(members == centre), np.flatnonzero(members != centre)])
+        for lo in range(0, len(order), 256):
+            open_ = order[lo:lo + 256]
+            open_ = open_[owner[open_] < 0]
+            dots = x[open_] @ x.T
+            for k, row in zip(open_.tolist(), dots):
+                if owner[k] < 0:
+                    owner[(row >= least) & (owner < 0)] = len(centres)
+                    owner[k] = len(centres)
+                    centres.append(int(members[k]))
+        return centres, owner
 
 
 class Links:
@@ -104,42 +107,33 @@ def traverse(one: CoverTree, two: CoverTree, places: tuple[np.ndarray, np.ndarra
     limit, same = np.sqrt(2 - 2 * cosine), one is two
     reach = [np.array(t.reach) for t in (one, two)]
     centre = [np.array(t.centre, np.int64) for t in (one, two)]
-    leaf = [np.array([m is not None for m in t.members]) for t in (one, two)]
-
-    def spread(tree: CoverTree, side: int, nodes: np.ndarray, partner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        members = [tree.members[n] for n in nodes.tolist()]
-        return np.concatenate(members), np.repeat(partner, [len(m) for m in members])
-
+    leaf = [np.array([c is None for c in t.children]) for t in (one, two)]
     todo = [(np.zeros(1, np.int64), np.zeros(1, np.int64))] if len(one.x) and len(two.x) else []
     while todo:
         a, b = todo.pop()
-        for lo in range(0, len(a), _ROWS):
-            p = a[lo:lo + _ROWS]
-            dot = one.x[centre[0][p]] @ two.x[centre[1][b]].T
-            apart = np.sqrt(np.maximum(2 - 2 * dot, 0))
-            near = apart <= limit + _SLACK + reach[0][p][:, None] + reach[1][b][None, :]
-            if same and a is b:
-                near &= np.arange(lo, lo + len(p))[:, None] <= np.arange(len(b))[None, :]
-            ends = leaf[0][p][:, None] & leaf[1][b][None, :]
-            i, j = np.nonzero(near & ends & (dot >= cosine))
-            if len(i):
-                x, y = p[i], b[j]
-                if same:
-                    keep = x != y
-                    inner = [one.members[n] for n in x[~keep].tolist() if len(one.members[n]) > 1]
-                    for m in inner:  # equal vectors in one leaf
-                        u, v = np.triu_indices(len(m), 1)
-                        links.add(places[0][m[u]], places[0][m[v]])
-                    x, y = x[keep], y[keep]
-                if len(x):
-                    u, y = spread(one, 0, x, y)
-                    v, u = spread(two, 1, y, u)
-                    links.add(places[0][u], places[1][v])
-            for i, j in zip(*np.nonzero(near & ~ends)):
-                m, n = int(p[i]), int(b[j])
-                if same and m == n:
-                    todo.append((one.children[m],) * 2)
-                else:
+        itself = same and a is b
+        ends_a, inner_a = a[leaf[0][a]], a[~leaf[0][a]]
+        ends_b, inner_b = (ends_a, inner_a) if itself else (b[leaf[1][b]], b[~leaf[1][b]])
+        for lo in range(0, len(ends_a), _ROWS):  # leaves meet leaves
+            p = ends_a[lo:lo + _ROWS]
+            q = ends_b[lo:] if itself else ends_b
+            i, j = np.nonzero(one.x[centre[0][p]] @ two.x[centre[1][q]].T >= cosine)
+            if itself:
+                i, j = i[i < j], j[i < j]
+            links.add(places[0][centre[0][p[i]]], places[1][centre[1][q[j]]])
+        for rows, columns in ((inner_a, inner_b), (inner_a, ends_b), *(() if itself else ((ends_a, inner_b),))):
+            for lo in range(0, len(rows), _ROWS):
+                p = rows[lo:lo + _ROWS]
+                apart = np.sqrt(np.maximum(2 - 2 * (one.x[centre[0][p]] @ two.x[centre[1][columns]].T), 0))
+                near = apart <= limit + _SLACK + reach[0][p][:, None] + reach[1][columns][None, :]
+                for i, j in zip(*np.nonzero(near)):
+                    m, n = int(p[i]), int(columns[j])
+                    if itself and columns is inner_b:
+                        if m > n:
+                            continue
+                        if m == n:
+                            todo.append((one.children[m],) * 2)
+                            continue
                     todo.append((np.array([m]) if leaf[0][m] else one.children[m], np.array([n]) if leaf[1][n] else two.children[n]))
 
 
@@ -156,7 +150,7 @@ class Cells:
         order, todo = [], [0]
         while todo:  # depth first, so that cells of one block are close
             node = todo.pop()
-            if tree.members[node] is not None:
+            if tree.children[node] is None:
                 order.append(tree.centre[node])
             else:
                 todo += reversed(tree.children[node].tolist())
