@@ -2,48 +2,90 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from comptoir.llm.common import query, stored, table
+from comptoir.llm.common import query, slices, stored, table
+from comptoir.llm.ngrams import _words as word_hashes
 
 PERCENT = 80
 MIN_TOKENS = 5
-#: Words are counted by their hash in so many counters; a word's rarity is that of its counter.
+#: Words are counted by their hash in so many counters; a word is as rare as its counter.
 COUNTERS = 65536
-#: A word is of a higher class when its counter holds more than so many times the mean; the rarest are of class 0.
-CLASSES = (4, 32, 256)
-#: The lists of a frequent word are dealt to so many groups.
-SALTS = 16
 #: Tables of at most so many numbers are broadcast to thin out rows before an exact join.
 SIEVE = 1 << 20
-_GAPS = r"[\x20\x09-\x0D]+"
-
-
-def _split(text: Column) -> Column:
-    """Words in lower case, and perhaps empty strings: white space other than a space is rare, so most texts are split at spaces."""
-    low = F.lower(text)
-    return F.split(F.when(low.rlike(r"[\x09-\x0D]"), F.regexp_replace(low, _GAPS, " ")).otherwise(low), " ")
-
-
-def rarity(docs: DataFrame, text: str = "text") -> list[int]:
-    """Class of each counter, 0 for the rarest words, from counts of all words of all texts."""
-    words = docs.select(F.explode(_split(F.col(text))).alias("w"))
-    counts = {r["counter"]: r["count"] for r in words.groupBy(F.xxhash64("w").bitwiseAND(COUNTERS - 1).cast("int").alias("counter")).count().collect()}
-    mean = sum(counts.values()) / COUNTERS
-    return [sum(counts.get(i, 0) > c * mean for c in CLASSES) for i in range(COUNTERS)]
-
-
-def _tokens(line: Column, classes: list[int]) -> Column:
-    """The different words of a line as numbers that sort by rarity class, then by hash."""
-    table = F.split(F.lit(",".join(map(str, classes))), ",").cast("array<int>")  # a constant: folded once
-
-    def number(w: Column) -> Column:
-        h = F.xxhash64(w)
-        return F.coalesce(F.get(table, h.bitwiseAND(COUNTERS - 1).cast("int")), F.lit(0)).cast("long") * (1 << 60) + F.shiftrightunsigned(h, 4)
-
-    numbers = F.array_distinct(F.transform(_split(line), number))
-    return F.sort_array(F.array_remove(numbers, number(F.lit(""))))
+_REST = np.uint64((1 << 44) - 1)
+_BIT = np.uint64(1) << np.arange(64, dtype=np.uint64)
+
+
+def _hashes(line: bytes) -> np.ndarray:
+    words = line.split()
+    return np.fromiter(map(word_hashes.__getitem__, words), np.uint64, len(words))
+
+
+def rarity(docs: DataFrame) -> Broadcast:
+    """Rank of each counter, the least used first, from counts of all words of all texts."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNTERS, np.int64)
+        for batch in slices(batches, "text"):
+            for text in batch.column("text").to_pylist():
+                if text:
+                    total += np.bincount((_hashes(text.lower().encode()) & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(COUNTERS, dtype=np.int32)), pa.array(total)], names=["counter", "n"])
+
+    counts = np.zeros(COUNTERS, np.int64)
+    for r in docs.select("text").mapInArrow(count, "counter int, n long").groupBy("counter").agg(F.sum("n").alias("n")).collect():
+        counts[r["counter"]] = r["n"]
+    rank = np.empty(COUNTERS, np.uint64)
+    rank[np.argsort(counts, kind="stable")] = np.arange(COUNTERS, dtype=np.uint64)
+    return docs.sparkSession.sparkContext.broadcast(rank)
+
+
+def _tokens(line: bytes, rank: np.ndarray) -> np.ndarray:
+    """The different words of a line, in lower case already, as numbers that sort by rarity, then by hash."""
+    h = _hashes(line)
+    return np.unique(rank[(h & np.uint64(COUNTERS - 1)).astype(np.int64)] << np.uint64(44) | h >> np.uint64(16) & _REST).view(np.int64)
+
+
+def _lines(docs: DataFrame, rank: Broadcast, min_tokens: int, columns: dict[str, T.DataType], describe) -> DataFrame:
+    """doc_id, line, s (a hash of the tokens), n and what ``describe(tokens)`` gives, for each line of ``min_tokens`` or more."""
+    schema = T.StructType([docs.schema["doc_id"]]).add("line", "integer").add("s", "long").add("n", "integer")
+    for name, kind in columns.items():
+        schema = schema.add(name, kind)
+    extra = [pa.int64() if isinstance(kind, T.LongType) else pa.list_(pa.int64()) for kind in columns.values()]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            at, line, s, n, more = [], [], [], [], []
+            for i, text in enumerate(batch.column("text").to_pylist()):
+                for k, content in enumerate(text.lower().encode().split(b"\n") if text else ()):
+                    tokens = _tokens(content, rank.value)
+                    if len(tokens) >= min_tokens:
+                        at.append(i)
+                        line.append(k)
+                        s.append(xxhash.xxh3_64_intdigest(tokens.tobytes()))
+                        n.append(len(tokens))
+                        more.append(describe(tokens))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").take(pa.array(at, pa.int64())), pa.array(line, pa.int32()), pa.array(np.array(s, np.uint64).view(np.int64)), pa.array(n, pa.int32()),
+                 *(pa.array([m[k] for m in more], kind) for k, kind in enumerate(extra))], names=schema.names)
+
+    return docs.mapInArrow(work, schema)
+
+
+def _sketch(tokens: np.ndarray) -> tuple[int, int, int]:
+    """Parity of the tokens in each of 64 groups, and two hashes that similar lines mostly share."""
+    mixed = tokens.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    mixed = (mixed ^ mixed >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+    parity = np.bitwise_xor.reduce(_BIT[(mixed >> np.uint64(58)).astype(np.int64)])
+    return int(parity.view(np.int64)), int(mixed.min().view(np.int64)), int(mixed.max().view(np.int64))
 
 
 def _position() -> Column:
@@ -52,21 +94,6 @@ def _position() -> Column:
     return (id_ * (1 << 31) + F.col("line")).cast("decimal(38,0)")
 
 
-def _missing(n: Column, percent: int) -> Column:
-    """How many tokens of a set of size n a match may lack."""
-    return (n - F.floor((n * percent + 99) / 100)).cast("int")
-
-
-def _near(overlap: Column, a: Column, b: Column, percent: int) -> Column:
-    return overlap * 100 >= (a + b - overlap) * percent
-
-
-def _sieved(df: DataFrame, key: Column, wanted: DataFrame, other: Column) -> DataFrame:
-    """Rows whose key falls into the same of SIEVE numbers as some wanted key: fewer rows for an exact join to move."""
-    numbers = wanted.select(F.pmod(other, F.lit(SIEVE)).alias("_number")).distinct()
-    return df.join(F.broadcast(numbers), F.pmod(key, F.lit(SIEVE)) == F.col("_number"), "left_semi")
-
-
 def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, min_tokens: int = MIN_TOKENS) -> DataFrame:
     """(doc_id, line): the lines, numbered from 0, that match an earlier one.
 
@@ -74,59 +101,81 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", p
     percent / 100 or more. Earlier means a smaller id, then a smaller number; whether the earlier line is itself removed does not
     matter, so the result depends on no order of work. Lines of fewer than ``min_tokens`` tokens neither match nor go.
 
-    Tokens are ordered by rarity: words of rarely hit counters first. Lines with equal tokens become one class, placed
-    at its first line. A class lists as many of its rarest tokens as a match may lack, plus one; matches share one of them. Each class
-    is first held against one class only, the earliest in the lists it shares most. One match is enough to go, so groups of copies cost one
-    test each. What is left is held against all earlier classes of its lists whose sizes allow a match and where the
-    places of the shared token leave room for enough overlap. Only candidates' lines are read again to count the overlap
-    exactly. Everything is DataFrame functions.
+    Tokens are ordered by rarity, words of rarely used counters first. Lines with equal tokens become one class, placed at its first
+    line. Large groups first: each class is held against the earliest with the same least, and the same greatest, token hash;
+    one match is enough to go. Then every class lists as many of its rarest tokens as a match may lack, plus one. Classes that share
+    one become candidates where their sizes allow a match, the places of that token leave room for enough overlap, and the
+    parities of their tokens do not show too many differences; pairs of classes that both go already are left out. Candidates'
+    lines are read again to count the overlap exactly. Counting, hashing and sorting inside a text are numpy, the rest are joins.
 
     Ids are integers; a NULL id comes first.
     """
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    classes = rarity(source)
-    lines = source.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "content"))
-    tokens = lines.select("doc_id", "line", _tokens(F.col("content"), classes).alias("t"))
-    n = F.size("t")
-    placed = stored(tokens.where(n >= min_tokens).select(
-        "doc_id", "line", F.xxhash64("t").alias("s"), n.alias("n"), F.slice("t", F.lit(1), _missing(n, percent) + 1).alias("rarest")))
-    placed = placed.withColumn("pos", _position())
-
-    sets = stored(placed.groupBy("s").agg(F.min("pos").alias("pos"), F.max("n").alias("n"), F.first("rarest").alias("rarest")))
-    listed = sets.select("s", "pos", "n", F.posexplode("rarest").alias("at", "t"))
-    salt = F.when(F.shiftright("t", 60) > 0, F.pmod("s", F.lit(SALTS))).otherwise(F.lit(0))
-    same = Window.partitionBy("t", "salt").orderBy("pos")
-    listed = stored(
-        listed.withColumn("salt", salt).withColumn("first", F.first("pos").over(same)).withColumn("next", F.lead("pos").over(same))
-        .where((F.col("first") < F.col("pos")) | F.col("next").isNotNull() | (F.shiftright("t", 60) > 0)).drop("next", "salt"))
-
-    fit = F.least("n_u", "n_v") * 100 >= F.greatest("n_u", "n_v") * percent
-    best = (
-        listed.where("first < pos").groupBy("s", "n", "first").count()
-        .groupBy(F.col("s").alias("u"), F.col("n").alias("n_u")).agg(F.max(F.struct("count", "first"))["first"].alias("first"))
-    )
-    ahead = best.join(sets.select(F.col("pos").alias("first"), F.col("s").alias("v"), F.col("n").alias("n_v")), "first").where(fit).select("u", "v", "n_u", "n_v")
-    later = stored(_verified(ahead, lines, sets, classes, percent))
-
-    a, b = listed.join(later, F.col("s") == F.col("u"), "left_anti").alias("a"), listed.alias("b")
-    most = F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))  # overlap, if this is the first shared token
+    rank = rarity(source)
+    kinds = {"parity": T.LongType(), "least": T.LongType(), "most": T.LongType()}
+    placed = stored(_lines(source, rank, min_tokens, kinds, _sketch)).withColumn("pos", _position())
+    sets = stored(placed.groupBy("s").agg(F.min("pos").alias("pos"), *[F.max(c).alias(c) for c in ("n", "parity", "least", "most")]))
+
+    heads = [sets.groupBy(c).agg(F.min("pos").alias("first")).join(sets.select(c, "s", "pos", "n", "parity"), c).where("first < pos").drop(c) for c in ("least", "most")]
+    ahead = heads[0].unionByName(heads[1]).distinct().select(F.col("s").alias("u"), F.col("n").alias("n_u"), F.col("parity").alias("p_u"), "first")
+    ahead = ahead.join(sets.select(F.col("pos").alias("first"), F.col("s").alias("v"), F.col("n").alias("n_v"), F.col("parity").alias("p_v")), "first")
+    gone = stored(_later(ahead.where(_possible("n_u", "p_u", "n_v", "p_v", percent)).select("u", "v", "n_u", "n_v"), sets, source, rank, min_tokens, percent))
+
+    rarest = _lines(source, rank, min_tokens, {"rarest": T.ArrayType(T.LongType())}, lambda t: (t[:len(t) - (len(t) * percent + 99) // 100 + 1],))
+    known = sets.select("s", "pos", "parity").join(gone.withColumn("goes", F.lit(1)), "s", "left")
+    once = rarest.withColumn("pos", _position()).join(known, ["s", "pos"]).dropDuplicates(["s"])
+    listed = once.select("s", "parity", "n", F.coalesce("goes", F.lit(0)).alias("goes"), F.posexplode("rarest").alias("at", "t")).select(
+        "t", "s", "parity", (F.col("n").cast("long") * (1 << 25) + F.col("at") * 2 + F.col("goes")).alias("packed"))
+    a, b = listed.alias("a"), listed.alias("b")
+    n_a, n_b = (F.shiftright(f"{x}.packed", 25) for x in "ab")
+    at_a, at_b = (F.shiftright(f"{x}.packed", 1).bitwiseAND((1 << 24) - 1) for x in "ab")
+    overlap = F.least(n_a - at_a, n_b - at_b)  # at most, if this is the first shared token
     rest = (
-        a.join(b, F.col("a.t") == F.col("b.t")).where((F.col("b.pos") < F.col("a.pos")) & _near(most, F.col("a.n"), F.col("b.n"), percent))
-        .select(F.col("a.s").alias("u"), F.col("b.s").alias("v"), F.col("a.n").alias("n_u"), F.col("b.n").alias("n_v")).where(fit).distinct()
+        a.join(b, (F.col("a.t") == F.col("b.t")) & (F.col("a.s") < F.col("b.s")) & (F.col("a.packed").bitwiseAND(F.col("b.packed")).bitwiseAND(1) == 0)
+               & _near(overlap, n_a, n_b, percent) & _differ(F.col("a.parity"), F.col("b.parity"), n_a, n_b, percent))
+        .select(F.col("a.s").alias("u"), F.col("b.s").alias("v"), n_a.alias("n_u"), n_b.alias("n_v")).distinct()
     )
-    later = later.unionByName(_verified(rest, lines, sets, classes, percent)).withColumn("later", F.lit(True))
-    firsts = sets.select("s", F.col("pos").alias("first")).join(later.withColumnRenamed("u", "s"), "s", "left")
+    gone = gone.unionByName(_later(rest, sets, source, rank, min_tokens, percent)).distinct().withColumn("later", F.lit(True))
+    firsts = sets.select("s", F.col("pos").alias("first")).join(gone, "s", "left")
     return placed.select("doc_id", "line", "s", "pos").join(firsts, "s").where(F.col("later").isNotNull() | (F.col("pos") != F.col("first"))).select("doc_id", "line").distinct()
 
 
-def _verified(pairs: DataFrame, lines: DataFrame, sets: DataFrame, classes: list[int], percent: int) -> DataFrame:
-    """(u): first members of those pairs (u, v, n_u, n_v) that match, from the whole lines, which are read again."""
+def _differ(p: Column, q: Column, n: Column, m: Column, percent: int) -> Column:
+    """False where the parities differ in more groups than a match may differ in tokens."""
+    return F.bit_count(p.bitwiseXOR(q)) * (100 + percent) <= (n + m) * (100 - percent)
+
+
+def _possible(n: str, p: str, m: str, q: str, percent: int) -> Column:
+    n, p, m, q = map(F.col, (n, p, m, q))
+    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & _differ(p, q, n, m, percent)
+
+
+def _near(overlap: Column, a: Column, b: Column, percent: int) -> Column:
+    return overlap * 100 >= (a + b - overlap) * percent
+
+
+def _sieved(df: DataFrame, key: Column, wanted: DataFrame, other: Column) -> DataFrame:
+    """Rows whose key falls into the same of SIEVE numbers as some wanted key: fewer rows for an exact join to move."""
+    numbers = wanted.select(F.pmod(other, F.lit(SIEVE)).alias("_number")).distinct()
+    return df.join(F.broadcast(numbers), F.pmod(key, F.lit(SIEVE)) == F.col("_number"), "left_semi")
+
+
+def _later(pairs: DataFrame, sets: DataFrame, source: DataFrame, rank: Broadcast, min_tokens: int, percent: int) -> DataFrame:
+    """(s): of each pair (u, v, n_u, n_v) that matches, the later class. Whole lines are read again for the overlap."""
     pairs = stored(pairs)
     wanted = stored(sets.select("s", "pos").join(pairs.select(F.explode(F.array("u", "v")).alias("s")).distinct(), "s"))
-    again = _sieved(lines.withColumn("pos", _position()), F.xxhash64("pos"), wanted, F.xxhash64("pos"))
-    full = stored(again.join(wanted, "pos").select("s", _tokens(F.col("content"), classes).alias("t")).dropDuplicates(["s"]))
-    left, right = full.select(F.col("s").alias("u"), F.col("t").alias("g")), full.select(F.col("s").alias("v"), F.col("t").alias("k"))
-    return pairs.join(left, "u").join(right, "v").where(_near(F.size(F.array_intersect("g", "k")), F.col("n_u"), F.col("n_v"), percent)).select("u").distinct()
+    lines = source.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "text")).withColumn("pos", _position())
+    found = _sieved(lines, F.xxhash64("pos"), wanted, F.xxhash64("pos")).join(wanted, "pos").dropDuplicates(["s"])
+
+    @F.arrow_udf(T.ArrayType(T.LongType()))
+    def tokens(text: pa.Array) -> pa.Array:
+        return pa.array([_tokens(t.lower().encode(), rank.value) for t in text.to_pylist()], pa.list_(pa.int64()))
+
+    full = stored(found.select("s", "pos", tokens("text").alias("t")))
+    left = full.select(F.col("s").alias("u"), F.col("t").alias("g"), F.col("pos").alias("p"))
+    right = full.select(F.col("s").alias("v"), F.col("t").alias("k"), F.col("pos").alias("q"))
+    matched = pairs.join(left, "u").join(right, "v").where(_near(F.size(F.array_intersect("g", "k")), F.col("n_u"), F.col("n_v"), percent))
+    return matched.select(F.when(F.col("p") > F.col("q"), F.col("u")).otherwise(F.col("v")).alias("s")).distinct()
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, min_tokens: int = MIN_TOKENS,
