@@ -59,3 +59,14 @@ def percent_of(part: Column, whole: Column, digits: int = 2) -> Column:
 def sort_by_desc(column: str, *ties: str) -> list[Column]:
     """Descending order with NULLs last and ascending tie-breaks, so that results do not depend on row order."""
     return [ref(column).desc_nulls_last(), *[ref(t).asc() for t in ties]]
+
+
+def unique_names(names: list[str]) -> list[str]:
+    """Name empty headers by position and number repeated ones."""
+    seen: dict[str, int] = {}
+    result = []
+    for i, name in enumerate(names):
+        name = name or f"Unnamed: {i}"
+        result.append(f"{name}.{seen[name]}" if name in seen else name)
+        seen[name] = seen.get(name, 0) + 1
+    return result

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from comptoir.functions.columns import as_list, percent_of, ref, sort_by_desc, with_revenue
+from comptoir.functions.columns import as_list, percent_of, ref, sort_by_desc, unique_names, with_revenue
 from comptoir.operators.quantiles import group_quantiles
 from comptoir.session import ensure_checkpoint_dir
 
@@ -116,7 +117,8 @@ def pivot_table(
     aggfunc: Aggregate = "sum", fill_value: float | None = None,
     order_by: str | Sequence[str] = (), column_values: list | None = None,
 ) -> DataFrame:
-    """One row per index, one column per distinct value of ``columns`` (joined by ``_`` when several).
+    """One row per index, one column per distinct value of ``columns`` (joined by ``_`` when several;
+    equal names are numbered).
 
     The columns are found from the aggregated cells, which are stored for that; with ``column_values``
     given, the result is fully lazy.
@@ -125,13 +127,22 @@ def pivot_table(
     kept = df.dropna(subset=[*rows, *across])
     if aggfunc not in ZERO_WHEN_EMPTY:
         kept = kept.filter(ref(values).isNotNull())
-    if len(across) > 1:
-        kept = kept.withColumn("_across", F.concat_ws("_", *[ref(c).cast("string") for c in across]))
+    joined = len(across) > 1
+    if joined:
+        parts = [ref(c).cast("string") for c in across]
+        # found values are told apart part by part; given ones are joined names
+        kept = kept.withColumn("_across", F.to_json(F.array(*parts)) if column_values is None else F.concat_ws("_", *parts))
         across = ["_across"]
     cells = aggregate_by(kept, [*rows, *across], [(values, aggfunc, "_cell")], as_list(order_by))
     if column_values is None:
         cells = _stored(cells)
         column_values = _pivot_values(cells, across[0])
+        if joined:
+            names = unique_names(["_".join(json.loads(v)) for v in column_values])
+            column_values = dict(sorted(zip(names, column_values)))
+    if isinstance(column_values, dict):
+        cells = cells.withColumn("_across", F.element_at(F.create_map(*[F.lit(x) for n, v in column_values.items() for x in (v, n)]), F.col("_across")))
+        column_values = list(column_values)
     table = cells.groupBy(*[ref(r) for r in rows]).pivot(across[0], column_values).agg(F.first("_cell"))
     if fill_value is not None:
         filled = [c for c in table.columns if c not in rows]

@@ -23,7 +23,9 @@ _DIRECTIVES = {
     "%f": "SSSSSS", "%p": "a", "%b": "MMM", "%B": "MMMM", "%j": "DDD", "%%": "%",
 }
 
-# Tried in turn when no format is given; ISO dates and timestamps need none.
+_ONE_OR_TWO = ("%m", "%d", "%H", "%I", "%M", "%S")
+
+# Day first, where both readings are possible. Tried in turn when no format is given; ISO dates and timestamps need none.
 DATE_FORMATS = ("%d/%m/%Y", "%d/%m/%Y %H:%M:%S", "%d-%m-%Y", "%Y/%m/%d", "%d.%m.%Y", "%Y%m%d")
 
 
@@ -34,14 +36,19 @@ def clean_string_columns(df: DataFrame, columns: str | Sequence[str] | None = No
 
 
 def java_pattern(strftime: str) -> str:
-    """Translate a strftime format; other letters are quoted."""
+    """Translate a strftime format; other letters are quoted.
+
+    Days, months and times take one or two digits, as in strptime, unless they touch another directive.
+    """
     out, i = "", 0
     while i < len(strftime):
         if strftime[i] == "%":
             directive = strftime[i:i + 2]
             if directive not in _DIRECTIVES:
                 raise ValueError(f"date directive not supported: {directive}")
-            out += _DIRECTIVES[directive]
+            letters = _DIRECTIVES[directive]
+            touches = strftime[i + 2:i + 3] == "%" or i >= 2 and strftime[i - 2] == "%"
+            out += letters[0] if directive in _ONE_OR_TWO and not touches else letters
             i += 2
         else:
             out += f"'{strftime[i]}'" if strftime[i].isalpha() else strftime[i]

@@ -214,6 +214,10 @@ def validate(
             totals.append(out_of_range(ref(column), low, high, copies).alias(f"r{i}"))
             message = text(f"column '{_escaped(column)}': %d values outside [{low}, {high}]", F.col(f"r{i}"))
             finding(F.col(f"r{i}") > 0, "error", "range", column, F.col(f"r{i}"), message)
+            if not isinstance(df.schema[column].dataType, T.NumericType):
+                totals.append(_rows_where(ref(column).isNotNull() & ref(column).cast("string").try_cast("double").isNull(), copies).alias(f"t{i}"))
+                finding(F.col(f"t{i}") > 0, "error", "type", column, F.col(f"t{i}"),
+                        text(f"column '{_escaped(column)}': %d values are no numbers", F.col(f"t{i}")))
     if min_rows:
         finding(F.col("total") < min_rows, "error", "rows", None, F.col("total"),
                 text(f"%d rows, at least {min_rows} needed", F.col("total")))

@@ -17,7 +17,7 @@ _FROM_PART = {"produit", "categorie", "prix"}
 def sales_from_star(spark: SparkSession, folder: str, columns: Sequence[str] = SALES_COLUMNS) -> DataFrame:
     """Assemble the wanted sales columns; dimensions that supply none of them are not read.
 
-    Every join is many-to-one on a key that each line has, so leaving one out keeps all rows. Join
+    Every join is many-to-one and keeps lines whose key finds nothing, so the rows do not depend on the columns. Join
     strategies are left to Spark, which knows the sizes at run time.
     """
     wanted = set(columns)
@@ -31,7 +31,7 @@ def sales_from_star(spark: SparkSession, folder: str, columns: Sequence[str] = S
             "p_partkey", F.col("p_name").alias("produit"), F.col("p_type").alias("categorie"),
             F.col("p_retailprice").alias("prix"),
         )
-        rows = rows.join(part, F.col("l_partkey") == F.col("p_partkey"))
+        rows = rows.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
     if wanted & _FROM_ORDERS:
         orders = table("orders").select(
             "o_orderkey", F.col("o_custkey").alias("customer_id"), F.col("o_orderdate").alias("date"),
@@ -39,9 +39,9 @@ def sales_from_star(spark: SparkSession, folder: str, columns: Sequence[str] = S
         )
         if "ville" in wanted:
             customer, nation = table("customer"), table("nation")
-            cities = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+            cities = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
                 "c_custkey", F.col("n_name").alias("ville")
             )
-            orders = orders.join(cities, F.col("customer_id") == F.col("c_custkey"))
-        rows = rows.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+            orders = orders.join(cities, F.col("customer_id") == F.col("c_custkey"), "left")
+        rows = rows.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
     return rows.select(*columns)

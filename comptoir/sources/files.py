@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from comptoir.functions.columns import as_list, ref
+from comptoir.functions.columns import as_list, nan_to_null, ref, unique_names
 from comptoir.sources.errors import CorruptInputError, EmptyInputError, MissingPathError, UnsupportedFormatError
 
 FORMATS = ("csv", "parquet", "json")
@@ -35,18 +35,22 @@ _ENCODINGS = {
     "utf-16": "UTF-16", "utf-16-le": "UTF-16LE", "utf-16-be": "UTF-16BE", "utf-32": "UTF-32",
 }
 _BOM = "﻿"
-_WHOLE = r"^[+-]?\d{1,18}$"
+# Byte order marks that name an encoding other than UTF-8, longest first.
+_MARKS = {b"\xff\xfe\x00\x00": "UTF-32", b"\x00\x00\xfe\xff": "UTF-32", b"\xff\xfe": "UTF-16", b"\xfe\xff": "UTF-16"}
+_WHOLE = r"^[+-]?\d+$"
+_WIDE = r"^[+-]?\d{1,38}$"
 _NUMBER = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))$"
 _EXTRA = "_extra"  # catches the fields of a row that has more than the header
 
 
 def profile_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """One row per file: ``path, encoding, delimiter, header, lines``; ``header`` is the first line as raw bytes.
+    """One row per file: ``path, encoding, delimiter, header, lines, multiline``; ``header`` is the first line as raw bytes.
 
-    A file that is valid UTF-8 throughout is UTF-8; otherwise it is cp1252 when it has bytes only that
+    A byte order mark names UTF-16 and UTF-32. Otherwise a file that is valid UTF-8 throughout is UTF-8; otherwise it is cp1252 when it has bytes only that
     uses, else ISO-8859-1. The delimiter is the candidate that is most regular over the first lines
-    (present in all, the same number of times), then the most frequent one. One distributed pass; the
-    lines of a file never meet in one task, except its first few.
+    (present in all, the same number of times), then the most frequent one. ``multiline`` says that a line
+    has an odd number of quotes, so that a field may hold a line break. One distributed pass; the lines of a file
+    never meet in one task, except its first few.
     """
     lines = spark.read.text(as_list(paths)).select(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value",
@@ -59,7 +63,11 @@ def profile_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
         F.bool_and(valid).alias("utf8"),
         F.bool_or(F.when(~ascii_only, raw.rlike("[\\x80-\\x9F]")).otherwise(False)).alias("high"),
         F.count(F.lit(1)).alias("lines"),
+        F.bool_or((F.length("value") - F.length(F.replace("value", F.lit('"')))) % 2 == 1).alias("multiline"),
     )
+    marked = F.lit(None)
+    for mark, name in reversed(_MARKS.items()):
+        marked = F.when(F.substring("header", 1, len(mark)) == F.lit(bytearray(mark)), name).otherwise(marked)
     encoding = F.when(F.col("utf8"), "UTF-8").when(F.col("high"), "cp1252").otherwise("ISO-8859-1")
 
     # The first split of a file holds its first lines in order; the limit per file prunes before the shuffle.
@@ -78,7 +86,8 @@ def profile_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
         F.min_by(F.col("value").cast("binary"), "position").alias("header"),
     )
     return files.join(best, "path", "left").select(
-        "path", encoding.alias("encoding"), F.coalesce("delimiter", F.lit(",")).alias("delimiter"), "header", "lines"
+        "path", F.coalesce(marked, encoding).alias("encoding"), F.coalesce("delimiter", F.lit(",")).alias("delimiter"), "header", "lines",
+        F.coalesce("multiline", F.lit(False)).alias("multiline"),
     )
 
 
@@ -90,9 +99,9 @@ def load_csv(
     """Load delimited text with a header line.
 
     Encoding and delimiter are detected per file unless given; files that agree, also in their header,
-    are read together. With both given, nothing is scanned beforehand and all files must share one
-    header. With a ``schema`` no types are inferred. Without, types come from one pass over the text: whole numbers,
-    numbers, booleans, else text (dates stay text). Rows with more fields than the header make the load
+    are read together, so columns go by name. One pass over the lines also finds files whose quoted fields hold line breaks; these
+    are read whole, one task per file. With a ``schema`` no types are inferred. Without, types come from one pass over the text: whole numbers (64 bits, else
+    decimal, beyond 38 digits text), numbers, booleans, else text (dates stay text). Rows with more fields than the header make the load
     fail, or are left out with ``on_bad="skip"`` (see :func:`rejected_rows`).
     """
     text = _text_table(spark, paths, encoding, delimiter, options)
@@ -132,6 +141,8 @@ def _type_facts(column: str) -> Column:
     return F.struct(
         F.count(value).alias("values"),
         F.count_if(value.rlike(_WHOLE)).alias("whole"),
+        F.count_if(F.when(value.rlike(_WIDE), value).try_cast("bigint").isNotNull()).alias("fits"),
+        F.count_if(value.rlike(_WIDE)).alias("wide"),
         F.count_if(value.rlike(_NUMBER)).alias("number"),
         F.count_if(value.isin("True", "False", "TRUE", "FALSE", "true", "false")).alias("logic"),
     )
@@ -140,7 +151,10 @@ def _type_facts(column: str) -> Column:
 def _typed(column: str, facts) -> Column:
     value = F.trim(ref(column))
     if facts["values"] and facts["whole"] == facts["values"]:
-        return value.cast("bigint").alias(column)
+        # identifiers keep every digit: never a double
+        if facts["fits"] == facts["values"]:
+            return value.cast("bigint").alias(column)
+        return value.cast("decimal(38,0)").alias(column) if facts["wide"] == facts["values"] else ref(column).alias(column)
     if facts["values"] == facts["number"]:  # also a column without any value
         return value.cast("double").alias(column)
     if facts["logic"] == facts["values"]:
@@ -152,17 +166,19 @@ def _text_table(spark: SparkSession, paths, encoding: str | None, delimiter: str
     """All columns as text plus ``_extra``; one read per group of files with the same encoding and delimiter."""
     paths = as_list(paths)
     try:
-        if encoding and delimiter:
-            groups = {(_encoding(encoding), delimiter): paths}
-        else:
-            groups = {}
-            for row in profile_files(spark, paths).collect():  # one small row per file
-                found = _encoding(encoding) if encoding else row["encoding"]
-                kind = (found, delimiter or row["delimiter"], bytes(row["header"] or b""))
-                groups.setdefault(kind, []).append(unquote(row["path"]))
+        profile = profile_files(spark, paths).select(
+            "path", F.lit(_encoding(encoding)).alias("encoding") if encoding else "encoding",
+            F.lit(delimiter).alias("delimiter") if delimiter else "delimiter", F.coalesce("header", F.lit(bytearray())).alias("header"), "multiline")
+        kinds = profile.drop("path").distinct().collect()  # a few; paths come to the driver only where files differ
+        groups = {}
+        if len(kinds) == 1:
+            groups[(*kinds[0][:2], bytes(kinds[0]["header"]), kinds[0]["multiline"])] = paths
+        elif kinds:
+            for row in profile.collect():
+                groups.setdefault((row["encoding"], row["delimiter"], bytes(row["header"]), row["multiline"]), []).append(unquote(row["path"]))
         if not groups:
             raise EmptyInputError("no lines", paths=paths)
-        tables = [_read_group(spark, files, *kind[:2], options) for kind, files in sorted(groups.items())]
+        tables = [_read_group(spark, files, *kind[:2], kind[3], options) for kind, files in sorted(groups.items())]
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error):
             raise MissingPathError(f"no such path: {', '.join(paths)}", paths=paths) from error
@@ -174,13 +190,14 @@ def _encoding(name: str) -> str:
     return _ENCODINGS.get(name.lower(), name)
 
 
-def _read_group(spark: SparkSession, files: list[str], encoding: str, delimiter: str, options: dict) -> DataFrame:
+def _read_group(spark: SparkSession, files: list[str], encoding: str, delimiter: str, multiline: bool, options: dict) -> DataFrame:
+    options = {"multiLine": multiline or encoding.startswith(("UTF-16", "UTF-32")), **options}
     reader = spark.read.options(**options).option("sep", delimiter).option("encoding", "ISO-8859-1" if encoding == "cp1252" else encoding)
     reader = reader.option("escape", '"')
     header = reader.option("header", False).csv(files).limit(1).first()
     if header is None:
         raise EmptyInputError("no header line", paths=files)
-    names = _unique_names([_repair(v, encoding) if v is not None else "" for v in header])
+    names = unique_names([_repair(v, encoding) if v is not None else "" for v in header])
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _EXTRA]])
     table = reader.option("header", True).option("mode", "PERMISSIVE").schema(schema).csv(files)
     if encoding == "cp1252":
@@ -193,24 +210,13 @@ def _repair(text: str, encoding: str) -> str:
     return text.translate(str.maketrans(_AS_LATIN1, _AS_CP1252)) if encoding == "cp1252" else text
 
 
-def _unique_names(names: list[str]) -> list[str]:
-    """Name empty headers by position and number repeated ones."""
-    seen: dict[str, int] = {}
-    result = []
-    for i, name in enumerate(names):
-        name = name or f"Unnamed: {i}"
-        result.append(f"{name}.{seen[name]}" if name in seen else name)
-        seen[name] = seen.get(name, 0) + 1
-    return result
-
-
 def load_data(spark: SparkSession, path: str, file_format: str | None = None, **options) -> DataFrame:
     """Load by format, which the extension gives when it is not named."""
     kind = (file_format or path.rstrip("/").rsplit(".", 1)[-1]).lower()
     if kind not in FORMATS:
         raise UnsupportedFormatError(f"format not supported: {kind}", path=path, supported=FORMATS)
     if kind == "csv":
-        return load_csv(spark, path, **options)
+        return nan_to_null(load_csv(spark, path, **options))
     try:
         df = spark.read.options(**options).format(kind).load(path)
     except AnalysisException as error:
@@ -219,7 +225,7 @@ def load_data(spark: SparkSession, path: str, file_format: str | None = None, **
         raise
     if df.isEmpty():
         raise EmptyInputError("no data rows", path=path)
-    return df
+    return nan_to_null(df)
 
 
 def union_all(tables: Sequence[DataFrame]) -> DataFrame:

@@ -138,3 +138,11 @@ def test_results_do_not_depend_on_partitioning(sales):
 def test_bar_keeps_numeric_x(sales):
     assert agg.bar_aggregate(sales, "quantite", "prix").count() == 3
     assert rows(agg.bar_aggregate(sales, "source", "prix")) == [("magasin", 3.0), ("web", 16.5)]
+
+
+def test_pivot_over_several_columns_keeps_equal_names_apart(spark):
+    df = spark.createDataFrame([("r", "a_b", "c", 1), ("r", "a", "b_c", 10), ("r", "x", "y", 5)], "k string, p string, q string, v int")
+    from comptoir.operators.aggregate import pivot_table
+
+    got = pivot_table(df, "k", ["p", "q"], "v").first().asDict()
+    assert got["x_y"] == 5 and sorted((got["a_b_c"], got["a_b_c.1"])) == [1, 10]

@@ -26,7 +26,8 @@ def test_dates(spark):
     assert got == ["2025-01-31 00:00:00"] * 2 + ["2025-01-31 10:20:30"] + ["2025-01-31 00:00:00"] * 2 + [None] * 3
     strict = [d and str(d)[:10] for d in column(clean.convert_dates(df, "d", "%d/%m/%Y"), "d")]
     assert strict == [None, "2025-01-31"] + [None] * 6
-    assert clean.java_pattern("%Yy%m %H:%M") == "yyyy'y'MM HH:mm"
+    assert clean.java_pattern("%Yy%m %H:%M") == "yyyy'y'M H:m"
+    assert clean.java_pattern("%Y%m%d") == "yyyyMMdd"
     with pytest.raises(ValueError):
         clean.java_pattern("%Q")
 
@@ -179,3 +180,10 @@ def test_clean_keeps_its_order(spark):
     got = clean.clean(df)
     assert got.count() == 4 and {r.s for r in got.collect()} == {"c 0", "c 1"}
     assert clean.clean(df, remove_outliers=False).filter("v = 3").count() == 2
+
+
+def test_days_and_months_of_one_digit(spark):
+    df = spark.createDataFrame([("1/2/2025",), ("01/02/2025",), ("31/12/2025",), ("32/1/2025",)], "d string")
+    for given in ("%d/%m/%Y", None):
+        got = [r.d and r.d.strftime("%Y-%m-%d") for r in clean.convert_dates(df, "d", given).collect()]
+        assert got == ["2025-02-01", "2025-02-01", "2025-12-31", None]

@@ -43,8 +43,10 @@ def test_types(spark):
         "d": "double", "s": "string", "b": "boolean", "t": "timestamp"}
 
 
-def test_text_under_a_range_rule_is_not_counted(spark):
-    df = spark.createDataFrame([("x",), ("-3",)], "v string")
+def test_text_under_a_range_rule_is_an_error_of_its_own(spark):
+    df = spark.createDataFrame([("x",), ("-3",), (None,)], "v string")
+    found = {(r.severity, r.check, r.column): r.observed for r in quality.validate(df, value_ranges={"v": (0, None)}, check_missing=False).findings.collect()}
+    assert found == {("error", "range", "v"): 1.0, ("error", "type", "v"): 1.0}
     assert [tuple(r) for r in quality.range_violations(df, {"v": (0, None)}).collect()] == [("v", 1)]
     assert quality.range_violations(df, {}).count() == 0
 

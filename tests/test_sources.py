@@ -120,3 +120,33 @@ def test_bundles(spark, tmp_path, kind):
 def test_union(spark):
     a, b = spark.createDataFrame([(1, 2)], "x int, y int"), spark.createDataFrame([(3, 4)], "y int, z int")
     assert sorted(map(tuple, files.union_all([a, b]).collect()), key=str) == [(1, 2, None), (None, 3, 4)]
+
+
+def test_line_breaks_inside_quotes(spark, write):
+    path = write("m.csv", 'a,b\n1,"x\ny"\n2,z\n')
+    for settings in ({}, {"encoding": "utf-8", "delimiter": ","}):
+        assert [tuple(r) for r in files.load_csv(spark, path, **settings).orderBy("a").collect()] == [(1, "x\ny"), (2, "z")]
+
+
+def test_identifiers_keep_every_digit(spark, write):
+    path = write("i.csv", "a,b,c\n1234567890123456789,12345678901234567890,1\n1234567890123456788,12345678901234567891," + "9" * 40 + "\n")
+    df = files.load_csv(spark, path)
+    assert [t for _, t in df.dtypes] == ["bigint", "decimal(38,0)", "string"]
+    assert df.select("a").distinct().count() == 2 and df.select("b").distinct().count() == 2
+
+
+def test_columns_go_by_name_when_everything_is_given(spark, write):
+    paths = [write("h1.csv", "a,b\n1,2\n"), write("h2.csv", "b,a\n20,10\n")]
+    rows = files.load_csv(spark, paths, encoding="utf-8", delimiter=",").select("a", "b").orderBy("a").collect()
+    assert [tuple(r) for r in rows] == [(1, 2), (10, 20)]
+
+
+def test_utf16_by_its_mark(spark, write):
+    path = write("u.csv", "a;é\n1;ü\n", "utf-16")
+    df = files.load_csv(spark, path)
+    assert df.columns == ["a", "é"] and tuple(df.first()) == (1, "ü")
+
+
+def test_nan_is_missing_on_entry(spark, tmp_path):
+    spark.createDataFrame([(float("nan"),), (1.0,)], "v double").write.parquet(str(tmp_path / "n.parquet"))
+    assert files.load_data(spark, str(tmp_path / "n.parquet")).where("v IS NULL").count() == 1

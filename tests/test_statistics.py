@@ -193,3 +193,12 @@ def test_interval(spark):
     got = hypothesis.confidence_interval(spark.createDataFrame([(v,) for v in (1.0, 2.0, 3.0, 4.0, None)], "v double"), "v").first()
     margin = 3.182446 * np.std([1, 2, 3, 4], ddof=1) / 2
     assert got.mean == 2.5 and math.isclose(got.upper - got.mean, margin, rel_tol=1e-6)
+
+
+def test_student_law_with_many_degrees_of_freedom():
+    from comptoir.functions import pvalues
+
+    # independent values: numerical integration of the density
+    for dof, want in ((30, 0.05934231289605003), (1000, 0.05027318495274859), (1e6, 0.04999606758526963), (1e12, 0.04999579029671804)):
+        assert abs(pvalues.student_two_sided(1.96, dof) / want - 1) < 1e-9
+    assert abs(pvalues.student_quantile(0.975, 1e12) - 1.959963984542) < 1e-10
