@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from comptoir.llm.common import fold, query, slices, stored, table
 
 VOCABULARY = "piece_bpe_32k.model"
-#: So many of the most frequent words go to every task; all others are joined.
+#: At most so many words, the most frequent, go to every task; all others are joined.
 HEAD = 200_000
 _SPACE = "▁"
 _FLUSH = 400_000
@@ -74,7 +74,7 @@ def fit(docs: DataFrame, text: str = "text", path: str | None = None, head: int
 
     Words are counted per task, then by one shuffle; the table is stored. Each different word is cut once by the
     vocabulary's own segmentation, since pieces are to spell new words, not to repeat frequent ones; only the counts of pieces, as many as the
-    vocabulary has, and of the ``head`` most frequent words reach the driver and go to all tasks. A NULL text is an
+    vocabulary has, and at most ``head`` frequent words reach the driver and go to all tasks. A NULL text is an
     empty one: a text of the end token alone.
     """
     spark, path = docs.sparkSession, path or public_tokenizers.path(VOCABULARY)
@@ -93,7 +93,15 @@ def fit(docs: DataFrame, text: str = "text", path: str | None = None, head: int
     size = sp.get_piece_size()
     whole = sum(used.values()) + 0.5 * size
     scores = {sp.id_to_piece(i): math.log10((used.get(i, 0) + 0.5) / whole) for i in range(size) if not (sp.is_control(i) or sp.is_unknown(i))}
-    frequent = {r["word"].encode(): r["c"] for r in counts.orderBy(F.col("c").desc(), "word").limit(head).collect()}
+    # a threshold that at most ``head`` words reach, from a histogram: a sorted limit would send that many words from each task
+    step = F.floor(F.log2("c") * 8)
+    least, reached = None, 0
+    for r in sorted(counts.groupBy(step.alias("step")).count().collect(), reverse=True):
+        reached += r["count"]
+        if reached > head:
+            break
+        least = r["step"]
+    frequent = {} if least is None else {r["word"].encode(): r["c"] for r in counts.where(step >= least).collect()}
     tokens, kinds = total["n"] + ends, total["v"] + (ends > 0)
     unseen = min(0.5, max(1e-6, total["once"] / tokens)) if tokens else 1.0
     mass = tokens + 0.5 * (kinds + 1)
