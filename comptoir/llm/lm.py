@@ -23,8 +23,8 @@ VOCABULARY = "piece_bpe_32k.model"
 #: At most so many words, the most frequent, go to every task; all others are joined.
 HEAD = 200_000
 _SPACE = "▁"
-_FLUSH = 400_000
-_MEMO = 300_000
+_FLUSH = 300_000
+_MEMO = 200_000
 
 
 def words_of(text: str) -> list[bytes]:

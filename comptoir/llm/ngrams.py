@@ -8,7 +8,7 @@ import xxhash
 _U = np.uint64
 #: Odd multipliers for the words of an n-gram by place; fixed values.
 _PLACES = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F]
-_MOST_WORDS = 1_000_000
+_MOST_WORDS = 200_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
