@@ -10,16 +10,19 @@ from comptoir.llm.common import stored, table
 
 #: A text that takes as many bits per byte as it has is like none of the languages learned.
 RAW_BITS = 8.0
+#: Shorter texts say too little to be rejected for that.
+LEAST_BYTES = 64
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a letter and those that no learned language can code in under 8 bits a byte.
+    """Drop documents without a letter, and longer ones that no learned language can code in under 8 bits a byte.
 
     The languages are learned from the labelled documents themselves; a missing label is filled in.
     """
     found = langid.identify(F.col("text"), langid.fit(docs), spark)
     named = docs.withColumn("_found", found).where(
-        (F.col("_found.lang") != langid.UNKNOWN) & (F.coalesce("_found.bits_per_byte", F.lit(0.0)) < RAW_BITS))
+        (F.col("_found.lang") != langid.UNKNOWN)
+        & ((F.octet_length("text") < LEAST_BYTES) | (F.coalesce("_found.bits_per_byte", F.lit(0.0)) < RAW_BITS)))
     return named.withColumn("lang", F.coalesce("lang", "_found.lang")).select(*docs.columns)
 
 
