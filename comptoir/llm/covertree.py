@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -108,7 +109,8 @@ def traverse(one: CoverTree, two: CoverTree, places: tuple[np.ndarray, np.ndarra
     reach = [np.array(t.reach) for t in (one, two)]
     centre = [np.array(t.centre, np.int64) for t in (one, two)]
     leaf = [np.array([c is None for c in t.children]) for t in (one, two)]
-    todo = [(np.zeros(1, np.int64), np.zeros(1, np.int64))] if len(one.x) and len(two.x) else []
+    root = np.zeros(1, np.int64)
+    todo = [(root, root)] if len(one.x) and len(two.x) else []
     while todo:
         a, b = todo.pop()
         itself = same and a is b
@@ -121,24 +123,30 @@ def traverse(one: CoverTree, two: CoverTree, places: tuple[np.ndarray, np.ndarra
             if itself:
                 i, j = i[i < j], j[i < j]
             links.add(places[0][centre[0][p[i]]], places[1][centre[1][q[j]]])
-        for rows, columns in ((inner_a, inner_b), (inner_a, ends_b), *(() if itself else ((ends_a, inner_b),))):
+        # inner nodes go on as one product of children for each, not pair by pair
+        for rows, columns in ((inner_a, b), (inner_b, ends_a)) if not itself else ((inner_a, inner_a), (inner_a, ends_a)):
+            swapped = not itself and columns is ends_a
+            x, y = (1, 0) if swapped else (0, 1)
+            trees = (one, two)
             for lo in range(0, len(rows), _ROWS):
                 p = rows[lo:lo + _ROWS]
-                apart = np.sqrt(np.maximum(2 - 2 * (one.x[centre[0][p]] @ two.x[centre[1][columns]].T), 0))
-                near = apart <= limit + _SLACK + reach[0][p][:, None] + reach[1][columns][None, :]
-                for i, j in zip(*np.nonzero(near)):
-                    m, n = int(p[i]), int(columns[j])
-                    if itself and columns is inner_b:
-                        if m > n:
-                            continue
-                        if m == n:
-                            todo.append((one.children[m],) * 2)
-                            continue
-                    todo.append((np.array([m]) if leaf[0][m] else one.children[m], np.array([n]) if leaf[1][n] else two.children[n]))
-
-
-def _unit(column) -> np.ndarray:
-    x = np.array(column.to_pylist(), np.float64)
+                apart = np.sqrt(np.maximum(2 - 2 * (trees[x].x[centre[x][p]] @ trees[y].x[centre[y][columns]].T), 0))
+                near = apart <= limit + _SLACK + reach[x][p][:, None] + reach[y][columns][None, :]
+                for node, row in zip(p.tolist(), near):
+                    others = columns[row]
+                    if itself and columns is inner_a:
+                        todo.append((one.children[node],) * 2)
+                        others = others[others > node]
+                    inner = others[~leaf[y][others]]
+                    below = np.concatenate([others[leaf[y][others]], *[trees[y].children[n] for n in inner.tolist()]])
+                    if len(below):
+                        todo.append((below, trees[x].children[node]) if swapped else (trees[x].children[node], below))
+
+
+def _unit(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Vectors of one length, scaled to length 1."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    x = column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
     return x / np.sqrt((x * x).sum(1))[:, None]
 
 
@@ -212,7 +220,7 @@ def near_embeddings(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     shared = spark.sparkContext.broadcast(cells)
 
     def by_dim(batch: pa.RecordBatch):
-        sizes = np.array([len(v) for v in batch.column("e").to_pylist()])
+        sizes = pc.list_value_length(batch.column("e")).to_numpy(zero_copy_only=False)
         for d in np.unique(sizes).tolist():
             yield d, np.flatnonzero(sizes == d)
 
