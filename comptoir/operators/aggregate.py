@@ -102,7 +102,7 @@ def _pivot_values(cells: DataFrame, column: str) -> list:
     rows = cells.select(ref(column)).distinct().orderBy(ref(column)).limit(limit + 1)
     values = [row[0] for row in rows.collect()]
     if len(values) > limit:
-        raise ValueError(f"'{column}' has more than {limit} values (spark.sql.pivotMaxValues): too many columns")
+        raise ValueError(f"'{column}' has more than {limit} values (spark.sql.pivotMaxValues): too many columns; pivot_cells has no limit")
     return values
 
 
@@ -112,6 +112,18 @@ def _stored(grouped: DataFrame) -> DataFrame:
     return grouped.checkpoint()
 
 
+def pivot_cells(
+    df: DataFrame, index: str | Sequence[str], columns: str | Sequence[str], values: str,
+    aggfunc: Aggregate = "sum", order_by: str | Sequence[str] = (),
+) -> DataFrame:
+    """A pivot in long form: one row ``(index.., columns.., value)`` per cell that has rows, without any limit."""
+    keys = [*as_list(index), *as_list(columns)]
+    kept = df.dropna(subset=keys)
+    if aggfunc not in ZERO_WHEN_EMPTY:
+        kept = kept.filter(ref(values).isNotNull())
+    return aggregate_by(kept, keys, [(values, aggfunc, "value")], as_list(order_by))
+
+
 def pivot_table(
     df: DataFrame, index: str | Sequence[str], columns: str | Sequence[str], values: str,
     aggfunc: Aggregate = "sum", fill_value: float | None = None,

@@ -15,6 +15,7 @@ from comptoir.operators.order import fill_along_order
 from comptoir.operators.quantiles import quantile_columns
 
 
+# The names of the strategies.
 class Strategy(str, Enum):
     """How numeric columns are filled; text columns always get their most frequent value."""
 

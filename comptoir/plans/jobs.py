@@ -18,7 +18,7 @@ from comptoir.operators.clean import clean, convert_dates
 from comptoir.operators.correlation import correlation_matrix
 from comptoir.operators.timeseries import calculate_trend_analysis
 from comptoir.plans.sections import chart_series, report_sections
-from comptoir.session import get_session
+from comptoir.session import ensure_checkpoint_dir, get_session
 from comptoir.sources.files import load_data
 from comptoir.sources.sinks import write_tables
 
@@ -40,11 +40,12 @@ def aggregations(df: DataFrame) -> dict[str, DataFrame]:
 
 
 def analyze(df: DataFrame, clean_first: bool = True, remove_outliers: bool = False) -> dict[str, DataFrame]:
-    """Indicators, breakdowns and statistics of one data set."""
+    """Indicators, breakdowns and statistics of one data set, which is cleaned and stored once for all of them."""
     df = convert_dates(df, "date")
     if clean_first:
         df = clean(df, remove_outliers=remove_outliers)
-    df = with_revenue(df, overwrite=True)
+    ensure_checkpoint_dir(df.sparkSession)
+    df = with_revenue(df, overwrite=True).checkpoint()
     tables = {
         "data_info": stats.profile_counts(df).select("n_rows", "n_columns"),
         "kpis": agg.calculate_kpis(df),

@@ -146,3 +146,14 @@ def test_pivot_over_several_columns_keeps_equal_names_apart(spark):
 
     got = pivot_table(df, "k", ["p", "q"], "v").first().asDict()
     assert got["x_y"] == 5 and sorted((got["a_b_c"], got["a_b_c.1"])) == [1, 10]
+
+
+def test_pivot_cells_have_no_limit(spark):
+    from comptoir.operators.aggregate import pivot_cells
+
+    spark.conf.set("spark.sql.pivotMaxValues", "2")
+    try:
+        df = spark.range(6).selectExpr("id % 2 AS k", "id AS c", "id AS v")
+        assert sorted(map(tuple, pivot_cells(df, "k", "c", "v").collect())) == [(i % 2, i, i) for i in (0, 2, 4)] + [(i % 2, i, i) for i in (1, 3, 5)]
+    finally:
+        spark.conf.unset("spark.sql.pivotMaxValues")
