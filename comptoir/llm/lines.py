@@ -99,10 +99,11 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", p
 
     A line's tokens are its different words in lower case. Two lines match when the Jaccard similarity of their tokens is
     percent / 100 or more. Earlier means a smaller id, then a smaller number; whether the earlier line is itself removed does not
-    matter, so the result depends on no order of work. Lines of fewer than ``min_tokens`` tokens neither match nor go.
+    matter, so the result depends on no order of work. Lines of fewer than ``min_tokens`` tokens neither match nor go; with 1 all lines
+    but blank ones take part.
 
     Tokens are ordered by rarity, words of rarely used counters first. Lines with equal tokens become one class, placed at its first
-    line. Large groups first: each class is held against the earliest with the same least, and the same greatest, token hash;
+    line; classes so small that one token less or more is no match take no further part. Large groups first: each class is held against the earliest with the same least, and the same greatest, token hash;
     one match is enough to go. Then every class lists as many of its rarest tokens as a match may lack, plus one. Classes that share
     one become candidates where their sizes allow a match, the places of that token leave room for enough overlap, and the
     parities of their tokens do not show too many differences; pairs of classes that both go already are left out. Candidates'
@@ -115,15 +116,16 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", p
     kinds = {"parity": T.LongType(), "least": T.LongType(), "most": T.LongType()}
     placed = stored(_lines(source, rank, min_tokens, kinds, _sketch)).withColumn("pos", _position())
     sets = stored(placed.groupBy("s").agg(F.min("pos").alias("pos"), *[F.max(c).alias(c) for c in ("n", "parity", "least", "most")]))
+    reaching = F.col("n") * 100 >= (F.col("n") + 1) * percent  # can match a class of other tokens
 
-    heads = [sets.groupBy(c).agg(F.min("pos").alias("first")).join(sets.select(c, "s", "pos", "n", "parity"), c).where("first < pos").drop(c) for c in ("least", "most")]
+    heads = [sets.where(reaching).groupBy(c).agg(F.min("pos").alias("first")).join(sets.select(c, "s", "pos", "n", "parity"), c).where("first < pos").drop(c) for c in ("least", "most")]
     ahead = heads[0].unionByName(heads[1]).distinct().select(F.col("s").alias("u"), F.col("n").alias("n_u"), F.col("parity").alias("p_u"), "first")
     ahead = ahead.join(sets.select(F.col("pos").alias("first"), F.col("s").alias("v"), F.col("n").alias("n_v"), F.col("parity").alias("p_v")), "first")
     gone = stored(_later(ahead.where(_possible("n_u", "p_u", "n_v", "p_v", percent)).select("u", "v", "n_u", "n_v"), sets, source, rank, min_tokens, percent))
 
     rarest = _lines(source, rank, min_tokens, {"rarest": T.ArrayType(T.LongType())}, lambda t: (t[:len(t) - (len(t) * percent + 99) // 100 + 1],))
     known = sets.select("s", "pos", "parity").join(gone.withColumn("goes", F.lit(1)), "s", "left")
-    once = rarest.withColumn("pos", _position()).join(known, ["s", "pos"]).dropDuplicates(["s"])
+    once = rarest.where(reaching).withColumn("pos", _position()).join(known, ["s", "pos"]).dropDuplicates(["s"])
     listed = once.select("s", "parity", "n", F.coalesce("goes", F.lit(0)).alias("goes"), F.posexplode("rarest").alias("at", "t")).select(
         "t", "s", "parity", (F.col("n").cast("long") * (1 << 25) + F.col("at") * 2 + F.col("goes")).alias("packed"))
     a, b = listed.alias("a"), listed.alias("b")

@@ -27,8 +27,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Take repeated lines out of the texts; documents of which nothing is left go."""
-    done = lines.dedup_lines(docs.withColumn("_had", F.col("text") != ""))
+    """Take repeated lines out of the texts, short ones too; documents of which nothing is left go."""
+    done = lines.dedup_lines(docs.withColumn("_had", F.col("text") != ""), min_tokens=1)
     left = done.where(~F.col("_had") | (F.col("text") != "") | F.col("_had").isNull())
     return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 

@@ -368,6 +368,18 @@ def test_lines_agree_with_brute_force(spark, odd, empty):
     assert lines.dedup_lines(odd).columns == odd.columns and lines.dedup_lines(odd).count() == len(ODD) and lines.dedup_lines(empty).count() == 0
 
 
+def test_short_lines_take_part(spark, tmp_path):
+    rng = random.Random(3)
+    words = "a b c d e f".split()
+    rows = [(i, "\n".join(" ".join(rng.choice(words) for _ in range(rng.randrange(8))) for _ in range(4))) for i in range(40)]
+    rows += [(100, "k l m n"), (101, "k l m n o"), (102, "K\tL M"), (103, "m l k"), (104, "zz zz"), (105, "zz"), (106, "\n \n"), (107, " \n")]
+    want = brute_lines(rows, least=1)
+    assert {tuple(r) for r in lines.removed_lines(docs_of(spark, rows), min_tokens=1).collect()} == want > brute_lines(rows)
+    left = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, docs_of(spark, rows), str(tmp_path)).collect()}
+    kept = {i: "\n".join(x for k, x in enumerate(t.split("\n")) if (i, k) not in want) for i, t in rows}
+    assert left == {i: t for i, t in kept.items() if t} and left.keys().isdisjoint({101, 103, 105}) and left[106] == "\n \n"
+
+
 # 9: licences
 
 def test_licence_places(spark, odd, empty):
