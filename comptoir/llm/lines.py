@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -54,9 +55,15 @@ def _tokens(line: bytes, rank: np.ndarray) -> np.ndarray:
     return np.unique(rank[(h & np.uint64(COUNTERS - 1)).astype(np.int64)] << np.uint64(44) | h >> np.uint64(16) & _REST).view(np.int64)
 
 
+def _name(tokens: np.ndarray) -> int:
+    """A hash of the tokens of a line."""
+    n = xxhash.xxh3_64_intdigest(tokens.tobytes())
+    return n - (n >> 63 << 64)
+
+
 def _lines(docs: DataFrame, rank: Broadcast, min_tokens: int, columns: dict[str, T.DataType], describe) -> DataFrame:
-    """doc_id, line, s (a hash of the tokens), n and what ``describe(tokens)`` gives, for each line of ``min_tokens`` or more."""
-    schema = T.StructType([docs.schema["doc_id"]]).add("line", "integer").add("s", "long").add("n", "integer")
+    """doc_id, key, line, s (a hash of the tokens), n and what ``describe(tokens)`` gives, for each line of ``min_tokens`` or more."""
+    schema = T.StructType([docs.schema["doc_id"], docs.schema["key"]]).add("line", "integer").add("s", "long").add("n", "integer")
     for name, kind in columns.items():
         schema = schema.add(name, kind)
     extra = [pa.int64() if isinstance(kind, T.LongType) else pa.list_(pa.int64()) for kind in columns.values()]
@@ -70,11 +77,11 @@ def _lines(docs: DataFrame, rank: Broadcast, min_tokens: int, columns: dict[str,
                     if len(tokens) >= min_tokens:
                         at.append(i)
                         line.append(k)
-                        s.append(xxhash.xxh3_64_intdigest(tokens.tobytes()))
+                        s.append(_name(tokens))
                         n.append(len(tokens))
                         more.append(describe(tokens))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(pa.array(at, pa.int64())), pa.array(line, pa.int32()), pa.array(np.array(s, np.uint64).view(np.int64)), pa.array(n, pa.int32()),
+                [*(batch.column(c).take(pa.array(at, pa.int64())) for c in ("doc_id", "key")), pa.array(line, pa.int32()), pa.array(s, pa.int64()), pa.array(n, pa.int32()),
                  *(pa.array([m[k] for m in more], kind) for k, kind in enumerate(extra))], names=schema.names)
 
     return docs.mapInArrow(work, schema)
@@ -89,17 +96,18 @@ def _sketch(tokens: np.ndarray) -> tuple[int, int, int]:
 
 
 def _position() -> Column:
-    """One number that sorts by id, then by line; a NULL id comes first."""
+    """One number that sorts by id, then by a part of the text's hash, then by line; a NULL id comes first."""
     id_ = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.lit("-9223372036854775809").cast("decimal(20,0)"))
-    return (id_ * (1 << 31) + F.col("line")).cast("decimal(38,0)")
+    low = F.col("key").bitwiseAND((1 << 31) - 1) * F.lit(1 << 31) + F.col("line")
+    return (id_ * F.lit(Decimal(1 << 62)).cast("decimal(19,0)")).cast("decimal(38,0)") + low.cast("decimal(19,0)")
 
 
 def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, min_tokens: int = MIN_TOKENS) -> DataFrame:
-    """(doc_id, line): the lines, numbered from 0, that match an earlier one.
+    """(doc_id, line): the lines, numbered from 0, that match an earlier one, in any row of that id.
 
     A line's tokens are its different words in lower case. Two lines match when the Jaccard similarity of their tokens is
-    percent / 100 or more. Earlier means a smaller id, then a smaller number; whether the earlier line is itself removed does not
-    matter, so the result depends on no order of work. Lines of fewer than ``min_tokens`` tokens neither match nor go; with 1 all lines
+    percent / 100 or more. Earlier means a smaller id, then, among rows of one id with different texts, a smaller hash of the text,
+    then a smaller number; rows of the same id and text count as one place. Whether the earlier line is itself removed does not matter, so the result depends on no order of work. Lines of fewer than ``min_tokens`` tokens neither match nor go; with 1 all lines
     but blank ones take part.
 
     Tokens are ordered by rarity, words of rarely used counters first. Lines with equal tokens become one class, placed at its first
@@ -111,7 +119,12 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", p
 
     Ids are integers; a NULL id comes first.
     """
-    source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    return _removed(docs, doc_id, text, percent, min_tokens).select("doc_id", "line").distinct()
+
+
+def _removed(docs: DataFrame, doc_id: str, text: str, percent: int, min_tokens: int) -> DataFrame:
+    """(doc_id, key, line): ``removed_lines`` of each row, known by its id and the hash of its text."""
+    source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("key"))
     rank = rarity(source)
     kinds = {"parity": T.LongType(), "least": T.LongType(), "most": T.LongType()}
     placed = stored(_lines(source, rank, min_tokens, kinds, _sketch)).withColumn("pos", _position())
@@ -139,7 +152,8 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", p
     )
     gone = gone.unionByName(_later(rest, sets, source, rank, min_tokens, percent)).distinct().withColumn("later", F.lit(True))
     firsts = sets.select("s", F.col("pos").alias("first")).join(gone, "s", "left")
-    return placed.select("doc_id", "line", "s", "pos").join(firsts, "s").where(F.col("later").isNotNull() | (F.col("pos") != F.col("first"))).select("doc_id", "line").distinct()
+    return placed.select("doc_id", "key", "line", "s", "pos").join(firsts, "s").where(
+        F.col("later").isNotNull() | (F.col("pos") != F.col("first"))).select("doc_id", "key", "line").distinct()
 
 
 def _differ(p: Column, q: Column, n: Column, m: Column, percent: int) -> Column:
@@ -166,14 +180,15 @@ def _later(pairs: DataFrame, sets: DataFrame, source: DataFrame, rank: Broadcast
     """(s): of each pair (u, v, n_u, n_v) that matches, the later class. Whole lines are read again for the overlap."""
     pairs = stored(pairs)
     wanted = stored(sets.select("s", "pos").join(pairs.select(F.explode(F.array("u", "v")).alias("s")).distinct(), "s"))
-    lines = source.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "text")).withColumn("pos", _position())
-    found = _sieved(lines, F.xxhash64("pos"), wanted, F.xxhash64("pos")).join(wanted, "pos").dropDuplicates(["s"])
+    lines = source.select("doc_id", "key", F.posexplode(F.split("text", "\n")).alias("line", "text")).withColumn("pos", _position())
+    found = _sieved(lines, F.xxhash64("pos"), wanted, F.xxhash64("pos")).join(wanted, "pos").dropDuplicates(["s", "text"])
 
     @F.arrow_udf(T.ArrayType(T.LongType()))
-    def tokens(text: pa.Array) -> pa.Array:
-        return pa.array([_tokens(t.lower().encode(), rank.value) for t in text.to_pylist()], pa.list_(pa.int64()))
+    def tokens(text: pa.Array, s: pa.Array) -> pa.Array:
+        read = ((_tokens(t.lower().encode(), rank.value), name) for t, name in zip(text.to_pylist(), s.to_pylist()))
+        return pa.array([t if _name(t) == name else None for t, name in read], pa.list_(pa.int64()))  # NULL: another row's line
 
-    full = stored(found.select("s", "pos", tokens("text").alias("t")))
+    full = stored(found.select("s", "pos", tokens("text", "s").alias("t")))
     left = full.select(F.col("s").alias("u"), F.col("t").alias("g"), F.col("pos").alias("p"))
     right = full.select(F.col("s").alias("v"), F.col("t").alias("k"), F.col("pos").alias("q"))
     matched = pairs.join(left, "u").join(right, "v").where(_near(F.size(F.array_intersect("g", "k")), F.col("n_u"), F.col("n_v"), percent))
@@ -184,12 +199,12 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per
                 removed: str | None = None) -> DataFrame:
     """All documents with the lines of ``removed_lines`` taken out of their text, and their number in a column ``removed`` if named.
 
-    Other columns stay. A NULL text stays NULL; a text that loses all its lines is empty. Rows that repeat an id count as one
-    place. Lines are separated by line feeds only.
+    Other columns stay. A NULL text stays NULL; a text that loses all its lines is empty. Rows that repeat an id and a text count as
+    one place; rows of one id, or of none, with different texts lose their own lines only. Lines are separated by line feeds only.
     """
-    gone = removed_lines(docs, doc_id, text, percent, min_tokens).groupBy("doc_id").agg(F.collect_set("line").alias("_gone")).withColumnRenamed("doc_id", "_id")
+    gone = _removed(docs, doc_id, text, percent, min_tokens).groupBy(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).agg(F.collect_set("line").alias("_gone"))
     gone = stored(gone)
-    joined = docs.join(gone, F.col(doc_id).eqNullSafe(F.col("_id")), "left")
+    joined = docs.join(gone, F.col(doc_id).eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_key")), "left")
     kept = F.array_join(F.filter(F.split(F.col(text), "\n"), lambda x, i: ~F.array_contains("_gone", i)), "\n")
     return joined.select(
         *[F.when(F.col("_gone").isNull(), F.col(text)).otherwise(kept).alias(text) if c == text else F.col(f"`{c}`") for c in docs.columns],

@@ -380,6 +380,14 @@ def test_short_lines_take_part(spark, tmp_path):
     assert left == {i: t for i, t in kept.items() if t} and left.keys().isdisjoint({101, 103, 105}) and left[106] == "\n \n"
 
 
+def test_lines_of_rows_that_share_an_id(spark):
+    """A repeat found in one row leaves the other rows of its id alone, and copies at one number of different rows go but once."""
+    a, b, c, d, e = (prose(700 + i, 12) for i in range(5))
+    rows = [(1, a), (2, f"{b}\n{a}"), (2, f"{b}\n{c}"), (None, f"{d}\n{b}"), (None, f"{d}\n{e}"), (3, e), (3, e)]
+    left = Counter(line for r in lines.dedup_lines(docs_of(spark, rows)).collect() for line in r["text"].split("\n") if line)
+    assert left == {a: 1, b: 1, c: 1, d: 1, e: 1}
+
+
 # 9: licences
 
 def test_licence_places(spark, odd, empty):
