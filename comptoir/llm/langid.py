@@ -44,16 +44,22 @@ def fit(docs: DataFrame, lang: str = "lang", text: str = "text", key: str = "doc
     """Frozen statistics of each language: [(lang, {width: (grams, counts)})], sorted by language.
 
     Each language learns from about ``sample_bytes`` bytes of whole texts: a text is in the sample when the hash of
-    its key falls below the rate that its language's size allows. The counting runs on executors; the driver gets
+    its key falls below the rate that its language's size allows; where none does, the text with the smallest hash is taken. The counting runs on executors; the driver gets
     the distinct grams, whose number that sample bounds. NULL texts and languages teach nothing.
     """
     known = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64(key).alias("key")).where(
         "lang IS NOT NULL AND text <> ''")
-    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("n")).collect()}
+    known = known.withColumn("key", F.pmod("key", F.lit(1_000_000)))
+    sizes = known.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("n"), F.min("key").alias("least")).collect()
     if not sizes:
         return []
-    rate = F.element_at(F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, sample_bytes / n))]), F.col("lang"))
-    chosen = known.where((F.pmod("key", F.lit(1_000_000)) < rate * 1_000_000) | (rate >= 1)).select("lang", "text")
+    rates = {r["lang"]: min(1.0, sample_bytes / r["n"]) for r in sizes}
+    rate = F.element_at(F.create_map(*[F.lit(x) for pair in rates.items() for x in pair]), F.col("lang"))
+    chosen = known.where((F.col("key") < rate * 1_000_000) | (rate >= 1)).select("lang", "text")
+    missed = [r["lang"] for r in sizes if r["least"] >= rates[r["lang"]] * 1_000_000 and rates[r["lang"]] < 1]
+    if missed:
+        first = F.min_by("text", F.struct("key", F.xxhash64("text")))
+        chosen = chosen.unionByName(known.where(F.col("lang").isin(missed)).groupBy("lang").agg(first.alias("text")))
     counts = (
         chosen.mapInArrow(_grams, "lang string, width int, gram long, n long")
         .groupBy("lang", "width", "gram").agg(F.sum("n").alias("n")).toArrow().sort_by([("lang", "ascending"), ("width", "ascending"), ("gram", "ascending")])

@@ -297,6 +297,12 @@ def test_languages(spark, odd, empty):
     assert langid.fit(empty) == [] and odd.select(langid.identify(F.col("text"), [], spark)["lang"].alias("x")).distinct().count() == 1
 
 
+def test_languages_of_few_long_texts_are_learned(spark):
+    train = docs_of(spark, [(i, "der und schnell " * 2000, "de") for i in range(3)] + [(i, "the thing", "en") for i in range(3, 9)])
+    model = langid.fit(train, sample_bytes=60)
+    assert [name for name, _ in model] == ["de", "en"] and langid.fit(train, sample_bytes=1)[0][0] == "de"
+
+
 def test_code_lengths_are_those_of_the_trees():
     """The table of code lengths against escapes worked out letter by letter, across chunk borders too."""
     data = {"aa": b"abracadabra " * 6, "bb": b"banana bandana " * 5}
