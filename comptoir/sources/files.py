@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 from urllib.parse import unquote
@@ -43,13 +44,14 @@ _NUMBER = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))$"
 _EXTRA = "_extra"  # catches the fields of a row that has more than the header
 
 
-def profile_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+def profile_files(spark: SparkSession, paths: str | Sequence[str], delimiter: str | None = None) -> DataFrame:
     """One row per file: ``path, encoding, delimiter, header, lines, multiline``; ``header`` is the first line as raw bytes.
 
     A byte order mark names UTF-16 and UTF-32. Otherwise a file that is valid UTF-8 throughout is UTF-8; otherwise it is cp1252 when it has bytes only that
     uses, else ISO-8859-1. The delimiter is the candidate that is most regular over the first lines
     (present in all, the same number of times), then the most frequent one. ``multiline`` says that a line
-    has an odd number of quotes, so that a field may hold a line break. One distributed pass; the lines of a file
+    has an odd number of quotes, and a line a quote that opens a field (at its start or after ``delimiter`` or a candidate) and is not
+    closed in it, so that a field may hold a line break. One distributed pass; the lines of a file
     never meet in one task, except its first few.
     """
     lines = spark.read.text(as_list(paths)).select(
@@ -59,11 +61,14 @@ def profile_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     raw = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
     valid = F.is_valid_utf8("value")
     ascii_only = valid & (F.length("value") == F.octet_length("value"))
+    seps = "|".join(re.escape(d) for d in [*DELIMITERS, *([delimiter] if delimiter else [])])
+    opened = F.col("value").rlike(f'(?:^\\uFEFF?|{seps})"(?:[^"]|"")*+$')
     files = lines.groupBy("path").agg(
         F.bool_and(valid).alias("utf8"),
         F.bool_or(F.when(~ascii_only, raw.rlike("[\\x80-\\x9F]")).otherwise(False)).alias("high"),
         F.count(F.lit(1)).alias("lines"),
-        F.bool_or((F.length("value") - F.length(F.replace("value", F.lit('"')))) % 2 == 1).alias("multiline"),
+        F.bool_or((F.length("value") - F.length(F.replace("value", F.lit('"')))) % 2 == 1).alias("odd"),
+        F.bool_or(opened).alias("opened"),
     )
     marked = F.lit(None)
     for mark, name in reversed(_MARKS.items()):
@@ -87,7 +92,7 @@ def profile_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     )
     return files.join(best, "path", "left").select(
         "path", F.coalesce(marked, encoding).alias("encoding"), F.coalesce("delimiter", F.lit(",")).alias("delimiter"), "header", "lines",
-        F.coalesce("multiline", F.lit(False)).alias("multiline"),
+        F.coalesce(F.col("odd") & F.col("opened"), F.lit(False)).alias("multiline"),
     )
 
 
@@ -166,7 +171,7 @@ def _text_table(spark: SparkSession, paths, encoding: str | None, delimiter: str
     """All columns as text plus ``_extra``; one read per group of files with the same encoding and delimiter."""
     paths = as_list(paths)
     try:
-        profile = profile_files(spark, paths).select(
+        profile = profile_files(spark, paths, delimiter).select(
             "path", F.lit(_encoding(encoding)).alias("encoding") if encoding else "encoding",
             F.lit(delimiter).alias("delimiter") if delimiter else "delimiter", F.coalesce("header", F.lit(bytearray())).alias("header"), "multiline")
         kinds = profile.drop("path").distinct().collect()  # a few; paths come to the driver only where files differ

@@ -128,6 +128,15 @@ def test_line_breaks_inside_quotes(spark, write):
         assert [tuple(r) for r in files.load_csv(spark, path, **settings).orderBy("a").collect()] == [(1, "x\ny"), (2, "z")]
 
 
+def test_stray_quotes_keep_the_split_read(spark, write):
+    stray = write("s.csv", 'a,b\n1,5" pipe\n2,"x, ""y"""\n3,z\n')
+    assert not files.profile_files(spark, stray).first().multiline
+    assert [tuple(r) for r in files.load_csv(spark, stray).orderBy("a").collect()] == [(1, '5" pipe'), (2, 'x, "y"'), (3, "z")]
+    for text in ('a,b\n5" pipe,"x\ny"\n', 'a,b\n"x\ny",1\n', 'a,b\n1,"""x\ny"\n'):
+        assert files.profile_files(spark, write("q.csv", text)).first().multiline
+    assert files.profile_files(spark, write("t.csv", 'a~b\n1~"x\ny"\n'), "~").first().multiline
+
+
 def test_identifiers_keep_every_digit(spark, write):
     path = write("i.csv", "a,b,c\n1234567890123456789,12345678901234567890,1\n1234567890123456788,12345678901234567891," + "9" * 40 + "\n")
     df = files.load_csv(spark, path)
