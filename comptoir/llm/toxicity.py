@@ -163,14 +163,39 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.array(terms, pa.string()), *(pa.array([counts[y][t] for t in terms], pa.int64()) for y in (1, 0))], names=["term", "toxic", "clean"])
 
 
+def _least(text: str) -> int:
+    """Least hash of a text's 4-word shingles, which copies and near copies mostly share."""
+    w = text.lower().split()
+    return min(xxhash.xxh3_64_intdigest(" ".join(w[i:i + 4])) for i in range(max(1, len(w) - 3))) >> 1
+
+
 @F.arrow_udf(T.LongType())
 def _copy_key(column: pa.Array) -> pa.Array:
-    """Least hash of a text's 4-word shingles, which copies and near copies mostly share."""
-    keys = []
-    for x in column:
-        w = x.as_py().lower().split()
-        keys.append(min(xxhash.xxh3_64_intdigest(" ".join(w[i:i + 4])) for i in range(max(1, len(w) - 3))) >> 1)
-    return pa.array(keys, pa.int64())
+    return pa.array([_least(x.as_py()) for x in column], pa.int64())
+
+
+def _counts(docs: DataFrame, y: DataFrame, terms: list[str], doc_id: str, text: str) -> dict[tuple[str, int], tuple[int, int]]:
+    """How many toxic and clean texts of all rows of ``y`` each (term, edits) matches, copies counted once. Only matches are joined."""
+    shared = docs.sparkSession.sparkContext.broadcast(terms)
+    own = docs.where(F.col(text) != "").select(F.col(doc_id).alias("_id"), F.col(text).alias("text"))
+
+    def matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lexicon = _lexicon(shared)
+        for batch in batches:
+            at, rows = [], []
+            for i, t in enumerate(batch.column(1).to_pylist()):
+                if found := evidence(lexicon, t):
+                    key = _least(t)
+                    at += [i] * len(found)
+                    rows += [(term, edits, key) for term, edits in found]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(at, pa.int64())), *(pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.string(), pa.int32(), pa.int64())))],
+                names=["_id", "term", "edits", "key"])
+
+    found = own.mapInArrow(matches, T.StructType([own.schema["_id"]]).add("term", "string").add("edits", "integer").add("key", "long"))
+    once = found.join(y, "_id").select("term", "edits", "_toxic", "key").distinct()
+    return {(r["term"], r["edits"]): (r["a"], r["b"]) for r in once.groupBy("term", "edits").agg(
+        F.count_if(F.col("_toxic") == 1).alias("a"), F.count_if(F.col("_toxic") == 0).alias("b")).collect()}
 
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", sample_rows: int = SAMPLE_ROWS) -> dict:
@@ -179,7 +204,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     ``labels`` (doc_id, toxic 0/1) holds the rows to learn from; at most about ``sample_rows`` of them, half of each
     class where there are enough, are drawn by a hash of the id and joined by broadcast. Counts are weighted by how
     each class was drawn. Of copies and near copies one is kept, else their rare words would look like
-    terms. A term enters the lexicon with SUPPORT toxic texts and PRECISION; the LEXICON best are kept.
+    terms. A term enters the lexicon with SUPPORT toxic texts and PRECISION; the LEXICON best are kept. Where a class is only
+    sampled, the sample names candidates, and these and their edits are counted over all rows to learn from.
     Each (term, edits) is then counted again through the automata, so that an edit that also hits harmless words is
     worth little. Without labels of both classes nothing is learned and every text scores the share of toxic labels.
     """
@@ -195,12 +221,19 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     drawn = y.where(F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) < F.when(F.col("_toxic") == 1, rate[1]).otherwise(rate[0]) * 1_000_000)
     chosen = docs.where(F.col(text) != "").join(F.broadcast(drawn), F.col(doc_id) == F.col("_id")).select(F.col(text).alias("text"), "_toxic")
     chosen = stored(chosen.withColumn("_key", _copy_key("text")).dropDuplicates(["_toxic", "_key"]).drop("_key"))
-    odds = F.col("toxic") / rate[1] / (F.col("toxic") / rate[1] + (F.col("clean") + 0.5) / rate[0])
-    best = (
-        chosen.mapInArrow(_terms, "term string, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-        .where((F.col("toxic") >= SUPPORT) & (odds >= PRECISION)).orderBy(F.col("toxic").desc(), "term").limit(LEXICON)
-    )
-    terms = sorted(r["term"] for r in best.select("term").collect())
+    tally = chosen.mapInArrow(_terms, "term string, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    sampled = min(rate.values()) < 1
+    if sampled:
+        # one clean text in the sample stands for many that need not exist: either estimate makes a candidate
+        drawn_as = [F.col("toxic") * p / (F.col("toxic") * p + F.col("clean") * q) for p, q in ((1.0, 1.0), (1 / rate[1], 1 / rate[0]))]
+        candidates = tally.where((F.col("toxic") >= SUPPORT) & (F.greatest(*drawn_as) >= PRECISION)).select("term").collect()
+        counts = _counts(docs, y, sorted(r["term"] for r in candidates), doc_id, text)
+        exact = {term: n for (term, edits), n in counts.items() if edits == 0 and n[0] >= SUPPORT and n[0] / (n[0] + n[1] + 0.5) >= PRECISION}
+        terms = sorted(sorted(exact, key=lambda term: (-exact[term][0], term))[:LEXICON])
+    else:
+        odds = F.col("toxic") / (F.col("toxic") + F.col("clean") + 0.5)
+        best = tally.where((F.col("toxic") >= SUPPORT) & (odds >= PRECISION)).orderBy(F.col("toxic").desc(), "term").limit(LEXICON)
+        terms = sorted(r["term"] for r in best.select("term").collect())
     shared = spark.sparkContext.broadcast(terms)
 
     def matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,6 +254,9 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         a, b = r["a"] / rate[1], (r["b"] + 0.5) / rate[0]
         worth[r["term"], r["edits"]] = a / (a + b)
     rest = worth.pop(("", 0), prior)
+    if sampled:
+        kept = set(terms)
+        worth = {k: a / (a + b + 0.5) for k, (a, b) in counts.items() if k[0] in kept}
     return {"terms": terms, "worth": {k: p for k, p in worth.items() if p >= 0.5}, "rest": min(rest, THRESHOLD / 2)}
 
 

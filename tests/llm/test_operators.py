@@ -223,6 +223,13 @@ def test_toxicity_learns_and_tells_quotation_from_abuse(spark, empty):
     assert toxicity.fit(empty, labels)["terms"] == []
 
 
+def test_terms_of_rare_toxicity_are_counted_over_all_rows(spark):
+    rows = [(i, prose(i, 20) + (" you zorkelo " if i < 12 else " meanwhile " if i < 60 else " ") + prose(i + 5000, 20)) for i in range(1200)]
+    labels = spark.createDataFrame([(i, int(i < 12)) for i in range(1200)], "doc_id long, toxic int")
+    model = toxicity.fit(docs_of(spark, rows), labels, sample_rows=200)
+    assert "zorkelo" in model["terms"] and "meanwhile" not in model["terms"] and model["worth"]["zorkelo", 0] == 12 / 12.5
+
+
 # 5: fingerprints
 
 def test_fingerprints_are_consistent(spark, odd, empty):
