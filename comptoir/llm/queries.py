@@ -1,7 +1,7 @@
 """All registered queries of this subpackage and the pipeline, for __spark_entry__.py."""
 
 import corpus_pipeline
-from comptoir.llm import covertree, fingerprints, jaccard, langid, licenses, lines, lm, mixing, packing, toxicity  # noqa: F401
+from comptoir.llm import covertree, fingerprints, importance, jaccard, langid, licenses, lines, lm, mixing, packing, spelling, tokencounts, toxicity  # noqa: F401
 from comptoir.llm.common import QUERIES, SQL
 
 QUERIES["pipeline"] = corpus_pipeline.run
