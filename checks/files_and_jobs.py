@@ -62,21 +62,22 @@ def _(spark, folder):
     }
     root = new_folder(spark)
     for name, (df, sep, encoding) in parts.items():
-        df.toDF("n_nationkey", "n_name").coalesce(1).write.options(header=True, sep=sep, encoding=encoding).csv(f"{root}/{name}")
+        df.toDF("n_nationkey", "n_name").write.options(header=True, sep=sep, encoding=encoding).csv(f"{root}/{name}")
     return files.load_csv(spark, [f"{root}/{name}" for name in parts])
 
 
 @query("profile_files", """
-SELECT 'latin' AS file, 'ISO-8859-1' AS encoding, ';' AS delimiter, count(*) + 1 AS lines FROM nation
-UNION ALL SELECT 'utf', 'UTF-8', '|', count(*) + 1 FROM part
+SELECT 'latin' AS file, 'ISO-8859-1' AS encoding, ';' AS delimiter, count(*) AS lines FROM nation
+UNION ALL SELECT 'utf', 'UTF-8', '|', count(*) FROM part
 """)
 def _(spark, folder):
     root = new_folder(spark)
     nation = table(spark, folder, "nation").withColumn("n_name", F.concat("n_name", F.lit(" é")))
-    nation.coalesce(1).write.options(header=True, sep=";", encoding="ISO-8859-1").csv(f"{root}/latin")
-    table(spark, folder, "part").coalesce(1).write.options(header=True, sep="|").csv(f"{root}/utf")
+    nation.repartition(3, "n_nationkey").write.options(header=True, sep=";", encoding="ISO-8859-1").csv(f"{root}/latin")
+    table(spark, folder, "part").repartition(4, "p_partkey").write.options(header=True, sep="|").csv(f"{root}/utf")
     found = files.profile_files(spark, [f"{root}/latin", f"{root}/utf"])
-    return found.select(F.regexp_extract("path", "/(latin|utf)/", 1).alias("file"), "encoding", "delimiter", "lines")
+    # one row for each kind of file; the header of each file is no row of the table
+    return found.groupBy(F.regexp_extract("path", "/(latin|utf)/", 1).alias("file"), "encoding", "delimiter").agg(F.sum(F.col("lines") - 1).alias("lines"))
 
 
 @query("rejected_rows", """
@@ -85,10 +86,45 @@ SELECT p_partkey::VARCHAR AS p_partkey, p_name, 'surplus' AS extra FROM part WHE
 def _(spark, folder):
     wide = F.concat_ws(",", "p_partkey", "p_name", F.when(F.col("p_size") > 40, F.lit("surplus")))
     root = new_folder(spark)
-    lines = table(spark, folder, "part").select(wide.alias("value"))
-    header = spark.createDataFrame([("p_partkey,p_name",)], "value string")
-    header.unionByName(lines).coalesce(1).write.text(root)
-    return files.rejected_rows(spark, root, "utf-8", ",").withColumnRenamed("_extra", "extra")
+    numbered = table(spark, folder, "part").repartition(4, "p_partkey").select(F.spark_partition_id().alias("file"), wide.alias("value"))
+    # each file begins with its header
+    header = numbered.select("file").distinct().withColumn("value", F.lit("p_partkey,p_name"))
+    lines = header.withColumn("row", F.lit(0)).unionByName(numbered.withColumn("row", F.lit(1)))
+    lines.repartition("file").sortWithinPartitions("file", "row").select("file", "value").write.partitionBy("file").text(root)
+    return files.rejected_rows(spark, f"{root}/file=*", "utf-8", ",").withColumnRenamed("_extra", "extra")
+
+
+@query("load_csv_multiline", """
+SELECT o_orderkey, 'line "1" of ' || o_orderpriority || chr(10) || CASE WHEN o_orderkey % 3 = 0 THEN chr(10) || ', é' ELSE o_orderstatus END AS note, o_custkey
+FROM orders
+""")
+def load_csv_multiline(spark, folder):
+    last = F.when(F.col("o_orderkey") % 3 == 0, F.lit("\n, é")).otherwise(F.col("o_orderstatus"))
+    note = F.concat(F.lit('line "1" of '), "o_orderpriority", F.lit("\n"), last)
+    orders = table(spark, folder, "orders").select("o_orderkey", note.alias("note"), "o_custkey")
+    return files.load_csv(spark, _written(spark, orders, escape='"'))
+
+
+@query("load_csv_wide_numbers", """
+SELECT (o_orderkey::HUGEINT * 10000000000000000000 + o_custkey)::VARCHAR AS wide, 9007199254740993 + o_orderkey AS exact FROM orders
+""")
+def _(spark, folder):
+    wide = (F.col("o_orderkey").cast("decimal(18,0)") * F.expr("10000000000000000000BD") + F.col("o_custkey")).cast("decimal(38,0)")
+    orders = table(spark, folder, "orders").select(wide.alias("wide"), (F.col("o_orderkey") + 9007199254740993).alias("exact"))
+    df = files.load_csv(spark, _written(spark, orders))
+    if df.schema["wide"].dataType.simpleString() != "decimal(38,0)" or df.schema["exact"].dataType.simpleString() != "bigint":
+        raise AssertionError(df.schema)
+    return df.withColumn("wide", F.col("wide").cast("string"))
+
+
+@query("load_csv_reordered_headers", """
+SELECT c_custkey AS key, c_name AS name, c_acctbal AS balance FROM customer UNION ALL SELECT s_suppkey, s_name, s_acctbal FROM supplier
+""")
+def _(spark, folder):
+    root = new_folder(spark)
+    table(spark, folder, "customer").select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance")).write.options(header=True).csv(f"{root}/c")
+    table(spark, folder, "supplier").select(F.col("s_acctbal").alias("balance"), F.col("s_suppkey").alias("key"), F.col("s_name").alias("name")).write.options(header=True).csv(f"{root}/s")
+    return files.load_csv(spark, [f"{root}/c", f"{root}/s"]).select("key", "name", "balance")
 
 
 @query("load_parquet", "SELECT * FROM region")

@@ -15,6 +15,7 @@ from pyspark.sql import Window as W
 
 from comptoir.functions.columns import as_list, nan_to_null, ref, unique_names
 from comptoir.sources.errors import CorruptInputError, EmptyInputError, MissingPathError, UnsupportedFormatError
+from comptoir.sources.records import quoted_records
 
 FORMATS = ("csv", "parquet", "json")
 DELIMITERS = (",", ";", "\t", "|")
@@ -35,6 +36,8 @@ _ENCODINGS = {
     "latin1": "ISO-8859-1", "iso-8859-1": "ISO-8859-1", "cp1252": "cp1252", "windows-1252": "cp1252",
     "utf-16": "UTF-16", "utf-16-le": "UTF-16LE", "utf-16-be": "UTF-16BE", "utf-32": "UTF-32",
 }
+# Encodings that write ASCII as single bytes, so that quotes and line ends can be found in the bytes.
+_BYTE_ENCODINGS = ("UTF-8", "US-ASCII", "ISO-8859-1", "cp1252")
 _BOM = "﻿"
 # Byte order marks that name an encoding other than UTF-8, longest first.
 _MARKS = {b"\xff\xfe\x00\x00": "UTF-32", b"\x00\x00\xfe\xff": "UTF-32", b"\xff\xfe": "UTF-16", b"\xfe\xff": "UTF-16"}
@@ -104,8 +107,8 @@ def load_csv(
     """Load delimited text with a header line.
 
     Encoding and delimiter are detected per file unless given; files that agree, also in their header,
-    are read together, so columns go by name. One pass over the lines also finds files whose quoted fields hold line breaks; these
-    are read whole, one task per file. With a ``schema`` no types are inferred. Without, types come from one pass over the text: whole numbers (64 bits, else
+    are read together, so columns go by name. One pass over the lines also finds files whose quoted fields hold line breaks; their
+    records are cut in parallel (:mod:`comptoir.sources.records`) when this is called. UTF-16 and UTF-32 files are read whole, one task per file. With a ``schema`` no types are inferred. Without, types come from one pass over the text: whole numbers (64 bits, else
     decimal, beyond 38 digits text), numbers, booleans, else text (dates stay text). Rows with more fields than the header make the load
     fail, or are left out with ``on_bad="skip"`` (see :func:`rejected_rows`).
     """
@@ -196,6 +199,7 @@ def _encoding(name: str) -> str:
 
 
 def _read_group(spark: SparkSession, files: list[str], encoding: str, delimiter: str, multiline: bool, options: dict) -> DataFrame:
+    records = multiline and encoding in _BYTE_ENCODINGS and not {"multiLine", "quote", "escape", "comment"} & set(options)
     options = {"multiLine": multiline or encoding.startswith(("UTF-16", "UTF-32")), **options}
     reader = spark.read.options(**options).option("sep", delimiter).option("encoding", "ISO-8859-1" if encoding == "cp1252" else encoding)
     reader = reader.option("escape", '"')
@@ -204,7 +208,14 @@ def _read_group(spark: SparkSession, files: list[str], encoding: str, delimiter:
         raise EmptyInputError("no header line", paths=files)
     names = unique_names([_repair(v, encoding) if v is not None else "" for v in header])
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _EXTRA]])
-    table = reader.option("header", True).option("mode", "PERMISSIVE").schema(schema).csv(files)
+    if records:
+        rows = quoted_records(spark, files, delimiter, encoding).where("NOT first")
+        value = F.col("value").cast("string") if encoding.startswith("U") else F.decode("value", "ISO-8859-1")
+        places = [f"c{i}" for i in range(len(schema))]
+        fields = F.from_csv(value, ", ".join(f"{c} string" for c in places), {"sep": delimiter, "escape": '"', "mode": "PERMISSIVE", **{k: str(v) for k, v in options.items()}})
+        table = rows.select(fields.alias("f")).select(*[F.col(f"f.{c}").alias(n) for c, n in zip(places, schema.names)])
+    else:
+        table = reader.option("header", True).option("mode", "PERMISSIVE").schema(schema).csv(files)
     if encoding == "cp1252":
         table = table.select(*[F.translate(ref(c), _AS_LATIN1, _AS_CP1252).alias(c) for c in table.columns])
     return table

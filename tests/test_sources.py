@@ -1,6 +1,10 @@
+import csv
+import io
+import random
+
 import pytest
 
-from comptoir.sources import files, sinks
+from comptoir.sources import files, records, sinks
 from comptoir.sources.errors import CorruptInputError, EmptyInputError, MissingPathError, UnsupportedFormatError
 
 SAMPLE = """date,produit,categorie,prix,quantite,ville,source
@@ -159,3 +163,76 @@ def test_utf16_by_its_mark(spark, write):
 def test_nan_is_missing_on_entry(spark, tmp_path):
     spark.createDataFrame([(float("nan"),), (1.0,)], "v double").write.parquet(str(tmp_path / "n.parquet"))
     assert files.load_data(spark, str(tmp_path / "n.parquet")).where("v IS NULL").count() == 1
+
+
+@pytest.mark.parametrize("split,encoding", [(16, "utf-8"), (300, "latin-1")])
+def test_breaks_in_quotes_over_many_splits(spark, write, split, encoding):
+    rng = random.Random(split)
+    parts = ['x', ' y ', '\n', '\n\n', '"', '",', ',"', 'é', ';', '', 'a long piece of text']
+    rows = [(str(i), "".join(rng.choice(parts) for _ in range(rng.randrange(9))), rng.choice(["plain", "", 'in"ch', "two\nlines"])) for i in range(60)]
+    text = io.StringIO()
+    csv.writer(text, lineterminator="\n").writerows([("id", "note", "la\nbel"), *rows])
+    path = write("b.csv", text.getvalue(), encoding)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", 1)
+    try:
+        assert files.profile_files(spark, path).first().multiline
+        df = files.load_csv(spark, path, na_tokens=[])
+        got = sorted((str(r[0]), r[1] or "", r[2] or "") for r in df.collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert df.columns == ["id", "note", "la\nbel"] and got == sorted(rows)
+
+
+def test_breaks_in_quotes_are_cut_by_many_tasks(spark, write):
+    path = write("t.csv", 'a,b\n' + "".join(f'{i},"v{i}\nw"\n' for i in range(4000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        lines = records._lines(spark, [path])
+        states = records._states(lines, records.Quotes(",", "UTF-8"))
+        assert lines.rdd.getNumPartitions() > 8 and states.count() > 8
+        df = files.load_csv(spark, path)
+        assert df.rdd.getNumPartitions() > 8
+        assert df.agg({"a": "sum"}).first()[0] == sum(range(4000)) and df.where("b LIKE '%\nw'").count() == 4000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_line_ends_are_told_like_a_reader_of_single_characters():
+    def plain(line, inside, at_start=True):
+        quoted = inside
+        i = 0
+        while i < len(line):
+            c = line[i]
+            if quoted:
+                if c == '"':
+                    if line[i + 1:i + 2] == '"':
+                        i += 1
+                    else:
+                        quoted = False
+                        while i + 1 < len(line) and line[i + 1] != ",":
+                            i += 1
+                at_start = False
+            elif c == '"' and at_start:
+                quoted, at_start = True, False
+            else:
+                at_start = c == ","
+            i += 1
+        return quoted
+
+    rng = random.Random(0)
+    quotes = records.Quotes(",", "UTF-8")
+    for _ in range(3000):
+        line = "".join(rng.choice('"",x \r') for _ in range(rng.randrange(14)))
+        for inside in (False, True):
+            assert quotes.after(line.encode(), inside) == plain(line, inside), (line, inside)
+
+
+def test_several_files_with_breaks_and_a_bad_end(spark, write, tmp_path):
+    write("a.csv", 'x;y\n1;"é\n2"\n', "latin-1")
+    write("b.csv", '\ufeffx,y\n2,"b\n"\n\n3,"c\n\nd"\n')
+    got = files.load_csv(spark, str(tmp_path / "*.csv")).orderBy("x").collect()
+    assert [tuple(r) for r in got] == [(1, "é\n2"), (2, "b\n"), (3, "c\n\nd")]
+    with pytest.raises(CorruptInputError, match="never closed"):
+        files.load_csv(spark, write("z.csv", 'x,y\n1,"a\n2,b\n'))
