@@ -6,6 +6,7 @@ from checks.registry import SALES, query, table, tidy
 from comptoir.functions.columns import select_categorical, select_numeric, with_revenue
 from comptoir.operators import aggregate as agg
 from comptoir.operators import timeseries as ts
+from comptoir.operators.merging import MergeAggregate
 from comptoir.plans.sales import sales_from_star
 
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
@@ -147,6 +148,49 @@ def spread(column):
     return F.max(column) - F.min(column)
 
 
+@query("group_by_merge", f"""
+WITH {SALES}
+SELECT categorie, round(sum(prix * quantite) / sum(quantite), 4) AS prix, sum(least(quantite, 40))::BIGINT AS quantite, count(*) AS produit
+FROM sales GROUP BY categorie
+""")
+def group_by_merge(spark, folder):
+    weighted = MergeAggregate(
+        init=lambda: (0.0, 0.0), update=lambda s, v, w: (s[0] + float((v * w).sum()), s[1] + float(w[v.notna()].sum())),
+        merge=lambda a, b: (a[0] + b[0], a[1] + b[1]), finish=lambda s: s[0] / s[1] if s[1] else None,
+        state="total double, weight double", result="double", columns=("quantite",), name="weighted_mean")
+    capped = MergeAggregate(
+        init=lambda: (0,), update=lambda s, v: (s[0] + int(v.clip(upper=40).sum()),), merge=lambda a, b: (a[0] + b[0],),
+        finish=lambda s: s[0], state="total bigint", result="bigint", name="capped_sum")
+    sales = sales_from_star(spark, folder, ["categorie", "prix", "quantite", "produit"])
+    return tidy(agg.group_by(sales, "categorie", {"prix": weighted, "quantite": capped, "produit": "count"}))
+
+
+@query("pivot_merge", f"""
+WITH {SALES}
+SELECT categorie, max(quantite) FILTER (ville = 'NATION_1') - min(quantite) FILTER (ville = 'NATION_1') AS "NATION_1",
+       max(quantite) FILTER (ville = 'NATION_2') - min(quantite) FILTER (ville = 'NATION_2') AS "NATION_2"
+FROM sales WHERE ville IN ('NATION_1', 'NATION_2') GROUP BY categorie
+""")
+def _(spark, folder):
+    span = MergeAggregate(
+        init=lambda: (1 << 62, -(1 << 62)), update=lambda s, v: (min(s[0], int(v.min())), max(s[1], int(v.max()))),
+        merge=lambda a, b: (min(a[0], b[0]), max(a[1], b[1])), finish=lambda s: s[1] - s[0],
+        state="low bigint, high bigint", result="int", name="span")
+    sales = sales_from_star(spark, folder, ["categorie", "ville", "quantite"]).filter("ville IN ('NATION_1', 'NATION_2')")
+    return agg.pivot_table(sales, "categorie", "ville", "quantite", span)
+
+
+@query("resample_merge", f"""
+WITH {SALES}
+SELECT strftime(last_day(date::DATE), '%Y-%m-%d') AS date, sum(least(quantite, 40))::BIGINT AS quantite FROM sales GROUP BY 1
+""")
+def _(spark, folder):
+    capped = MergeAggregate(
+        init=lambda: (0,), update=lambda s, v: (s[0] + int(v.clip(upper=40).sum()),), merge=lambda a, b: (a[0] + b[0],),
+        finish=lambda s: s[0], state="total bigint", result="bigint", name="capped_sum")
+    return tidy(ts.resample_timeseries(sales_from_star(spark, folder, ["date", "quantite"]), "date", "M", {"quantite": capped}))
+
+
 @query("group_by_callable", """
 SELECT p_type, round(max(p_retailprice) - min(p_retailprice), 4) AS p_retailprice_spread,
        round(avg(p_retailprice), 4) AS p_retailprice_mean

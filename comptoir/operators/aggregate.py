@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from comptoir.functions.columns import as_list, percent_of, ref, sort_by_desc, unique_names, with_revenue
-from comptoir.operators.quantiles import group_quantiles
+from comptoir.operators.merging import MergeAggregate, merged_aggregates
+from comptoir.operators.order import groups_fit_tasks
+from comptoir.operators.quantiles import grouped_selection
 from comptoir.session import ensure_checkpoint_dir
 
-Aggregate = str | Callable[[Column], Column]
+Aggregate = str | Callable[[Column], Column] | MergeAggregate
 
 _PLAIN: dict[str, Callable[[Column], Column]] = {
     "sum": lambda c: F.coalesce(F.sum(c), F.lit(0)),
@@ -35,7 +37,7 @@ def aggregate_column(column: str, how: Aggregate, order_by: Sequence[str] = ())
     """Aggregate expression for a function name or for a callable that builds one from a Column.
 
     A callable may also be a grouped-aggregate pandas UDF; Spark then holds one whole group per task,
-    so prefer built-in expressions, which combine before the shuffle.
+    so prefer built-in expressions or a MergeAggregate, which combine before the shuffle.
     """
     if callable(how):
         return how(ref(column))
@@ -68,14 +70,30 @@ def plan_aggregates(agg_dict: dict[str, Aggregate | list[Aggregate]]) -> list[tu
 def aggregate_by(
     df: DataFrame, keys: list[str], planned: list[tuple[str, Aggregate, str]], order_by: Sequence[str] = ()
 ) -> DataFrame:
-    """Group and aggregate. Exact medians come from value counts or ranks and are joined on the grouped rows."""
+    """Group and aggregate.
+
+    Exact medians are part of the one aggregate while no group has too many distinct values (one sketch over all
+    median columns tells); beyond that all of them come from one grouped selection, joined on the grouped rows.
+    A user's own :class:`~comptoir.operators.merging.MergeAggregate` runs as partial states.
+    """
     by = [ref(k) for k in keys]
-    medians = [(c, name) for c, how, name in planned if how == "median"]
-    others = [aggregate_column(c, how, order_by).alias(name) for c, how, name in planned if how != "median"]
-    result = df.groupBy(*by).agg(*others) if others else df.select(*by).distinct()
-    for column, name in medians:
-        middle = group_quantiles(df, keys, column, [0.5])
-        result = result.join(middle.select(*by, F.col("q")[0].alias(name)), keys, "left")
+    medians = {name: c for c, how, name in planned if how == "median"}
+    merged = [(c, how, name) for c, how, name in planned if isinstance(how, MergeAggregate)]
+    others = [aggregate_column(c, how, order_by).alias(name) for c, how, name in planned
+              if name not in medians and not isinstance(how, MergeAggregate)]
+    if medians and groups_fit_tasks(df, list(medians.values()), keys):
+        others += [F.percentile(ref(c).cast("double"), F.lit(0.5)).alias(name) for name, c in medians.items()]
+        medians = {}
+    result = df.groupBy(*by).agg(*others) if others else None
+    if merged:
+        owned = merged_aggregates(df, keys, merged)
+        result = owned if result is None else result.join(owned, keys)
+    if result is None:
+        result = df.select(*by).distinct()
+    if medians:
+        middle = grouped_selection(df, keys, list(medians.values()), [0.5])
+        picked = [F.col("q")[i][0].alias(name) for i, name in enumerate(medians)]
+        result = result.join(middle.select(*by, *picked), keys, "left")
     return result.select(*by, *[ref(name) for _, _, name in planned])
 
 

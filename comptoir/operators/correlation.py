@@ -14,12 +14,14 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from comptoir.functions.columns import numeric_columns, ref
-from comptoir.operators.order import fits_one_sort, value_ranks
+from comptoir.operators import order
+from comptoir.operators.order import distinct_estimates, fits_one_sort, value_ranks
 from comptoir.session import ensure_checkpoint_dir
 
 _LONG = "column1 string, column2 string, correlation double"
 _PAIRS_PER_TASK = 1_000_000  # distinct (x, y) pairs that one task of the Kendall count should hold
 _CELLS = 4_000_000  # grid cells (distinct x times distinct y) that may be counted in one piece
+_RANK_BYTES = 64  # of a value and its rank in a table sent to all executors
 _STRIPES = 999  # twice as many lanes on each side stay within that number of cells
 
 
@@ -57,27 +59,86 @@ def correlation_pairs(df: DataFrame, method: str, names: Sequence[str]) -> DataF
     pairs = list(combinations(names, 2))
     if not pairs:
         return _diagonal(df, names)
-    counted = _counted_pairs(df, pairs)
-    scores = _kendall(counted) if method == "kendall" else _spearman(counted)
+    scores = _kendall_pairs(df, names, pairs) if method == "kendall" else _spearman_pairs(df, names, pairs)
     labels = F.array(*[F.struct(F.lit(i).alias("pair"), F.lit(a).alias("column1"), F.lit(b).alias("column2"))
                        for i, (a, b) in enumerate(pairs)])
     named = df.sparkSession.range(1).select(F.inline(labels)).join(F.broadcast(scores), "pair", "left")
     return _diagonal(df, names).unionByName(named.drop("pair"))
 
 
-def _counted_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """``pair, x, y, n``: the distinct complete value pairs of all column pairs, counted in one job.
+def _counted_pairs(df: DataFrame, pairs: dict[int, tuple[str, str]]) -> DataFrame:
+    """``pair, x, y, n``: the distinct complete value pairs of the given column pairs, counted in one job.
 
-    The number of jobs does not grow with the number of columns. The table is used several times, so
-    its lineage is cut here.
+    The table is used several times, so its lineage is cut here.
     """
     ensure_checkpoint_dir(df.sparkSession)
     structs = [F.struct(F.lit(i).alias("pair"), ref(a).cast("double").alias("x"), ref(b).cast("double").alias("y"))
-               for i, (a, b) in enumerate(pairs)]
+               for i, (a, b) in pairs.items()]
     long = df.select(F.inline(F.array(*structs))).dropna()
     return long.groupBy("pair", "x", "y").agg(F.count(F.lit(1)).alias("n")).checkpoint()
 
 
+def _counted_scores(df: DataFrame, pairs: dict[int, tuple[str, str]], at_once: int, score) -> DataFrame:
+    """``pair, correlation`` from the counted pairs, so many column pairs at a time: what is stored grows with the columns, not their pairs."""
+    found, numbers = [], list(pairs)
+    for start in range(0, len(numbers), at_once):
+        batch = {i: pairs[i] for i in numbers[start:start + at_once]}
+        found += [tuple(r) for r in score(_counted_pairs(df, batch)).collect()]  # one row per column pair
+    return df.sparkSession.createDataFrame(found, "pair int, correlation double")
+
+
+def _kendall_pairs(df: DataFrame, names: Sequence[str], pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    return _counted_scores(df, dict(enumerate(pairs)), len(names), _kendall)
+
+
+def _spearman_pairs(df: DataFrame, names: Sequence[str], pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """Pearson on average ranks.
+
+    Columns with NULLs in the same rows have one set of complete rows, so each such column is ranked once, its
+    ranks are attached to the rows, and one aggregate over the rows gives the moments of all these pairs. Only pairs of
+    columns with NULLs in different rows are ranked pair by pair.
+    """
+    place = {c: i for i, c in enumerate(names)}
+    typed = df.select(*[ref(c).cast("double").alias(f"v{i}") for i, c in enumerate(names)])
+    facts = typed.agg(
+        *[F.count(f"v{i}").alias(f"n{i}") for i in range(len(names))],
+        *[F.count_if(F.col(f"v{place[a]}").isNull() != F.col(f"v{place[b]}").isNull()).alias(f"p{k}") for k, (a, b) in enumerate(pairs)],
+    ).first()
+    alike = {k: (place[a], place[b]) for k, (a, b) in enumerate(pairs) if facts[f"p{k}"] == 0 and facts[f"n{place[a]}"]}
+    unlike = {k: pair for k, pair in enumerate(pairs) if facts[f"p{k}"]}
+    parts = []
+    if alike:
+        parts.append(_rank_moments(typed, alike, {i: facts[f"n{i}"] for i in range(len(names))}))
+    if unlike:
+        parts.append(_counted_scores(df, unlike, len(names), _spearman))
+    return reduce(DataFrame.unionByName, parts) if parts else df.sparkSession.createDataFrame([], "pair int, correlation double")
+
+
+def _rank_moments(typed: DataFrame, pairs: dict[int, tuple[int, int]], sizes: dict[int, int]) -> DataFrame:
+    """``pair, correlation`` of columns v0, v1, .. that have their NULLs in the same rows, pair by pair."""
+    used = sorted({i for pair in pairs.values() for i in pair})
+    distinct = distinct_estimates(typed, [f"v{i}" for i in used])
+    long = typed.select(F.inline(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"v{i}").alias("v")) for i in used])))
+    ensure_checkpoint_dir(typed.sparkSession)
+    ranks = value_ranks(long, "v", ["i"], small=fits_one_sort(max(distinct.values())))
+    ranks = ranks.select("i", "v", (F.col("before") + (F.col("n") + 1) / 2).alias("r")).checkpoint()
+    if sum(distinct.values()) * _RANK_BYTES <= order.BROADCAST_BYTES:
+        ranked = typed
+        for i in used:
+            own = ranks.filter(F.col("i") == i).select(F.col("v").alias(f"v{i}"), F.col("r").alias(f"r{i}"))
+            ranked = ranked.join(F.broadcast(own), f"v{i}", "left")  # the size of all of them is checked above
+    else:
+        rows = typed.withColumn("row", F.monotonically_increasing_id())
+        values = rows.select("row", F.inline(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"v{i}").alias("v")) for i in used])))
+        ranked = values.join(ranks, ["i", "v"]).groupBy("row").agg(*[F.max(F.when(F.col("i") == i, F.col("r"))).alias(f"r{i}") for i in used])
+    off = {i: F.col(f"r{i}") - (sizes[i] + 1) / 2 for i in used}
+    moments = ranked.agg(
+        *[F.sum(off[i] * off[i]).alias(f"s{i}") for i in used], *[F.sum(off[i] * off[j]).alias(f"m{k}") for k, (i, j) in pairs.items()])
+    scores = [F.struct(F.lit(k).alias("pair"), F.try_divide(F.col(f"m{k}"), F.sqrt(f"s{i}") * F.sqrt(f"s{j}")).alias("correlation"))
+              for k, (i, j) in pairs.items()]
+    return moments.select(F.inline(F.array(*scores)))
+
+
 def _diagonal(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """1 for each column with at least two different values."""
     varied = df.agg(*[(F.min(ref(c)) != F.max(ref(c))).alias(f"v{i}") for i, c in enumerate(names)])

@@ -48,9 +48,9 @@ def fits_one_sort(distinct: int) -> bool:
     return distinct <= SMALL_SORT
 
 
-def groups_fit_tasks(df: DataFrame, column: str, keys: Sequence[str]) -> bool:
-    """Whether no group has too many distinct values for one map."""
-    return distinct_estimates(df, [column], keys)[column] <= SMALL_GROUP
+def groups_fit_tasks(df: DataFrame, columns: str | Sequence[str], keys: Sequence[str]) -> bool:
+    """Whether no group has too many distinct values of a column for one map; one pass for all columns."""
+    return max(distinct_estimates(df, as_list(columns), keys).values()) <= SMALL_GROUP
 
 
 def broadcastable(df: DataFrame, key: str, other_bytes: int = 64) -> bool:

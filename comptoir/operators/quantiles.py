@@ -3,19 +3,23 @@
 Where a column has few distinct values (checked with a sketch), its values are counted first and Spark's
 ``percentile`` runs over the counts. Beyond that, whole-column quantiles are found by selection: sketched
 pivots narrow the interval that holds the wanted rank, exact counts confirm it, and only the few values
-left inside are gathered. No pass of it shuffles rows. Quantiles per group fall back on distributed ranks.
+left inside are gathered. No pass of it shuffles rows. Quantiles of large groups go the same way, for all
+groups and columns at once.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from comptoir.functions.columns import ref
 from comptoir.operators.order import distinct_estimates, fits_one_task, groups_fit_tasks, value_ranks
+from comptoir.session import ensure_checkpoint_dir
 
 _GATHER = 50_000  # values that one aggregate row may hold while finishing a selection
 _ACCURACY = 10_000  # a sketched quantile of n rows is off by at most n / accuracy ranks
@@ -81,6 +85,67 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], column: str, probabiliti
     if groups_fit_tasks(valued, column, list(keys)):
         counts = valued.groupBy(*by, ref(column).cast("double").alias("value")).agg(F.count(F.lit(1)).alias("n"))
         return counts.groupBy(*by).agg(_percentile_of_counts(probabilities).alias("q"))
+    return grouped_selection(valued, keys, [column], probabilities).filter(F.col("q")[0].isNotNull()).withColumn("q", F.col("q")[0])
+
+
+def grouped_selection(df: DataFrame, keys: Sequence[str], columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
+    """Per group ``q``, an array with the exact quantiles of each column (NULL for a column without values), for groups of any size.
+
+    A sketch per group and column gives an interval around each wanted rank. One more pass counts the values inside
+    the intervals, one row for each, and all values before an interval as one row; running counts of these few rows give the
+    ranks. No row is ranked that is not near a quantile, and a large group's rows combine before the shuffle. Should a
+    sketch be off by more than it promises, all distinct values are ranked instead.
+    """
+    by, wanted = [ref(k) for k in keys], sorted(set(probabilities))
+    fractions = [_around(p) for p in wanted]
+    every = sorted({f for pair in fractions for f in pair})
+    ensure_checkpoint_dir(df.sparkSession)
+    sketched = df.groupBy(*by).agg(*[
+        F.struct(F.count(ref(c)).alias("n"), F.percentile_approx(ref(c).cast("double"), every, _ACCURACY).alias("at")).alias(f"_s{i}")
+        for i, c in enumerate(columns)
+    ]).checkpoint()
+
+    def near(i: int, value: Column) -> Column:
+        kept = F.lit(None).cast("struct<v: double, inside: boolean>")
+        for low, high in reversed(fractions):
+            a, b = (F.get(F.col(f"_s{i}.at"), F.lit(every.index(f))) for f in (low, high))
+            kept = F.when(value < a, F.struct(a.alias("v"), F.lit(False).alias("inside"))).when(
+                value <= b, F.struct(value.alias("v"), F.lit(True).alias("inside"))).otherwise(kept)
+        return F.struct(F.lit(i).alias("_i"), F.when(value.isNotNull(), kept).alias("_e"))
+
+    rows = df.select(*by, *[ref(c).cast("double").alias(f"_v{i}") for i, c in enumerate(columns)]).join(sketched, list(keys))
+    counted = (
+        rows.select(*by, F.inline(F.array(*[near(i, F.col(f"_v{i}")) for i in range(len(columns))])))
+        .filter(F.col("_e").isNotNull()).groupBy(*by, "_i", "_e.v", "_e.inside").agg(F.count(F.lit(1)).alias("n"))
+    )
+    line = W.partitionBy(*by, "_i").orderBy("v", "inside").rowsBetween(W.unboundedPreceding, -1)
+    placed = counted.withColumn("before", F.coalesce(F.sum("n").over(line), F.lit(0))).filter("inside")
+    total = F.get(F.array(*[F.col(f"_s{i}.n") for i in range(len(columns))]), F.col("_i"))
+    placed = placed.join(sketched.select(*by, *[f"_s{i}" for i in range(len(columns))]), list(keys)).withColumn("_total", total)
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("before") <= rank) & (rank < F.col("before") + F.col("n")), F.col("v")))
+
+    steps = []
+    for p in probabilities:
+        position = F.lit(float(p)) * (F.col("_total") - 1)
+        weight = F.max(position - F.floor(position))
+        steps.append(at(F.floor(position)) * (1 - weight) + at(F.ceil(position)) * weight)
+    found = placed.groupBy(*by, "_i").agg(F.array(*steps).alias("_q"))
+    per_column = found.groupBy(*by).agg(F.array(*[F.max(F.when(F.col("_i") == i, F.col("_q"))) for i in range(len(columns))]).alias("q"))
+    result = sketched.join(per_column, list(keys), "left").checkpoint()
+    missed = reduce(Column.__or__, [
+        (F.col(f"_s{i}.n") > 0) & (F.col("q")[i].isNull() | F.exists(F.col("q")[i], lambda x: x.isNull())) for i in range(len(columns))])
+    if result.filter(missed).limit(1).count():
+        ranked = [_ranked_quantiles(df, keys, c, probabilities).withColumnRenamed("q", f"_q{i}") for i, c in enumerate(columns)]
+        result = reduce(lambda a, b: a.join(b, list(keys), "left"), ranked, sketched).withColumn("q", F.array(*[f"_q{i}" for i in range(len(columns))]))
+    return result.select(*by, "q")
+
+
+def _ranked_quantiles(df: DataFrame, keys: Sequence[str], column: str, probabilities: Sequence[float]) -> DataFrame:
+    """The same for one column from the ranks of all distinct values."""
+    by = [ref(k) for k in keys]
+    valued = df.filter(ref(column).isNotNull())
     ranks = value_ranks(valued, column, keys)
     sizes = valued.groupBy(*by).agg(F.count(F.lit(1)).alias("_size"))
     placed = ranks.join(sizes, list(keys))

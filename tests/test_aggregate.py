@@ -1,11 +1,14 @@
 import math
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from comptoir.functions.columns import with_revenue
 from comptoir.operators import aggregate as agg
+from comptoir.operators import merging, quantiles
+from comptoir.operators.merging import MergeAggregate
 
 
 def rows(df):
@@ -157,3 +160,58 @@ def test_pivot_cells_have_no_limit(spark):
         assert sorted(map(tuple, pivot_cells(df, "k", "c", "v").collect())) == [(i % 2, i, i) for i in (0, 2, 4)] + [(i % 2, i, i) for i in (1, 3, 5)]
     finally:
         spark.conf.unset("spark.sql.pivotMaxValues")
+
+
+MEAN = MergeAggregate(
+    init=lambda: (0.0, 0), update=lambda s, v: (s[0] + float(v.sum()), s[1] + int(v.count())), merge=lambda a, b: (a[0] + b[0], a[1] + b[1]),
+    finish=lambda s: s[0] / s[1] if s[1] else None, state="total double, n bigint", result="double", name="own_mean")
+LONGEST = MergeAggregate(
+    init=lambda: ("",), update=lambda s, v: (max([s[0], *v.dropna()], key=lambda x: (len(x), x)),), merge=lambda a, b: (max(a[0], b[0], key=lambda x: (len(x), x)),),
+    finish=lambda s: s[0], state="text string", result="string")
+
+
+def test_own_aggregate_with_merge(spark):
+    df = spark.createDataFrame([("a", 1.0, "x"), ("a", 3.0, "yy"), ("b", None, None), ("c", 5.0, "é"), (None, 9.0, "z"), ("a", None, "zz")] * 3, "k string, v double, t string").repartition(5)
+    got = agg.group_by(df, "k", {"v": [MEAN, "sum"], "t": LONGEST}, sort_by="k", ascending=True)
+    assert got.columns == ["k", "v_own_mean", "v_sum", "t_merged"]
+    assert [tuple(r) for r in got.collect()] == [("a", 2.0, 12.0, "zz"), ("b", None, 0.0, ""), ("c", 5.0, 15.0, "é")]
+    assert [tuple(r) for r in agg.group_by(df, "k", {"v": MEAN}, sort_by="k", ascending=True).collect()] == [("a", 2.0), ("b", None), ("c", 5.0)]
+    assert agg.group_by(df.limit(0), "k", {"v": MEAN}).count() == 0
+    assert [tuple(r) for r in agg.pivot_table(df, "k", "t", "v", MEAN).select("k", "x", "yy").collect()] == [("a", 1.0, 3.0), ("c", None, None)]
+
+
+def test_own_aggregate_sends_states_not_rows(spark, monkeypatch):
+    df = spark.range(0, 20_000, numPartitions=8).selectExpr("IF(id % 10 = 0, id % 700, -1) AS k", "CAST(id AS double) AS v")
+    want = {r.k: r.m for r in df.groupBy("k").agg(F.avg("v").alias("m")).collect()}
+    for held in (merging._STATES, 7):
+        monkeypatch.setattr(merging, "_STATES", held)
+        seen = spark.sparkContext.accumulator(0)
+
+        def merge(a, b):
+            seen.add(1)
+            return a[0] + b[0], a[1] + b[1]
+
+        own = MergeAggregate(MEAN.init, MEAN.update, merge, MEAN.finish, MEAN.state, MEAN.result)
+        assert {r.k: r.v for r in agg.group_by(df, "k", {"v": own}).collect()} == want
+        if held > 7:  # the key with nine rows in ten is one state of each task, like any other
+            assert seen.value < 8 * len(want)
+
+
+def test_medians_are_part_of_one_aggregate(spark, grouped):
+    plan = agg.group_by(grouped, "k", {"v": ["median", "sum"], "i": "median"})._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("percentile(") >= 2
+
+
+def test_medians_of_large_groups(spark, scale):
+    rng = np.random.default_rng(4)
+    data = pd.DataFrame({"k": rng.choice(["a", "a", "a", "b", "c"], 3000), "x": rng.normal(size=3000).round(1), "y": rng.integers(0, 10**6, 3000).astype(float), "z": 1.0})
+    data.loc[rng.random(3000) < 0.2, "y"] = np.nan
+    data.loc[data.k == "c", "x"] = np.nan
+    df = spark.createDataFrame(data.astype(object).where(data.notna(), None), "k string, x double, y double, z double").repartition(4)
+    got = agg.group_by(df, "k", {"x": "median", "y": "median", "z": "median"}, sort_by="k", ascending=True).toPandas()
+    pd.testing.assert_frame_equal(got, data.groupby("k").median().reset_index())
+    found = {r["k"]: r["q"] for r in quantiles.grouped_selection(df, ["k"], ["x", "y"], [0.0, 0.25, 0.9, 1.0]).collect()}
+    for k, group in data.groupby("k"):
+        for i, c in enumerate("xy"):
+            values = group[c].dropna()
+            assert (found[k][i] is None) if values.empty else found[k][i] == pytest.approx(list(np.quantile(values, [0.0, 0.25, 0.9, 1.0])))

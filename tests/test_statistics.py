@@ -86,6 +86,57 @@ def test_kendall_equals_brute_force(spark, measures, scale):
             assert math.isclose(matrix[i, j], tau_b(pair[:, 0], pair[:, -1]), abs_tol=1e-12)
 
 
+def test_spearman_of_columns_with_the_same_gaps(spark, measures, scale):
+    data = measures.assign(w=measures["x"] ** 2 + measures["z"].fillna(0), v=np.where(measures["x"].isna(), np.nan, 7 - measures["x"]))
+    long = correlation.correlation_matrix(frame(spark, data), "spearman")
+    np.testing.assert_allclose(as_matrix(long, list(data)), data.corr("spearman").to_numpy(), atol=1e-9)
+
+
+@pytest.fixture
+def stored_rows(monkeypatch):
+    """Rows of each checkpoint that a test makes."""
+    sizes, checkpoint = [], type_of_frames().checkpoint
+
+    def counted(self, *args, **kwargs):
+        done = checkpoint(self, *args, **kwargs)
+        sizes.append(done.count())
+        return done
+
+    monkeypatch.setattr(type_of_frames(), "checkpoint", counted)
+    return sizes
+
+
+def type_of_frames():
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    return DataFrame
+
+
+@pytest.mark.parametrize("wide", [True, False])
+def test_spearman_stores_ranks_once_per_column(spark, stored_rows, wide, monkeypatch):
+    if not wide:
+        monkeypatch.setattr(correlation.order, "BROADCAST_BYTES", 1)
+    rng = np.random.default_rng(8)
+    data = pd.DataFrame({f"c{i}": rng.normal(size=300) for i in range(8)})
+    totals = []
+    for m in (4, 8):
+        stored_rows.clear()
+        long = correlation.correlation_matrix(frame(spark, data.iloc[:, :m]), "spearman")
+        np.testing.assert_allclose(as_matrix(long, list(data)[:m]), data.iloc[:, :m].corr("spearman").to_numpy(), atol=1e-9)
+        totals.append(sum(stored_rows))
+    assert totals[0] <= 4 * 300 * 2 and totals[1] <= 2.1 * totals[0]
+
+
+def test_kendall_stores_at_most_one_copy_per_column_at_a_time(spark, stored_rows):
+    rng = np.random.default_rng(9)
+    data = pd.DataFrame({f"c{i}": rng.integers(0, 50, 200).astype(float) for i in range(6)})
+    matrix = as_matrix(correlation.correlation_matrix(frame(spark, data), "kendall"), list(data))
+    assert max(stored_rows) <= 6 * 200 and len(stored_rows) >= 3
+    for i in range(6):
+        for j in range(i):
+            assert math.isclose(matrix[i, j], tau_b(data.iloc[:, i].to_numpy(), data.iloc[:, j].to_numpy()), abs_tol=1e-12)
+
+
 def test_correlation_without_common_rows(spark):
     df = spark.createDataFrame([(1.0, None), (None, 2.0), (3.0, None)], "a double, b double")
     for method in ("pearson", "spearman", "kendall"):
