@@ -1,10 +1,11 @@
 """Exact k-nearest-neighbour imputation without comparing all pairs of rows.
 
 Equal feature vectors collapse first, so a value that fills a third of the table is one vector. A
-bounded sample of the complete-enough vectors then does two things: it gives every incomplete vector an
-upper bound on the distance of its k-th neighbour, and it splits the feature space into boxes. A vector
-visits only the boxes closer than its bound, and in each box the neighbours are found with numpy. The
-sample decides how evenly the work spreads, never the result.
+bounded sample of the complete-enough vectors, in which each column has its share, then does two things: it
+gives every missing coordinate of a vector an upper bound on the distance of its k-th neighbour, and it
+splits the feature space into boxes. A vector visits only boxes closer than that bound that have donors for
+the coordinate; a column with fewer than k donors in all brings visits to their boxes only. Boxes with many
+donors are dealt to several tasks, and the k best of all are merged. The sample decides how evenly the work spreads, never the result.
 
 The distance uses the coordinates both vectors have, scaled by all / shared; equal distances are
 ordered by the neighbour's value.
@@ -30,6 +31,8 @@ _MIN_SAMPLE = 2_000
 _VECTORS_PER_SAMPLED = 2_000  # one sampled vector for so many, within the two limits above
 _SAMPLED_PER_BOX = 20
 _BLOCK = 20_000  # incomplete vectors that one task compares with one box
+_DONORS = 50_000  # complete-enough vectors of a box that one task holds
+_PER_COLUMN = 400  # sampled vectors that have a column, at least, and eight times k
 _MATRIX = 4_000_000  # distances held at once inside a task
 
 
@@ -69,11 +72,16 @@ def _neighbour_means(vectors: DataFrame, features: list[str], k: int) -> DataFra
     )
     incomplete = distinct.filter(known < len(features)).drop("n")
 
-    total = distinct.count()
+    total, *present = distinct.agg(F.count(F.lit(1)), *[F.count(f) for f in features]).first()
     size = min(_MAX_SAMPLE, max(_MIN_SAMPLE, total // _VECTORS_PER_SAMPLED))
-    sampled = distinct.select(*features)
-    if total > size:
-        sampled = sampled.sample(fraction=min(1.0, 1.2 * size / total), seed=7).limit(size)
+
+    def drawn(share: float, salt: int) -> Column:
+        return F.pmod(F.xxhash64(*features, F.lit(salt)), F.lit(1 << 30)) < int(share * (1 << 30))
+
+    # Drawn by hash at a rate for all and a rate for each column, so that rare columns have neighbours in the sample too.
+    rates = [min(1.0, max(_PER_COLUMN, 8 * k) / max(n, 1)) for n in present]
+    kept = reduce(Column.__or__, [F.col(f).isNotNull() & drawn(rate, i) for i, (f, rate) in enumerate(zip(features, rates))], drawn(min(1.0, size / max(total, 1)), -1))
+    sampled = distinct.select(*features).filter(kept)
     sample = np.array([list(r) for r in sampled.collect()], dtype=float).reshape(-1, len(features))
     boxes = spark.sparkContext.broadcast(_Boxes.split(sample))
     bound = spark.sparkContext.broadcast(sample)
@@ -88,7 +96,7 @@ def _neighbour_means(vectors: DataFrame, features: list[str], k: int) -> DataFra
             step = max(1, _MATRIX // max(1, len(bound.value), boxes.value.count))
             for start in range(0, len(points), step):
                 part = points[start:start + step]
-                rows, hit = boxes.value.within(part, _bounds(part, bound.value, k))
+                rows, hit = boxes.value.within(part, _bounds(part, bound.value, k), having.value)
                 yield pd.DataFrame(part[rows], columns=features).assign(box=hit.astype("int32"))
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -99,19 +107,28 @@ def _neighbour_means(vectors: DataFrame, features: list[str], k: int) -> DataFra
     def nulls(frame: DataFrame) -> DataFrame:
         return frame.withColumns({f: F.when(~F.isnan(f), F.col(f)) for f in features})
 
-    seekers = nulls(incomplete.mapInPandas(visits, visit_schema)).checkpoint()
+    placed = nulls(distinct.mapInPandas(place, placed_schema))
     # One row per box, and there are fewer boxes than sampled vectors.
-    per_box = seekers.groupBy("box").agg(F.ceil(F.count(F.lit(1)) / _BLOCK).cast("int").alias("blocks")).collect()
+    counts = placed.groupBy("box").agg(F.count(F.lit(1)), *[F.count(f) for f in features]).collect()
+    held = np.zeros((boxes.value.count, len(features)), bool)
+    for row in counts:
+        held[row[0]] = [n > 0 for n in row[2:]]
+    having = spark.sparkContext.broadcast(held)
+    seekers = nulls(incomplete.mapInPandas(visits, visit_schema)).checkpoint()
+    parts = {row[0]: -(-row[1] // _DONORS) for row in counts}
+    per_box = [(r["box"], r["blocks"], parts.get(r["box"], 1)) for r in
+               seekers.groupBy("box").agg(F.ceil(F.count(F.lit(1)) / _BLOCK).cast("int").alias("blocks")).collect()]
 
     def blocks() -> DataFrame:
-        return F.broadcast(spark.createDataFrame(per_box, "box int, blocks int"))
+        return F.broadcast(spark.createDataFrame(per_box, "box int, blocks int, parts int"))
 
-    seekers = seekers.join(blocks(), "box").withColumn(
-        "block", F.pmod(F.xxhash64(*features), F.col("blocks")).cast("int")
-    )
-    donors = nulls(distinct.mapInPandas(place, placed_schema)).join(blocks(), "box").withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    )
+    # A box with many donors is dealt out in parts, one with many seekers in blocks; every block meets every part.
+    seekers = seekers.join(blocks(), "box").withColumns({
+        "block": F.pmod(F.xxhash64(*features), F.col("blocks")).cast("int"), "part": F.explode(F.sequence(F.lit(0), F.col("parts") - 1)),
+    })
+    donors = placed.join(blocks(), "box").withColumns({
+        "part": F.pmod(F.xxhash64(F.lit(1), *features), F.col("parts")).cast("int"), "block": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)),
+    })
     near_schema = T.StructType([
         *numbers, T.StructField("target", T.IntegerType()), T.StructField("distance", T.DoubleType()),
         T.StructField("value", T.DoubleType()), T.StructField("n", T.LongType()),
@@ -122,9 +139,9 @@ def _neighbour_means(vectors: DataFrame, features: list[str], k: int) -> DataFra
         return pd.DataFrame(found, columns=near_schema.names).astype({"target": "int32", "n": "int64"})
 
     near = nulls(
-        seekers.groupBy("box", "block").cogroup(donors.groupBy("box", "block")).applyInPandas(nearest, near_schema)
+        seekers.groupBy("box", "block", "part").cogroup(donors.groupBy("box", "block", "part")).applyInPandas(nearest, near_schema)
     )
-    # At most k candidates per visited box: keep the k nearest rows over all boxes.
+    # At most k candidates per visited box and part: keep the k nearest rows over all boxes.
     line = W.partitionBy(*features, "target").orderBy("distance", "value").rowsBetween(W.unboundedPreceding, -1)
     taken = near.withColumn("n", F.least(F.col("n"), F.lit(k) - F.coalesce(F.sum("n").over(line), F.lit(0))))
     means = taken.filter(F.col("n") > 0).groupBy(*features, "target").agg(
@@ -149,16 +166,13 @@ def _distances(points: np.ndarray, others: np.ndarray) -> np.ndarray:
 
 
 def _bounds(points: np.ndarray, sample: np.ndarray, k: int) -> np.ndarray:
-    """Largest k-th neighbour distance over the missing coordinates of each point, as seen in the sample."""
+    """k-th neighbour distance for each missing coordinate of each point, as seen in the sample; infinite with fewer than k, -1 where not missing."""
     distance = _distances(points, sample)
-    bound = np.zeros(len(points))
+    bound = np.full(points.shape, -1.0)
     for j in range(points.shape[1]):
         lacking = np.isnan(points[:, j])
         donors = distance[np.ix_(lacking, ~np.isnan(sample[:, j]))]
-        kth = np.full(lacking.sum(), np.inf)
-        if donors.shape[1] >= k:
-            kth = np.partition(donors, k - 1, axis=1)[:, k - 1]
-        bound[lacking] = np.maximum(bound[lacking], kth)
+        bound[lacking, j] = np.partition(donors, k - 1, axis=1)[:, k - 1] if donors.shape[1] >= k else np.inf
     return bound
 
 
@@ -249,8 +263,11 @@ class _Boxes:
         descend(self.tree, np.arange(len(points)))
         return box
 
-    def within(self, points: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (point, box) where the box can hold a vector at most ``bounds`` away."""
+    def within(self, points: np.ndarray, bounds: np.ndarray, having: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (point, box) where the box has donors for a missing coordinate and can hold one at most that coordinate's bound away.
+
+        ``having`` says which coordinates any vector of a box has.
+        """
         total = np.zeros((len(points), self.count))
         shared = np.zeros_like(total)
         for j in range(points.shape[1]):
@@ -262,5 +279,7 @@ class _Boxes:
         with np.errstate(divide="ignore", invalid="ignore"):
             least = np.where(shared > 0, points.shape[1] / shared * total, np.inf)
         # The margin covers rounding; a box that shares no coordinate holds no neighbour.
-        limit = bounds[:, None] * (1 + 1e-9)
-        return np.nonzero((least <= limit) & np.isfinite(least))
+        hit = np.zeros(least.shape, bool)
+        for j in range(points.shape[1]):
+            hit |= (least <= bounds[:, j, None] * (1 + 1e-9)) & having[None, :, j]
+        return np.nonzero(hit & np.isfinite(least))

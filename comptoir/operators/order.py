@@ -9,11 +9,14 @@ because the ranges follow key and value together; a hot value is one row after p
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from comptoir.functions.columns import as_list, ref
@@ -111,33 +114,104 @@ def fill_along_order(
     df: DataFrame, columns: str | Sequence[str], order_by: str | Sequence[str],
     partition_by: str | Sequence[str] = (), backward: bool = False,
 ) -> DataFrame:
-    """Replace NULLs by the last earlier (``backward``: first later) non-NULL value in the given order."""
-    columns, order, keys = as_list(columns), as_list(order_by), as_list(partition_by)
-    names = df.columns
-    ranged = split_by_range(df, *keys, *order)
-    position = F.struct(*[ref(c) for c in order])
-    nearest = F.min_by if backward else F.max_by
-    group = [_RANGE, *[ref(k) for k in keys]]
+    """Replace NULLs by the last earlier (``backward``: first later) non-NULL value in the given order.
 
-    def along(column: Column) -> Column:
-        # Filling backward is filling forward in the opposite order; a frame that looks ahead would
-        # be evaluated anew for every row.
-        return column.desc() if backward else column.asc()
-
-    edges = ranged.groupBy(*group).agg(*[
-        nearest(ref(c), F.when(ref(c).isNotNull(), position)).alias(f"_edge{i}") for i, c in enumerate(columns)
-    ])
-    carried = [f"_edge{i}" for i in range(len(columns))]
-    beside = W.partitionBy(*[ref(k) for k in keys]).orderBy(along(F.col(_RANGE))).rowsBetween(W.unboundedPreceding, -1)
-    # As above: a carried value exists only where a group continues across a range boundary.
-    edges = edges.withColumns({c: F.last(c, ignorenulls=True).over(beside) for c in carried})
-    edges = edges.filter(reduce(Column.__or__, [F.col(c).isNotNull() for c in carried]))
-
-    inside = W.partitionBy(*group).orderBy(*[along(ref(c)) for c in order]).rowsBetween(W.unboundedPreceding, 0)
-    filled = _join_offsets(ranged, edges, keys).withColumns({
-        c: F.coalesce(F.last(ref(c), ignorenulls=True).over(inside), F.col(f"_edge{i}")) for i, c in enumerate(columns)
-    })
-    return filled.select(*[ref(c) for c in names])
+    Rows are shuffled once, by ranges of key and order, sorted inside their range and kept so. A first pass over the
+    kept ranges gives one small row each: its first and last key and the values it would hand on. From these follows what
+    every range takes over, and a second pass fills the rows where they lie.
+    """
+    spark = df.sparkSession
+    columns, order, keys = as_list(columns), as_list(order_by), as_list(partition_by)
+    ensure_checkpoint_dir(spark)
+    # Filling backward is filling forward in the opposite order.
+    line = [ref(c).desc() if backward else ref(c).asc() for c in (*keys, *order)]
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    kept = df.repartitionByRange(ranges, *line).sortWithinPartitions(*line).withColumn(_RANGE, F.spark_partition_id()).checkpoint()
+    types = {f.name: f.dataType for f in df.schema}
+    edge_schema = T.StructType([T.StructField(_RANGE, T.IntegerType()), T.StructField("one", T.BooleanType())]
+                               + [T.StructField(f"{side}{i}", types[k]) for side in ("first", "last") for i, k in enumerate(keys)]
+                               + [T.StructField(f"value{i}", types[c]) for i, c in enumerate(columns)])
+
+    def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = {}
+        for at, batch, filled, fresh in _filled_batches(batches, columns, keys, {}):
+            end = batch.slice(batch.num_rows - 1)
+            one, first = found[at][:2] if at in found else (True, [batch.column(k).slice(0, 1) for k in keys])
+            # the first row of a range begins its first key; any later beginning is another key
+            found[at] = one and not fresh, first, [end.column(k) for k in keys], [f.slice(batch.num_rows - 1) for f in filled]
+        for at, (one, first, last, values) in found.items():
+            yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([one]), *first, *last, *values], names=edge_schema.names)
+
+    carried = spark.sparkContext.broadcast(_carried(kept.select(_RANGE, *[ref(c) for c in dict.fromkeys((*keys, *columns))]).mapInArrow(edges, edge_schema).toArrow(), len(keys), len(columns)))
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, batch, filled, _ in _filled_batches(batches, columns, keys, carried.value):
+            by_name = dict(zip(columns, filled))
+            yield pa.RecordBatch.from_arrays([by_name.get(c, batch.column(c)) for c in df_names], names=df_names)
+
+    df_names = df.columns
+    return kept.mapInArrow(fill, df.schema)
+
+
+def _filled_batches(
+    batches: Iterator[pa.RecordBatch], columns: list[str], keys: list[str], carried: dict[int, list[pa.Scalar]]
+) -> Iterator[tuple[int, pa.RecordBatch, list[pa.Array], bool]]:
+    """Per batch of sorted rows of one range: range, rows, filled columns, and whether a key begins after the range's first row."""
+    at, last_key, values = None, None, []
+    for whole in batches:
+        numbers = whole.column(_RANGE).to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(numbers)) + 1).tolist(), len(numbers)]
+        for begin, end in zip(cuts, cuts[1:]):
+            if begin == end:
+                continue
+            batch = whole.slice(begin, end - begin)
+            n = batch.num_rows
+            own = [batch.column(k) for k in keys]
+            new = np.zeros(n, bool)
+            for column in own:
+                a, b = column.slice(1), column.slice(0, n - 1)
+                differ = pc.or_(pc.fill_null(pc.not_equal(a, b), False), pc.not_equal(pc.is_null(a), pc.is_null(b)))
+                new[1:] |= differ.to_numpy(zero_copy_only=False)
+            key = [c[0].as_py() for c in own]
+            if at != numbers[begin]:
+                at = int(numbers[begin])
+                values = carried.get(at) or [pa.scalar(None, batch.column(c).type) for c in columns]
+                new_first = False
+            else:
+                new_first = key != last_key
+                new[0] = new_first
+            place = np.arange(n)
+            start = np.maximum.accumulate(np.where(new, place, -1))  # -1: the key that was open before these rows
+            filled = []
+            for j, name in enumerate(columns):
+                column = batch.column(name)
+                near = np.maximum.accumulate(np.where(column.is_valid().to_numpy(zero_copy_only=False), place, -1))
+                gone = near < np.maximum(start, 0)
+                taken = column.take(pa.array(np.where(gone, 0, near), mask=gone))
+                if values[j].is_valid and (gone & (start < 0)).any():
+                    taken = pc.if_else(pa.array(gone & (start < 0)), values[j], taken)
+                filled.append(taken)
+            values = [f[n - 1] for f in filled]
+            last_key = [c[n - 1].as_py() for c in own]
+            yield at, batch, filled, bool(new.any())
+
+
+def _carried(edges: pa.Table, keys: int, columns: int) -> dict[int, list[pa.Scalar]]:
+    """What each range takes over from those before it, where its first key is the last one there. One row per range."""
+    edges = edges.sort_by(_RANGE).combine_chunks()
+    found: dict[int, list[pa.Scalar]] = {}
+    values: list[pa.Scalar] = []
+    last = None
+    for row in range(edges.num_rows):
+        first = [edges.column(f"first{i}")[row].as_py() for i in range(keys)]
+        own = [edges.column(f"value{j}")[row] for j in range(columns)]
+        same = last is not None and first == last
+        if same:
+            found[edges.column(_RANGE)[row].as_py()] = values
+        through = same and edges.column("one")[row].as_py()
+        values = [v if v.is_valid or not through else before for v, before in zip(own, values or own)]
+        last = [edges.column(f"last{i}")[row].as_py() for i in range(keys)]
+    return found
 
 
 def _join_offsets(ranged: DataFrame, offsets: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -92,6 +92,8 @@ def test_knn_equals_brute_force(spark, monkeypatch, tight):
         monkeypatch.setattr(neighbours, "_MAX_SAMPLE", 60)
         monkeypatch.setattr(neighbours, "_SAMPLED_PER_BOX", 4)
         monkeypatch.setattr(neighbours, "_BLOCK", 7)
+        monkeypatch.setattr(neighbours, "_DONORS", 9)
+        monkeypatch.setattr(neighbours, "_PER_COLUMN", 6)
         monkeypatch.setattr(neighbours, "_MATRIX", 500)
     rng = np.random.default_rng(11)
     n = 240
@@ -107,6 +109,33 @@ def test_knn_equals_brute_force(spark, monkeypatch, tight):
     np.testing.assert_allclose(got[["a", "b", "c"]].to_numpy(float), brute_knn(data), rtol=1e-9)
 
 
+def test_knn_of_a_column_with_few_values_visits_few_boxes(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    monkeypatch.setattr(neighbours, "_MIN_SAMPLE", 400)
+    sizes, checkpoint = [], DataFrame.checkpoint
+
+    def counted(self, *args, **kwargs):
+        done = checkpoint(self, *args, **kwargs)
+        sizes.append((done.columns, done.count(), done.select("box").distinct().count() if "box" in done.columns else 0))
+        return done
+
+    monkeypatch.setattr(DataFrame, "checkpoint", counted)
+    rng = np.random.default_rng(3)
+    data = pd.DataFrame({"a": rng.normal(size=2000), "b": rng.normal(size=2000), "c": np.nan})
+    data.loc[[3, 500, 900, 1200, 1999], "c"] = [1.0, 2.0, 3.0, 4.0, 50.0]
+    df = spark.createDataFrame(data.assign(id=range(2000)))
+    df = df.withColumns({c: F.nanvl(c, F.lit(None)) for c in "abc"})
+    donors = data[data["c"].notna()]
+    for k in (3, 8):
+        got = neighbours.knn_impute(df.repartition(8), ["a", "b", "c"], k).orderBy("id").toPandas()
+        distance = (data["a"].to_numpy()[:, None] - donors["a"].to_numpy()) ** 2 + (data["b"].to_numpy()[:, None] - donors["b"].to_numpy()) ** 2
+        nearest = donors["c"].to_numpy()[np.argsort(distance, axis=1)[:, :k]].mean(axis=1)
+        np.testing.assert_allclose(got["c"].to_numpy(float), data["c"].fillna(pd.Series(nearest)), rtol=1e-9)
+        columns, rows, boxes = sizes[-1]
+        assert "box" in columns and boxes <= 5 and rows <= 5 * 1995  # of the boxes, only those with the five values
+
+
 def test_knn_on_one_column_is_the_mean(gaps):
     got = impute.impute_missing_values(gaps.drop("n"), "knn")
     assert column(got, "x") == [1.0, 3.0, 2.0, 4.0, 5.0, 3.0]

@@ -94,3 +94,24 @@ def test_quantiles_per_group(spark, scale):
 def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "v double")
     assert quantiles.exact_quantiles(df, {"v": [0.5]}) == {"v": [None]}
+
+
+@pytest.mark.parametrize("backward", [False, True])
+def test_fill_shuffles_rows_once_and_crosses_ranges(spark, backward):
+    rng = np.random.default_rng(6)
+    n = 900
+    data = pd.DataFrame({
+        "k": np.sort(rng.choice(["a", "b", "c", "d"], n, p=[0.7, 0.1, 0.1, 0.1])), "i": range(n), "v": np.where(rng.random(n) < 0.02, rng.normal(size=n), np.nan),
+        "t": np.where(rng.random(n) < 0.5, "x", None), "d": pd.Timestamp("2024-01-01") + pd.to_timedelta(rng.integers(0, 99, n), unit="D")})
+    df = spark.createDataFrame(data.astype(object).where(data.notna(), None), "k string, i int, v double, t string, d timestamp").repartition(5)
+    for keys in ([], ["k"]):
+        filled = order.fill_along_order(df, ["v", "t"], "i", keys, backward)
+        assert "Exchange" not in filled._jdf.queryExecution().executedPlan().toString()  # rows lie in their ranges already
+        assert filled.columns == df.columns
+        got = filled.orderBy("i").toPandas()
+        groups = data.groupby("k") if keys else data
+        want = groups[["v", "t"]].bfill() if backward else groups[["v", "t"]].ffill()
+        np.testing.assert_array_equal(got["v"].to_numpy(float), want["v"].to_numpy(float))
+        assert [x if isinstance(x, str) else None for x in got["t"]] == [x if isinstance(x, str) else None for x in want["t"]]
+        assert (got["d"].to_numpy() == data["d"].to_numpy()).all()
+    assert order.fill_along_order(df.limit(0), "v", "i", "k", backward).count() == 0
