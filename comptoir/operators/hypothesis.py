@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from comptoir.functions import pvalues
 from comptoir.functions.columns import ref
@@ -15,7 +11,7 @@ from comptoir.operators.aggregate import cross_tab_counts
 from comptoir.operators.order import distinct_estimates, fits_one_sort, value_ranks
 
 ALPHA = 0.05
-_SCORES_PER_ROW = 50_000  # ranks whose normal scores one row of the Shapiro sum covers
+_SCORES_PER_ROW = 50_000  # ranks that one row of the Shapiro sum is spread out to at once
 
 
 def t_test_independent(df: DataFrame, column: str, group_column: str, group1, group2) -> DataFrame:
@@ -97,8 +93,8 @@ def kolmogorov_smirnov(df: DataFrame, column: str) -> DataFrame:
 def shapiro_wilk(df: DataFrame, column: str) -> DataFrame:
     """W test: ``statistic, p_value, is_normal``; NULL below three values.
 
-    Each distinct value covers a run of ranks. Long runs are split before the normal scores of the
-    ranks are summed, so a value that fills a third of the table is spread over tasks too.
+    Each distinct value covers a run of ranks. Long runs are split before they are spread out to ranks, whose normal scores
+    are plain arithmetic inside the aggregate.
     """
     ranks = _ranks(df, column)
     value = ref(column).cast("double")
@@ -106,22 +102,18 @@ def shapiro_wilk(df: DataFrame, column: str) -> DataFrame:
         F.count(value).cast("double").alias("n"), F.var_pop(value).alias("variance"), F.avg(value).alias("mean"),
     )).scalar()
     first = F.sequence(F.col("before") + 1, F.col("before") + F.col("n"), F.lit(_SCORES_PER_ROW).cast("bigint"))
-    runs = ranks.withColumn("first", F.explode(first)).select(
-        "x", "first",
-        F.least(F.col("first") + _SCORES_PER_ROW - 1, F.col("before") + F.col("n")).alias("last"),
-        totals.getField("n").alias("total"), totals.getField("mean").alias("mean"),
+    last = F.least(F.col("first") + _SCORES_PER_ROW - 1, F.col("before") + F.col("n"))
+    scored = (
+        ranks.withColumn("first", F.explode(first)).select("x", F.explode(F.sequence("first", last)).alias("rank"))
+        .select("x", "rank", totals.getField("n").alias("total"), totals.getField("mean").alias("mean"))
+        .withColumn("score", pvalues.normal_quantile((F.col("rank") - 0.375) / (F.col("total") + 0.25)))
     )
-    summed = runs.select("*", _score_sums("first", "last", "total").alias("s"))
-    ends = {
-        "lowest": F.min(F.when(F.col("first") == 1, F.col("x"))),
-        "low": F.min(F.when((F.col("first") <= 2) & (F.col("last") >= 2), F.col("x"))),
-        "high": F.max(F.when((F.col("first") <= F.col("total") - 1) & (F.col("last") >= F.col("total") - 1), F.col("x"))),
-        "highest": F.max("x"),
-    }
-    one = summed.agg(
+    ends = {"lowest": F.min("x"), "low": F.min(F.when(F.col("rank") == 2, F.col("x"))),
+            "high": F.max(F.when(F.col("rank") == F.col("total") - 1, F.col("x"))), "highest": F.max("x")}
+    one = scored.agg(
         F.max("total").alias("n"),
-        F.sum((F.col("x") - F.col("mean")) * F.col("s.scores")).alias("score_sum"),
-        F.sum("s.squares").alias("squares"),
+        F.sum((F.col("x") - F.col("mean")) * F.col("score")).alias("score_sum"),
+        F.sum(F.col("score") * F.col("score")).alias("squares"),
         *[e.alias(name) for name, e in ends.items()],
     ).withColumn("spread", totals.getField("variance") * F.col("n")).filter(F.col("n") >= 3)
     statistic = pvalues.shapiro_w("n", "score_sum", "squares", "spread", "lowest", "low", "high", "highest")
@@ -131,23 +123,6 @@ def shapiro_wilk(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-@F.pandas_udf(T.StructType([T.StructField("scores", T.DoubleType()), T.StructField("squares", T.DoubleType())]))
-def _score_sums(first: pd.Series, last: pd.Series, total: pd.Series) -> pd.DataFrame:
-    """Sum and sum of squares of the normal scores of ranks ``first`` to ``last``."""
-    first, last = first.to_numpy(np.int64), last.to_numpy(np.int64)
-    lengths = last - first + 1
-    sums, squares = np.zeros(len(first)), np.zeros(len(first))
-    # Runs are taken together until they cover enough ranks, which keeps the arrays short.
-    part = np.cumsum(lengths) // (4 * _SCORES_PER_ROW)
-    for chunk in np.unique(part):
-        at = np.flatnonzero(part == chunk)
-        starts = np.r_[0, np.cumsum(lengths[at])[:-1]]
-        ranks = np.arange(lengths[at].sum()) - np.repeat(starts, lengths[at]) + np.repeat(first[at], lengths[at])
-        scores = pvalues.normal_scores(ranks, int(total.iloc[0]))
-        sums[at], squares[at] = np.add.reduceat(scores, starts), np.add.reduceat(scores * scores, starts)
-    return pd.DataFrame({"scores": sums, "squares": squares})
-
-
 def test_normality(df: DataFrame, column: str, method: str = "shapiro") -> DataFrame:
     if method == "shapiro":
         return shapiro_wilk(df, column)

@@ -1,4 +1,5 @@
 import math
+from decimal import Decimal, localcontext
 from statistics import NormalDist
 
 import numpy as np
@@ -179,8 +180,65 @@ def test_kolmogorov_table(d, n):
     assert math.isclose(pvalues.kolmogorov_upper(d, n), 0.05, abs_tol=2e-4)
 
 
-def test_kolmogorov_limit_meets_the_exact_form():
-    assert math.isclose(pvalues.kolmogorov_upper(0.11, 141), 1 - pvalues._kolmogorov_exact(0.11, 141), abs_tol=2e-4)
+def kolmogorov_in_decimals(d, n):
+    """P(D_n >= d) by the matrix form with 80 digits."""
+    with localcontext() as context:
+        context.prec = 80
+        d = Decimal(d)
+        k = int(n * d) + 1
+        h, size = k - n * d, 2 * k - 1
+        matrix = [[Decimal(1 if i - j + 1 >= 0 else 0) for j in range(size)] for i in range(size)]
+        for i in range(size):
+            matrix[i][0] -= h ** (i + 1)
+            matrix[-1][i] -= h ** (size - i)
+        if 2 * h > 1:
+            matrix[-1][0] += (2 * h - 1) ** size
+        for i in range(size):
+            for j in range(min(i + 1, size - 1) + 1):
+                matrix[i][j] /= math.factorial(i - j + 1)
+
+        def times(a, b):
+            columns = list(zip(*b))
+            return [[sum(x * y for x, y in zip(row, column)) for column in columns] for row in a]
+
+        row, left, power = [[Decimal(int(j == k - 1)) for j in range(size)]], n, matrix
+        while left:
+            if left & 1:
+                row = times(row, power)
+            left >>= 1
+            power = times(power, power) if left else power
+        value = row[0][k - 1]
+        for i in range(1, n + 1):
+            value *= Decimal(i) / n
+        return float(1 - value)
+
+
+@pytest.mark.parametrize("d, n", [
+    ("0.3", 3), ("0.6", 3), ("0.9", 3), ("0.03", 140), ("0.07", 140), ("0.12", 140), ("0.03", 141), ("0.07", 141), ("0.12", 141),
+    ("0.2", 141), ("0.015", 500), ("0.03", 500), ("0.055", 500)])
+def test_kolmogorov_to_many_digits(d, n):
+    assert math.isclose(pvalues.kolmogorov_upper(float(d), n), kolmogorov_in_decimals(d, n), rel_tol=0, abs_tol=1e-9)
+
+
+def test_kolmogorov_for_a_million_values_and_where_the_ways_meet():
+    for d in (2e-4, 2.9e-4, 3.5e-4):  # two independent ways
+        assert math.isclose(pvalues._kolmogorov_exact(d, 10**6), pvalues._pelz_good(d, 10**6), abs_tol=1e-10)
+    for z in (0.4, 0.6, 1.0, 1.7, 1.99):
+        n = 10**6
+        assert math.isclose(pvalues.kolmogorov_upper(z / 1000, n), 1 - pvalues._pelz_good(z / 1000, n), abs_tol=1e-9)
+        assert math.isclose(1 - pvalues._kolmogorov_exact(z / 100, 10**4), 1 - pvalues._pelz_good(z / 100, 10**4), abs_tol=1e-8)
+    for n in (50, 141, 5000):  # the tail and the middle agree where they meet
+        d = 2 / math.sqrt(n)
+        assert math.isclose(2 * pvalues._smirnov_upper(d, n), 1 - pvalues._kolmogorov_exact(d, n), abs_tol=1e-11)
+    assert 0 < pvalues.kolmogorov_upper(0.05, 10**5) < 1e-200 and pvalues.kolmogorov_upper(1e-9, 10**6) == 1
+
+
+def test_normal_law_and_its_inverse(spark):
+    x = np.linspace(-9, 9, 1001)
+    np.testing.assert_allclose(pvalues.normal_below(x), [0.5 * math.erfc(-v / math.sqrt(2)) for v in x], rtol=1e-10, atol=1e-16)
+    p = np.r_[1e-300, 1e-12, np.linspace(1e-4, 1 - 1e-4, 500), 1 - 1e-9]
+    got = spark.createDataFrame(pd.DataFrame({"p": p})).select("p", pvalues.normal_quantile(F.col("p")).alias("q")).toPandas()
+    np.testing.assert_allclose(got["q"], [NormalDist().inv_cdf(v) for v in got["p"]], rtol=1e-12, atol=1e-13)
 
 
 def test_shapiro_on_the_published_example(spark, scale):
