@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from checks.registry import SALES, query, table, tidy
+from checks.registry import SALES, new_folder, query, table, tidy
 from comptoir.operators import clean, encode, impute, outliers, quality, scale
 from comptoir.plans.sales import sales_from_star
 
@@ -111,6 +111,55 @@ def _(spark, folder):
     ).findings.drop("message")
 
 
+@query("validate_missing", """
+WITH g AS (SELECT c_custkey, CASE WHEN c_acctbal > 6000 THEN c_acctbal END AS rare, CASE WHEN c_custkey % 2 = 0 THEN c_name END AS half FROM customer)
+SELECT 'error' AS severity, 'missing' AS "check", 'rare' AS "column", (count(*) - count(rare))::DOUBLE AS observed, count(*)::DOUBLE AS total,
+       printf('column ''rare'': %.1f%% of %d values missing', (count(*) - count(rare)) * 100.0 / count(*), count(*)) AS message
+FROM g HAVING count(rare) * 2 < count(*)
+""")
+def _(spark, folder):
+    gaps = table(spark, folder, "customer").select(
+        "c_custkey", F.when(F.col("c_acctbal") > 6000, F.col("c_acctbal")).alias("rare"), F.when(F.col("c_custkey") % 2 == 0, F.col("c_name")).alias("half"))
+    return quality.validate(gaps, strict=True).findings
+
+
+@query("validate_customers", """
+SELECT 'error' AS severity, 'required' AS "check", 'email' AS "column", NULL::DOUBLE AS observed, 2 * count(*)::DOUBLE AS total,
+       'required column ''email'' is missing' AS message FROM customer
+UNION ALL SELECT 'warning', 'duplicates', NULL, count(*), 2 * count(*), printf('%d duplicate rows among %d', count(*), 2 * count(*)) FROM customer
+""")
+def _(spark, folder):
+    customers = table(spark, folder, "customer").select(F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("name"))
+    return quality.validate(customers.unionAll(customers), **quality.CUSTOMER_SCHEMA).findings
+
+
+@query("encode_labels_fitted", """
+WITH d AS (SELECT n_name, dense_rank() OVER (ORDER BY n_name) - 1 AS code FROM nation)
+SELECT c_custkey, code::INTEGER AS nation, CASE WHEN c_nationkey % 2 = 0 THEN 1 ELSE 0 END::INTEGER AS parity
+FROM customer LEFT JOIN d ON n_name = 'NATION_' || (c_nationkey + 5)
+""")
+def _(spark, folder):
+    nations = table(spark, folder, "nation").select(
+        F.col("n_name").alias("nation"), F.when(F.col("n_nationkey") % 2 == 0, "odd or even").otherwise("even or odd").alias("parity"))
+    root = f"{new_folder(spark)}/encoder"
+    encode.fit_label_encoder(nations).save(root)
+    customers = table(spark, folder, "customer").select(
+        "c_custkey", F.concat(F.lit("NATION_"), (F.col("c_nationkey") + 5).cast("string")).alias("nation"),
+        F.when(F.col("c_nationkey") % 2 == 0, "odd or even").otherwise("even or odd").alias("parity"))
+    return encode.load_label_encoder(spark, root).transform(customers)
+
+
+@query("scale_and_impute_fitted", """
+WITH f AS (SELECT avg(c_acctbal) AS mean, stddev_pop(c_acctbal) AS sd, median(c_acctbal) AS middle FROM customer WHERE c_custkey % 5 > 0)
+SELECT s_suppkey, round((coalesce(CASE WHEN s_suppkey % 3 > 0 THEN s_acctbal END, middle) - mean) / sd, 6) AS balance FROM supplier, f
+""")
+def _(spark, folder):
+    train = table(spark, folder, "customer").select(F.when(F.col("c_custkey") % 5 > 0, F.col("c_acctbal")).alias("balance"))
+    other = table(spark, folder, "supplier").select("s_suppkey", F.when(F.col("s_suppkey") % 3 > 0, F.col("s_acctbal")).alias("balance"))
+    filled = impute.fit_imputer(train, "median", ["balance"]).transform(other)
+    return tidy(scale.fit_scaler(train, "standard", "balance").transform(filled), 6)
+
+
 _PADDED = r"chr(160) || '  ' || replace(text, ' ', chr(9) || ' ' || chr(8195)) || chr(10)"
 
 

@@ -1,6 +1,5 @@
 """Files written by Spark from the given tables and read back, report sections and whole jobs."""
 
-import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -8,20 +7,13 @@ from pyspark.sql import functions as F
 
 from checks import aggregates  # noqa: F401  (its SQL is used again below)
 from checks.cleaning import SALES_GAPS, sales_with_gaps
-from checks.registry import SALES, SQL, query, table, tidy
+from checks.registry import SALES, SQL, new_folder, query, table, tidy
 from comptoir.operators import aggregate as agg
 from comptoir.plans import jobs, sections
 from comptoir.plans.sales import sales_from_star
-from comptoir.session import ensure_checkpoint_dir
 from comptoir.sources import files, sinks
 
 
-def new_folder(spark):
-    """A fresh folder next to the checkpoints, which all executors can reach."""
-    ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/files-{uuid.uuid4().hex}"
-
-
 def _written(spark, df, **options):
     folder = new_folder(spark)
     df.write.options(header=True, **options).csv(folder)

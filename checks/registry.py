@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from comptoir.functions.columns import ref
+from comptoir.session import ensure_checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -43,6 +45,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def new_folder(spark: SparkSession) -> str:
+    """A fresh folder next to the checkpoints, which all executors can reach."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/files-{uuid.uuid4().hex}"
+
+
 def tidy(df: DataFrame, digits: int = 4, **other: int) -> DataFrame:
     """Round doubles (no negative zero) and spell dates as text, so that both engines print the same values."""
     columns = []

@@ -1,8 +1,8 @@
-"""Data-quality checks as one lazy table of findings and one row of metrics."""
+"""Data-quality checks: a table of findings and one row of metrics, from one pass."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -68,39 +68,52 @@ def wrong_types(df: DataFrame, expected: dict[str, str]) -> dict[str, str]:
     return wrong
 
 
-def _rows_where(condition: Column, copies: Column | None = None) -> Column:
-    """Number of rows that meet a condition, where each row stands for so many copies."""
-    if copies is None:
-        return F.count_if(condition)
-    return F.coalesce(F.sum(F.when(condition, copies)), F.lit(0).cast("bigint"))
-
-
-def out_of_range(column: Column, low: float | None, high: float | None, copies: Column | None = None) -> Column:
-    """Number of non-NULL values below ``low`` plus those above ``high``; text that is no number does not count."""
+def _outside(column: Column, low: float | None, high: float | None) -> list[Column]:
+    """Conditions for a value below ``low`` and one above ``high``; NULL and text that is no number meet neither."""
     number = column.try_cast("double")
-    parts = [_rows_where(number < low, copies)] if low is not None else []
-    if high is not None:
-        parts.append(_rows_where(number > high, copies))
-    return reduce(Column.__add__, parts, F.lit(0).cast("bigint"))
+    return ([number < low] if low is not None else []) + ([number > high] if high is not None else [])
 
 
 def range_violations(df: DataFrame, value_ranges: dict[str, Bounds]) -> DataFrame:
     """One row per ruled column with its number of values outside the bounds, from one pass."""
     ruled = {c: b for c, b in value_ranges.items() if c in df.columns}
-    counts = df.agg(*[out_of_range(ref(c), *b).alias(f"r{i}") for i, (c, b) in enumerate(ruled.items())], F.lit(1))
+    outside = [reduce(Column.__add__, [F.count_if(x) for x in _outside(ref(c), *b)], F.lit(0).cast("bigint")) for c, b in ruled.items()]
+    counts = df.agg(*[n.alias(f"r{i}") for i, n in enumerate(outside)], F.lit(1))
     rows = [F.struct(F.lit(c).alias("column"), F.col(f"r{i}").alias("invalid")) for i, c in enumerate(ruled)]
     return counts.select(F.inline(F.array(*rows))) if rows else df.sparkSession.createDataFrame(
         [], "column string, invalid bigint")
 
 
-def _distinct_rows(df: DataFrame) -> DataFrame:
-    """Each distinct row (NULLs equal) with its number of ``_copies``, which combine before the shuffle."""
-    return df.groupBy(*[ref(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_copies"))
+def _fingerprint(df: DataFrame) -> list[Column]:
+    """Two 64-bit hashes of a row, with different seeds. Which columns are NULL is part of both, as a hash passes over NULLs.
+
+    Different rows agree in both with a chance of 2 ** -128 for each pair of rows: about 1e-15 for a table of 10 ** 12.
+    """
+    gaps = [F.concat_ws("", *[F.when(ref(c).isNull(), "1").otherwise("0") for c in df.columns])] if df.columns else []
+    return [F.xxhash64(F.lit(seed), *gaps, *[ref(c) for c in df.columns]) for seed in (11, 97)]
+
+
+def _counted(df: DataFrame, conditions: Sequence[Column]) -> DataFrame:
+    """One row: ``total`` rows, ``different`` ones, and in ``c0, c1, ..`` how many rows meet each condition.
+
+    One pass and one shuffle, of fingerprints and counts: a row becomes its fingerprint, and one small key for every
+    condition it meets; equal keys combine before the shuffle. Columns themselves never move.
+    """
+    first, second = _fingerprint(df)
+    keys = [F.struct(F.lit(-1).alias("kind"), first.alias("a"), second.alias("b"))]
+    none = F.lit(0).cast("bigint")
+    keys += [F.when(met, F.struct(F.lit(i).alias("kind"), none.alias("a"), none.alias("b"))) for i, met in enumerate(conditions)]
+    grouped = df.select(F.inline(F.array_compact(F.array(*keys)))).groupBy("kind", "a", "b").agg(F.count(F.lit(1)).alias("n"))
+
+    def of(kind: int) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("n"))), F.lit(0))
+
+    return grouped.agg(of(-1).alias("total"), F.count_if(F.col("kind") == -1).alias("different"), *[of(i).alias(f"c{i}") for i in range(len(conditions))])
 
 
 def duplicate_count(df: DataFrame) -> DataFrame:
-    """Rows beyond the first of each set of equal rows."""
-    return _distinct_rows(df).agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_rows"))
+    """Rows beyond the first of each set of equal rows (NULLs equal)."""
+    return _counted(df, []).select((F.col("total") - F.col("different")).alias("duplicate_rows"))
 
 
 def missing_counts(df: DataFrame) -> DataFrame:
@@ -120,34 +133,45 @@ def missing_report(df: DataFrame) -> DataFrame:
 
 
 def table_metrics(df: DataFrame) -> DataFrame:
-    """One row: rows, columns, cells, missing cells and percentage, duplicate rows, column types.
+    """One row: rows, columns, cells, missing cells and percentage, duplicate rows, column types."""
+    return _metrics(df, _counted(df, [ref(c).isNull() for c in df.columns]))
 
-    All counts come from the distinct rows and their copies, so the table is read once.
-    """
-    width, copies = len(df.columns), F.col("_copies")
-    missing = reduce(Column.__add__, [ref(c).isNull().cast("bigint") for c in df.columns], F.lit(0).cast("bigint"))
-    counts = _distinct_rows(df).agg(
-        F.coalesce(F.sum(copies), F.lit(0)).alias("n_rows"),
-        F.coalesce(F.sum(missing * copies), F.lit(0)).alias("missing_cells"),
-        F.coalesce(F.sum(copies - 1), F.lit(0)).alias("duplicate_rows"),
-    )
-    cells = F.col("n_rows") * width
+
+def _metrics(df: DataFrame, counts: DataFrame) -> DataFrame:
+    """Metrics from counts whose first conditions say which columns are NULL."""
+    width = len(df.columns)
+    cells, missing = F.col("total") * width, reduce(Column.__add__, [F.col(f"c{i}") for i in range(width)], F.lit(0).cast("bigint"))
     types = F.create_map(*[F.lit(x) for f in df.schema for x in (f.name, f.dataType.simpleString())])
     return counts.select(
-        "n_rows", F.lit(width).alias("n_columns"), cells.alias("total_cells"), "missing_cells",
-        F.coalesce(F.try_divide(F.col("missing_cells").cast("double"), cells) * 100, F.lit(0.0)).alias("missing_percentage"),
-        "duplicate_rows", types.alias("column_types"),
+        F.col("total").alias("n_rows"), F.lit(width).alias("n_columns"), cells.alias("total_cells"), missing.alias("missing_cells"),
+        F.coalesce(F.try_divide(missing.cast("double"), cells) * 100, F.lit(0.0)).alias("missing_percentage"),
+        (F.col("total") - F.col("different")).alias("duplicate_rows"), types.alias("column_types"),
     )
 
 
 @dataclass
 class Validation:
-    """Lazy outcome of :func:`validate`: nothing runs until a method or one of the tables is used."""
+    """Outcome of :func:`validate`: nothing runs until it is used; then one pass makes one row of counts, for findings and metrics."""
 
-    findings: DataFrame
-    metrics: DataFrame
+    _counts: DataFrame
+    _findings: Callable[[DataFrame], DataFrame]
+    _measured: Callable[[DataFrame], DataFrame]
+    _known: DataFrame | None = field(default=None, repr=False)
     _rows: list | None = field(default=None, repr=False)
 
+    def _counted(self) -> DataFrame:
+        if self._known is None:
+            self._known = self._counts.sparkSession.createDataFrame([self._counts.first()], self._counts.schema)
+        return self._known
+
+    @property
+    def findings(self) -> DataFrame:
+        return self._findings(self._counted())
+
+    @property
+    def metrics(self) -> DataFrame:
+        return self._measured(self._counted())
+
     def _collected(self) -> list:
         if self._rows is None:
             self._rows = self.findings.collect()  # at most a few rows per column of the table
@@ -173,16 +197,16 @@ def validate(
 ) -> Validation:
     """Check a table. ``strict`` turns the missing-value and duplicate warnings into errors.
 
-    Everything that counts rows comes from one aggregate: over the distinct rows and their copies when
-    duplicates are checked, else over the rows themselves, without a shuffle of rows.
+    Everything that counts rows comes from one pass, whose shuffle moves fingerprints of rows and counts.
     """
     soft = "error" if strict else "warning"
-    copies = F.col("_copies") if check_duplicates else None
-    source = _distinct_rows(df) if check_duplicates else df
-    rows = F.coalesce(F.sum(copies), F.lit(0)) if check_duplicates else F.count(F.lit(1))
-    totals = [rows.alias("total")]
+    conditions = [ref(c).isNull() for c in df.columns]
     found: list[tuple[Column, Column]] = []  # (condition, finding)
 
+    def count_of(*met: Column) -> Column:
+        conditions.extend(met)
+        return reduce(Column.__add__, [F.col(f"c{i}") for i in range(len(conditions) - len(met), len(conditions))], F.lit(0).cast("bigint"))
+
     def finding(when, severity, check, column, observed, message):
         found.append((when, F.struct(
             F.lit(severity).alias("severity"), F.lit(check).alias("check"), F.lit(column).alias("column"),
@@ -201,31 +225,26 @@ def validate(
         finding(always, "error", "type", column, F.lit(None), F.lit(message))
     if check_missing:
         for i, column in enumerate(df.columns):
-            totals.append(_rows_where(ref(column).isNull(), copies).alias(f"m{i}"))
-            share = F.try_divide(F.col(f"m{i}").cast("double"), F.col("total"))
+            share = F.try_divide(F.col(f"c{i}").cast("double"), F.col("total"))
             message = text(f"column '{_escaped(column)}': %.1f%% of %d values missing", share * 100, F.col("total"))
-            finding(share > max_missing, soft, "missing", column, F.col(f"m{i}"), message)
+            finding(share > max_missing, soft, "missing", column, F.col(f"c{i}"), message)
     if check_duplicates:
-        totals.append(F.coalesce(F.sum(copies - 1), F.lit(0)).alias("duplicates"))
-        finding(F.col("duplicates") > 0, soft, "duplicates", None, F.col("duplicates"),
-                text("%d duplicate rows among %d", F.col("duplicates"), F.col("total")))
-    for i, (column, (low, high)) in enumerate((value_ranges or {}).items()):
+        copies = F.col("total") - F.col("different")
+        finding(copies > 0, soft, "duplicates", None, copies, text("%d duplicate rows among %d", copies, F.col("total")))
+    for column, (low, high) in (value_ranges or {}).items():
         if column in df.columns:
-            totals.append(out_of_range(ref(column), low, high, copies).alias(f"r{i}"))
-            message = text(f"column '{_escaped(column)}': %d values outside [{low}, {high}]", F.col(f"r{i}"))
-            finding(F.col(f"r{i}") > 0, "error", "range", column, F.col(f"r{i}"), message)
+            outside = count_of(*_outside(ref(column), low, high))
+            finding(outside > 0, "error", "range", column, outside, text(f"column '{_escaped(column)}': %d values outside [{low}, {high}]", outside))
             if not isinstance(df.schema[column].dataType, T.NumericType):
-                totals.append(_rows_where(ref(column).isNotNull() & ref(column).cast("string").try_cast("double").isNull(), copies).alias(f"t{i}"))
-                finding(F.col(f"t{i}") > 0, "error", "type", column, F.col(f"t{i}"),
-                        text(f"column '{_escaped(column)}': %d values are no numbers", F.col(f"t{i}")))
+                odd = count_of(ref(column).isNotNull() & ref(column).cast("string").try_cast("double").isNull())
+                finding(odd > 0, "error", "type", column, odd, text(f"column '{_escaped(column)}': %d values are no numbers", odd))
     if min_rows:
         finding(F.col("total") < min_rows, "error", "rows", None, F.col("total"),
                 text(f"%d rows, at least {min_rows} needed", F.col("total")))
 
-    counts = source.agg(*totals)
     listed = F.array(*[F.when(when, what) for when, what in found]).cast(_FINDING)
-    findings = counts.select(F.inline(F.filter(listed, lambda x: x.isNotNull())))
-    return Validation(findings, table_metrics(df))
+    return Validation(
+        _counted(df, conditions), lambda counts: counts.select(F.inline(F.filter(listed, lambda x: x.isNotNull()))), lambda counts: _metrics(df, counts))
 
 
 def _escaped(name: str) -> str:

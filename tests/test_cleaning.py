@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from comptoir.operators import clean, encode, impute, neighbours, outliers, scale as scaling
 from comptoir.operators.impute import Strategy
+from comptoir.sources.errors import MissingPathError
 
 
 def column(df, name, order="id"):
@@ -194,6 +195,23 @@ def test_labels(spark, scale):
     assert column(encoder.transform(other), "t") == [order["b"], None]
 
 
+def test_encoders_are_stored_and_versioned(spark, tmp_path, scale):
+    train = spark.createDataFrame([("b", "x"), ("a", None), ("c", "x")], "t string, `u.v` string")
+    path = str(tmp_path / "encoder")
+    with pytest.raises(MissingPathError):
+        encode.load_label_encoder(spark, path)
+    first = encode.fit_label_encoder(train)
+    assert (first.save(path), encode.fit_label_encoder(train.filter("t <> 'a'")).save(path)) == (1, 2)
+    other = spark.createDataFrame([("c", None), ("a", "x"), ("?", "y")], "t string, `u.v` string")
+    by_version = {v: encode.load_label_encoder(spark, path, v).transform(other) for v in (1, 2, None)}
+    assert [tuple(r) for r in by_version[1].collect()] == [(2, 0), (0, 1), (None, None)]
+    assert [tuple(r) for r in by_version[2].collect()] == [tuple(r) for r in by_version[None].collect()] == [(1, None), (None, 0), (None, None)]
+    train.createOrReplaceTempView("training")
+    fitted = encode.fit_label_encoder(spark.table("training"), "t")
+    plan = fitted.transform(other.select("t"))._jdf.queryExecution().executedPlan().toString()
+    assert "training" not in plan and plan.count("Scan ExistingRDD") == 2  # the other table and the kept dictionary
+
+
 def test_one_hot(spark):
     df = spark.createDataFrame([(1, "b"), (2, "a"), (3, None), (4, "c")], "id int, t string")
     got = encode.encode_categorical_columns(df, "t", "onehot")

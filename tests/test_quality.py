@@ -62,3 +62,20 @@ def test_empty_table(spark):
 def test_duplicates_match_pandas(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("a"), F.when(F.col("id") % 2 == 0, 1).alias("b"))
     assert quality.duplicate_count(df).first()[0] == df.toPandas().duplicated().sum()
+
+
+def test_validation_moves_fingerprints_once(spark):
+    df = spark.createDataFrame([("x" * 50, 1.0)] * 3 + [(None, -1.0)], "name string, v double")
+    result = quality.validate(df, value_ranges={"v": (0, None)})
+    plan = result._counts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    moved = plan.split("Exchange hashpartitioning")[1].split("\n")[1]
+    assert "name" not in moved and "kind" in moved
+    assert {(r.check, r.column): r.observed for r in result.findings.collect()} == {("duplicates", None): 2.0, ("range", "v"): 1.0}
+    assert result.metrics.first().duplicate_rows == 2
+
+
+def test_rows_that_differ_in_the_place_of_a_null_are_no_duplicates(spark):
+    rows = [(None, "a", 0.0), ("a", None, 0.0), (None, "a", -0.0), ("a", None, None), ("", "a", 0.0), (None, None, None), (None, None, None)]
+    df = spark.createDataFrame(rows, "a string, b string, c double")
+    assert quality.duplicate_count(df).first()[0] == len(rows) - df.distinct().count() == 2
