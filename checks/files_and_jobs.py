@@ -1,14 +1,11 @@
 """Files written by Spark from the given tables and read back, report sections and whole jobs."""
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks import aggregates  # noqa: F401  (its SQL is used again below)
 from checks.cleaning import SALES_GAPS, sales_with_gaps
-from checks.registry import SALES, SQL, new_folder, query, table, tidy
-from comptoir.operators import aggregate as agg
+from checks.registry import SALES, SQL, cells, cells_sql, new_folder, query, table, tidy
+from comptoir.operators import timeseries
 from comptoir.plans import jobs, sections
 from comptoir.plans.sales import sales_from_star
 from comptoir.sources import files, sinks
@@ -183,71 +180,137 @@ query("section_top_products", SQL["top_products_by_revenue"])(
     lambda spark, folder: tidy(_section("top_products", ["produit", "prix", "quantite"])(spark, folder), ca_total=2))
 
 
-@query("section_statistics", f"""
-WITH {SALES}
-SELECT 'prix' AS "column", count(prix) AS count, round_even(quantile_cont(prix, 0.5), 2) AS median, min(prix) AS min, max(prix) AS max FROM sales
-UNION ALL SELECT 'quantite', count(quantite), round_even(quantile_cont(quantite, 0.5), 2), min(quantite), max(quantite) FROM sales
-""")
+_SUMMARY = ["count", "mean", "std", "min", "q25", "median", "q75", "max", "skewness", "kurtosis"]
+
+
+def _described(columns, source):
+    """Whole summaries with two decimals, as a report prints them."""
+    return " UNION ALL ".join(f"""
+SELECT '{c}' AS "column", count("{c}") AS count, round_even(avg("{c}"), 2) AS mean, round_even(stddev_samp("{c}"), 2) AS std, round_even(min("{c}")::DOUBLE, 2) AS min,
+       round_even(quantile_cont("{c}", 0.25)::DOUBLE, 2) AS q25, round_even(quantile_cont("{c}", 0.5)::DOUBLE, 2) AS median,
+       round_even(quantile_cont("{c}", 0.75)::DOUBLE, 2) AS q75, round_even(max("{c}")::DOUBLE, 2) AS max,
+       round_even(skewness("{c}"), 2) + 0.0 AS skewness, round_even(kurtosis("{c}"), 2) + 0.0 AS kurtosis FROM {source}""" for c in columns)
+
+
+def _correlated(columns, source, digits=4):
+    """All cells of a correlation matrix."""
+    value = {True: "1.0::DOUBLE", False: 'round(corr("{a}", "{b}"), {digits}) + 0.0'}
+    return " UNION ALL ".join(
+        f" SELECT '{a}' AS column1, '{b}' AS column2, any_value(v) AS correlation FROM (SELECT {value[a == b].format(a=a, b=b, digits=digits)} AS v FROM {source})"
+        if a != b else f" SELECT '{a}' AS column1, '{b}' AS column2, {value[True]} AS correlation" for a in columns for b in columns)
+
+
+@query("section_statistics", f"WITH {SALES}" + _described(["prix", "quantite"], "sales"))
 def _(spark, folder):
-    return _section("statistics", ["prix", "quantite"])(spark, folder).select("column", "count", "median", "min", "max")
+    return tidy(_section("statistics", ["prix", "quantite"])(spark, folder))
 
 
-@query("job_aggregations", f"""
-WITH {SALES}
-SELECT 'by_category' AS part, categorie AS item, round(sum(revenue), 2) AS ca_total FROM sales GROUP BY categorie
-UNION ALL SELECT 'by_city', ville, round(sum(revenue), 2) FROM sales GROUP BY ville
-UNION ALL SELECT 'by_source', source, round(sum(revenue), 2) FROM sales GROUP BY source
-UNION ALL (SELECT 'top_products', produit, round(sum(revenue), 2) FROM sales GROUP BY produit ORDER BY sum(revenue) DESC, produit LIMIT 10)
-UNION ALL SELECT 'trend', strftime(last_day(date::DATE), '%Y-%m-%d'), round(sum(revenue), 2) FROM sales GROUP BY 2
-""")
+# The breakdowns of a job, each with the columns that name a row and those that hold numbers.
+_BREAKDOWNS = {
+    "by_category": ("sales_by_category", ["categorie"], ["ca_total", "quantite_totale", "prix_moyen", "nb_transactions", "ca_percentage"]),
+    "by_city": ("sales_by_city", ["ville"], ["ca_total", "quantite_totale", "nb_produits_uniques", "ca_percentage"]),
+    "top_products": ("top_products_by_revenue", ["produit"], ["ca_total", "quantite_totale", "prix_moyen"]),
+    "by_source": ("sales_by_source", ["source"], ["ca_total", "quantite_totale", "nb_transactions", "ca_percentage"]),
+    "trend": ("trend_monthly", ["date"], ["ca_total", "quantite_totale", "nb_transactions", "ca_variation_pct", "quantite_variation_pct", "ca_ma3"]),
+}
+
+
+@query("job_aggregations", " UNION ALL ".join(cells_sql(part, SQL[name], labels, numbers) for part, (name, labels, numbers) in _BREAKDOWNS.items()))
 def _(spark, folder):
-    tables = jobs.aggregations(sales_from_star(spark, folder))
-    parts = [t.select(F.lit(name).alias("part"), F.col(t.columns[0]).cast("string").alias("item"), F.round("ca_total", 2).alias("ca_total"))
-             for name, t in tables.items()]
-    return reduce(DataFrame.unionByName, parts)
+    return cells(jobs.aggregations(sales_from_star(spark, folder)), ca_total=2)
 
 
-@query("job_analyze", f"""
-WITH {SALES_GAPS}, m AS (SELECT median(prix) AS p, median(quantite) AS q FROM dirty),
-filled AS (SELECT categorie, produit, coalesce(prix, p) AS prix, coalesce(quantite, q) AS quantite FROM dirty, m)
-SELECT categorie, round(sum(prix * quantite), 2) AS ca_total, sum(quantite) AS quantite_totale, round(avg(prix), 4) AS prix_moyen,
-       count(produit) AS nb_transactions, round_even(sum(prix * quantite) / sum(sum(prix * quantite)) OVER () * 100, 2) AS ca_percentage
-FROM filled GROUP BY categorie
-""")
+# The sales table of the SQL above, after the gaps of SALES_GAPS are filled with medians.
+_FILLED = SALES_GAPS.replace("sales AS (", "whole AS (", 1).replace("FROM sales)", "FROM whole)") + """,
+middles AS (SELECT median(prix) AS p, median(quantite) AS q FROM dirty),
+sales AS (SELECT strptime(date, '%Y-%m-%d') AS date, produit, categorie, ville, source, coalesce(prix, p) AS prix,
+                 coalesce(quantite, q) AS quantite, coalesce(prix, p) * coalesce(quantite, q) AS revenue FROM dirty, middles)"""
+_NUMBERS = ["prix", "quantite", "revenue"]
+_KPIS = ["revenue_total", "transaction_count", "average_basket", "total_quantity", "average_price", "unique_products", "unique_categories", "unique_cities"]
+
+
+def _on_filled(name):
+    return SQL[name].replace(SALES, _FILLED)
+
+
+def _fences(column):
+    low, high = f"quantile_cont({column}, 0.25)", f"quantile_cont({column}, 0.75)"
+    return (f"SELECT '{column}' AS \"column\", count(*) FILTER ({column} < low OR {column} > high) AS count FROM sales, "
+            f"(SELECT {low} - 1.5 * ({high} - {low}) AS low, {high} + 1.5 * ({high} - {low}) AS high FROM sales)")
+
+
+def _report(prefix):
+    """The statistics report on the filled sales; nothing is missing there."""
+    outliers = f"WITH {_FILLED} SELECT * FROM (" + " UNION ALL ".join(map(_fences, _NUMBERS)) + ") WHERE count > 0"
+    return [
+        cells_sql(f"{prefix}overview", f"WITH {_FILLED} SELECT count(*) AS n_rows, 8 AS n_columns, 3 AS n_numeric, 4 AS n_categorical FROM sales", [], ["n_rows", "n_columns", "n_numeric", "n_categorical"]),
+        cells_sql(f"{prefix}descriptive_stats", f"WITH {_FILLED}" + _described(_NUMBERS, "sales"), ["column"], _SUMMARY),
+        cells_sql(f"{prefix}outliers", outliers, ["column"], ["count"]),
+        cells_sql(f"{prefix}correlations", f"WITH {_FILLED}" + _correlated(_NUMBERS, "sales"), ["column1", "column2"], ["correlation"]),
+    ]
+
+
+@query("job_analyze", " UNION ALL ".join([
+    cells_sql("data_info", f"WITH {_FILLED} SELECT count(*) AS n_rows, 8 AS n_columns FROM sales", [], ["n_rows", "n_columns"]),
+    cells_sql("kpis", _on_filled("sales_kpis"), [], _KPIS),
+    *[cells_sql(part, _on_filled(_BREAKDOWNS[name][0]), *_BREAKDOWNS[name][1:])
+      for part, name in (("sales_by_category", "by_category"), ("sales_by_city", "by_city"), ("top_products", "top_products"))],
+    *_report("statistics_")]))
 def job_analyze(spark, folder):
-    return tidy(jobs.analyze(sales_with_gaps(spark, folder))["sales_by_category"], ca_total=2)
+    return cells(jobs.analyze(sales_with_gaps(spark, folder)), ca_total=2, revenue_total=2)
 
 
-@query("job_profile", f"""
-WITH {SALES_GAPS}
-SELECT count(*) AS n_rows, 7 AS n_columns, 2 * count(*) - count(prix) - count(quantite) AS missing_cells FROM dirty
-""")
+@query("job_profile", cells_sql("metrics", SQL["table_metrics"], [], ["n_rows", "n_columns", "total_cells", "missing_cells", "missing_percentage", "duplicate_rows"])
+       + " UNION ALL " + cells_sql("findings", SQL["validate_sales"], ["severity", "check", "column"], ["observed", "total"]))
 def _(spark, folder):
-    return jobs.profile(sales_with_gaps(spark, folder)).metrics.select("n_rows", "n_columns", "missing_cells")
+    found = jobs.profile(sales_with_gaps(spark, folder))
+    return cells({"metrics": found.metrics.drop("column_types"), "findings": found.findings.drop("message")})
 
 
-@query("job_describe_file", """
-SELECT 'p_partkey' AS "column", count(*) AS count, round_even(avg(p_partkey), 2) AS mean, max(p_partkey)::DOUBLE AS max FROM part
-UNION ALL SELECT 'p_size', count(*), round_even(avg(p_size), 2), max(p_size) FROM part
-UNION ALL SELECT 'p_retailprice', count(*), round_even(avg(p_retailprice), 2), max(p_retailprice) FROM part
-""")
+@query("job_describe_file", _described(["p_partkey", "p_size", "p_retailprice"], "part"))
 def _(spark, folder):
-    return jobs.describe_file(spark, f"{folder}/part.parquet").select("column", "count", "mean", "max")
+    return tidy(jobs.describe_file(spark, f"{folder}/part.parquet"))
 
 
-@query("job_correlate_file", """
-SELECT 'c_custkey' AS column1, 'c_acctbal' AS column2, round(corr(c_custkey, c_acctbal), 6) AS correlation FROM customer
-UNION ALL SELECT 'c_custkey', 'c_nationkey', round(corr(c_custkey, c_nationkey), 6) FROM customer
-UNION ALL SELECT 'c_nationkey', 'c_acctbal', round(corr(c_nationkey, c_acctbal), 6) FROM customer
-""")
+@query("job_correlate_file", _correlated(["c_custkey", "c_nationkey", "c_acctbal"], "customer", 6))
 def _(spark, folder):
-    pairs = jobs.correlate_file(spark, f"{folder}/customer.parquet")
-    return tidy(pairs.filter("(column1, column2) IN (('c_custkey', 'c_acctbal'), ('c_custkey', 'c_nationkey'), ('c_nationkey', 'c_acctbal'))"), 6)
+    return tidy(jobs.correlate_file(spark, f"{folder}/customer.parquet"), 6)
 
 
-@query("job_full_run", SQL["job_analyze"])
-def job_full_run(spark, folder):
+def _job_output(spark, folder, parts):
+    """Run the whole job on a written file and read tables of its output back."""
     source = _written(spark, sales_with_gaps(spark, folder))
     output = new_folder(spark)
     jobs.run(spark, source, output, file_format="csv")
-    return tidy(spark.read.parquet(f"{output}/aggregations/by_category"), ca_total=2)
+    return {name: spark.read.parquet(f"{output}/{path}") for name, path in parts.items()}
+
+
+@query("job_full_run", " UNION ALL ".join([
+    cells_sql("kpis", _on_filled("sales_kpis"), [], _KPIS),
+    *[cells_sql(part, _on_filled(name), labels, numbers) for part, (name, labels, numbers) in _BREAKDOWNS.items()],
+    *_report(""),
+    cells_sql("findings", SQL["validate_sales"], ["severity", "check", "column"], ["observed", "total"])]))
+def job_full_run(spark, folder):
+    names = ["overview", "descriptive_stats", "outliers", "correlations"]
+    parts = {n: f"aggregations/{n}" for n in ("kpis", *_BREAKDOWNS)} | {n: f"statistics/{n}" for n in names} | {"findings": "quality/validation"}
+    tables = _job_output(spark, folder, parts)
+    return cells(tables | {"findings": tables["findings"].drop("message")}, ca_total=2, revenue_total=2)
+
+
+@query("job_charts", " UNION ALL ".join([
+    cells_sql("ventes_categorie", _on_filled("sales_by_category"), ["categorie"], ["ca_total"]),
+    cells_sql("repartition_villes", f"SELECT ville, ca_total, round_even(ca_total / sum(ca_total) OVER () * 100, 2) AS share FROM (SELECT * FROM ({_on_filled('sales_by_city')}) ORDER BY ca_total DESC, ville LIMIT 10)", ["ville"], ["ca_total", "share"]),
+    cells_sql("evolution_ca", _on_filled("trend_monthly"), ["date"], ["ca_total"]),
+    cells_sql("top_produits", _on_filled("top_products_by_revenue"), ["produit"], ["ca_total"]),
+    cells_sql("correlation_matrix", f"""SELECT column1 AS "row", column2 AS "column", correlation AS value FROM (WITH {_FILLED}{_correlated(_NUMBERS, "sales")})""", ["row", "column"], ["value"])]))
+def _(spark, folder):
+    charts = ["ventes_categorie", "repartition_villes", "evolution_ca", "top_produits", "correlation_matrix"]
+    return cells(_job_output(spark, folder, {n: f"charts/{n}" for n in charts}), ca_total=2)
+
+
+@query("resample_text_dates", """
+SELECT strftime(last_day(o_orderdate::DATE), '%Y-%m-%d') AS day, round(sum(o_totalprice), 2) AS o_totalprice FROM orders GROUP BY 1
+""")
+def _(spark, folder):
+    orders = table(spark, folder, "orders").select(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("day"), "o_totalprice")
+    return tidy(timeseries.resample_timeseries(orders, "day", "M", {"o_totalprice": "sum"}), 2)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,3 +65,22 @@ def tidy(df: DataFrame, digits: int = 4, **other: int) -> DataFrame:
             column = F.date_format(column, "yyyy-MM-dd HH:mm:ss")
         columns.append(column.alias(field.name))
     return df.select(*columns)
+
+
+def cells(tables: dict[str, DataFrame], digits: int = 4, **other: int) -> DataFrame:
+    """Whole tables in one long form ``part, item, measure, value``: text and dates name a row, each number of it is a value."""
+    parts = []
+    for part, df in tables.items():
+        df = tidy(df, digits, **other)
+        labels = [ref(f.name) for f in df.schema if isinstance(f.dataType, T.StringType)]
+        numbers = [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
+        values = F.array(*[F.struct(F.lit(c).alias("measure"), ref(c).cast("double").alias("value")) for c in numbers])
+        parts.append(df.select(F.lit(part).alias("part"), F.concat_ws("|", *labels).alias("item"), F.inline(values)))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def cells_sql(part: str, source: str, labels: list[str], numbers: list[str]) -> str:
+    """The same of a query in SQL."""
+    item = "concat_ws('|', " + ", ".join(f'"{c}"' for c in labels) + ")" if labels else "''"
+    names, values = ", ".join(f"'{c}'" for c in numbers), ", ".join(f'"{c}"::DOUBLE' for c in numbers)
+    return f"SELECT '{part}' AS part, {item} AS item, unnest([{names}]) AS measure, unnest([{values}]) AS value FROM ({source})"

@@ -74,12 +74,14 @@ def flag_outliers(df: DataFrame, column: str, method: str = "iqr", flag: str = "
     return df.withColumn(flag, _beyond(column, method, stats))
 
 
-def outlier_counts(df: DataFrame, columns: Sequence[str] | None = None, method: str = "iqr") -> DataFrame:
-    """Number of outliers per column: one pass for all bounds, one for all counts."""
+def outlier_counts(
+    df: DataFrame, columns: Sequence[str] | None = None, method: str = "iqr", known: dict[str, Column] | None = None
+) -> DataFrame:
+    """Number of outliers per column: one pass for all bounds, one for all counts. ``known`` gives first and third quartiles found before."""
     names = numeric_columns(df) if columns is None else as_list(columns)
     if not names:
         return df.sparkSession.createDataFrame([], "column string, count bigint")
-    per_column = _stats(df, names, method)
+    per_column = known if known and method == "iqr" else _stats(df, names, method)
     if method == "zscore":
         bounds = df.agg(F.struct(*[per_column[c].alias(f"s{i}") for i, c in enumerate(names)])).scalar()
         per_column = {c: bounds.getField(f"s{i}") for i, c in enumerate(names)}

@@ -35,10 +35,12 @@ def sample_kurtosis(column: Column) -> Column:
     return F.when(n >= 4, F.when(F.min(column) == F.max(column), F.lit(0.0)).otherwise(corrected))
 
 
-def describe(df: DataFrame, columns: str | Sequence[str] | None = None, rounded: bool = False) -> DataFrame:
-    """One summary row per numeric column, all from a single aggregate. ``rounded`` keeps two decimals."""
+def describe(
+    df: DataFrame, columns: str | Sequence[str] | None = None, rounded: bool = False, quartiles: dict[str, Column] | None = None
+) -> DataFrame:
+    """One summary row per numeric column, all from a single aggregate. ``rounded`` keeps two decimals; known ``quartiles`` save their passes."""
     names = numeric_columns(df) if columns is None else as_list(columns)
-    quartiles = quantile_columns(df, {c: [0.25, 0.5, 0.75] for c in names})
+    quartiles = quartiles or quantile_columns(df, {c: [0.25, 0.5, 0.75] for c in names})
     summaries = []
     for i, name in enumerate(names):
         column = ref(name).cast("double")
@@ -51,7 +53,8 @@ def describe(df: DataFrame, columns: str | Sequence[str] | None = None, rounded:
     listed = F.array(*[F.col(f"s{i}") for i in range(len(names))]).cast(_SUMMARY)
     result = one.select(F.inline(listed))
     if rounded:
-        result = result.withColumns({c: F.bround(c, 2) for c in result.columns[2:]})
+        # the noise of interpolation must not decide a tie
+        result = result.withColumns({c: F.bround(F.round(c, 8), 2) for c in result.columns[2:]})
     return result
 
 
@@ -77,8 +80,10 @@ def statistics_report(df: DataFrame) -> dict[str, DataFrame]:
     names = numeric_columns(df)
     report = {"overview": profile_counts(df), "missing_values": missing_report(df)}
     if names:
-        report["descriptive_stats"] = describe(df, names, rounded=True)
-        report["outliers"] = outlier_counts(df, names).filter(F.col("count") > 0)
+        quartiles = quantile_columns(df, {c: [0.25, 0.5, 0.75] for c in names})
+        report["descriptive_stats"] = describe(df, names, rounded=True, quartiles=quartiles)
+        bounds = {c: F.array(q[0], q[2]) for c, q in quartiles.items()}
+        report["outliers"] = outlier_counts(df, names, known=bounds).filter(F.col("count") > 0)
     if len(names) > 1:
         report["correlations"] = correlation_matrix(df, columns=names)
     return report
