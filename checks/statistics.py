@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from checks.cleaning import GAPPY_SQL, gappy
-from checks.registry import query, table, tidy
+from checks.registry import SQL, cells, cells_sql, query, table, tidy
 from comptoir.functions import pvalues
 from comptoir.operators import correlation, hypothesis, outliers, stats
 
@@ -255,26 +255,24 @@ def shapiro(spark, folder):
     return tidy(hypothesis.test_normality(means, "mean_price"), 6)
 
 
-@query("statistics_report", f"""
-WITH {GAPPY_SQL}, parts AS (
-  SELECT 'missing_values' AS part, 'qty' AS item, (count(*) - count(qty))::DOUBLE AS value FROM gappy
-  UNION ALL SELECT 'missing_values', 'price', count(*) - count(price) FROM gappy
-  UNION ALL SELECT 'missing_values', 'flag', count(*) - count(flag) FROM gappy
-  UNION ALL SELECT 'descriptive_stats', 'qty', round_even(avg(qty), 2) FROM gappy
-  UNION ALL SELECT 'descriptive_stats', 'price', round_even(avg(price), 2) FROM gappy
-  UNION ALL SELECT 'descriptive_stats', 'l_orderkey', round_even(avg(l_orderkey), 2) FROM gappy
-  UNION ALL SELECT 'overview', 'n_rows', count(*) FROM gappy
-  UNION ALL SELECT 'correlations', 'qty x price', round(corr(qty, price), 6) FROM gappy)
-SELECT * FROM parts
-""")
+_REPORTED = ["l_orderkey", "qty", "price"]
+
+
+def _fenced(column):
+    low, high = f"quantile_cont({column}, 0.25)", f"quantile_cont({column}, 0.75)"
+    return (f"SELECT '{column}' AS \"column\", count(*) FILTER ({column} < low OR {column} > high) AS count FROM gappy, "
+            f"(SELECT {low} - 1.5 * ({high} - {low}) AS low, {high} + 1.5 * ({high} - {low}) AS high FROM gappy)")
+
+
+@query("statistics_report", " UNION ALL ".join([
+    cells_sql("overview", f"WITH {GAPPY_SQL} SELECT count(*) AS n_rows, 5 AS n_columns, 3 AS n_numeric, 2 AS n_categorical FROM gappy", [], ["n_rows", "n_columns", "n_numeric", "n_categorical"]),
+    cells_sql("missing_values", SQL["missing_report"], ["column"], ["count", "percentage"]),
+    cells_sql("descriptive_stats", f"WITH {GAPPY_SQL}" + " UNION ALL ".join(
+        _summary_sql(c, "gappy").replace("round(", "round_even(").replace(", 4)", ", 2)") for c in _REPORTED), ["column"],
+        ["count", "mean", "std", "min", "q25", "median", "q75", "max", "skewness", "kurtosis"]),
+    cells_sql("outliers", f"WITH {GAPPY_SQL} SELECT * FROM (" + " UNION ALL ".join(map(_fenced, _REPORTED)) + ") WHERE count > 0", ["column"], ["count"]),
+    cells_sql("correlations", f"WITH {GAPPY_SQL} " + " UNION ALL ".join(
+        f"SELECT '{a}' AS column1, '{b}' AS column2, " + ("1.0" if a == b else f"round(corr({a}, {b}), 4) + 0.0") + " AS correlation" + ("" if a == b else " FROM gappy")
+        for a in _REPORTED for b in _REPORTED), ["column1", "column2"], ["correlation"])]))
 def _(spark, folder):
-    report = stats.statistics_report(gappy(spark, folder))
-    rows = [
-        report["missing_values"].select("column", F.col("count").cast("double")).toDF("item", "value"),
-        report["descriptive_stats"].select("column", "mean").toDF("item", "value"),
-        report["overview"].select(F.lit("n_rows"), F.col("n_rows").cast("double")).toDF("item", "value"),
-        report["correlations"].filter("column1 = 'qty' AND column2 = 'price'").select(F.lit("qty x price"), F.round("correlation", 6)).toDF("item", "value"),
-    ]
-    names = ["missing_values", "descriptive_stats", "overview", "correlations"]
-    tagged = [r.select(F.lit(n).alias("part"), "item", "value") for n, r in zip(names, rows)]
-    return tagged[0].unionByName(tagged[1]).unionByName(tagged[2]).unionByName(tagged[3])
+    return cells(stats.statistics_report(gappy(spark, folder)))

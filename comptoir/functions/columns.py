@@ -38,8 +38,9 @@ def ref(name: str) -> Column:
 
 def nan_to_null(df: DataFrame) -> DataFrame:
     """One notion of missing: NaN in float columns becomes NULL."""
-    floats = [f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    return df.withColumns({c: F.when(~F.isnan(ref(c)), ref(c)) for c in floats}) if floats else df
+    floats = {f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    columns = [F.when(~F.isnan(ref(c)), ref(c)).alias(c) if c in floats else ref(c) for c in df.columns]
+    return df.select(*columns) if floats else df
 
 
 def with_revenue(df: DataFrame, overwrite: bool = False) -> DataFrame:

@@ -203,19 +203,33 @@ def cross_tab(
     return table.orderBy(ref(row_column))
 
 
+def _collapsed(df: DataFrame, keys: Sequence[str], sums: Sequence[str]) -> DataFrame:
+    """One row per combination of the present key columns, with row counts, sums and value counts.
+
+    Counting the distinct values of several columns multiplies the rows by the number of columns; here that
+    happens to the combinations, not to the data.
+    """
+    totals = [x for i, c in enumerate(sums) if c in df.columns for x in (F.sum(ref(c)).alias(f"_s{i}"), F.count(ref(c)).alias(f"_c{i}"))]
+    return df.groupBy(*[ref(k) for k in keys if k in df.columns]).agg(F.count(F.lit(1)).alias("_rows"), *totals)
+
+
 def calculate_kpis(df: DataFrame) -> DataFrame:
     """One row with the eight indicators; those whose column is missing are 0."""
     df = with_revenue(df, overwrite=True)
+    grouped = _collapsed(df, ("produit", "categorie", "ville"), ("revenue", "quantite", "prix"))
 
     def of(column: str, expression: Column, empty: float = 0) -> Column:
         return expression if column in df.columns else F.lit(empty)
 
-    return df.agg(
-        of("revenue", F.coalesce(F.sum("revenue").cast("double"), F.lit(0.0)), 0.0).alias("revenue_total"),
-        F.count(F.lit(1)).alias("transaction_count"),
-        of("revenue", F.avg("revenue"), 0.0).alias("average_basket"),
-        of("quantite", F.coalesce(F.sum("quantite").cast("bigint"), F.lit(0))).cast("bigint").alias("total_quantity"),
-        of("prix", F.avg("prix"), 0.0).alias("average_price"),
+    def mean(i: int) -> Column:
+        return F.try_divide(F.sum(f"_s{i}").cast("double"), F.sum(f"_c{i}"))
+
+    return grouped.agg(
+        of("revenue", F.coalesce(F.sum("_s0").cast("double"), F.lit(0.0)), 0.0).alias("revenue_total"),
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("transaction_count"),
+        of("revenue", mean(0), 0.0).alias("average_basket"),
+        of("quantite", F.coalesce(F.sum("_s1").cast("bigint"), F.lit(0))).cast("bigint").alias("total_quantity"),
+        of("prix", mean(2), 0.0).alias("average_price"),
         of("produit", F.count_distinct("produit")).cast("bigint").alias("unique_products"),
         of("categorie", F.count_distinct("categorie")).cast("bigint").alias("unique_categories"),
         of("ville", F.count_distinct("ville")).cast("bigint").alias("unique_cities"),
@@ -275,8 +289,8 @@ def overview(df: DataFrame) -> DataFrame:
     def distinct(column: str) -> Column:
         return F.count_distinct(column) if column in df.columns else F.lit(None).cast("bigint")
 
-    return df.agg(
-        F.count(F.lit(1)).alias("transactions"),
+    return _collapsed(df, ("produit", "categorie", "ville"), ()).agg(
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("transactions"),
         distinct("produit").alias("produits"),
         distinct("categorie").alias("categories"),
         distinct("ville").alias("villes"),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from comptoir.functions.columns import numeric_columns, ref
+from comptoir.functions.columns import nan_to_null, numeric_columns, ref
 from comptoir.operators import order
 from comptoir.operators.order import distinct_estimates, fits_one_sort, value_ranks
 from comptoir.session import ensure_checkpoint_dir
@@ -49,7 +49,8 @@ def strong_correlations(
 
 
 def correlation_pairs(df: DataFrame, method: str, names: Sequence[str]) -> DataFrame:
-    """The upper triangle with the diagonal, in column order."""
+    """The upper triangle with the diagonal, in column order; NaN is missing, as NULL."""
+    df = nan_to_null(df.select(*[ref(c) for c in names]))
     if method == "pearson":
         return _pearson(df, names)
     if method not in ("spearman", "kendall"):

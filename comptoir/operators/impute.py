@@ -9,7 +9,7 @@ from enum import Enum
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from comptoir.functions.columns import as_list, categorical_columns, numeric_columns, ref
+from comptoir.functions.columns import as_list, categorical_columns, nan_to_null, numeric_columns, ref
 from comptoir.operators.neighbours import knn_impute
 from comptoir.operators.order import fill_along_order
 from comptoir.operators.quantiles import quantile_columns
@@ -36,6 +36,7 @@ class Imputer:
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Mean and median turn whole-number columns into doubles; other fills keep the type."""
+        df = nan_to_null(df)
         filled = {}
         for name, value in self.values.items():
             kind = df.schema[name].dataType
@@ -82,7 +83,7 @@ def fit_imputer(
     fill_value: float = 0,
 ) -> Imputer:
     """Fill values of the columns that have gaps; numeric ones by strategy, text by most frequent value."""
-    strategy = Strategy(strategy)
+    df, strategy = nan_to_null(df), Strategy(strategy)
     names = df.columns if columns is None else as_list(columns)
     gaps = columns_with_missing(df, names)
     numbers = [c for c in numeric_columns(df) if c in gaps]
@@ -112,7 +113,7 @@ def impute_missing_values(
     fill_value: float = 0, n_neighbors: int = 5,
 ) -> DataFrame:
     """Fill gaps. Forward and backward fill need ``order_by``, the row order they follow."""
-    strategy = Strategy(strategy)
+    df, strategy = nan_to_null(df), Strategy(strategy)
     names = df.columns if columns is None else as_list(columns)
     if strategy not in (Strategy.KNN, Strategy.FORWARD_FILL, Strategy.BACKWARD_FILL):
         return fit_imputer(df, strategy, names, fill_value).transform(df)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from comptoir.functions.columns import ref
+from comptoir.functions.columns import nan_to_null, ref
 
 Bounds = tuple[float | None, float | None]
 
@@ -112,12 +112,13 @@ def _counted(df: DataFrame, conditions: Sequence[Column]) -> DataFrame:
 
 
 def duplicate_count(df: DataFrame) -> DataFrame:
-    """Rows beyond the first of each set of equal rows (NULLs equal)."""
-    return _counted(df, []).select((F.col("total") - F.col("different")).alias("duplicate_rows"))
+    """Rows beyond the first of each set of equal rows (NULLs equal, and NaN with them)."""
+    return _counted(nan_to_null(df), []).select((F.col("total") - F.col("different")).alias("duplicate_rows"))
 
 
 def missing_counts(df: DataFrame) -> DataFrame:
     """One row per column: missing values, rows, and the missing percentage."""
+    df = nan_to_null(df)
     counts = df.agg(
         F.count(F.lit(1)).alias("total"),
         *[F.count_if(ref(c).isNull()).alias(f"m{i}") for i, c in enumerate(df.columns)],
@@ -134,6 +135,7 @@ def missing_report(df: DataFrame) -> DataFrame:
 
 def table_metrics(df: DataFrame) -> DataFrame:
     """One row: rows, columns, cells, missing cells and percentage, duplicate rows, column types."""
+    df = nan_to_null(df)
     return _metrics(df, _counted(df, [ref(c).isNull() for c in df.columns]))
 
 
@@ -199,6 +201,7 @@ def validate(
 
     Everything that counts rows comes from one pass, whose shuffle moves fingerprints of rows and counts.
     """
+    df = nan_to_null(df)
     soft = "error" if strict else "warning"
     conditions = [ref(c).isNull() for c in df.columns]
     found: list[tuple[Column, Column]] = []  # (condition, finding)

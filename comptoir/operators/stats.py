@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from comptoir.functions.columns import as_list, categorical_columns, numeric_columns, ref
+from comptoir.functions.columns import as_list, categorical_columns, nan_to_null, numeric_columns, ref
 from comptoir.operators.correlation import correlation_matrix
 from comptoir.operators.outliers import outlier_counts
 from comptoir.operators.quality import missing_report
@@ -40,6 +40,7 @@ def describe(
 ) -> DataFrame:
     """One summary row per numeric column, all from a single aggregate. ``rounded`` keeps two decimals; known ``quartiles`` save their passes."""
     names = numeric_columns(df) if columns is None else as_list(columns)
+    df = nan_to_null(df)
     quartiles = quartiles or quantile_columns(df, {c: [0.25, 0.5, 0.75] for c in names})
     summaries = []
     for i, name in enumerate(names):
@@ -60,6 +61,7 @@ def describe(
 
 def percentiles(df: DataFrame, column: str, wanted: Sequence[float] = DEFAULT_PERCENTILES) -> DataFrame:
     """Exact percentiles with linear interpolation, one row each."""
+    df = nan_to_null(df)
     values = quantile_columns(df, {column: list(wanted)})[column]
     pairs = F.arrays_zip(F.array(*[F.lit(float(p)) for p in wanted]).alias("percentile"), F.col("v").alias("value"))
     return df.agg(values.alias("v")).select(F.inline(pairs)).toDF("percentile", "value")
@@ -77,7 +79,7 @@ def profile_counts(df: DataFrame) -> DataFrame:
 
 def statistics_report(df: DataFrame) -> dict[str, DataFrame]:
     """Overview, summaries, missing values, correlations (from two numeric columns on) and outlier counts."""
-    names = numeric_columns(df)
+    df, names = nan_to_null(df), numeric_columns(df)
     report = {"overview": profile_counts(df), "missing_values": missing_report(df)}
     if names:
         quartiles = quantile_columns(df, {c: [0.25, 0.5, 0.75] for c in names})

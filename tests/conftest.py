@@ -38,9 +38,9 @@ def scale(request, monkeypatch):
 @pytest.fixture
 def sales(spark):
     rows = [
-        ("2025-01-01", "Stylo", "Fournitures", 1.5, 10, "Paris", "web"),
-        ("2025-01-02", "Cahier", "Fournitures", 3.0, 5, "Lyon", "magasin"),
-        ("2025-01-03", "Calculatrice", "Electronique", 15.0, 2, "Marseille", "web"),
+        ("2024-03-05", "Tasse", "Maison", 5.0, 6, "Lille", "web"),
+        ("2024-03-09", "Lampe", "Maison", 30.0, 1, "Nantes", "magasin"),
+        ("2024-04-01", "Sac", "Mode", 10.0, 6, "Lille", "web"),
     ]
     return spark.createDataFrame(
         rows, "date string, produit string, categorie string, prix double, quantite int, ville string, source string"

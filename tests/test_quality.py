@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from comptoir.operators import quality
+from comptoir.operators import impute, quality, stats
 
 
 def test_clean_sample_is_valid(sales):
@@ -79,3 +79,16 @@ def test_rows_that_differ_in_the_place_of_a_null_are_no_duplicates(spark):
     rows = [(None, "a", 0.0), ("a", None, 0.0), (None, "a", -0.0), ("a", None, None), ("", "a", 0.0), (None, None, None), (None, None, None)]
     df = spark.createDataFrame(rows, "a string, b string, c double")
     assert quality.duplicate_count(df).first()[0] == len(rows) - df.distinct().count() == 2
+
+
+def test_nan_is_missing_in_any_table(spark):
+    df = spark.createDataFrame([(1, float("nan")), (2, 4.0), (3, None), (4, float("nan"))], "id int, v double")
+    assert [r.column for r in quality.validate(df).findings.collect()] == ["v"]
+    assert quality.table_metrics(df).first().missing_cells == 3
+    assert [tuple(r)[:2] for r in quality.missing_report(df).collect()] == [("v", 3)]
+    described = {r["column"]: r for r in stats.describe(df).collect()}
+    assert (described["v"]["count"], described["v"]["mean"], described["v"]["max"]) == (1, 4.0, 4.0)
+    for how in ("mean", "median", "most_frequent", "constant", "knn"):
+        filled = impute.impute_missing_values(df, how, fill_value=4).orderBy("id").collect()
+        assert [r.v for r in filled] == [4.0] * 4
+    assert [r.v for r in impute.impute_missing_values(df, "ffill", order_by="id").orderBy("id").collect()] == [None, 4.0, 4.0, 4.0]
