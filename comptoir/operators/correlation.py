@@ -15,13 +15,13 @@ from pyspark.sql import Window as W
 
 from comptoir.functions.columns import nan_to_null, numeric_columns, ref
 from comptoir.operators import order
-from comptoir.operators.order import distinct_estimates, fits_one_sort, value_ranks
+from comptoir.operators.order import distinct_estimates, fits_one_sort, fits_one_task, value_ranks
 from comptoir.session import ensure_checkpoint_dir
 
 _LONG = "column1 string, column2 string, correlation double"
 _PAIRS_PER_TASK = 1_000_000  # distinct (x, y) pairs that one task of the Kendall count should hold
 _CELLS = 4_000_000  # grid cells (distinct x times distinct y) that may be counted in one piece
-_RANK_BYTES = 64  # of a value and its rank in a table sent to all executors
+_RANK_BYTES = 512  # of a value and its rank, on the driver and in a hashed table of every executor
 _STRIPES = 999  # twice as many lanes on each side stay within that number of cells
 
 
@@ -121,7 +121,7 @@ def _rank_moments(typed: DataFrame, pairs: dict[int, tuple[int, int]], sizes: di
     distinct = distinct_estimates(typed, [f"v{i}" for i in used])
     long = typed.select(F.inline(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"v{i}").alias("v")) for i in used])))
     ensure_checkpoint_dir(typed.sparkSession)
-    ranks = value_ranks(long, "v", ["i"], small=fits_one_sort(max(distinct.values())))
+    ranks = value_ranks(long, "v", ["i"], small=fits_one_task(max(distinct.values())))
     ranks = ranks.select("i", "v", (F.col("before") + (F.col("n") + 1) / 2).alias("r")).checkpoint()
     if sum(distinct.values()) * _RANK_BYTES <= order.BROADCAST_BYTES:
         ranked = typed

@@ -84,31 +84,37 @@ def range_violations(df: DataFrame, value_ranges: dict[str, Bounds]) -> DataFram
         [], "column string, invalid bigint")
 
 
+def _masks(conditions: Sequence[Column]) -> list[Column]:
+    """Which conditions a row meets, as bits of whole numbers, 62 in each."""
+    bits = [F.when(met, F.lit(1 << i % 62).cast("bigint")).otherwise(F.lit(0).cast("bigint")) for i, met in enumerate(conditions)]
+    return [reduce(Column.bitwiseOR, bits[i:i + 62]) for i in range(0, len(bits), 62)]
+
+
 def _fingerprint(df: DataFrame) -> list[Column]:
     """Two 64-bit hashes of a row, with different seeds. Which columns are NULL is part of both, as a hash passes over NULLs.
 
     Different rows agree in both with a chance of 2 ** -128 for each pair of rows: about 1e-15 for a table of 10 ** 12.
     """
-    gaps = [F.concat_ws("", *[F.when(ref(c).isNull(), "1").otherwise("0") for c in df.columns])] if df.columns else []
+    gaps = _masks([ref(c).isNull() for c in df.columns])
     return [F.xxhash64(F.lit(seed), *gaps, *[ref(c) for c in df.columns]) for seed in (11, 97)]
 
 
 def _counted(df: DataFrame, conditions: Sequence[Column]) -> DataFrame:
     """One row: ``total`` rows, ``different`` ones, and in ``c0, c1, ..`` how many rows meet each condition.
 
-    One pass and one shuffle, of fingerprints and counts: a row becomes its fingerprint, and one small key for every
-    condition it meets; equal keys combine before the shuffle. Columns themselves never move.
+    One pass and one shuffle, of fingerprints and the bits of the conditions, which equal rows share; equal rows combine
+    before the shuffle. Columns themselves never move.
     """
-    first, second = _fingerprint(df)
-    keys = [F.struct(F.lit(-1).alias("kind"), first.alias("a"), second.alias("b"))]
-    none = F.lit(0).cast("bigint")
-    keys += [F.when(met, F.struct(F.lit(i).alias("kind"), none.alias("a"), none.alias("b"))) for i, met in enumerate(conditions)]
-    grouped = df.select(F.inline(F.array_compact(F.array(*keys)))).groupBy("kind", "a", "b").agg(F.count(F.lit(1)).alias("n"))
+    masks = _masks(conditions)
+    named = [*zip(("_a", "_b"), _fingerprint(df)), *[(f"_m{i}", m) for i, m in enumerate(masks)]]
+    keys = [name for name, _ in named]
+    grouped = df.select(*[c.alias(name) for name, c in named]).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
-    def of(kind: int) -> Column:
-        return F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("n"))), F.lit(0))
+    def of(i: int) -> Column:
+        met = F.col(f"_m{i // 62}").bitwiseAND(F.lit(1 << i % 62).cast("bigint")) != 0
+        return F.coalesce(F.sum(F.when(met, F.col("n"))), F.lit(0)).alias(f"c{i}")
 
-    return grouped.agg(of(-1).alias("total"), F.count_if(F.col("kind") == -1).alias("different"), *[of(i).alias(f"c{i}") for i in range(len(conditions))])
+    return grouped.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count(F.lit(1)).alias("different"), *[of(i) for i in range(len(conditions))])
 
 
 def duplicate_count(df: DataFrame) -> DataFrame:

@@ -70,7 +70,7 @@ def test_validation_moves_fingerprints_once(spark):
     plan = result._counts._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
     moved = plan.split("Exchange hashpartitioning")[1].split("\n")[1]
-    assert "name" not in moved and "kind" in moved
+    assert "name" not in moved and "_m0" in moved
     assert {(r.check, r.column): r.observed for r in result.findings.collect()} == {("duplicates", None): 2.0, ("range", "v"): 1.0}
     assert result.metrics.first().duplicate_rows == 2
 
@@ -92,3 +92,10 @@ def test_nan_is_missing_in_any_table(spark):
         filled = impute.impute_missing_values(df, how, fill_value=4).orderBy("id").collect()
         assert [r.v for r in filled] == [4.0] * 4
     assert [r.v for r in impute.impute_missing_values(df, "ffill", order_by="id").orderBy("id").collect()] == [None, 4.0, 4.0, 4.0]
+
+
+def test_more_conditions_than_one_mask_holds(spark):
+    df = spark.range(3).select(*[F.when(F.col("id") > i % 3, F.lit(1)).alias(f"c{i}") for i in range(70)])
+    counts = quality.missing_counts(df).collect()
+    row = quality._counted(df, [F.col(c).isNull() for c in df.columns]).first()
+    assert [row[f"c{i}"] for i in range(70)] == [r["count"] for r in counts] and row["different"] == 3
