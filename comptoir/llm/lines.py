@@ -17,7 +17,7 @@ from comptoir.llm.common import query, slices, stored, table
 from comptoir.llm.ngrams import _words as word_hashes
 
 PERCENT = 80
-MIN_TOKENS = 5
+MIN_TOKENS = 1
 #: Words are counted by their hash in so many counters; a word is as rare as its counter.
 COUNTERS = 65536
 #: Tables of at most so many numbers are broadcast to thin out rows before an exact join.

@@ -66,7 +66,7 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: s
 
     Sources in code point order (NULL last) weigh ``weights``, repeating. The target of all words is cut into
     blocks of ``block`` words; Sainte-Laguë apportionment gives each source, then each of its shards, an integer
-    number of them. A source of n documents has about sqrt(n) shards, so that neither shards nor their lists grow
+    number of them. A source of n documents with words has about sqrt(n) shards, so that neither shards nor their lists grow
     into one task. A shard is an endless stream of its documents in seeded order, and its first blocks are taken:
     full rounds, then a beginning of one more. No document is taken more than ``repeats`` times. The choice depends on seed and
     ids only, so reruns agree.
@@ -76,12 +76,12 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: s
     repeated rows are separate documents that share a shard. Other columns are not read.
     """
     sizes = stored(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), n_words(text).alias("size")))
-    sources = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("_docs"))
+    sources = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count_if(F.col("size") > 0).alias("_docs"))
     sources = targets(sources, "source_size", "source", weights, repeats)
     seats = F.floor(F.sum("source_size").over(Window.partitionBy()) / block + 0.5)
     sources = apportion(sources.withColumn("_seats", seats), "target", "_seats", ["source"])
     sources = stored(sources.select(
-        F.col("source").alias("_source"), "source_size", "target", F.col("quota").alias("_seats"), F.ceil(F.sqrt("_docs")).cast("long").alias("_shards")))
+        F.col("source").alias("_source"), "source_size", "target", F.col("quota").alias("_seats"), F.greatest(F.lit(1), F.ceil(F.sqrt("_docs"))).cast("long").alias("_shards")))
     key = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     number = F.conv(F.substring(F.md5(key.cast("binary")), 1, 8), 16, 10).cast("long")
     placed = (
@@ -120,7 +120,7 @@ def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", source: str = "sour
 SQL = rf"""
 WITH sized AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
-per AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, count(*) AS docs FROM sized GROUP BY source),
+per AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, count(*) FILTER (size > 0) AS docs FROM sized GROUP BY source),
 weighed AS (
   SELECT *, CASE (row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight,
     {MAX_REPEATS} * source_size AS cap FROM per),
@@ -140,7 +140,7 @@ quotients AS (
     CASE WHEN w > 0 THEN seats - (SELECT sum(base) FROM based) ELSE 0 END AS remaining
   FROM (SELECT *, unnest(range(1, CAST(CASE WHEN w > 0 THEN ceil(target * m / w) ELSE 0 END AS BIGINT) + 4)) AS k FROM based)),
 quotas AS (
-  SELECT source, source_size, target, CAST(ceil(sqrt(docs)) AS BIGINT) AS shards,
+  SELECT source, source_size, target, greatest(1, CAST(ceil(sqrt(docs)) AS BIGINT)) AS shards,
     any_value(base) + sum(CASE WHEN rank <= remaining THEN 1 ELSE 0 END) AS seats FROM quotients GROUP BY source, source_size, target, docs),
 placed AS (
   SELECT s.*, q.source_size, q.target, q.seats, CAST('0x' || substr(md5('{SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, 8) AS BIGINT) % q.shards AS shard

@@ -347,7 +347,7 @@ def test_code_lengths_are_those_of_the_trees():
 
 # 8: lines
 
-def brute_lines(rows, percent=80, least=5):
+def brute_lines(rows, percent=80, least=1):
     seen, gone = [], set()
     for i, t in sorted((r for r in rows if r[1] is not None), key=lambda r: r[0]):
         for k, line in enumerate(t.split("\n")):
@@ -386,8 +386,9 @@ def test_short_lines_take_part(spark, tmp_path):
     words = "a b c d e f".split()
     rows = [(i, "\n".join(" ".join(rng.choice(words) for _ in range(rng.randrange(8))) for _ in range(4))) for i in range(40)]
     rows += [(100, "k l m n"), (101, "k l m n o"), (102, "K\tL M"), (103, "m l k"), (104, "zz zz"), (105, "zz"), (106, "\n \n"), (107, " \n")]
-    want = brute_lines(rows, least=1)
-    assert {tuple(r) for r in lines.removed_lines(docs_of(spark, rows), min_tokens=1).collect()} == want > brute_lines(rows)
+    want = brute_lines(rows)
+    assert {tuple(r) for r in lines.removed_lines(docs_of(spark, rows)).collect()} == want > brute_lines(rows, least=5)
+    assert {tuple(r) for r in lines.removed_lines(docs_of(spark, rows), min_tokens=5).collect()} == brute_lines(rows, least=5)
     left = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, docs_of(spark, rows), str(tmp_path)).collect()}
     kept = {i: "\n".join(x for k, x in enumerate(t.split("\n")) if (i, k) not in want) for i, t in rows}
     assert left == {i: t for i, t in kept.items() if t} and left.keys().isdisjoint({101, 103, 105}) and left[106] == "\n \n"
@@ -462,6 +463,13 @@ def test_mix_meets_targets(spark, odd, empty):
     assert mixing.mix(odd).count() == len(ODD) and mixing.mix(empty).count() == 0 and mixing.mixed_documents(empty).count() == 0
 
 
+def test_texts_without_words_make_no_shards(spark):
+    rows = [(i, "one two three four five", None, "a") for i in range(20)] + [(100 + i, None, None, "a") for i in range(2000)]
+    rows += [(5000 + i, prose(i, 50), None, "b") for i in range(40)]
+    got = mixing.mix(docs_of(spark, rows)).where("source = 'a'").agg(F.sum("taken"), F.max("target")).first()
+    assert got[1] == 300 and 300 - 8 * 5 <= got[0] <= 300  # within one block for each of the five shards
+
+
 # pipeline
 
 def test_pipeline_stages(spark, tmp_path, odd, empty):
