@@ -91,28 +91,28 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates:
 
     One pass counts in how many texts each template word occurs. The two words of each template with the highest
     IDF, from its mandatory phrases, form a positional index, a literal of fixed size. A second pass looks up each text's
-    words in it: every hit names a template and the place where it would start; places that all of a template's
-    indexed words agree on are candidates, and those with every mandatory phrase in place are matches. Nothing is shuffled but counts.
+    words in it: every hit of an indexed word gives a place where its template would start; places that all of a template's
+    indexed words give are candidates, and those with every mandatory phrase in place are matches. Nothing is shuffled but counts,
+    and the time for a text grows with its length, however often it repeats a word of the index.
 
     Returns one row per document: doc_id, n_words, places: array of (label, base, start, coverage), where coverage is the share of
     template words found at their position. NULL and empty texts have no words and no places; repeated rows stay.
     """
     split = docs.select(F.col(doc_id).alias("doc_id"), words_of(text).alias("words"))
     index = anchors(rarity(split.select("words"), templates), templates)
-    postings: dict[str, list[tuple[int, int]]] = {}
-    for t, places in enumerate(index):
-        for at, word in places:
-            postings.setdefault(word, []).append((t, at))
-    rare = F.array(*map(F.lit, sorted(postings)))
-    lookup = F.create_map(*[x for w in sorted(postings) for x in (
-        F.lit(w), F.array(*[F.struct(F.lit(t).alias("t"), F.lit(at).alias("at")) for t, at in postings[w]]))])
+    rare = F.array(*map(F.lit, sorted({word for places in index for _, word in places})))
     hits = F.filter(F.transform("words", lambda w, i: F.when(F.array_contains(rare, w), F.struct(w.alias("w"), i.alias("i")))), lambda h: h.isNotNull())
-    votes = F.flatten(F.transform(hits, lambda h: F.transform(F.element_at(lookup, h.w), lambda p: F.struct(p.t.alias("t"), (h.i - p.at).alias("start")))))
     has = F.arrays_overlap("words", rare)
-    voted = split.withColumn("votes", F.when(has, votes))
-    needed = F.array(*[F.lit(len(x)) for x in index])
-    agreed = F.filter(F.array_distinct("votes"), lambda v: (v.start >= 0) & (
-        F.size(F.filter(F.col("votes"), lambda o: o == v)) == F.element_at(needed, v.t + 1)))
+    voted = split.withColumn("hits", F.when(has, hits))
+
+    def starts(at: int, word: str) -> Column:
+        """Where a template would start by the postings of one of its words; each place once."""
+        return F.transform(F.filter("hits", lambda h: (h.w == word) & (h.i >= at)), lambda h: h.i - at)
+
+    # array_intersect hashes, so the time grows with the number of hits alone
+    agreed = F.concat(*[
+        F.transform(reduce(F.array_intersect, [starts(at, word) for at, word in places]), lambda s: F.struct(F.lit(t).alias("t"), s.alias("start")))
+        for t, places in enumerate(index)])
 
     def stands(v: Column, t: Template) -> Column:
         return reduce(lambda a, b: a & b, [
