@@ -17,6 +17,7 @@ COSINE = 0.95
 PIVOTS = 512
 BLOCK = 4096
 _ROWS = 1024
+_SALT = 16
 #: Distances come from cosines; near 0 they are good to eight digits.
 _SLACK = 1e-7
 
@@ -144,9 +145,10 @@ def traverse(one: CoverTree, two: CoverTree, places: tuple[np.ndarray, np.ndarra
 
 
 def _unit(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    """Vectors of one length, scaled to length 1."""
+    """Vectors of one length, scaled to length 1; first by a power of two, so that no square overflows or vanishes."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     x = column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(1))[1][:, None])
     return x / np.sqrt((x * x).sum(1))[:, None]
 
 
@@ -192,7 +194,7 @@ def near_embeddings(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
                     pivots: int = PIVOTS, block: int = BLOCK) -> DataFrame:
     """Vectors linked by a cosine of ``cosine`` or more, in double precision, compared exactly whatever their labels.
 
-    1. Equal vectors become one with a weight.
+    1. Equal vectors become one with a weight and a number of its own, which links refer to; ids only name the results.
     2. A cover tree over about ``pivots`` vectors, drawn by a hash, gives cells; each vector belongs to its nearest pivot, and each cell
        has a measured covering radius. Neighbouring cells form blocks; a large cell is cut into several.
     3. A vector goes to its own block and to every pair of its block with another in which some cell lies within the threshold and its
@@ -201,15 +203,17 @@ def near_embeddings(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
        never pairs. Where data do not cluster, no bound prunes and all blocks meet.
 
     Returns one row per row of ``vectors``: vec_id, n_links, component_id, kept. Vectors that are NULL, zero, or hold NULL or
-    non-finite components link with nothing, nor do vectors of different length. Rows of equal vectors link with each other.
+    non-finite components link with nothing, nor do vectors of different length. Rows of equal vectors link with each other. Rows that
+    share an id, or have none, are separate vectors; a component is named by its smallest id, NULL only where it has no other.
     """
     spark = vectors.sparkSession
     source = vectors.select(F.col(vec_id).alias("vec_id"), F.col(embedding).cast("array<double>").alias("e"))
     sound = ~F.exists("e", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
-    square = F.aggregate("e", F.lit(0.0), lambda s, v: s + v * v)
-    valid = source.where(F.col("e").isNotNull()).where(sound).where((square > 0) & (square < float("inf")))
+    links = F.coalesce(F.col("e").isNotNull() & sound & F.exists("e", lambda v: v != 0), F.lit(False))
+    valid = source.where(links)
     key = F.transform("e", lambda v: v + 0.0)  # -0.0 is 0.0
-    distinct = stored(valid.withColumn("e", key).groupBy("e").agg(F.min("vec_id").alias("id"), F.count("*").alias("weight")).withColumn("key", F.xxhash64("e")))
+    distinct = stored(valid.withColumn("e", key).groupBy("e").agg(F.min("vec_id").alias("least"), F.count("*").alias("weight"))
+                      .withColumn("key", F.xxhash64("e")).withColumn("id", F.monotonically_increasing_id()))
     dims = {r["dim"]: r["n"] for r in distinct.groupBy(F.size("e").alias("dim")).agg(F.count("*").alias("n")).collect()}
     rate = F.element_at(F.create_map(*[F.lit(x) for d, n in dims.items() for x in (d, min(1.0, pivots / n))]), F.size("e")) if dims else F.lit(0.0)
     drawn = distinct.where(F.pmod("key", F.lit(1_000_003)) < rate * 1_000_003).select("e").toArrow().column("e")
@@ -288,13 +292,16 @@ def near_embeddings(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
 
     counted = stored(distinct.select("id", "weight", "e", "key").mapInArrow(send, schema).groupBy("low", "high").applyInArrow(meet, found))
     others = counted.groupBy("u").agg(F.sum("n").alias("n"))
-    parts = components(counted.select("u", "v"))
+    parts = components(counted.select("u", "v")).join(distinct.select(F.col("id").alias("node"), "least"), "node")
+    # one component may hold a third of all vectors: its name is copied for each of _SALT shares of them
+    names = parts.groupBy("component").agg(F.min("least").alias("name")).withColumn("salt", F.explode(F.array(*map(F.lit, range(_SALT)))))
+    named = parts.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(_SALT)).cast("int")).join(names, ["component", "salt"]).select("node", "name")
     labels = (
-        distinct.select("e", "id", "weight").join(others, F.col("id") == F.col("u"), "left").join(parts, F.col("id") == F.col("node"), "left")
-        .select("e", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
+        distinct.select("e", "id", "weight", "least").join(others, F.col("id") == F.col("u"), "left").join(named, F.col("id") == F.col("node"), "left")
+        .select("e", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("name", "least").alias("component_id"))
     )
     rows = valid.withColumn("e", key).join(labels, "e").select("vec_id", "n_links", "component_id")
-    alone = source.where(~F.coalesce(F.col("e").isNotNull() & sound & (square > 0) & (square < float("inf")), F.lit(False)))
+    alone = source.where(~links)
     return rows.unionByName(alone.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))).withColumn(
         "kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
