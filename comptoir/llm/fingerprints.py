@@ -153,22 +153,32 @@ def compared(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", group_
     """Fingerprints of every whole text and of its edited text, with likenesses to that and to the next document.
 
     The next document is the one with the next smaller id; after the smallest comes the largest. Ids are cut into ranges of
-    about ``group_chars`` letters by approximate quantiles, and each text travels once, to its range. The first text of a range
+    about ``group_chars`` letters by approximate quantiles (ids that are no numbers: of a drawn sample), and each text travels once, to its range. The first text of a range
     (its largest id) also travels to the range before it, whose last document needs it: one more text per range, named by
     a table of one row per range. Rows that repeat an id follow each other by text; NULL ids come last; NULL texts are empty.
     """
     spark = docs.sparkSession
     source = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    chars = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    numeric = isinstance(docs.schema[doc_id].dataType, T.NumericType)
+    chars, rows = source.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("doc_id")).first()
     parts = max(1, chars // group_chars)
-    bounds = sorted(set(source.approxQuantile("doc_id", [i / parts for i in range(1, parts)], 1 / (8 * parts)))) if parts > 1 else []
-    shared = spark.sparkContext.broadcast(np.array(bounds, np.float64))
+    if parts == 1:
+        bounds = []
+    elif numeric:
+        bounds = sorted(set(source.approxQuantile("doc_id", [i / parts for i in range(1, parts)], 1 / (8 * parts))))
+    else:
+        drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < 1_000_003 * min(1.0, 32 * parts / max(rows, 1))
+        ids = source.select("doc_id").where(F.col("doc_id").isNotNull() & drawn).distinct().toArrow().column("doc_id").to_pylist()
+        bounds = sorted(ids)[32::32] if len(ids) > 2 * parts else sorted(ids)
+    shared = spark.sparkContext.broadcast(np.array(bounds, np.float64 if numeric else object))
 
     @F.arrow_udf(T.IntegerType())
     def in_range(ids: pa.Array) -> pa.Array:
-        x = ids.cast(pa.float64()).to_numpy(zero_copy_only=False)
-        found = len(shared.value) - np.searchsorted(shared.value, x, "left")  # 0: the largest ids
-        return pa.array(np.where(np.isnan(x), len(shared.value) + 1, found).astype(np.int32))
+        out = np.full(len(ids), len(shared.value) + 1, np.int32)
+        known = ids.drop_null()
+        x = known.cast(pa.float64(), safe=False).to_numpy() if numeric else np.array(known.to_pylist(), object)  # large ids may round, but keep their order
+        out[ids.is_valid().to_numpy(zero_copy_only=False)] = len(shared.value) - np.searchsorted(shared.value, x, "left")  # 0: the largest ids
+        return pa.array(out)
 
     placed = source.withColumn("part", in_range("doc_id"))
     heads = source.select("doc_id").withColumn("part", in_range("doc_id")).groupBy("part").agg(F.max("doc_id").alias("head")).collect()
@@ -185,9 +195,13 @@ def compared(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", group_
 
     def work(group: pa.Table) -> pa.Table:
         rows = list(zip(group.column("doc_id").to_pylist(), group.column("text").to_pylist(), group.column("extra").to_pylist()))
-        order = lambda r: (r[0] is None, 0 if r[0] is None else -r[0], r[1])
-        own = sorted((r for r in rows if not r[2]), key=order)
-        after = min((r for r in rows if r[2]), key=order)[1]
+
+        def ordered(some: list[tuple]) -> list[tuple]:
+            by_text = sorted(some, key=lambda r: r[1])
+            return sorted((r for r in by_text if r[0] is not None), key=lambda r: r[0], reverse=True) + [r for r in by_text if r[0] is None]
+
+        own = ordered([r for r in rows if not r[2]])
+        after = ordered([r for r in rows if r[2]])[0][1]
         texts = [r[1] for r in own] + [after]
         out, lo = [], 0
         while lo < len(own):  # a slice of the range at a time keeps temporary arrays small
