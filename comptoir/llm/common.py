@@ -39,6 +39,14 @@ def fold(doc_id: str, folds: int) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % folds
 
 
+def unused(columns: list[str], name: str) -> str:
+    """``name``, lengthened until no column is called so."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def stored(df: DataFrame) -> DataFrame:
     """The rows written once to the shared checkpoint folder and read back, which cuts the lineage.
 

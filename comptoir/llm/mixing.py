@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from comptoir.llm.common import WORD, query, stored, table
+from comptoir.llm.common import WORD, query, stored, table, unused
 
 WEIGHTS = (5, 2, 1)
 BLOCK_WORDS = 8
@@ -68,7 +68,7 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: s
     blocks of ``block`` words; Sainte-Laguë apportionment gives each source, then each of its shards, an integer
     number of them. A source of n documents with words has about sqrt(n) shards, so that neither shards nor their lists grow
     into one task. A shard is an endless stream of its documents in seeded order, and its first blocks are taken:
-    full rounds, then a beginning of one more. No document is taken more than ``repeats`` times. The choice depends on seed and
+    full rounds, then a beginning of one more; the last block of a shard that is taken ``repeats`` times whole may be shorter. No document is taken more than ``repeats`` times. The choice depends on seed and
     ids only, so reruns agree.
 
     Returns one row per document: doc_id, source, size (words; NULL or blank text: 0), source_size, target (of its
@@ -92,7 +92,7 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: s
         F.sum("size").alias("_shard_size"), F.first("_seats").alias("_seats"))
     shards = apportion(shards, "_shard_size", "_seats", ["_shard"], ["source"]).select(
         F.col("source").alias("_source"), F.col("_shard").alias("_s"), "_shard_size",
-        (F.least("quota", F.floor(F.col("_shard_size") * repeats / block)) * block).alias("_words"))
+        F.least(F.col("quota") * block, F.col("_shard_size") * repeats).alias("_words"))
     order = Window.partitionBy("source", "_shard").orderBy(F.md5(F.concat(F.lit("order "), key).cast("binary")), "doc_id", "size")
     ends = placed.withColumn("_end", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     rounds, rest = F.floor(F.col("_words") / F.col("_shard_size")), F.col("_words") % F.col("_shard_size")
@@ -111,10 +111,11 @@ def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", source: str = "sour
     taken = mix(docs, doc_id, source, text, **options)
     per_id = taken.groupBy("doc_id", "source", "size").agg(F.sum("taken").alias("_taken"), F.count("*").alias("_n")).where("_taken > 0")
     copies = F.floor(F.col("_taken") / (F.col("size") * F.col("_n")) + 0.5)
-    per_id = per_id.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), copies.alias("_copies")).where("_copies > 0")
-    sized = docs.withColumn("_words", n_words(text))
-    joined = sized.join(per_id, F.col(doc_id).eqNullSafe(F.col("_id")) & F.col(source).eqNullSafe(F.col("_source")) & (F.col("_words") == F.col("_size")))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies"))).select(*docs.columns)
+    id_, of, size, times, words, copy = (unused(docs.columns, c) for c in ("_id", "_source", "_size", "_copies", "_words", "_copy"))
+    per_id = per_id.select(F.col("doc_id").alias(id_), F.col("source").alias(of), F.col("size").alias(size), copies.alias(times)).where(F.col(times) > 0)
+    sized = docs.withColumn(words, n_words(text))
+    joined = sized.join(per_id, F.col(doc_id).eqNullSafe(F.col(id_)) & F.col(source).eqNullSafe(F.col(of)) & (F.col(words) == F.col(size)))
+    return joined.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), times))).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 SQL = rf"""
@@ -153,7 +154,7 @@ shard_quotients AS (
   SELECT *, row_number() OVER (PARTITION BY source ORDER BY CAST(shard_size AS DOUBLE) / (2 * (base + k) - 1) DESC, shard, k) AS rank
   FROM (SELECT *, unnest(range(1, CAST(CASE WHEN w > 0 THEN ceil(CAST(shard_size AS DOUBLE) * m / w) ELSE 0 END AS BIGINT) + 4)) AS k FROM shard_left)),
 shard_quotas AS (
-  SELECT source, shard, shard_size, least(any_value(base) + sum(CASE WHEN rank <= remaining THEN 1 ELSE 0 END), shard_size * {MAX_REPEATS} // {BLOCK_WORDS}) * {BLOCK_WORDS} AS words
+  SELECT source, shard, shard_size, least((any_value(base) + sum(CASE WHEN rank <= remaining THEN 1 ELSE 0 END)) * {BLOCK_WORDS}, shard_size * {MAX_REPEATS}) AS words
   FROM shard_quotients GROUP BY source, shard, shard_size),
 ended AS (
   SELECT *, sum(size) OVER (PARTITION BY source, shard ORDER BY md5('order {SEED}:' || coalesce(doc_id::VARCHAR, '')), doc_id, size
