@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from comptoir.llm.common import query, slices, stored, table
+from comptoir.llm.common import query, slices, stored, table, unused
 from comptoir.llm.ngrams import _words as word_hashes
 
 PERCENT = 80
@@ -124,6 +124,8 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", p
 
 def _removed(docs: DataFrame, doc_id: str, text: str, percent: int, min_tokens: int) -> DataFrame:
     """(doc_id, key, line): ``removed_lines`` of each row, known by its id and the hash of its text."""
+    if not isinstance(docs.schema[doc_id].dataType, T.IntegralType):
+        raise TypeError(f"ids of lines must be integers, {doc_id} is {docs.schema[doc_id].dataType.simpleString()}")
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("key"))
     rank = rarity(source)
     kinds = {"parity": T.LongType(), "least": T.LongType(), "most": T.LongType()}
@@ -202,13 +204,14 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per
     Other columns stay. A NULL text stays NULL; a text that loses all its lines is empty. Rows that repeat an id and a text count as
     one place; rows of one id, or of none, with different texts lose their own lines only. Lines are separated by line feeds only.
     """
-    gone = _removed(docs, doc_id, text, percent, min_tokens).groupBy(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).agg(F.collect_set("line").alias("_gone"))
+    id_, key, lost = (unused(docs.columns, c) for c in ("_id", "_key", "_gone"))
+    gone = _removed(docs, doc_id, text, percent, min_tokens).groupBy(F.col("doc_id").alias(id_), F.col("key").alias(key)).agg(F.collect_set("line").alias(lost))
     gone = stored(gone)
-    joined = docs.join(gone, F.col(doc_id).eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_key")), "left")
-    kept = F.array_join(F.filter(F.split(F.col(text), "\n"), lambda x, i: ~F.array_contains("_gone", i)), "\n")
+    joined = docs.join(gone, F.col(doc_id).eqNullSafe(F.col(id_)) & (F.xxhash64(text) == F.col(key)), "left")
+    kept = F.array_join(F.filter(F.split(F.col(text), "\n"), lambda x, i: ~F.array_contains(lost, i)), "\n")
     return joined.select(
-        *[F.when(F.col("_gone").isNull(), F.col(text)).otherwise(kept).alias(text) if c == text else F.col(f"`{c}`") for c in docs.columns],
-        *([F.coalesce(F.size("_gone"), F.lit(0)).alias(removed)] if removed else []))
+        *[F.when(F.col(lost).isNull(), F.col(text)).otherwise(kept).alias(text) if c == text else F.col(f"`{c}`") for c in docs.columns],
+        *([F.coalesce(F.size(lost), F.lit(0)).alias(removed)] if removed else []))
 
 
 SQL = rf"""
