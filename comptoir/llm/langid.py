@@ -169,7 +169,8 @@ def identify(text: Column, model: list[tuple], spark: SparkSession) -> Column:
                 bits += [length[i, b] / SCALE / len(t) if t else None for i, (t, b) in enumerate(zip(texts, best))]
             yield pa.StructArray.from_arrays([pa.array(found, pa.string()), pa.array(value, pa.float64()), pa.array(bits, pa.float64())], ["lang", "score", "bits_per_byte"])
 
-    return score(F.when(text.rlike(r"\p{L}"), text))
+    # so that a filter on the answer is not evaluated below it, by a second set of workers
+    return score.asNondeterministic()(F.when(text.rlike(r"\p{L}"), text))
 
 
 @query("op7_langid")
