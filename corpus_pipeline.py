@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from comptoir.llm import jaccard, langid, lines, mixing, packing
-from comptoir.llm.common import stored, table
+from comptoir.llm.common import stored, table, unused
 
 #: A text that takes as many bits per byte as it has is like none of the languages learned.
 RAW_BITS = 8.0
@@ -19,18 +19,19 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     The languages are learned from the labelled documents themselves; a missing label is filled in.
     """
-    found = langid.identify(F.col("text"), langid.fit(docs), spark)
-    named = docs.withColumn("_found", found).where(
-        (F.col("_found.lang") != langid.UNKNOWN)
-        & ((F.octet_length("text") < LEAST_BYTES) | (F.coalesce("_found.bits_per_byte", F.lit(0.0)) < RAW_BITS)))
-    return named.withColumn("lang", F.coalesce("lang", "_found.lang")).select(*docs.columns)
+    name = unused(docs.columns, "_found")
+    named = docs.withColumn(name, langid.identify(F.col("text"), langid.fit(docs), spark)).where(
+        (F.col(name)["lang"] != langid.UNKNOWN)
+        & ((F.octet_length("text") < LEAST_BYTES) | (F.coalesce(F.col(name)["bits_per_byte"], F.lit(0.0)) < RAW_BITS)))
+    return named.withColumn("lang", F.coalesce("lang", F.col(name)["lang"])).drop(name)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Take repeated lines out of the texts, short ones too; documents of which nothing is left go."""
-    done = lines.dedup_lines(docs.withColumn("_had", F.col("text") != ""), min_tokens=1)
-    left = done.where(~F.col("_had") | (F.col("text") != "") | F.col("_had").isNull())
-    return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    had = unused(docs.columns, "_had")
+    done = lines.dedup_lines(docs.withColumn(had, F.col("text") != ""), min_tokens=1)
+    left = done.where(~F.col(had) | (F.col("text") != "") | F.col(had).isNull())
+    return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).drop(had)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
