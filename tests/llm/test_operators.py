@@ -264,7 +264,59 @@ def test_lattice_sums_all_segmentations():
     words = ["".join(rng.choice("abé") for _ in range(rng.randint(1, 9))) for _ in range(100)] + ["a", "b"]
     for word, value in zip(words, lattice.log10(words)):
         assert value == pytest.approx(math.log10(brute("▁" + word)), abs=1e-9)
-    assert lattice.log10(["ab" * 40])[0] == pytest.approx(lattice._long("ab" * 40)) and lattice.log10([]) == []
+    assert lattice.log10([]) == []
+
+
+def plain_spelling(scores, word):
+    """log10 of the sum over all segmentations, letter by letter."""
+    s, reached = "▁" + word, [0.0]
+    for end in range(1, len(s) + 1):
+        c = s[end - 1]
+        terms = [reached[k] + scores[s[k:end]] for k in range(max(0, end - 40), end) if s[k:end] in scores and "▁" not in s[max(k, 1):end]]
+        if c not in scores or end > 1 and c == "▁":
+            terms.append(reached[end - 1] + sum(scores.get(f"<0x{b:02X}>", -6.0) for b in c.encode()))
+        top = max(terms)
+        reached.append(top + math.log10(sum(10 ** (t - top) for t in terms)))
+    return reached[-1]
+
+
+def test_long_and_odd_words_agree_with_a_plain_recursion():
+    scores = {"▁a": -1.0, "▁": -2.0, "a": -1.5, "b": -2.0, "ab": -1.2, "ba": -1.7, "▁ab": -2.5, "abab": -2.6, "<0xC3>": -4.0, "<0xA9>": -4.1}
+    words = ["", "▁", "a▁ab", "▁▁b", "日本", "é", "\0", "😀a", "ab" * 40, "aé" * 5000, "b" * 30_000, "ab", "ab"]
+    for known in (scores, {p: v for p, v in scores.items() if p != "▁"}):
+        for word, value in zip(words, lm.Lattice(known).log10(words)):
+            assert value == pytest.approx(plain_spelling(known, word), rel=1e-9), word[:20]
+
+
+def test_expected_pieces_are_those_of_all_segmentations():
+    scores = {"▁a": -1.0, "▁": -2.0, "a": -1.5, "b": -2.0, "ab": -1.2, "ba": -1.7, "▁ab": -2.5, "<0xC3>": -4.0, "<0xA9>": -4.1}
+    lattice, rng = lm.Lattice(scores), random.Random(5)
+
+    def cuts(s):
+        if not s:
+            yield (), 0.0
+        if s[:1] == "é":
+            for rest, v in cuts(s[1:]):
+                yield ("<0xC3>", "<0xA9>", *rest), v - 8.1
+        for k in range(1, len(s) + 1):
+            if s[:k] in scores:
+                for rest, v in cuts(s[k:]):
+                    yield (s[:k], *rest), v + scores[s[:k]]
+
+    words = ["".join(rng.choice("abé") for _ in range(rng.randint(1, 8))) for _ in range(60)]
+    weights, want = np.array([rng.random() for _ in words]), Counter()
+    for word, w in zip(words, weights):
+        ways = [(pieces, 10 ** v) for pieces, v in cuts("▁" + word)]
+        for pieces, p in ways:
+            for piece in pieces:
+                want[piece] += w * p / sum(q for _, q in ways)
+    got, total = lattice.expect(words, lambda i, v: weights[i])
+    assert total == pytest.approx(weights.sum()) and dict(zip(lattice.names, got)) == pytest.approx({p: want[p] for p in scores})
+
+
+def test_uses_that_are_spelt():
+    got = lm.spelt_uses(np.array([1, 1, 3]), np.array([-2.0, -500.0, -2.0]), 101, 0.2)
+    assert got.tolist() == pytest.approx([1.0, 1.0, 3 * 0.002 / (0.8 * 0.02 + 0.002)])
 
 
 def test_lm_scores(spark, odd, empty):
@@ -283,7 +335,16 @@ def test_lm_scores(spark, odd, empty):
         base = sum(math.log10((counts[x] + 0.5) / (n + 0.5 * (v + 1))) for x in w) + math.log10(31.5 / (n + 0.5 * (v + 1)))
         want.append((i, len(w) + 1, sum(counts[x] > 0 for x in w) + 1, round(base, 6)))
     assert sorted(((r["doc_id"], r["n_tokens"], r["n_known"], round(r["base_score"], 6)) for r in got), key=str) == sorted(want, key=str)
-    assert all(r["score"] < 0 and math.isfinite(r["score"]) for r in got)
+    scores, _, mass, unseen = model.shared.value
+    scored = []
+    for i, t in rows:
+        own = math.log10((1 - unseen) * 31.5 / mass)
+        for x in re.findall(r"[^\x20\x09-\x0D]+", (t or "").encode().lower().decode()):
+            old = (1 - unseen) * (counts[x] + 0.5) / mass if x in counts else 0
+            own += math.log10(old + unseen * 10 ** plain_spelling(scores, x)) if old else math.log10(unseen) + plain_spelling(scores, x)
+        scored.append((i, own))
+    for (i, a), (j, b) in zip(sorted(((r["doc_id"], r["score"]) for r in got), key=str), sorted(scored, key=str)):
+        assert i == j and a == pytest.approx(b, rel=1e-9)
     untrained = lm.fit(empty)
     assert untrained.tokens == 0 and lm.score(odd, untrained).count() == len(ODD) and lm.score(empty, model).count() == 0
 
