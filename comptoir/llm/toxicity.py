@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 from comptoir.llm.common import fold, query, stored, table
 
 SAMPLE_ROWS = 20_000
-LEXICON = 2_000
 SUPPORT = 8
 PRECISION = 0.95
 STEMS = (4, 5, 6)
@@ -156,7 +155,7 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         counts = {1: Counter(), 0: Counter()}
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            words = {w for t in set(text.lower().split()) if 3 <= len(w := t.strip(_EDGES)) <= 40}
+            words = {w for t in set(text.lower().split()) if (w := t.strip(_EDGES))}
             counts[toxic].update(words | {w[:n] + "*" for w in words for n in STEMS if len(w) > n})
         terms = list(counts[1] | counts[0])
         yield pa.RecordBatch.from_arrays(
@@ -204,10 +203,9 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     ``labels`` (doc_id, toxic 0/1) holds the rows to learn from; at most about ``sample_rows`` of them, half of each
     class where there are enough, are drawn by a hash of the id and joined by broadcast. Counts are weighted by how
     each class was drawn. Of copies and near copies one is kept, else their rare words would look like
-    terms. A term enters the lexicon with SUPPORT toxic texts and PRECISION; the LEXICON best are kept. Where a class is only
-    sampled, the sample names candidates, and these and their edits are counted over all rows to learn from.
-    Each (term, edits) is then counted again through the automata, so that an edit that also hits harmless words is
-    worth little. Without labels of both classes nothing is learned and every text scores the share of toxic labels.
+    terms. The drawn rows name candidates, terms of SUPPORT toxic texts in them, and the share of toxic texts without any; so the driver holds no more terms
+    than the words of ``sample_rows`` texts. Candidates and their edits are then counted through the automata over all rows to learn from,
+    so that an edit that also hits harmless words is worth little. A term enters the lexicon with SUPPORT toxic texts and PRECISION. Without labels of both classes nothing is learned and every text scores the share of toxic labels.
     """
     spark = docs.sparkSession
     y = labels.where(F.col(label).isin(0, 1)).groupBy(F.col(doc_id).alias("_id")).agg(F.max(label).cast("int").alias("_toxic")).where("_id IS NOT NULL")
@@ -222,41 +220,24 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     chosen = docs.where(F.col(text) != "").join(F.broadcast(drawn), F.col(doc_id) == F.col("_id")).select(F.col(text).alias("text"), "_toxic")
     chosen = stored(chosen.withColumn("_key", _copy_key("text")).dropDuplicates(["_toxic", "_key"]).drop("_key"))
     tally = chosen.mapInArrow(_terms, "term string, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    sampled = min(rate.values()) < 1
-    if sampled:
-        # one clean text in the sample stands for many that need not exist: either estimate makes a candidate
-        drawn_as = [F.col("toxic") * p / (F.col("toxic") * p + F.col("clean") * q) for p, q in ((1.0, 1.0), (1 / rate[1], 1 / rate[0]))]
-        candidates = tally.where((F.col("toxic") >= SUPPORT) & (F.greatest(*drawn_as) >= PRECISION)).select("term").collect()
-        counts = _counts(docs, y, sorted(r["term"] for r in candidates), doc_id, text)
-        exact = {term: n for (term, edits), n in counts.items() if edits == 0 and n[0] >= SUPPORT and n[0] / (n[0] + n[1] + 0.5) >= PRECISION}
-        terms = sorted(sorted(exact, key=lambda term: (-exact[term][0], term))[:LEXICON])
-    else:
-        odds = F.col("toxic") / (F.col("toxic") + F.col("clean") + 0.5)
-        best = tally.where((F.col("toxic") >= SUPPORT) & (odds >= PRECISION)).orderBy(F.col("toxic").desc(), "term").limit(LEXICON)
-        terms = sorted(r["term"] for r in best.select("term").collect())
+    # one clean text in the sample stands for many that need not exist: either estimate makes a candidate
+    drawn_as = [F.col("toxic") * p / (F.col("toxic") * p + F.col("clean") * q) for p, q in ((1.0, 1.0), (1 / rate[1], 1 / rate[0]))]
+    candidates = tally.where((F.col("toxic") >= SUPPORT) & (F.greatest(*drawn_as) >= PRECISION)).select("term").collect()
+    counts = _counts(docs, y, sorted(r["term"] for r in candidates), doc_id, text)
+    terms = sorted(term for (term, edits), (a, b) in counts.items() if edits == 0 and a >= SUPPORT and a / (a + b + 0.5) >= PRECISION)
     shared = spark.sparkContext.broadcast(terms)
 
-    def matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def unmatched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = _lexicon(shared)
         for batch in batches:
-            rows = Counter()
-            for t, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = evidence(lexicon, t)
-                rows.update((term, edits, toxic) for term, edits in found or [("", 0)])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k[i] for k in rows], kind) for i, kind in ((0, pa.string()), (1, pa.int32()), (2, pa.int32()))] + [pa.array(list(rows.values()), pa.int64())],
-                names=["term", "edits", "toxic", "n"])
-
-    counted = chosen.mapInArrow(matches, "term string, edits int, toxic int, n long").groupBy("term", "edits").agg(
-        F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("a"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("b")).collect()
-    worth = {}
-    for r in counted:
-        a, b = r["a"] / rate[1], (r["b"] + 0.5) / rate[0]
-        worth[r["term"], r["edits"]] = a / (a + b)
-    rest = worth.pop(("", 0), prior)
-    if sampled:
-        kept = set(terms)
-        worth = {k: a / (a + b + 0.5) for k, (a, b) in counts.items() if k[0] in kept}
+            rows = Counter(toxic for t, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if not evidence(lexicon, t))
+            yield pa.RecordBatch.from_arrays([pa.array(list(rows), pa.int32()), pa.array(list(rows.values()), pa.int64())], names=["toxic", "n"])
+
+    left = {r["toxic"]: r["n"] for r in chosen.mapInArrow(unmatched, "toxic int, n long").groupBy("toxic").agg(F.sum("n").alias("n")).collect()}
+    a, b = left.get(1, 0) / rate[1], (left.get(0, 0) + 0.5) / rate[0]
+    rest = a / (a + b) if left else prior
+    kept = set(terms)
+    worth = {k: a / (a + b + 0.5) for k, (a, b) in counts.items() if k[0] in kept}
     return {"terms": terms, "worth": {k: p for k, p in worth.items() if p >= 0.5}, "rest": min(rest, THRESHOLD / 2)}
 
 

@@ -223,6 +223,33 @@ def test_toxicity_learns_and_tells_quotation_from_abuse(spark, empty):
     assert toxicity.fit(empty, labels)["terms"] == []
 
 
+def test_worth_and_rating_agree_with_plain_counts(spark):
+    rng = random.Random(8)
+    texts = [(i, prose(i, 12) + rng.choice([" zorkelo ", " zorkela ", " blint ", ' said "blint" ', " ", " "]) * (i % 3 > 0) + prose(i + 9000, 12)) for i in range(150)]
+    toxic = {i: int(i % 3 > 0 and ("zorkel" in t or "blint" in t)) if i % 17 else 1 - i % 2 for i, t in texts}
+    rows = texts + [(1000 + i, t) for i, t in texts[:40]]  # copies count once
+    labels = {**toxic, **{1000 + i: toxic[i] for i, _ in texts[:40]}}
+    model = toxicity.fit(docs_of(spark, rows), spark.createDataFrame(sorted(labels.items()), "doc_id long, toxic int"))
+    assert {"zorkelo", "blint"} <= set(model["terms"])
+    lexicon, hits = toxicity.Lexicon(model["terms"]), Counter()
+    for i, t in texts:
+        words = [w.strip(toxicity._EDGES) for w in t.lower().split()]
+        hits.update({(hit, toxic[i]) for w in words for hit in lexicon.find(w)})
+    want = {hit: hits[hit, 1] / (hits[hit, 1] + hits[hit, 0] + 0.5) for hit, _ in hits}
+    assert model["worth"] == pytest.approx({hit: p for hit, p in want.items() if p >= 0.5})
+    free = [i for i, t in texts if not any(lexicon.find(w) for w in t.lower().split())]
+    share = sum(toxic[i] for i in free) / (len(free) + 0.5)
+    assert model["rest"] == pytest.approx(min(share, toxicity.THRESHOLD / 2))
+    got = {r["doc_id"]: r["x"] for r in docs_of(spark, texts).select("doc_id", toxicity.toxicity(F.col("text"), model, spark).alias("x")).collect()}
+    for i, t in texts:
+        best = {}
+        for w in t.lower().split():
+            word = w.strip(toxicity._EDGES)
+            value = max((want[hit] for hit in lexicon.find(w) if want[hit] >= 0.5), default=0) * (toxicity.QUOTED if '"' in w else 1)
+            best[word] = max(best.get(word, 0), value)
+        assert got[i] == pytest.approx(1 - (1 - model["rest"]) * math.prod(1 - v for v in best.values())), t
+
+
 def test_terms_of_rare_toxicity_are_counted_over_all_rows(spark):
     rows = [(i, prose(i, 20) + (" you zorkelo " if i < 12 else " meanwhile " if i < 60 else " ") + prose(i + 5000, 20)) for i in range(1200)]
     labels = spark.createDataFrame([(i, int(i < 12)) for i in range(1200)], "doc_id long, toxic int")
