@@ -44,6 +44,11 @@ _MARKS = {b"\xff\xfe\x00\x00": "UTF-32", b"\x00\x00\xfe\xff": "UTF-32", b"\xff\x
 _WHOLE = r"^[+-]?\d+$"
 _WIDE = r"^[+-]?\d{1,38}$"
 _NUMBER = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))$"
+_LOGIC = ["True", "False", "TRUE", "FALSE", "true", "false"]
+# What a value looks like, as bits.
+_IS_NUMBER, _IS_WHOLE, _IS_WIDE, _FITS, _IS_LOGIC = 1, 2, 4, 8, 16
+_EVERY = 31
+_WITNESSES = 1000  # rows that rule out types before all rows are asked about the others
 _EXTRA = "_extra"  # catches the fields of a row that has more than the header
 
 
@@ -65,12 +70,13 @@ def profile_files(spark: SparkSession, paths: str | Sequence[str], delimiter: st
     valid = F.is_valid_utf8("value")
     ascii_only = valid & (F.length("value") == F.octet_length("value"))
     seps = "|".join(re.escape(d) for d in [*DELIMITERS, *([delimiter] if delimiter else [])])
-    opened = F.col("value").rlike(f'(?:^\\uFEFF?|{seps})"(?:[^"]|"")*+$')
+    quoted = F.contains("value", F.lit('"'))  # most lines are done with this
+    opened = quoted & F.col("value").rlike(f'(?:^\\uFEFF?|{seps})"(?:[^"]|"")*+$')
     files = lines.groupBy("path").agg(
         F.bool_and(valid).alias("utf8"),
         F.bool_or(F.when(~ascii_only, raw.rlike("[\\x80-\\x9F]")).otherwise(False)).alias("high"),
         F.count(F.lit(1)).alias("lines"),
-        F.bool_or((F.length("value") - F.length(F.replace("value", F.lit('"')))) % 2 == 1).alias("odd"),
+        F.bool_or(quoted & ((F.length("value") - F.length(F.replace("value", F.lit('"')))) % 2 == 1)).alias("odd"),
         F.bool_or(opened).alias("opened"),
     )
     marked = F.lit(None)
@@ -126,14 +132,20 @@ def load_csv(
             valued = valued.filter(~bad)
         return valued.select(*[ref(f.name).cast(f.dataType).alias(f.name) for f in wanted])
 
-    facts = valued.agg(F.count(F.lit(1)), F.count_if(bad), *[_type_facts(c) for c in names]).first()
-    rows, bad_rows = facts[0], facts[1]
+    # A type that one value rules out is settled; all rows are asked only about the types that are left.
+    trimmed = valued.select(bad.alias("bad"), *[F.trim(ref(c)).alias(f"v{i}") for i, c in enumerate(names)])
+    few = trimmed.limit(_WITNESSES).agg(F.lit(0), *[F.bit_and(_kind(F.col(f"v{i}"))) for i in range(len(names))]).first()[1:]
+    asked = [i for i, bits in enumerate(few) if bits != 0]
+    kinds = [F.bit_and(_kind(F.col(f"v{i}"), _EVERY if few[i] is None else few[i])) for i in asked]
+    facts = trimmed.agg(F.count(F.lit(1)), F.count_if("bad"), *kinds).first()
+    found = dict(zip(asked, facts[2:]))
+    rows, bad_rows = facts[:2]
     if rows == 0:
         raise EmptyInputError("no data rows", paths=as_list(paths))
     if bad_rows and on_bad == "fail":
         raise CorruptInputError(f"{bad_rows} rows have more fields than the header", paths=as_list(paths), rows=bad_rows)
     kept = valued.filter(~bad) if bad_rows else valued
-    return kept.select(*[_typed(c, f) for c, f in zip(names, facts[2:])])
+    return kept.select(*[_typed(c, found.get(i, 0)) for i, c in enumerate(names)])
 
 
 def rejected_rows(
@@ -143,29 +155,35 @@ def rejected_rows(
     return _text_table(spark, paths, encoding, delimiter, options).filter(ref(_EXTRA).isNotNull())
 
 
-def _type_facts(column: str) -> Column:
-    """How many values look like each type. Patterns, not casts: a failed cast of text is costly."""
+def _kind(value: Column, asked: int = _EVERY) -> Column:
+    """Bits that say what a value looks like, of the bits asked for; NULL without a value. Patterns, not casts: a failed cast of text is costly."""
+    number = _IS_NUMBER | _IS_WHOLE | _IS_WIDE
+    tests = [
+        (_IS_WIDE | _FITS, value.rlike(_WIDE), F.when(value.try_cast("bigint").isNotNull(), number | _FITS).otherwise(number)),
+        (_IS_WHOLE, value.rlike(_WHOLE), F.lit(_IS_NUMBER | _IS_WHOLE)),
+        (_IS_NUMBER, value.rlike(_NUMBER), F.lit(_IS_NUMBER)),
+        (_IS_LOGIC, value.isin(_LOGIC), F.lit(_IS_LOGIC)),
+    ]
+    bits = F.when(value.isNull(), F.lit(None).cast("int"))
+    for of, met, kind in tests:
+        if asked & of:
+            bits = bits.when(met, kind)
+    return bits.otherwise(0)
+
+
+def _typed(column: str, bits: int | None) -> Column:
+    """The column in the type whose bits all its values have; doubles where it has no value."""
     value = F.trim(ref(column))
-    return F.struct(
-        F.count(value).alias("values"),
-        F.count_if(value.rlike(_WHOLE)).alias("whole"),
-        F.count_if(F.when(value.rlike(_WIDE), value).try_cast("bigint").isNotNull()).alias("fits"),
-        F.count_if(value.rlike(_WIDE)).alias("wide"),
-        F.count_if(value.rlike(_NUMBER)).alias("number"),
-        F.count_if(value.isin("True", "False", "TRUE", "FALSE", "true", "false")).alias("logic"),
-    )
-
-
-def _typed(column: str, facts) -> Column:
-    value = F.trim(ref(column))
-    if facts["values"] and facts["whole"] == facts["values"]:
+    if bits is None:
+        return value.cast("double").alias(column)
+    if bits & _IS_WHOLE:
         # identifiers keep every digit: never a double
-        if facts["fits"] == facts["values"]:
+        if bits & _FITS:
             return value.cast("bigint").alias(column)
-        return value.cast("decimal(38,0)").alias(column) if facts["wide"] == facts["values"] else ref(column).alias(column)
-    if facts["values"] == facts["number"]:  # also a column without any value
+        return value.cast("decimal(38,0)").alias(column) if bits & _IS_WIDE else ref(column).alias(column)
+    if bits & _IS_NUMBER:
         return value.cast("double").alias(column)
-    if facts["logic"] == facts["values"]:
+    if bits & _IS_LOGIC:
         return value.cast("boolean").alias(column)
     return ref(column).alias(column)
 

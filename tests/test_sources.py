@@ -236,3 +236,26 @@ def test_several_files_with_breaks_and_a_bad_end(spark, write, tmp_path):
     assert [tuple(r) for r in got] == [(1, "é\n2"), (2, "b\n"), (3, "c\n\nd")]
     with pytest.raises(CorruptInputError, match="never closed"):
         files.load_csv(spark, write("z.csv", 'x,y\n1,"a\n2,b\n'))
+
+
+def test_types_that_only_late_rows_rule_out(spark, tmp_path):
+    """Rows beyond the first ones count as much: each column loses a type in its last row only, or gets its only value there."""
+    columns = {
+        "whole": ("7", "8"), "wide": ("7", "9" * 20), "text": ("7", "9" * 39), "number": ("7", "1e3"), "word": ("7", "x7"), "logic": ("true", "yes"),
+        "truth": ("true", "FALSE"), "late": ("", "5"), "late_word": ("", "x"), "none": ("", "NA"), "mixed": ("true", "1"),
+    }
+    early, last = (",".join(v[i] for v in columns.values()) for i in (0, 1))
+    (tmp_path / "late.csv").write_text("\n".join([",".join(columns), *[early] * 3000, last]) + "\n")
+    found = {f.name: f.dataType.simpleString() for f in files.load_csv(spark, str(tmp_path / "late.csv")).schema}
+    assert found == {"whole": "bigint", "wide": "decimal(38,0)", "text": "string", "number": "double", "word": "string", "logic": "string",
+                     "truth": "boolean", "late": "bigint", "late_word": "string", "none": "double", "mixed": "string"}
+
+
+def test_text_columns_are_not_tried_as_numbers_in_every_row(spark, tmp_path, monkeypatch):
+    """One text rules out all other types, so that the pass over all rows asks only about the columns that may still be numbers."""
+    asked = []
+    kind = files._kind
+    monkeypatch.setattr(files, "_kind", lambda value, *bits: asked.append(bits) or kind(value, *bits))
+    (tmp_path / "t.csv").write_text("day,name,price\n" + "2024-01-02,a b,1.5\n" * 20)
+    assert files.load_csv(spark, str(tmp_path / "t.csv")).count() == 20
+    assert asked == [(), (), (), (files._IS_NUMBER,)]
