@@ -8,14 +8,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from comptoir.functions.columns import as_list, categorical_columns, ref
+from comptoir.functions.columns import as_list, categorical_columns, nan_to_null, ref
 from comptoir.operators.encode import encode_categorical_columns
-from comptoir.operators.impute import impute_missing_values
+from comptoir.operators.impute import columns_with_missing, impute_missing_values
 from comptoir.operators.outliers import remove_outliers as drop_outliers
 from comptoir.operators.scale import normalize_numeric_columns
 
 # Unicode white space and the four ASCII separators, as the usual text libraries count it.
 _BLANK = r"(?U)[\s\x1C-\x1F]+"
+# What may hold white space other than single spaces; text without it is only trimmed.
+_UNTIDY = r"[^\x20-\x7E]|  "
 
 # Strftime directives and the Java pattern letters that mean the same.
 _DIRECTIVES = {
@@ -32,7 +34,8 @@ DATE_FORMATS = ("%d/%m/%Y", "%d/%m/%Y %H:%M:%S", "%d-%m-%Y", "%Y/%m/%d", "%d.%m.
 def clean_string_columns(df: DataFrame, columns: str | Sequence[str] | None = None) -> DataFrame:
     """Drop white space at both ends and collapse each run inside to one space."""
     names = categorical_columns(df) if columns is None else [c for c in as_list(columns) if c in df.columns]
-    return df.withColumns({c: F.trim(F.regexp_replace(ref(c), _BLANK, " ")) for c in names}) if names else df
+    tidied = {c: F.when(ref(c).rlike(_UNTIDY), F.trim(F.regexp_replace(ref(c), _BLANK, " "))).otherwise(F.trim(ref(c))) for c in names}
+    return df.withColumns(tidied) if names else df
 
 
 def java_pattern(strftime: str) -> str:
@@ -81,12 +84,14 @@ def clean(
     encode_categorical: bool = False, clean_strings: bool = True,
 ) -> DataFrame:
     """Strings, then outliers, missing values, scaling and encoding, each step optional."""
+    # Cleaned text is NULL where it was before: gaps are looked for in the text as it is, which costs no cleaning.
+    gaps = columns_with_missing(nan_to_null(df), df.columns) if impute_missing else []
     if clean_strings:
         df = clean_string_columns(df)
     if remove_outliers:
         df = drop_outliers(df)
     if impute_missing:
-        df = impute_missing_values(df)
+        df = impute_missing_values(df, columns=gaps)
     if normalize:
         df = normalize_numeric_columns(df)
     if encode_categorical:

@@ -234,3 +234,14 @@ def test_days_and_months_of_one_digit(spark):
     for given in ("%d/%m/%Y", None):
         got = [r.d and r.d.strftime("%Y-%m-%d") for r in clean.convert_dates(df, "d", given).collect()]
         assert got == ["2025-02-01", "2025-02-01", "2025-12-31", None]
+
+
+def test_gaps_are_counted_before_text_is_cleaned(spark, monkeypatch):
+    """Cleaning text makes no NULL, so that the pass that looks for gaps does not clean it."""
+    seen, count = [], clean.columns_with_missing
+    monkeypatch.setattr(clean, "columns_with_missing", lambda df, columns: seen.append(df) or count(df, columns))
+    df = spark.createDataFrame([(1.0, " a  b "), (None, " c"), (4.0, None), (3.0, "a b"), (2.0, " a b")], "x double, t string")
+    rows = sorted(tuple(r) for r in clean.clean(df, remove_outliers=False).collect())
+    assert rows == [(1.0, "a b"), (2.0, "a b"), (2.5, "c"), (3.0, "a b"), (4.0, "a b")]
+    assert [one.columns for one in seen] == [["x", "t"]]
+    assert {r["t"] for r in seen[0].collect()} == {" a  b ", "\u00a0c", None, "a b", " a b"}
