@@ -141,7 +141,9 @@ def _removed(docs: DataFrame, doc_id: str, text: str, percent: int, min_tokens:
     rarest = _lines(source, rank, min_tokens, {"rarest": T.ArrayType(T.LongType())}, lambda t: (t[:len(t) - (len(t) * percent + 99) // 100 + 1],))
     known = sets.select("s", "pos", "parity").join(gone.withColumn("goes", F.lit(1)), "s", "left")
     once = rarest.where(reaching).withColumn("pos", _position()).join(known, ["s", "pos"]).dropDuplicates(["s"])
-    listed = once.select("s", "parity", "n", F.coalesce("goes", F.lit(0)).alias("goes"), F.posexplode("rarest").alias("at", "t")).select(
+    # Stored before it is exploded: the shuffles that made it are gone when the far larger one of its tokens is written.
+    once = stored(once.select("s", "parity", "n", F.coalesce("goes", F.lit(0)).alias("goes"), "rarest"))
+    listed = once.select("s", "parity", "n", "goes", F.posexplode("rarest").alias("at", "t")).select(
         "t", "s", "parity", (F.col("n").cast("long") * (1 << 25) + F.col("at") * 2 + F.col("goes")).alias("packed"))
     a, b = listed.alias("a"), listed.alias("b")
     n_a, n_b = (F.shiftright(f"{x}.packed", 25) for x in "ab")

@@ -4,15 +4,17 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from comptoir.llm import covertree, fingerprints, jaccard, langid, licenses, lines, lm, mixing, packing, toxicity
+from comptoir.llm import common, covertree, fingerprints, jaccard, langid, licenses, lines, lm, mixing, packing, toxicity
 from comptoir.llm.common import components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, name string, s long, removed int"
@@ -577,3 +579,22 @@ def test_pipeline_stages(spark, tmp_path, odd, empty):
         for _, stage in corpus_pipeline.STAGES:
             start = stage(spark, start, str(tmp_path))
         assert start.count() >= 0
+
+
+def test_stored_leaves_no_shuffle_files(spark):
+    """The shuffle behind a stored table leaves the disk with the write, the session's own setting comes back, and the rows can be read again."""
+    def shuffles():
+        return set(Path(root).rglob("shuffle_*.data"))
+
+    setting = common._SHUFFLES_GO
+    root = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()[0]
+    before, had = shuffles(), spark.conf.get(setting, "false")
+    source = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    kept = common.stored(source)
+    for _ in range(50):
+        if not shuffles() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffles() - before
+    assert spark.conf.get(setting, "false") == had
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, source.collect()))
