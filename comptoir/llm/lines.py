@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from decimal import Decimal
 
 import numpy as np
@@ -87,12 +87,14 @@ def _lines(docs: DataFrame, rank: Broadcast, min_tokens: int, columns: dict[str,
     return docs.mapInArrow(work, schema)
 
 
-def _sketch(tokens: np.ndarray) -> tuple[int, int, int]:
-    """Parity of the tokens in each of 64 groups, and two hashes that similar lines mostly share."""
+def _sketch(tokens: np.ndarray) -> tuple[int, int, int, int]:
+    """Parity of the tokens in each of 64 groups, of those in the odd half of each group, and two hashes that similar lines mostly share."""
     mixed = tokens.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     mixed = (mixed ^ mixed >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
-    parity = np.bitwise_xor.reduce(_BIT[(mixed >> np.uint64(58)).astype(np.int64)])
-    return int(parity.view(np.int64)), int(mixed.min().view(np.int64)), int(mixed.max().view(np.int64))
+    group = (mixed >> np.uint64(57)).astype(np.int64)
+    bits = _BIT[group >> 1]
+    parity, odd = np.bitwise_xor.reduce(bits), np.bitwise_xor.reduce(bits[group & 1 == 1])
+    return int(parity.view(np.int64)), int(odd.view(np.int64)), int(mixed.min().view(np.int64)), int(mixed.max().view(np.int64))
 
 
 def _position() -> Column:
@@ -114,7 +116,7 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", p
     line; classes so small that one token less or more is no match take no further part. Large groups first: each class is held against the earliest with the same least, and the same greatest, token hash;
     one match is enough to go. Then every class lists as many of its rarest tokens as a match may lack, plus one. Classes that share
     one become candidates where their sizes allow a match, the places of that token leave room for enough overlap, and the
-    parities of their tokens do not show too many differences; pairs of classes that both go already are left out. Candidates'
+    parities of their tokens, in 128 groups, do not show too many differences; pairs of classes that both go already are left out. Candidates'
     lines are read again to count the overlap exactly. Counting, hashing and sorting inside a text are numpy, the rest are joins.
 
     Ids are integers; a NULL id comes first.
@@ -128,30 +130,30 @@ def _removed(docs: DataFrame, doc_id: str, text: str, percent: int, min_tokens:
         raise TypeError(f"ids of lines must be integers, {doc_id} is {docs.schema[doc_id].dataType.simpleString()}")
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("key"))
     rank = rarity(source)
-    kinds = {"parity": T.LongType(), "least": T.LongType(), "most": T.LongType()}
+    kinds = {"parity": T.LongType(), "odd": T.LongType(), "least": T.LongType(), "most": T.LongType()}
     placed = stored(_lines(source, rank, min_tokens, kinds, _sketch)).withColumn("pos", _position())
-    sets = stored(placed.groupBy("s").agg(F.min("pos").alias("pos"), *[F.max(c).alias(c) for c in ("n", "parity", "least", "most")]))
+    sets = stored(placed.groupBy("s").agg(F.min("pos").alias("pos"), *[F.max(c).alias(c) for c in ("n", "parity", "odd", "least", "most")]))
     reaching = F.col("n") * 100 >= (F.col("n") + 1) * percent  # can match a class of other tokens
 
-    heads = [sets.where(reaching).groupBy(c).agg(F.min("pos").alias("first")).join(sets.select(c, "s", "pos", "n", "parity"), c).where("first < pos").drop(c) for c in ("least", "most")]
-    ahead = heads[0].unionByName(heads[1]).distinct().select(F.col("s").alias("u"), F.col("n").alias("n_u"), F.col("parity").alias("p_u"), "first")
-    ahead = ahead.join(sets.select(F.col("pos").alias("first"), F.col("s").alias("v"), F.col("n").alias("n_v"), F.col("parity").alias("p_v")), "first")
+    heads = [sets.where(reaching).groupBy(c).agg(F.min("pos").alias("first")).join(sets.select(c, "s", "pos", "n", "parity", "odd"), c).where("first < pos").drop(c) for c in ("least", "most")]
+    ahead = heads[0].unionByName(heads[1]).distinct().select(F.col("s").alias("u"), F.col("n").alias("n_u"), F.array("parity", "odd").alias("p_u"), "first")
+    ahead = ahead.join(sets.select(F.col("pos").alias("first"), F.col("s").alias("v"), F.col("n").alias("n_v"), F.array("parity", "odd").alias("p_v")), "first")
     gone = stored(_later(ahead.where(_possible("n_u", "p_u", "n_v", "p_v", percent)).select("u", "v", "n_u", "n_v"), sets, source, rank, min_tokens, percent))
 
     rarest = _lines(source, rank, min_tokens, {"rarest": T.ArrayType(T.LongType())}, lambda t: (t[:len(t) - (len(t) * percent + 99) // 100 + 1],))
-    known = sets.select("s", "pos", "parity").join(gone.withColumn("goes", F.lit(1)), "s", "left")
+    known = sets.select("s", "pos", "parity", "odd").join(gone.withColumn("goes", F.lit(1)), "s", "left")
     once = rarest.where(reaching).withColumn("pos", _position()).join(known, ["s", "pos"]).dropDuplicates(["s"])
     # Stored before it is exploded: the shuffles that made it are gone when the far larger one of its tokens is written.
-    once = stored(once.select("s", "parity", "n", F.coalesce("goes", F.lit(0)).alias("goes"), "rarest"))
-    listed = once.select("s", "parity", "n", "goes", F.posexplode("rarest").alias("at", "t")).select(
-        "t", "s", "parity", (F.col("n").cast("long") * (1 << 25) + F.col("at") * 2 + F.col("goes")).alias("packed"))
+    once = stored(once.select("s", "parity", "odd", "n", F.coalesce("goes", F.lit(0)).alias("goes"), "rarest"))
+    listed = once.select("s", "parity", "odd", "n", "goes", F.posexplode("rarest").alias("at", "t")).select(
+        "t", "s", "parity", "odd", (F.col("n").cast("long") * (1 << 25) + F.col("at") * 2 + F.col("goes")).alias("packed"))
     a, b = listed.alias("a"), listed.alias("b")
     n_a, n_b = (F.shiftright(f"{x}.packed", 25) for x in "ab")
     at_a, at_b = (F.shiftright(f"{x}.packed", 1).bitwiseAND((1 << 24) - 1) for x in "ab")
     overlap = F.least(n_a - at_a, n_b - at_b)  # at most, if this is the first shared token
     rest = (
         a.join(b, (F.col("a.t") == F.col("b.t")) & (F.col("a.s") < F.col("b.s")) & (F.col("a.packed").bitwiseAND(F.col("b.packed")).bitwiseAND(1) == 0)
-               & _near(overlap, n_a, n_b, percent) & _differ(F.col("a.parity"), F.col("b.parity"), n_a, n_b, percent))
+               & _near(overlap, n_a, n_b, percent) & _differ(*([F.col(f"{x}.parity"), F.col(f"{x}.odd")] for x in "ab"), n_a, n_b, percent))
         .select(F.col("a.s").alias("u"), F.col("b.s").alias("v"), n_a.alias("n_u"), n_b.alias("n_v")).distinct()
     )
     gone = gone.unionByName(_later(rest, sets, source, rank, min_tokens, percent)).distinct().withColumn("later", F.lit(True))
@@ -160,9 +162,10 @@ def _removed(docs: DataFrame, doc_id: str, text: str, percent: int, min_tokens:
         F.col("later").isNotNull() | (F.col("pos") != F.col("first"))).select("doc_id", "key", "line").distinct()
 
 
-def _differ(p: Column, q: Column, n: Column, m: Column, percent: int) -> Column:
-    """False where the parities differ in more groups than a match may differ in tokens."""
-    return F.bit_count(p.bitwiseXOR(q)) * (100 + percent) <= (n + m) * (100 - percent)
+def _differ(p: Sequence[Column] | Column, q: Sequence[Column] | Column, n: Column, m: Column, percent: int) -> Column:
+    """False where the parities (of whole groups, of odd halves) differ in more of the 128 half groups than a match may differ in tokens."""
+    whole, odd = (p[k].bitwiseXOR(q[k]) for k in (0, 1))
+    return (F.bit_count(odd) + F.bit_count(whole.bitwiseXOR(odd))) * (100 + percent) <= (n + m) * (100 - percent)
 
 
 def _possible(n: str, p: str, m: str, q: str, percent: int) -> Column:

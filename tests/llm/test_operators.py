@@ -484,6 +484,18 @@ def test_short_lines_take_part(spark, tmp_path):
     assert left == {i: t for i, t in kept.items() if t} and left.keys().isdisjoint({101, 103, 105}) and left[106] == "\n \n"
 
 
+def test_long_lines_without_a_match_are_seldom_candidates(spark, monkeypatch):
+    """Lines of 150 of 450 words share rare words; sixteen repeat most of another, fifteen enough to go."""
+    rng, vocabulary = random.Random(5), [f"w{k}" for k in range(450)]
+    texts = [rng.sample(vocabulary, 150) for _ in range(64)]
+    texts += [t[: 150 - k] + [f"x{k}_{i}" for i in range(k)] for k, t in enumerate(texts[:16], 2)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    sizes, later = [], lines._later
+    monkeypatch.setattr(lines, "_later", lambda pairs, *a: sizes.append(pairs.count()) or later(pairs, *a))
+    assert {tuple(r) for r in lines.removed_lines(docs_of(spark, rows)).collect()} == brute_lines(rows, least=1) == {(64 + k, 0) for k in range(15)}
+    assert sizes[1] <= 40  # of 2,000 pairs or so that share a rare word
+
+
 def test_lines_of_rows_that_share_an_id(spark):
     """A repeat found in one row leaves the other rows of its id alone, and copies at one number of different rows go but once."""
     a, b, c, d, e = (prose(700 + i, 12) for i in range(5))
