@@ -2,106 +2,87 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from decimal import Decimal
+from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
-import pyarrow as pa
-import xxhash
-from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from comptoir.llm.common import query, slices, stored, table, unused
-from comptoir.llm.ngrams import _words as word_hashes
+from comptoir.llm.common import query, stored, table, unused
 
 PERCENT = 80
 MIN_TOKENS = 1
-#: Words are counted by their hash in so many counters; a word is as rare as its counter.
+#: Words are counted by the first bits of their hash in so many counters; a word is as rare as its counter.
 COUNTERS = 65536
+_REST_BITS = 48
+#: A line's words are counted in so many ranges of hashes, each count kept modulo 8 in four bits.
+RANGES = 32
+#: Codes of 0 to 7 that differ in as many bits as the numbers do in steps around the circle.
+_CIRCLE = [0, 1, 3, 7, 15, 14, 12, 8]
+#: Groups of at least so many classes are held against their first one ahead of the join.
+BUSY = 8
 #: Tables of at most so many numbers are broadcast to thin out rows before an exact join.
 SIEVE = 1 << 20
-_REST = np.uint64((1 << 44) - 1)
-_BIT = np.uint64(1) << np.arange(64, dtype=np.uint64)
 
 
-def _hashes(line: bytes) -> np.ndarray:
-    words = line.split()
-    return np.fromiter(map(word_hashes.__getitem__, words), np.uint64, len(words))
+def _plain(text: Column) -> Column:
+    """Lower case, all white space but line feeds as spaces."""
+    return F.lower(F.when(text.rlike(r"[\t\x0B\f\r]"), F.regexp_replace(text, r"[\t\x0B\f\r]", " ")).otherwise(text))
 
 
-def rarity(docs: DataFrame) -> Broadcast:
-    """Rank of each counter, the least used first, from counts of all words of all texts."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(COUNTERS, np.int64)
-        for batch in slices(batches, "text"):
-            for text in batch.column("text").to_pylist():
-                if text:
-                    total += np.bincount((_hashes(text.lower().encode()) & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(COUNTERS, dtype=np.int32)), pa.array(total)], names=["counter", "n"])
+def _hashes(line: Column) -> Column:
+    """The hashes of the different words of a plain line, sorted."""
+    return F.sort_array(F.array_except(F.transform(F.split(line, " "), lambda w: F.xxhash64(w)), F.array(F.xxhash64(F.lit("")))))
 
+
+def rarity(docs: DataFrame) -> Column:
+    """An array by counter that turns, by exclusive or, a hash's first bits into the rank of its counter, the least used first."""
+    words = docs.select(F.explode(F.split(F.replace(_plain(F.col("text")), F.lit("\n"), F.lit(" ")), " ")).alias("word")).where("word != ''")
     counts = np.zeros(COUNTERS, np.int64)
-    for r in docs.select("text").mapInArrow(count, "counter int, n long").groupBy("counter").agg(F.sum("n").alias("n")).collect():
+    for r in words.groupBy(F.shiftrightunsigned(F.xxhash64("word"), _REST_BITS).alias("counter")).agg(F.count("*").alias("n")).collect():
         counts[r["counter"]] = r["n"]
-    rank = np.empty(COUNTERS, np.uint64)
-    rank[np.argsort(counts, kind="stable")] = np.arange(COUNTERS, dtype=np.uint64)
-    return docs.sparkSession.sparkContext.broadcast(rank)
-
-
-def _tokens(line: bytes, rank: np.ndarray) -> np.ndarray:
-    """The different words of a line, in lower case already, as numbers that sort by rarity, then by hash."""
-    h = _hashes(line)
-    return np.unique(rank[(h & np.uint64(COUNTERS - 1)).astype(np.int64)] << np.uint64(44) | h >> np.uint64(16) & _REST).view(np.int64)
-
-
-def _name(tokens: np.ndarray) -> int:
-    """A hash of the tokens of a line."""
-    n = xxhash.xxh3_64_intdigest(tokens.tobytes())
-    return n - (n >> 63 << 64)
-
-
-def _lines(docs: DataFrame, rank: Broadcast, min_tokens: int, columns: dict[str, T.DataType], describe) -> DataFrame:
-    """doc_id, key, line, s (a hash of the tokens), n and what ``describe(tokens)`` gives, for each line of ``min_tokens`` or more."""
-    schema = T.StructType([docs.schema["doc_id"], docs.schema["key"]]).add("line", "integer").add("s", "long").add("n", "integer")
-    for name, kind in columns.items():
-        schema = schema.add(name, kind)
-    extra = [pa.int64() if isinstance(kind, T.LongType) else pa.list_(pa.int64()) for kind in columns.values()]
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            at, line, s, n, more = [], [], [], [], []
-            for i, text in enumerate(batch.column("text").to_pylist()):
-                for k, content in enumerate(text.lower().encode().split(b"\n") if text else ()):
-                    tokens = _tokens(content, rank.value)
-                    if len(tokens) >= min_tokens:
-                        at.append(i)
-                        line.append(k)
-                        s.append(_name(tokens))
-                        n.append(len(tokens))
-                        more.append(describe(tokens))
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c).take(pa.array(at, pa.int64())) for c in ("doc_id", "key")), pa.array(line, pa.int32()), pa.array(s, pa.int64()), pa.array(n, pa.int32()),
-                 *(pa.array([m[k] for m in more], kind) for k, kind in enumerate(extra))], names=schema.names)
-
-    return docs.mapInArrow(work, schema)
-
-
-def _sketch(tokens: np.ndarray) -> tuple[int, int, int, int]:
-    """Parity of the tokens in each of 64 groups, of those in the odd half of each group, and two hashes that similar lines mostly share."""
-    mixed = tokens.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    mixed = (mixed ^ mixed >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
-    group = (mixed >> np.uint64(57)).astype(np.int64)
-    bits = _BIT[group >> 1]
-    parity, odd = np.bitwise_xor.reduce(bits), np.bitwise_xor.reduce(bits[group & 1 == 1])
-    return int(parity.view(np.int64)), int(odd.view(np.int64)), int(mixed.min().view(np.int64)), int(mixed.max().view(np.int64))
+    rank = np.empty(COUNTERS, np.int64)
+    rank[np.argsort(counts, kind="stable")] = np.arange(COUNTERS) - COUNTERS // 2
+    turned = (rank << _REST_BITS) ^ (np.arange(COUNTERS) << _REST_BITS)
+    return F.from_json(F.lit("[" + ",".join(map(str, turned.tolist())) + "]"), "array<bigint>")
+
+
+def _lines(docs: DataFrame) -> DataFrame:
+    """doc_id, key, line and words (plain) of each line that is not blank."""
+    return docs.select("doc_id", "key", F.posexplode(F.split(_plain(F.col("text")), "\n")).alias("line", "words")).where(F.trim("words") != "")
+
+
+def _described(docs: DataFrame, rank: Column, percent: int) -> DataFrame:
+    """doc_id, key, line, s (a hash of the tokens), n, their sketch, ends (two hashes that similar lines mostly share) and rarest tokens."""
+    step = 1 << 64 - RANGES.bit_length() + 1
+    bounds = [np.int64(k * step - (1 << 63)) for k in range(1, RANGES)]
+    lines = _lines(docs).select("doc_id", "key", "line", _hashes(F.col("words")).alias("h")).select(
+        "doc_id", "key", "line", "h", F.size("h").alias("n"),
+        F.sort_array(F.transform("h", lambda x: x.bitwiseXOR(F.coalesce(F.get(rank, F.shiftrightunsigned(x, _REST_BITS)), F.lit(0).cast("long"))))).alias("t"),
+        F.sort_array(F.concat("h", F.array(*map(F.lit, bounds)))).alias("cut"))
+    lines = lines.select(
+        "doc_id", "key", "line", "n", F.xxhash64("h").alias("s"), F.xxhash64(F.slice("h", 1, 2)).alias("low"), F.xxhash64(F.slice("h", -2, 2)).alias("high"),
+        F.slice("t", F.lit(1), F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1).alias("first"),
+        "cut", *[F.array_position("cut", F.lit(bounds[k - 1])).cast("int").alias(f"at{k}") for k in range(4, RANGES, 4)])
+    ends = [F.lit(0), *(F.col(f"at{k}") for k in range(4, RANGES, 4)), F.col("n") + RANGES]
+    parts = [F.slice("cut", a + 1, b - a - 1).alias(f"part{k}") for k, (a, b) in enumerate(zip(ends, ends[1:]))]
+    lines = lines.select("doc_id", "key", "line", "n", "s", "low", "high", "first", *[e.alias(f"end{k}") for k, e in enumerate(ends)], *parts)
+    # Where the bounds lie among the hashes: every fourth in the whole line, those between in their part.
+    ends = [F.col(f"end{k // 4}") + (F.array_position(f"part{k // 4}", F.lit(bounds[k - 1])).cast("int") if k % 4 else 0) for k in range(RANGES)] + [F.col("n") + RANGES]
+    # The order is that of whole tokens; a part of each is enough to find candidates.
+    rarest = F.transform("first", lambda x: x.bitwiseAND((1 << 31) - 1).cast("int")).alias("rarest")
+    lines = lines.select("doc_id", "key", "line", "n", "s", "low", "high", rarest, *[e.alias(f"at{k}") for k, e in enumerate(ends)])
+    ends = [F.col(f"at{k}") for k in range(RANGES + 1)]
+    circle = F.array(*(F.lit(c).cast("long") for c in _CIRCLE))
+    codes = [F.shiftleft(F.get(circle, (b - a - 1).bitwiseAND(7)), 4 * (k % 16)) for k, (a, b) in enumerate(zip(ends, ends[1:]))]
+    return lines.select("doc_id", "key", "line", "s", "n", *(reduce(Column.bitwiseOR, codes[k:k + 16]).alias(c) for c, k in (("sketch", 0), ("more", 16))), "low", "high", "rarest")
 
 
 def _position() -> Column:
-    """One number that sorts by id, then by a part of the text's hash, then by line; a NULL id comes first."""
-    id_ = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.lit("-9223372036854775809").cast("decimal(20,0)"))
-    low = F.col("key").bitwiseAND((1 << 31) - 1) * F.lit(1 << 31) + F.col("line")
-    return (id_ * F.lit(Decimal(1 << 62)).cast("decimal(19,0)")).cast("decimal(38,0)") + low.cast("decimal(19,0)")
+    """What sorts by id, then by a part of the text's hash, then by line; a NULL id comes first."""
+    return F.struct(F.col("doc_id").cast("long").alias("id"), (F.col("key").bitwiseAND((1 << 31) - 1) * F.lit(1 << 31) + F.col("line")).alias("low"))
 
 
 def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, min_tokens: int = MIN_TOKENS) -> DataFrame:
@@ -113,11 +94,12 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", p
     but blank ones take part.
 
     Tokens are ordered by rarity, words of rarely used counters first. Lines with equal tokens become one class, placed at its first
-    line; classes so small that one token less or more is no match take no further part. Large groups first: each class is held against the earliest with the same least, and the same greatest, token hash;
-    one match is enough to go. Then every class lists as many of its rarest tokens as a match may lack, plus one. Classes that share
-    one become candidates where their sizes allow a match, the places of that token leave room for enough overlap, and the
-    parities of their tokens, in 128 groups, do not show too many differences; pairs of classes that both go already are left out. Candidates'
-    lines are read again to count the overlap exactly. Counting, hashing and sorting inside a text are numpy, the rest are joins.
+    line; classes so small that one token less or more is no match take no further part. Large groups first: each class is held against
+    the earliest with the same two least, and the same two greatest, token hashes, where eight or more share them; one match is enough to
+    go. Then every class lists as many of its rarest tokens as a match may lack, plus one. Classes that share one become candidates where
+    their sizes allow a match, the places of that token leave room for enough overlap, and the numbers of their tokens in 32 ranges of
+    hashes do not show too many differences; pairs of classes that both go already are left out. Candidates' lines are read again to count
+    the overlap exactly. All of it is DataFrame functions and joins.
 
     Ids are integers; a NULL id comes first.
     """
@@ -129,43 +111,38 @@ def _removed(docs: DataFrame, doc_id: str, text: str, percent: int, min_tokens:
     if not isinstance(docs.schema[doc_id].dataType, T.IntegralType):
         raise TypeError(f"ids of lines must be integers, {doc_id} is {docs.schema[doc_id].dataType.simpleString()}")
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("key"))
-    rank = rarity(source)
-    kinds = {"parity": T.LongType(), "odd": T.LongType(), "least": T.LongType(), "most": T.LongType()}
-    placed = stored(_lines(source, rank, min_tokens, kinds, _sketch)).withColumn("pos", _position())
-    sets = stored(placed.groupBy("s").agg(F.min("pos").alias("pos"), *[F.max(c).alias(c) for c in ("n", "parity", "odd", "least", "most")]))
-    reaching = F.col("n") * 100 >= (F.col("n") + 1) * percent  # can match a class of other tokens
-
-    heads = [sets.where(reaching).groupBy(c).agg(F.min("pos").alias("first")).join(sets.select(c, "s", "pos", "n", "parity", "odd"), c).where("first < pos").drop(c) for c in ("least", "most")]
-    ahead = heads[0].unionByName(heads[1]).distinct().select(F.col("s").alias("u"), F.col("n").alias("n_u"), F.array("parity", "odd").alias("p_u"), "first")
-    ahead = ahead.join(sets.select(F.col("pos").alias("first"), F.col("s").alias("v"), F.col("n").alias("n_v"), F.array("parity", "odd").alias("p_v")), "first")
-    gone = stored(_later(ahead.where(_possible("n_u", "p_u", "n_v", "p_v", percent)).select("u", "v", "n_u", "n_v"), sets, source, rank, min_tokens, percent))
-
-    rarest = _lines(source, rank, min_tokens, {"rarest": T.ArrayType(T.LongType())}, lambda t: (t[:len(t) - (len(t) * percent + 99) // 100 + 1],))
-    known = sets.select("s", "pos", "parity", "odd").join(gone.withColumn("goes", F.lit(1)), "s", "left")
-    once = rarest.where(reaching).withColumn("pos", _position()).join(known, ["s", "pos"]).dropDuplicates(["s"])
-    # Stored before it is exploded: the shuffles that made it are gone when the far larger one of its tokens is written.
-    once = stored(once.select("s", "parity", "odd", "n", F.coalesce("goes", F.lit(0)).alias("goes"), "rarest"))
-    listed = once.select("s", "parity", "odd", "n", "goes", F.posexplode("rarest").alias("at", "t")).select(
-        "t", "s", "parity", "odd", (F.col("n").cast("long") * (1 << 25) + F.col("at") * 2 + F.col("goes")).alias("packed"))
+    placed = stored(_described(source, rarity(source), percent)).where(F.col("n") >= min_tokens).withColumn("pos", _position())
+    sets = stored(placed.groupBy("s").agg(F.min("pos").alias("pos"), F.count("*").alias("copies"), *[F.first(c).alias(c) for c in ("n", "sketch", "more", "low", "high", "rarest")]))
+    wide = sets.where(F.col("n") * 100 >= (F.col("n") + 1) * percent)  # can match a class of other tokens
+
+    ends = wide.select("s", "pos", "n", F.array("sketch", "more").alias("p"), F.explode(F.array("low", "high")).alias("end"))
+    busy = ends.groupBy("end").agg(F.count("*").alias("classes")).where(F.col("classes") >= BUSY).select("end")
+    first = Window.partitionBy("end").orderBy("pos")
+    ahead = ends.join(stored(busy), "end").select(*[F.col(c).alias(f"{c}_u") for c in "snp"], *[F.first(c).over(first).alias(f"{c}_v") for c in "snp"]).where("s_u != s_v")
+    ahead = ahead.where(_possible("n_u", "p_u", "n_v", "p_v", percent)).select(F.col("s_u").alias("u"), F.col("s_v").alias("v"), "n_u", "n_v").distinct()
+    gone = stored(_later(ahead, sets, source, percent))
+
+    once = wide.join(gone.withColumn("goes", F.lit(1)), "s", "left").select("s", "sketch", "more", "n", F.coalesce("goes", F.lit(0)).alias("goes"), "rarest")
+    listed = once.select("s", "sketch", "more", "n", "goes", F.posexplode("rarest").alias("at", "t")).select(
+        "t", "s", "sketch", "more", (F.col("n").cast("long") * (1 << 25) + F.col("at") * 2 + F.col("goes")).alias("packed"))
     a, b = listed.alias("a"), listed.alias("b")
     n_a, n_b = (F.shiftright(f"{x}.packed", 25) for x in "ab")
     at_a, at_b = (F.shiftright(f"{x}.packed", 1).bitwiseAND((1 << 24) - 1) for x in "ab")
     overlap = F.least(n_a - at_a, n_b - at_b)  # at most, if this is the first shared token
     rest = (
         a.join(b, (F.col("a.t") == F.col("b.t")) & (F.col("a.s") < F.col("b.s")) & (F.col("a.packed").bitwiseAND(F.col("b.packed")).bitwiseAND(1) == 0)
-               & _near(overlap, n_a, n_b, percent) & _differ(*([F.col(f"{x}.parity"), F.col(f"{x}.odd")] for x in "ab"), n_a, n_b, percent))
+               & _near(overlap, n_a, n_b, percent) & _differ(*([F.col(f"{x}.sketch"), F.col(f"{x}.more")] for x in "ab"), n_a, n_b, percent))
         .select(F.col("a.s").alias("u"), F.col("b.s").alias("v"), n_a.alias("n_u"), n_b.alias("n_v")).distinct()
     )
-    gone = gone.unionByName(_later(rest, sets, source, rank, min_tokens, percent)).distinct().withColumn("later", F.lit(True))
-    firsts = sets.select("s", F.col("pos").alias("first")).join(gone, "s", "left")
+    gone = gone.unionByName(_later(rest, sets, source, percent)).distinct().withColumn("later", F.lit(True))
+    firsts = sets.select("s", "copies", F.col("pos").alias("first")).join(gone, "s", "left").where("later OR copies > 1")
     return placed.select("doc_id", "key", "line", "s", "pos").join(firsts, "s").where(
-        F.col("later").isNotNull() | (F.col("pos") != F.col("first"))).select("doc_id", "key", "line").distinct()
+        F.col("later").isNotNull() | (F.col("pos") != F.col("first"))).select("doc_id", "key", "line")
 
 
 def _differ(p: Sequence[Column] | Column, q: Sequence[Column] | Column, n: Column, m: Column, percent: int) -> Column:
-    """False where the parities (of whole groups, of odd halves) differ in more of the 128 half groups than a match may differ in tokens."""
-    whole, odd = (p[k].bitwiseXOR(q[k]) for k in (0, 1))
-    return (F.bit_count(odd) + F.bit_count(whole.bitwiseXOR(odd))) * (100 + percent) <= (n + m) * (100 - percent)
+    """False where the sketches show that the tokens differ in more than those of a match may."""
+    return (F.bit_count(p[0].bitwiseXOR(q[0])) + F.bit_count(p[1].bitwiseXOR(q[1]))) * (100 + percent) <= (n + m) * (100 - percent)
 
 
 def _possible(n: str, p: str, m: str, q: str, percent: int) -> Column:
@@ -174,7 +151,7 @@ def _possible(n: str, p: str, m: str, q: str, percent: int) -> Column:
 
 
 def _near(overlap: Column, a: Column, b: Column, percent: int) -> Column:
-    return overlap * 100 >= (a + b - overlap) * percent
+    return overlap * (100 + percent) >= (a + b) * percent
 
 
 def _sieved(df: DataFrame, key: Column, wanted: DataFrame, other: Column) -> DataFrame:
@@ -183,21 +160,18 @@ def _sieved(df: DataFrame, key: Column, wanted: DataFrame, other: Column) -> Dat
     return df.join(F.broadcast(numbers), F.pmod(key, F.lit(SIEVE)) == F.col("_number"), "left_semi")
 
 
-def _later(pairs: DataFrame, sets: DataFrame, source: DataFrame, rank: Broadcast, min_tokens: int, percent: int) -> DataFrame:
+def _later(pairs: DataFrame, sets: DataFrame, source: DataFrame, percent: int) -> DataFrame:
     """(s): of each pair (u, v, n_u, n_v) that matches, the later class. Whole lines are read again for the overlap."""
     pairs = stored(pairs)
+    if pairs.isEmpty():
+        return sets.select("s").where("false")
     wanted = stored(sets.select("s", "pos").join(pairs.select(F.explode(F.array("u", "v")).alias("s")).distinct(), "s"))
-    lines = source.select("doc_id", "key", F.posexplode(F.split("text", "\n")).alias("line", "text")).withColumn("pos", _position())
-    found = _sieved(lines, F.xxhash64("pos"), wanted, F.xxhash64("pos")).join(wanted, "pos").dropDuplicates(["s", "text"])
-
-    @F.arrow_udf(T.ArrayType(T.LongType()))
-    def tokens(text: pa.Array, s: pa.Array) -> pa.Array:
-        read = ((_tokens(t.lower().encode(), rank.value), name) for t, name in zip(text.to_pylist(), s.to_pylist()))
-        return pa.array([t if _name(t) == name else None for t, name in read], pa.list_(pa.int64()))  # NULL: another row's line
-
-    full = stored(found.select("s", "pos", tokens("text", "s").alias("t")))
-    left = full.select(F.col("s").alias("u"), F.col("t").alias("g"), F.col("pos").alias("p"))
-    right = full.select(F.col("s").alias("v"), F.col("t").alias("k"), F.col("pos").alias("q"))
+    lines = source.select("doc_id", "key", F.posexplode(F.split("text", "\n")).alias("line", "text")).select(_position().alias("pos"), "text")
+    found = _sieved(lines, F.xxhash64("pos"), wanted, F.xxhash64("pos")).join(wanted, "pos").select("s", "pos", "text").distinct()
+    named = stored(found.select("s", "pos", _hashes(_plain(F.col("text"))).alias("h")).select("s", "pos", "h", F.xxhash64("h").alias("name")))
+    full = named.where("s = name").drop("name")  # the others are lines of other rows
+    left = full.select(F.col("s").alias("u"), F.col("h").alias("g"), F.col("pos").alias("p"))
+    right = full.select(F.col("s").alias("v"), F.col("h").alias("k"), F.col("pos").alias("q"))
     matched = pairs.join(left, "u").join(right, "v").where(_near(F.size(F.array_intersect("g", "k")), F.col("n_u"), F.col("n_v"), percent))
     return matched.select(F.when(F.col("p") > F.col("q"), F.col("u")).otherwise(F.col("v")).alias("s")).distinct()
 

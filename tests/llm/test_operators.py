@@ -496,6 +496,18 @@ def test_long_lines_without_a_match_are_seldom_candidates(spark, monkeypatch):
     assert sizes[1] <= 40  # of 2,000 pairs or so that share a rare word
 
 
+def test_lines_run_no_python_on_executors(spark, monkeypatch):
+    """Neither the stored tables nor the result; the sketches of a match never differ by more than its tokens."""
+    plans, stored = [], lines.stored
+    monkeypatch.setattr(lines, "stored", lambda df: plans.append(df) or stored(df))
+    base = [f"w{k}" for k in range(40)]
+    rows = [(i, " ".join(base[: 40 - i % 5] + [f"x{i}_{k}" for k in range(i % 5)])) for i in range(30)]
+    docs = docs_of(spark, rows)
+    plans.append(lines.dedup_lines(docs))
+    assert {r["doc_id"] for r in plans[-1].where("text = ''").collect()} == {i for i, _ in brute_lines(rows)}
+    assert len(plans) > 5 and not any(re.search("Python|Pandas|Arrow", df._jdf.queryExecution().toString()) for df in plans)
+
+
 def test_lines_of_rows_that_share_an_id(spark):
     """A repeat found in one row leaves the other rows of its id alone, and copies at one number of different rows go but once."""
     a, b, c, d, e = (prose(700 + i, 12) for i in range(5))
