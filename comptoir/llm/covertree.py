@@ -1,4 +1,4 @@
-"""Exact near-duplicate embeddings by dual traversal of cover trees (operator 1)."""
+"""Exact near-duplicate embeddings by cells that hang below a cover tree, met in pairs (operator 1)."""
 
 from __future__ import annotations
 
@@ -18,6 +18,24 @@ PIVOTS = 512
 BLOCK = 4096
 _ROWS = 1024
 _SALT = 16
+#: Vectors that PIVOTS cells are meant for; with more vectors the cells grow as the root of their number, up to _PIVOT_BYTES.
+_FEW = 8192
+_PIVOT_BYTES = 32 << 20
+#: Blocks of one dimension, if none takes more than _BLOCK_BYTES: a vector is copied once for each.
+_SIDES = 4
+_BLOCK_BYTES = 48 << 20
+#: Members of a cell that are compared at once, vectors they are compared with, pairs compared one by one, vectors of which visitors are
+#: sought, so many that a core's cache holds them, and cells for which they are.
+_RING = 32
+_TILE = 8192
+_PAIRS = 1 << 14
+_VISITORS = 1 << 15
+_TOGETHER = 64
+#: Axes kept of long vectors, by which most pairs are told apart.
+_AXES = 15
+#: Cosines with pivots at once, and links held before they are counted.
+_COSINES = 1 << 21
+_HELD = 1 << 20
 #: Distances come from cosines; near 0 they are good to eight digits.
 _SLACK = 1e-7
 
@@ -79,14 +97,37 @@ class CoverTree:
         return centres, owner
 
 
+def _slack(dim: int) -> float:
+    """More than a cosine of single-precision unit vectors can be off."""
+    return (dim + 16) * 2.0 ** -23
+
+
+def _widened(cosine: np.ndarray | float, angle: float, slack: float) -> np.ndarray:
+    """The cosine of ``angle`` more than the angle of ``cosine``, a little less to be safe; all there are if none is further."""
+    wide = np.arccos(np.clip(np.asarray(cosine, np.float64) - slack, -1, 1)) + angle
+    return np.where(wide < np.pi, np.cos(np.minimum(wide, np.pi)) - slack, -2.0)
+
+
 class Links:
     """Counts and components of the links found in a task; pairs are not kept."""
 
     def __init__(self, weight: np.ndarray):
         self.weight, self.count, self.label = weight, np.zeros(len(weight), np.int64), np.arange(len(weight))
+        self.held: list[tuple[np.ndarray, np.ndarray]] = []
+        self.waiting = 0
 
     def add(self, a: np.ndarray, b: np.ndarray) -> None:
         """Links between places a[i] and b[i]."""
+        self.held.append((a, b))
+        self.waiting += len(a)
+        if self.waiting >= _HELD:
+            self.settle()
+
+    def settle(self) -> None:
+        if not self.waiting:
+            return
+        a, b = (np.concatenate(x) for x in zip(*self.held))
+        self.held, self.waiting = [], 0
         self.count += np.bincount(a, self.weight[b], len(self.count)).astype(np.int64) + np.bincount(b, self.weight[a], len(self.count)).astype(np.int64)
         while True:  # smallest label of either side, until nothing changes
             la, lb = self.label[a], self.label[b]
@@ -100,58 +141,28 @@ class Links:
                 self.label = self.label[self.label]
 
 
-def traverse(one: CoverTree, two: CoverTree, places: tuple[np.ndarray, np.ndarray], links: Links, cosine: float) -> None:
-    """Add all links between two trees, or inside one if they are the same.
-
-    A pair of nodes further apart than the threshold and both covering radii holds no link and is left; otherwise the children
-    of the wider node, or of both, are compared at once. Leaves meet by the cosine itself.
-    """
-    limit, same = np.sqrt(2 - 2 * cosine), one is two
-    reach = [np.array(t.reach) for t in (one, two)]
-    centre = [np.array(t.centre, np.int64) for t in (one, two)]
-    leaf = [np.array([c is None for c in t.children]) for t in (one, two)]
-    root = np.zeros(1, np.int64)
-    todo = [(root, root)] if len(one.x) and len(two.x) else []
-    while todo:
-        a, b = todo.pop()
-        itself = same and a is b
-        ends_a, inner_a = a[leaf[0][a]], a[~leaf[0][a]]
-        ends_b, inner_b = (ends_a, inner_a) if itself else (b[leaf[1][b]], b[~leaf[1][b]])
-        for lo in range(0, len(ends_a), _ROWS):  # leaves meet leaves
-            p = ends_a[lo:lo + _ROWS]
-            q = ends_b[lo:] if itself else ends_b
-            i, j = np.nonzero(one.x[centre[0][p]] @ two.x[centre[1][q]].T >= cosine)
-            if itself:
-                i, j = i[i < j], j[i < j]
-            links.add(places[0][centre[0][p[i]]], places[1][centre[1][q[j]]])
-        # inner nodes go on as one product of children for each, not pair by pair
-        for rows, columns in ((inner_a, b), (inner_b, ends_a)) if not itself else ((inner_a, inner_a), (inner_a, ends_a)):
-            swapped = not itself and columns is ends_a
-            x, y = (1, 0) if swapped else (0, 1)
-            trees = (one, two)
-            for lo in range(0, len(rows), _ROWS):
-                p = rows[lo:lo + _ROWS]
-                apart = np.sqrt(np.maximum(2 - 2 * (trees[x].x[centre[x][p]] @ trees[y].x[centre[y][columns]].T), 0))
-                near = apart <= limit + _SLACK + reach[x][p][:, None] + reach[y][columns][None, :]
-                for node, row in zip(p.tolist(), near):
-                    others = columns[row]
-                    if itself and columns is inner_a:
-                        todo.append((one.children[node],) * 2)
-                        others = others[others > node]
-                    inner = others[~leaf[y][others]]
-                    below = np.concatenate([others[leaf[y][others]], *[trees[y].children[n] for n in inner.tolist()]])
-                    if len(below):
-                        todo.append((below, trees[x].children[node]) if swapped else (trees[x].children[node], below))
-
-
-def _unit(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    """Vectors of one length, scaled to length 1; first by a power of two, so that no square overflows or vanishes."""
+def _vectors(column: pa.Array | pa.ChunkedArray, kind: str) -> np.ndarray:
+    """The vectors of a column that holds their bytes, all of one length."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    x = column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+    at = np.frombuffer(column.buffers()[1], np.int64 if pa.types.is_large_binary(column.type) else np.int32)[column.offset:][:len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[at[0]:at[-1]].view(kind).reshape(len(column), -1)
+
+
+def _unit(x: np.ndarray) -> np.ndarray:
+    """Vectors scaled to length 1; first by a power of two, so that no square overflows or vanishes."""
+    x = x.astype(np.float64)
     x = np.ldexp(x, -np.frexp(np.abs(x).max(1))[1][:, None])
     return x / np.sqrt((x * x).sum(1))[:, None]
 
 
+def _single(x: np.ndarray) -> np.ndarray:
+    """The same in single precision, a piece at a time."""
+    out = np.empty(x.shape, np.float32)
+    for lo in range(0, len(x), _ROWS):
+        out[lo:lo + _ROWS] = _unit(x[lo:lo + _ROWS])
+    return out
+
+
 class Cells:
     """Pivots of one dimension with how far their members reach, cut into blocks of about ``block`` vectors."""
 
@@ -164,19 +175,27 @@ class Cells:
                 order.append(tree.centre[node])
             else:
                 todo += reversed(tree.children[node].tolist())
-        self.pivots = pivots[order]
-        self.reach = np.zeros(len(order))
+        self.pivots = pivots[order].astype(np.float32)
+        self.slack = _slack(pivots.shape[1])
+        self.low = np.full(len(order), 2.0)  # the least cosine of a member; 2 without members
         self.first = np.zeros(len(order), np.int64)
         self.chunks = np.ones(len(order), np.int64)
+        self.start = self.blocks = self.pair = 0
+        self.axes = None
+        if pivots.shape[1] > 2 * _AXES:  # orthonormal, near those along which the pivots differ most
+            axes = np.random.default_rng(1).normal(size=(pivots.shape[1], _AXES))
+            for _ in range(4):
+                axes = np.linalg.qr(pivots.T @ (pivots @ axes))[0] if len(pivots) >= _AXES else np.linalg.qr(axes)[0]
+            self.axes = axes.astype(np.float32)
 
     def nearest(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Distances to all pivots and the nearest."""
-        apart = np.sqrt(np.maximum(2 - 2 * (x @ self.pivots.T), 0))
-        return apart, apart.argmin(1)
+        """Cosines with all pivots and the nearest."""
+        dots = x @ self.pivots.T
+        return dots, dots.argmax(1)
 
-    def divide(self, sizes: np.ndarray, block: int, start: int) -> int:
-        """Number the blocks from ``start``: small cells share one, a large cell has several. Returns the next number."""
-        filled = 0
+    def divide(self, sizes: np.ndarray, block: int, start: int, pair: int) -> tuple[int, int]:
+        """Number the blocks from ``start``: small cells share one, a large cell has several. Pairs of blocks from ``pair``. Returns the next numbers."""
+        self.start, filled = start, 0
         for c, n in enumerate(sizes.tolist()):
             if n > block:
                 start += filled > 0
@@ -187,7 +206,139 @@ class Cells:
                     start, filled = start + 1, 0
                 self.first[c] = start
                 filled += n
-        return start + (filled > 0)
+        start += filled > 0
+        self.blocks, self.pair = start - self.start, pair
+        self.first = np.minimum(self.first, max(start - 1, 0))  # cells without members may lie behind the last block
+        return start, pair + self.blocks * (self.blocks + 1) // 2
+
+    def pairs(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """Numbers of the pairs of two blocks each; those of a block with itself are shorter and come last."""
+        low, high, n = np.minimum(one, two) - self.start, np.maximum(one, two) - self.start, self.blocks
+        return self.pair + np.where(low == high, n * (n - 1) // 2 + low, low * (n - 1) - low * (low - 1) // 2 + high - low - 1)
+
+    def of_one(self, pair: int) -> bool:
+        """Whether it is the pair of a block with itself."""
+        return pair >= self.pair + self.blocks * (self.blocks - 1) // 2
+
+    def reduced(self, x: np.ndarray) -> np.ndarray | None:
+        """Unit vectors of fewer dimensions whose cosines are never smaller: the axes, and what is left as one length."""
+        if self.axes is None:
+            return None
+        y = x @ self.axes
+        rest = np.sqrt(np.maximum(1 - (y * y).sum(1), 0) + np.float32(8 * self.slack))
+        return np.concatenate([y, rest[:, None]], axis=1)
+
+
+class Block:
+    """The vectors that a task has of one block, furthest from their pivots first, and where each cell has its own."""
+
+    def __init__(self, cells: Cells, raw: np.ndarray, cell: np.ndarray, near: np.ndarray, place: np.ndarray):
+        order = np.argsort(near, kind="stable")
+        self.raw, self.near, self.place = raw[order], near[order], place[order]
+        self.x = _single(self.raw)
+        self.less = cells.reduced(self.x)
+        self.rank = np.arange(len(order), dtype=np.int32)
+        self.cells, self.cell, sizes = np.unique(cell[order], return_inverse=True, return_counts=True)
+        self.members = np.split(np.argsort(self.cell, kind="stable"), np.cumsum(sizes)[:-1])
+        self.low = np.array([self.near[m[0]] for m in self.members if len(m)], np.float64)
+
+
+def _true(mask: np.ndarray) -> np.ndarray:
+    """Where a contiguous mask, read as one row, is true; many places at a time, as few are."""
+    flat = mask.reshape(-1)
+    whole = len(flat) // 64 * 64
+    bytes_ = flat[:whole].view(np.uint64) != 0
+    words = np.flatnonzero(bytes_.view(np.uint64) != 0)
+    at = np.flatnonzero(bytes_.reshape(-1, 8).take(words, 0))
+    eights = words[at >> 3] * 8 + (at & 7)
+    at = np.flatnonzero(flat[:whole].reshape(-1, 8).take(eights, 0))
+    found = eights[at >> 3] * 8 + (at & 7)
+    return found if whole == len(flat) else np.concatenate([found, np.flatnonzero(flat[whole:]) + whole])
+
+
+class Candidates:
+    """Pairs that may be links, held until there are enough to compare at once."""
+
+    def __init__(self, one: Block, two: Block, links: Links, cosine: float, slack: float):
+        self.one, self.two, self.links, self.cosine, self.slack = one, two, links, cosine, slack
+        self.held: list[tuple[np.ndarray, np.ndarray]] = []
+        self.waiting = 0
+
+    def meet(self, p: np.ndarray, q: np.ndarray) -> None:
+        """Find those between vectors ``p`` of one and vectors ``q`` of two."""
+        one, two = self.one, self.two
+        less = None if one.less is None else np.ascontiguousarray(one.less.take(p, 0).T)
+        for lo in range(0, len(q), _TILE):
+            some = q[lo:lo + _TILE]
+            if less is not None:
+                at = _true(two.less.take(some, 0) @ less >= np.float32(self.cosine - 8 * self.slack))
+            if less is None or len(at) > len(some) * len(p) // 32:
+                at = _true(two.x.take(some, 0) @ one.x.take(p, 0).T >= np.float32(self.cosine - self.slack))
+            if len(at):
+                j, i = np.divmod(at, len(p))
+                self.held.append((p.take(i), some.take(j)))
+                self.waiting += len(at)
+                if self.waiting >= _PAIRS:
+                    self.settle()
+
+    def settle(self) -> None:
+        """Count the links among them, of which the vectors of one have the higher rank."""
+        if not self.waiting:
+            return
+        one, two = self.one, self.two
+        i, j = (np.concatenate(x) for x in zip(*self.held))
+        self.held, self.waiting = [], 0
+        higher = np.flatnonzero(one.rank.take(i) > two.rank.take(j))
+        i, j = i[higher], j[higher]
+        for lo in range(0, len(i), _PAIRS):
+            k, m = i[lo:lo + _PAIRS], j[lo:lo + _PAIRS]
+            dots = np.einsum("ij,ij->i", one.x.take(k, 0), two.x.take(m, 0))
+            near = np.flatnonzero(dots >= np.float32(self.cosine - self.slack))
+            k, m, keep = k[near], m[near], dots[near] >= np.float32(self.cosine + self.slack)
+            doubt = np.flatnonzero(~keep)  # what single precision cannot tell
+            if len(doubt):
+                keep[doubt] = (_unit(one.raw[k[doubt]]) * _unit(two.raw[m[doubt]])).sum(1) >= self.cosine
+            self.links.add(one.place[k[keep]], two.place[m[keep]])
+
+
+def traverse(cells: Cells, one: Block, two: Block, links: Links, cosine: float) -> None:
+    """Add the links between members of one and the vectors of two that have a lower rank: that lie further from their own pivots.
+
+    Cells whose pivots are further apart than the threshold and both covering radii hold no link and are left. A vector visits a ring of
+    another cell, members of like distance from their pivot, only if its own distance from that pivot is within the threshold of theirs.
+    """
+    if not len(one.x) or not len(two.x):
+        return
+    slack, angle = cells.slack, float(np.arccos(np.clip(cosine, -1, 1))) + 1e-9
+    pairs = Candidates(one, two, links, cosine, slack)
+    reach = [np.arccos(np.clip(b.low - slack, -1, 1)) for b in (one, two)]
+    least = (_widened(one.near, angle, slack) - slack).astype(np.float32)
+    for lo in range(0, len(one.cells), _TOGETHER):
+        pivots = cells.pivots[one.cells[lo:lo + _TOGETHER]]
+        apart = np.arccos(np.clip(pivots @ cells.pivots[two.cells].T + np.float32(slack), -1, 1))
+        open_ = (apart <= reach[0][lo:lo + _TOGETHER, None] + reach[1][None, :] + angle + _SLACK).any(0)
+        rows = None if open_.all() else np.flatnonzero(open_[two.cell])
+        for start in range(0, len(two.x) if rows is None else len(rows), _VISITORS):
+            some = slice(start, start + _VISITORS)
+            x, rank = (v[some] if rows is None else v.take(rows[some], 0) for v in (two.x, two.rank))
+            dots = pivots @ x.T
+            for members, cosines in zip(one.members[lo:lo + _TOGETHER], dots):
+                for p in range(0, len(members), _RING):
+                    ring = members[p:p + _RING]
+                    below = rank.searchsorted(one.rank[ring[-1]])
+                    q = np.flatnonzero(cosines[:below] >= least[ring[0]]) if below else ring[:0]
+                    if len(q):
+                        pairs.meet(ring, q + start if rows is None else rows[some].take(q))
+    pairs.settle()
+
+
+def _placed(spark: SparkSession, n: int) -> list[int]:
+    """Numbers that hash partitioning into ``n`` deals to each partition in turn, so that no two tasks meet in one."""
+    found: dict[int, int] = {}
+    drawn = spark.range(0, int(n * (np.log(n + 1) + 8)), 1, 1)
+    for r in drawn.groupBy(F.pmod(F.hash("id"), F.lit(n)).alias("to")).agg(F.min("id").alias("id")).collect():
+        found[r["to"]] = r["id"]
+    return [found.get(k, k) for k in range(n)]
 
 
 def near_embeddings(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", cosine: float = COSINE,
@@ -195,115 +346,159 @@ def near_embeddings(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     """Vectors linked by a cosine of ``cosine`` or more, in double precision, compared exactly whatever their labels.
 
     1. Equal vectors become one with a weight and a number of its own, which links refer to; ids only name the results.
-    2. A cover tree over about ``pivots`` vectors, drawn by a hash, gives cells; each vector belongs to its nearest pivot, and each cell
-       has a measured covering radius. Neighbouring cells form blocks; a large cell is cut into several.
+    2. A cover tree over ``pivots`` vectors, drawn by a hash, more as the root of the table, gives cells; each vector belongs to its nearest
+       pivot, and each cell has a measured covering radius. Neighbouring cells form blocks of at least ``block``; a large cell is cut into several.
     3. A vector goes to its own block and to every pair of its block with another in which some cell lies within the threshold and its
-       covering radius: all others cannot hold a link. So a task has at most two blocks, however hot a cell is.
-    4. In a task, cover trees over both blocks are traversed together. It returns counts and a spanning label per vector,
-       never pairs. Where data do not cluster, no bound prunes and all blocks meet.
+       covering radius: all others cannot hold a link. So a task has at most two blocks, however hot a cell is, and there are
+       few blocks, as each is another copy of the table.
+    4. In a task the cells of both blocks are traversed together: of two vectors the one further from its own pivot visits the other's cell,
+       if triangles of angles allow it. Those that meet are told apart by a few axes, then by all in single precision, and in double precision
+       where that is in doubt. The task returns counts and a spanning label per vector, never pairs. Where data do not
+       cluster, all blocks meet and the work grows with the square of the table, though much less is done for a pair.
 
     Returns one row per row of ``vectors``: vec_id, n_links, component_id, kept. Vectors that are NULL, zero, or hold NULL or
     non-finite components link with nothing, nor do vectors of different length. Rows of equal vectors link with each other. Rows that
     share an id, or have none, are separate vectors; a component is named by its smallest id, NULL only where it has no other.
     """
     spark = vectors.sparkSession
-    source = vectors.select(F.col(vec_id).alias("vec_id"), F.col(embedding).cast("array<double>").alias("e"))
-    sound = ~F.exists("e", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
-    links = F.coalesce(F.col("e").isNotNull() & sound & F.exists("e", lambda v: v != 0), F.lit(False))
-    valid = source.where(links)
-    key = F.transform("e", lambda v: v + 0.0)  # -0.0 is 0.0
-    distinct = stored(valid.withColumn("e", key).groupBy("e").agg(F.min("vec_id").alias("least"), F.count("*").alias("weight"))
-                      .withColumn("key", F.xxhash64("e")).withColumn("id", F.monotonically_increasing_id()))
-    dims = {r["dim"]: r["n"] for r in distinct.groupBy(F.size("e").alias("dim")).agg(F.count("*").alias("n")).collect()}
-    rate = F.element_at(F.create_map(*[F.lit(x) for d, n in dims.items() for x in (d, min(1.0, pivots / n))]), F.size("e")) if dims else F.lit(0.0)
-    drawn = distinct.where(F.pmod("key", F.lit(1_000_003)) < rate * 1_000_003).select("e").toArrow().column("e")
+    source = vectors.select(F.col(vec_id).alias("vec_id"), F.col(embedding).alias("e"))
+    single = source.schema["e"].dataType == T.ArrayType(T.FloatType()) or source.schema["e"].dataType == T.ArrayType(T.FloatType(), False)
+    kind, width = ("<f4", 4) if single else ("<f8", 8)
+
+    @F.arrow_udf(T.BinaryType())
+    def packed(e: pa.Array) -> pa.Array:
+        """The bytes of a vector, 0 for -0; NULL if it links with nothing."""
+        n = pc.fill_null(pc.list_value_length(e), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        flat = e.flatten().to_numpy(zero_copy_only=False).astype(kind) + np.zeros(1, kind)
+        at = np.concatenate([[0], np.cumsum(n)])
+        odd, some = (np.concatenate([[0], np.cumsum(x)])[at] for x in (~np.isfinite(flat), flat != 0))
+        sound = (np.diff(odd) == 0) & (np.diff(some) > 0)
+        return pa.Array.from_buffers(pa.binary(), len(e), [pa.py_buffer(np.packbits(sound, bitorder="little")), pa.py_buffer((at * width).astype(np.int32)), pa.py_buffer(flat)])
+
+    # marked so that no filter evaluates it again
+    source = source.select("vec_id", packed.asNondeterministic()(F.col("e") if single else F.col("e").cast("array<double>")).alias("k"))
+    distinct = stored(source.where("k IS NOT NULL").groupBy("k").agg(F.min("vec_id").alias("least"), F.count("*").alias("weight"))
+                      .withColumn("id", F.monotonically_increasing_id()))
+    dims = {r["dim"]: r["n"] for r in distinct.groupBy((F.octet_length("k") / width).cast("int").alias("dim")).agg(F.count("*").alias("n")).collect()}
+    wanted = {d: max(pivots, min(int(pivots * (n / _FEW) ** 0.5), _PIVOT_BYTES // (4 * d))) for d, n in dims.items()}
+    rate = F.element_at(F.create_map(*[F.lit(x) for d, n in dims.items() for x in (width * d, min(1.0, wanted[d] / n))]), F.octet_length("k")) if dims else F.lit(0.0)
+    drawn = distinct.where(F.pmod(F.xxhash64("k"), F.lit(1_000_003)) < rate * 1_000_003).select("k").toArrow().column("k")
     cells = {}
     for d in sorted(dims):
-        own = [v for v in drawn.to_pylist() if len(v) == d] or [[1.0] + [0.0] * (d - 1)]
-        cells[d] = Cells(_unit(pa.array(own)))
+        own = drawn.filter(pc.equal(pc.binary_length(drawn), width * d))
+        cells[d] = Cells(_unit(_vectors(own, kind)) if len(own) else np.eye(1, d))
     shared = spark.sparkContext.broadcast(cells)
 
-    def by_dim(batch: pa.RecordBatch):
-        sizes = pc.list_value_length(batch.column("e")).to_numpy(zero_copy_only=False)
+    def by_dim(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
+        sizes = pc.binary_length(batch.column("k")).to_numpy(zero_copy_only=False) // width
         for d in np.unique(sizes).tolist():
-            yield d, np.flatnonzero(sizes == d)
+            part = batch if (sizes == d).all() else batch.take(pa.array(np.flatnonzero(sizes == d)))
+            rows = max(16, min(_ROWS, _COSINES // len(shared.value[d].pivots)))
+            for lo in range(0, len(part), rows):
+                yield d, part.slice(lo, rows)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        low = {d: np.full(len(c.pivots), 2, np.float32) for d, c in shared.value.items()}
+        sizes = {d: np.zeros(len(c.pivots), np.int64) for d, c in shared.value.items()}
         for batch in batches:
-            for d, at in by_dim(batch):
-                for lo in range(0, len(at), _ROWS):
-                    apart, cell = shared.value[d].nearest(_unit(batch.column("e").take(pa.array(at[lo:lo + _ROWS]))))
-                    far = apart[np.arange(len(cell)), cell]
-                    seen = np.unique(cell)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(seen), d, np.int32)), pa.array(seen.astype(np.int32)), pa.array([far[cell == c].max() for c in seen]), pa.array([int((cell == c).sum()) for c in seen])],
-                        names=["dim", "cell", "far", "n"])
-
-    measured = distinct.select("e").mapInArrow(measure, "dim int, cell int, far double, n long").groupBy("dim", "cell").agg(F.max("far").alias("far"), F.sum("n").alias("n")).collect()
-    start = 0
+            for d, part in by_dim(batch):
+                dots, cell = shared.value[d].nearest(_single(_vectors(part.column("k"), kind)))
+                # nearly as near counts too: sums may come out in another order next time
+                i, j = np.divmod(_true(dots >= (dots[np.arange(len(cell)), cell] - np.float32(4 * shared.value[d].slack))[:, None]), dots.shape[1])
+                np.minimum.at(low[d], j, dots[i, j])
+                sizes[d] += np.bincount(cell, minlength=len(sizes[d]))
+        for d, least in low.items():
+            seen = np.flatnonzero(least < 2)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(seen), d, np.int32)), pa.array(seen.astype(np.int32)), pa.array(least[seen].astype(np.float64)), pa.array(sizes[d][seen])], names=["dim", "cell", "low", "n"])
+
+    measured = distinct.select("k").mapInArrow(measure, "dim int, cell int, low double, n long").groupBy("dim", "cell").agg(F.min("low").alias("low"), F.sum("n").alias("n")).collect()
+    sizes = {d: np.zeros(len(c.pivots), np.int64) for d, c in cells.items()}
+    for r in measured:
+        sizes[r["dim"]][r["cell"]], cells[r["dim"]].low[r["cell"]] = r["n"], r["low"]
+    start = pair = 0
     for d, c in cells.items():
-        sizes = np.zeros(len(c.pivots), np.int64)
-        for r in measured:
-            if r["dim"] == d:
-                sizes[r["cell"]], c.reach[r["cell"]] = r["n"], r["far"]
-        c.reach[sizes == 0] = -10  # nothing to visit
-        start = c.divide(sizes, block, start)
+        most = max(1, _BLOCK_BYTES // (width * d))
+        share = -(-dims[d] // _SIDES)
+        over = int(sizes[d][sizes[d] <= share].max(initial=0))  # so much of a block may stay free
+        start, pair = c.divide(sizes[d], max(block, min(share + over, most)), start, pair)
+    tasks = min(max(pair, 1), 1 << 14)
+    to = np.array(_placed(spark, tasks), np.int64)
     placed = spark.sparkContext.broadcast(cells)
-    limit = float(np.sqrt(2 - 2 * cosine)) + _SLACK
+    angle = float(np.arccos(np.clip(cosine, -1, 1))) + 1e-9
+    number = distinct.schema["id"].dataType
 
-    schema = T.StructType().add("low", "long").add("high", "long").add("own", "long").add("id", distinct.schema["id"].dataType).add("weight", "long").add("e", T.ArrayType(T.DoubleType()))
+    schema = T.StructType().add("task", "long").add("pair", "long").add("high", "boolean").add("id", number).add("weight", "long").add("cell", "long").add("near", "float").add("k", T.BinaryType())
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        borders = {d: np.flatnonzero(np.diff(c.first, prepend=-1)) for d, c in placed.value.items()}  # cells where another block begins
+        least = {d: (_widened(np.minimum(c.low, 1), angle, c.slack) - c.slack).astype(np.float32) for d, c in placed.value.items()}
+        for d, c in placed.value.items():
+            least[d][c.low > 1] = 3  # nothing to visit
         for batch in batches:
-            for d, at in by_dim(batch):
+            for d, part in by_dim(batch):
                 c = placed.value[d]
-                for lo in range(0, len(at), _ROWS):
-                    rows = at[lo:lo + _ROWS]
-                    part = batch.take(pa.array(rows))
-                    apart, cell = c.nearest(_unit(part.column("e")))
-                    own = c.first[cell] + part.column("key").to_numpy() % c.chunks[cell]
-                    i, j = np.nonzero(apart <= limit + c.reach[None, :])
-                    i, j = np.concatenate([i, np.arange(len(rows))]), np.concatenate([j, cell])
-                    n = c.chunks[j]
-                    other = np.repeat(c.first[j], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                    pairs = np.unique(np.stack([np.repeat(i, n), other]), axis=1)
-                    i, other = pairs[0], pairs[1]
-                    low, high = np.minimum(own[i], other), np.maximum(own[i], other)
-                    for k in range(0, len(i), 8 * _ROWS):
-                        take = pa.array(i[k:k + 8 * _ROWS])
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(low[k:k + 8 * _ROWS]), pa.array(high[k:k + 8 * _ROWS]), pa.array(own[i[k:k + 8 * _ROWS]]), *(part.column(x).take(take) for x in ("id", "weight", "e"))], names=schema.names)
-
-    found = T.StructType().add("u", distinct.schema["id"].dataType).add("v", distinct.schema["id"].dataType).add("n", "long")
-
-    def meet(group: pa.Table) -> pa.Table:
-        x, own = _unit(group.column("e")), group.column("own").to_numpy()
-        links = Links(group.column("weight").to_numpy())
-        low, high = group.column("low")[0].as_py(), group.column("high")[0].as_py()
-        places = [np.flatnonzero(own == b) for b in (low, high)]
-        if low == high:
-            tree = CoverTree(x[places[0]])
-            traverse(tree, tree, (places[0], places[0]), links, cosine)
-        elif len(places[0]) and len(places[1]):
-            traverse(CoverTree(x[places[0]]), CoverTree(x[places[1]]), (places[0], places[1]), links, cosine)
-        some = np.flatnonzero(links.count)
-        ids = group.column("id").combine_chunks()
-        return pa.Table.from_arrays([ids.take(pa.array(some)), ids.take(pa.array(links.label[some])), pa.array(links.count[some])], names=found.names)
-
-    counted = stored(distinct.select("id", "weight", "e", "key").mapInArrow(send, schema).groupBy("low", "high").applyInArrow(meet, found))
+                dots, cell = c.nearest(_single(_vectors(part.column("k"), kind)))
+                near = dots[np.arange(len(cell)), cell]
+                own = c.first[cell] + _vectors(part.column("k"), "<u4").sum(1, dtype=np.int64) % c.chunks[cell]
+                met = np.logical_or.reduceat(dots >= least[d], borders[d], axis=1)
+                met[np.arange(len(cell)), np.searchsorted(borders[d], cell, "right") - 1] = True
+                i, j = np.nonzero(met)
+                first, n = c.first[borders[d]][j], np.maximum.reduceat(c.chunks, borders[d])[j]
+                other = np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                i = np.repeat(i, n)
+                pairs = c.pairs(own[i], other)
+                columns = [to[pairs % tasks], pairs, own[i] > other, None, None, cell[i], near[i]]
+                for lo in range(0, len(i), 8 * _ROWS):
+                    cut = slice(lo, lo + 8 * _ROWS)
+                    take = pa.array(i[cut])
+                    yield pa.RecordBatch.from_arrays([pa.array(x[cut]) if x is not None else part.column(name).take(take) for name, x in zip(schema.names, [*columns, None])], names=schema.names)
+
+    found = T.StructType().add("u", number).add("v", number).add("n", "long")
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: dict[int, list[pa.RecordBatch]] = {}
+        for batch in batches:
+            all_ = batch.column("pair").to_numpy()
+            for p in np.unique(all_).tolist():
+                parts.setdefault(p, []).append(batch if (all_ == p).all() else batch.filter(pa.array(all_ == p)))
+        for p in sorted(parts):
+            group = pa.Table.from_batches(parts.pop(p))
+            ids, high = group.column("id").to_numpy(), group.column("high").to_numpy()
+            links = Links(group.column("weight").to_numpy())
+            raw, cell, near = _vectors(group.column("k"), kind), group.column("cell").to_numpy(), group.column("near").to_numpy()
+            c = placed.value[raw.shape[1]]
+            blocks = [Block(c, raw[at], cell[at], near[at], at) for at in (np.flatnonzero(~high), np.flatnonzero(high))]
+            order = np.argsort(np.concatenate([b.near for b in blocks]), kind="stable")
+            rank = np.empty(len(order), np.int32)
+            rank[order] = np.arange(len(order))
+            blocks[0].rank, blocks[1].rank = np.split(rank, [len(blocks[0].x)])
+            if high.any():
+                traverse(c, *blocks, links, cosine)
+                traverse(c, *blocks[::-1], links, cosine)
+            elif c.of_one(p):
+                traverse(c, blocks[0], blocks[0], links, cosine)
+            links.settle()
+            some = np.flatnonzero(links.count)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(ids[links.label[some]]), pa.array(links.count[some])], names=found.names)
+
+    sent = distinct.select("id", "weight", "k").mapInArrow(send, schema).repartition(tasks, "task")
+    counted = stored(sent.mapInArrow(meet, found))
     others = counted.groupBy("u").agg(F.sum("n").alias("n"))
     parts = components(counted.select("u", "v")).join(distinct.select(F.col("id").alias("node"), "least"), "node")
     # one component may hold a third of all vectors: its name is copied for each of _SALT shares of them
     names = parts.groupBy("component").agg(F.min("least").alias("name")).withColumn("salt", F.explode(F.array(*map(F.lit, range(_SALT)))))
     named = parts.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(_SALT)).cast("int")).join(names, ["component", "salt"]).select("node", "name")
     labels = (
-        distinct.select("e", "id", "weight", "least").join(others, F.col("id") == F.col("u"), "left").join(named, F.col("id") == F.col("node"), "left")
-        .select("e", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("name", "least").alias("component_id"))
+        distinct.join(others, F.col("id") == F.col("u"), "left").join(named, F.col("id") == F.col("node"), "left")
+        .where("weight > 1 OR n IS NOT NULL")  # all others have no link and name themselves
+        .select(F.col("k").alias("same"), (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("name", "least").alias("component_id"))
     )
-    rows = valid.withColumn("e", key).join(labels, "e").select("vec_id", "n_links", "component_id")
-    alone = source.where(~links)
-    return rows.unionByName(alone.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))).withColumn(
-        "kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+    # rows without a vector to compare get 21 bytes that no vector has, so that they do not meet in one task
+    rows = source.withColumn("k", F.coalesce("k", F.encode(F.lpad(F.monotonically_increasing_id().cast("string"), 21, "0"), "utf-8")))
+    return rows.join(labels, F.col("k") == F.col("same"), "left").select(
+        "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id")
+    ).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
 @query("op1_covertree")

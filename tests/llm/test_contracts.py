@@ -30,6 +30,89 @@ def test_embeddings_of_extreme_length(spark):
     assert got == {"1": (2, "1", True), "2": (2, "1", False), "3": (2, "1", False), "4": (1, "4", True), "5": (1, "4", False), "6": (0, "6", True)}
 
 
+def brute_links(x):
+    unit = np.array(x, float) / np.linalg.norm(np.array(x, float), axis=1)[:, None]
+    near = unit @ unit.T >= 0.95
+    label = np.arange(len(x))
+    while (low := np.array([label[row].min() for row in near])).tolist() != label.tolist():
+        label = low
+    return {i: (int(near[i].sum()) - 1, int(label[i]), bool(label[i] == i)) for i in range(len(x))}
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_embeddings_that_do_not_cluster_are_not_copied_more_as_they_grow(spark, monkeypatch, kind):
+    blocks = []
+    divide = covertree.Cells.divide
+
+    def divided(self, *args):
+        out = divide(self, *args)
+        blocks.append(int((self.first + self.chunks).max()))
+        return out
+
+    monkeypatch.setattr(covertree.Cells, "divide", divided)
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(1500, 40))
+    x[1000:1200] = x[0] + rng.normal(size=(200, 40)) * 0.2  # one hot cell
+    x[1200:1400] = x[rng.choice(1000, 200)] + rng.normal(size=(200, 40)) * rng.choice([0.1, 0.3, 0.5], size=(200, 1))
+    x = x.astype("f4" if kind == "float" else "f8")
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], f"vec_id long, embedding array<{kind}>")
+    got = {r[0]: tuple(r)[1:] for r in covertree.near_embeddings(df, pivots=20, block=16).collect()}
+    assert got == brute_links(x)
+    assert len(blocks) == 1 and blocks[0] <= 2 * 4  # there were as many as the table has times 16 vectors
+
+
+def test_embeddings_at_the_threshold(spark):
+    x = []
+    for k in range(40):  # pairs in planes of their own, closer to 0.95 than single precision can tell
+        for c in (1.0, 0.95 + (k % 8 - 3.5) * 1e-9):
+            x.append([0.0] * 80)
+            x[-1][2 * k], x[-1][2 * k + 1] = c, (1 - c * c) ** 0.5
+    df = spark.createDataFrame(list(enumerate(x)), "vec_id long, embedding array<double>")
+    got = {r[0]: r[1] for r in covertree.near_embeddings(df, pivots=8, block=16).collect()}
+    assert got == {2 * k + i: int(k % 8 >= 4) for k in range(40) for i in (0, 1)}
+
+
+def test_blocks_of_cells_meet_as_all_pairs():
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(900, 48))
+    x[300:500] = x[0] + rng.normal(size=(200, 48)) * 0.15
+    x[500:600] = x[:100] * 3 + rng.normal(size=(100, 48)) * 0.3
+    x[600:640] = x[rng.choice(40, 40)] * [[1.0]] + rng.normal(size=(40, 48)) * 0.02
+    unit = covertree._unit(x)
+    near = unit @ unit.T >= 0.95
+    for pivots in (1, 3, 60):
+        cells = covertree.Cells(unit[rng.choice(900, pivots, replace=False)])
+        dots, cell = cells.nearest(covertree._single(x))
+        cosine = dots[np.arange(900), cell]
+        for halves in ([np.arange(900)], [np.arange(0, 900, 2), np.arange(1, 900, 2)], [np.arange(900), np.arange(0)]):
+            links = covertree.Links(np.ones(900, np.int64))
+            blocks = [covertree.Block(cells, x[at], cell[at], cosine[at], at) for at in halves]
+            order = np.argsort(np.concatenate([b.near for b in blocks]), kind="stable")
+            rank = np.empty(len(order), np.int32)
+            rank[order] = np.arange(len(order))
+            for b, r in zip(blocks, np.split(rank, np.cumsum([len(b.x) for b in blocks])[:-1])):
+                b.rank = r
+            for one in blocks:
+                for two in blocks:
+                    if one is not two:
+                        covertree.traverse(cells, one, two, links, 0.95)
+            if len(blocks) == 1:
+                covertree.traverse(cells, blocks[0], blocks[0], links, 0.95)
+                want = near.sum(1) - 1
+            else:
+                want = np.zeros(900, int)
+                for at, other in (halves, halves[::-1]):
+                    want[at] = near[np.ix_(at, other)].sum(1)
+            links.settle()
+            assert links.count.tolist() == want.tolist()
+
+
+def test_embeddings_without_vectors_are_spread(spark):
+    rows = [(i, None if i % 3 else [0.0, 0.0]) for i in range(30)] + [(30, [1.0, 2.0]), (31, [2.0, 4.0])]
+    got = covertree.near_embeddings(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
+    assert sorted(map(tuple, got)) == [(i, 0, i, True) for i in range(30)] + [(30, 1, 30, True), (31, 1, 30, False)]
+
+
 # 3: packing
 
 def test_packing_ids_of_whole_table(spark):
