@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,8 @@ _PIVOT_BYTES = 32 << 20
 #: Blocks of one dimension, if none takes more than _BLOCK_BYTES: a vector is copied once for each.
 _SIDES = 4
 _BLOCK_BYTES = 48 << 20
+#: Blocks with which a vector meets in one round, of whose copies the disks must hold all at once.
+_AT_ONCE = 6
 #: Members of a cell that are compared at once, vectors they are compared with, pairs compared one by one, vectors of which visitors are
 #: sought, so many that a core's cache holds them, and cells for which they are.
 _RING = 32
@@ -350,7 +353,7 @@ def near_embeddings(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
        pivot, and each cell has a measured covering radius. Neighbouring cells form blocks of at least ``block``; a large cell is cut into several.
     3. A vector goes to its own block and to every pair of its block with another in which some cell lies within the threshold and its
        covering radius: all others cannot hold a link. So a task has at most two blocks, however hot a cell is, and there are
-       few blocks, as each is another copy of the table.
+       few blocks, as each is another copy of the table. Where there are many, their pairs meet in rounds, whose copies go one after the other.
     4. In a task the cells of both blocks are traversed together: of two vectors the one further from its own pivot visits the other's cell,
        if triangles of angles allow it. Those that meet are told apart by a few axes, then by all in single precision, and in double precision
        where that is in doubt. The task returns counts and a spanning label per vector, never pairs. Where data do not
@@ -422,7 +425,7 @@ def near_embeddings(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
         share = -(-dims[d] // _SIDES)
         over = int(sizes[d][sizes[d] <= share].max(initial=0))  # so much of a block may stay free
         start, pair = c.divide(sizes[d], max(block, min(share + over, most)), start, pair)
-    tasks = min(max(pair, 1), 1 << 14)
+    tasks, rounds = min(max(pair, 1), 1 << 14), max([1, *(-(-c.blocks // _AT_ONCE) for c in cells.values())])
     to = np.array(_placed(spark, tasks), np.int64)
     placed = spark.sparkContext.broadcast(cells)
     angle = float(np.arccos(np.clip(cosine, -1, 1))) + 1e-9
@@ -430,7 +433,7 @@ def near_embeddings(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
 
     schema = T.StructType().add("task", "long").add("pair", "long").add("high", "boolean").add("id", number).add("weight", "long").add("cell", "long").add("near", "float").add("k", T.BinaryType())
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def send(batches: Iterator[pa.RecordBatch], turn: int) -> Iterator[pa.RecordBatch]:
         borders = {d: np.flatnonzero(np.diff(c.first, prepend=-1)) for d, c in placed.value.items()}  # cells where another block begins
         least = {d: (_widened(np.minimum(c.low, 1), angle, c.slack) - c.slack).astype(np.float32) for d, c in placed.value.items()}
         for d, c in placed.value.items():
@@ -447,6 +450,8 @@ def near_embeddings(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
                 first, n = c.first[borders[d]][j], np.maximum.reduceat(c.chunks, borders[d])[j]
                 other = np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                 i = np.repeat(i, n)
+                now = np.flatnonzero((own[i] + other) % rounds == turn)
+                i, other = i[now], other[now]
                 pairs = c.pairs(own[i], other)
                 columns = [to[pairs % tasks], pairs, own[i] > other, None, None, cell[i], near[i]]
                 for lo in range(0, len(i), 8 * _ROWS):
@@ -482,8 +487,8 @@ def near_embeddings(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
             some = np.flatnonzero(links.count)
             yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(ids[links.label[some]]), pa.array(links.count[some])], names=found.names)
 
-    sent = distinct.select("id", "weight", "k").mapInArrow(send, schema).repartition(tasks, "task")
-    counted = stored(sent.mapInArrow(meet, found))
+    turns = [distinct.select("id", "weight", "k").mapInArrow(lambda batches, turn=turn: send(batches, turn), schema) for turn in range(rounds)]
+    counted = reduce(DataFrame.unionByName, [stored(sent.repartition(tasks, "task").mapInArrow(meet, found)) for sent in turns])
     others = counted.groupBy("u").agg(F.sum("n").alias("n"))
     parts = components(counted.select("u", "v")).join(distinct.select(F.col("id").alias("node"), "least"), "node")
     # one component may hold a third of all vectors: its name is copied for each of _SALT shares of them
