@@ -437,7 +437,7 @@ def near_embeddings(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
         borders = {d: np.flatnonzero(np.diff(c.first, prepend=-1)) for d, c in placed.value.items()}  # cells where another block begins
         least = {d: (_widened(np.minimum(c.low, 1), angle, c.slack) - c.slack).astype(np.float32) for d, c in placed.value.items()}
         for d, c in placed.value.items():
-            least[d][c.low > 1] = 3  # nothing to visit
+            least[d][c.low == 2] = 3  # nothing to visit
         for batch in batches:
             for d, part in by_dim(batch):
                 c = placed.value[d]

@@ -61,14 +61,15 @@ def test_embeddings_that_do_not_cluster_are_not_copied_more_as_they_grow(spark,
     assert len(blocks) == 1 and blocks[0] <= 2 * 4  # there were as many as the table has times 16 vectors
 
 
-def test_embeddings_of_many_blocks_meet_in_rounds(spark, monkeypatch):
+@pytest.mark.parametrize("pivots", [30, 1000])  # with 1000 each vector is a cell of its own, whose cosine may round to more than 1
+def test_embeddings_of_many_blocks_meet_in_rounds(spark, monkeypatch, pivots):
     monkeypatch.setattr(covertree, "_SIDES", 9)
     monkeypatch.setattr(covertree, "_AT_ONCE", 4)
     rng = np.random.default_rng(4)
     x = rng.normal(size=(300, 6))
     x[200:] = x[:100] + rng.normal(size=(100, 6)) * 0.2
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
-    assert {r[0]: tuple(r)[1:] for r in covertree.near_embeddings(df, pivots=30, block=16).collect()} == brute_links(x)
+    assert {r[0]: tuple(r)[1:] for r in covertree.near_embeddings(df, pivots=pivots, block=16).collect()} == brute_links(x)
 
 
 def test_embeddings_at_the_threshold(spark):
